@@ -123,3 +123,132 @@ def q_mart_skill(spark, base):
 @register("mart_pay_bands", D.with_models("SELECT * FROM mart_pay_bands"))
 def q_mart_pay(spark, base):
     return warehouse(spark, base).mart_pay_bands()
+
+
+# -- reports (C5, C6, G1-G10, X2) ---------------------------------------------
+
+from hirescope.plans import reports as R  # noqa: E402
+from hirescope.functions import taxonomy as T  # noqa: E402
+
+EXAMPLE_FILTER = R.PostingFilter(cities=["Berlin", "Munich", "Cologne", "Remote"],
+                                 roles=["DS/ML", "Analytics", "AI"], english_only=True)
+
+
+def _in(values: list[str]) -> str:
+    return ", ".join(D.lit(v) for v in values)
+
+
+@register("filter_values", D.with_models(
+    "SELECT 'city' AS facet, city AS value FROM fct GROUP BY city "
+    "UNION ALL SELECT 'role_family' AS facet, role_family AS value FROM fct GROUP BY role_family"))
+def q_filter_values(spark, base):
+    return R.filter_values(warehouse(spark, base).fact())
+
+
+@register("filtered_postings", D.with_models(
+    f"SELECT slug, city, role_family, language_gate FROM fct "
+    f"WHERE city IN ({_in(EXAMPLE_FILTER.cities)}) AND role_family IN ({_in(EXAMPLE_FILTER.roles)}) "
+    f"AND language_gate = 'english_ok'"))
+def q_filtered(spark, base):
+    return R.filtered_postings(warehouse(spark, base).fact(), EXAMPLE_FILTER)
+
+
+@register("kpi_overview", D.with_models(
+    "SELECT COUNT(*) AS n_jobs, COUNT(DISTINCT company_name) AS n_companies, "
+    f"{D.count_if('remote')} AS n_remote, {D.count_if("language_gate = 'english_ok'")} AS n_english, "
+    "ROUND(AVG(salary_min_annualized_eur), 2) AS avg_salary FROM fct"))
+def q_kpi(spark, base):
+    return R.kpi_overview(warehouse(spark, base).fact())
+
+
+@register("kpi_overview_filtered", D.with_models(
+    "SELECT COUNT(*) AS n_jobs, COUNT(DISTINCT company_name) AS n_companies, "
+    f"{D.count_if('remote')} AS n_remote, {D.count_if("language_gate = 'english_ok'")} AS n_english, "
+    "ROUND(AVG(salary_min_annualized_eur), 2) AS avg_salary FROM fct "
+    f"WHERE city IN ({_in(EXAMPLE_FILTER.cities)}) AND role_family IN ({_in(EXAMPLE_FILTER.roles)}) "
+    f"AND language_gate = 'english_ok'"))
+def q_kpi_filtered(spark, base):
+    return R.kpi_overview(warehouse(spark, base).fact(), EXAMPLE_FILTER)
+
+
+@register("by_role", D.with_models("SELECT role_family, COUNT(*) AS n FROM fct GROUP BY 1"))
+def q_by_role(spark, base):
+    return R.postings_by_role(warehouse(spark, base).fact())
+
+
+@register("by_city", D.with_models(
+    f"SELECT city, COUNT(*) AS n FROM fct GROUP BY 1 ORDER BY n DESC, city LIMIT {T.TOP_CITIES_REPORT}"))
+def q_by_city(spark, base):
+    return R.postings_by_city(warehouse(spark, base).fact())
+
+
+@register("top_skills", D.with_models(
+    "SELECT b.skill_name, d.category, COUNT(*) AS n FROM fct f JOIN bridge b USING (slug) "
+    "LEFT JOIN dim_skills d ON d.skill_name = b.skill_name GROUP BY 1, 2 "
+    f"ORDER BY n DESC, skill_name LIMIT {T.TOP_SKILLS_REPORT}"))
+def q_top_skills(spark, base):
+    w = warehouse(spark, base)
+    return R.top_skills(w.fact(), w.dim_skills())
+
+
+_SKILL_CITY = ("SELECT b.skill_name, f.city, COUNT(*) AS n FROM fct f "
+               "JOIN bridge b USING (slug) GROUP BY 1, 2")
+
+
+@register("skill_city", D.with_models(_SKILL_CITY))
+def q_skill_city(spark, base):
+    return R.skill_city_counts(warehouse(spark, base).fact())
+
+
+@register("skill_city_top", D.with_models(
+    f", sc AS ({_SKILL_CITY}), "
+    f"ts AS (SELECT skill_name FROM sc GROUP BY 1 ORDER BY SUM(n) DESC, skill_name LIMIT {T.HEATMAP_TOP_SKILLS}), "
+    f"tc AS (SELECT city FROM sc GROUP BY 1 ORDER BY SUM(n) DESC, city LIMIT {T.HEATMAP_TOP_CITIES}), "
+    "sub AS (SELECT * FROM sc WHERE skill_name IN (SELECT skill_name FROM ts) AND city IN (SELECT city FROM tc)) "
+    "SELECT r.skill_name, c.city, CAST(COALESCE(s.n, 0) AS BIGINT) AS n "
+    "FROM (SELECT DISTINCT skill_name FROM sub) r CROSS JOIN (SELECT DISTINCT city FROM sub) c "
+    "LEFT JOIN sub s ON s.skill_name = r.skill_name AND s.city = c.city"))
+def q_skill_city_top(spark, base):
+    return R.skill_city_heatmap(warehouse(spark, base).fact())
+
+
+@register("gate_table", D.with_models(
+    "SELECT city, role_family, pct_german_required, pct_english_ok, n_postings FROM mart_language_gate"))
+def q_gate_table(spark, base):
+    return R.language_gate_table(warehouse(spark, base).mart_language_gate())
+
+
+@register("gate_cells", D.with_models(
+    "SELECT city, " + ", ".join(
+        f"AVG(CASE WHEN role_family = {D.lit(r)} THEN pct_german_required END) AS \"{r}\""
+        for r in T.ROLE_FAMILIES) + " FROM mart_language_gate GROUP BY city"))
+def q_gate_cells(spark, base):
+    return R.language_gate_pivot(warehouse(spark, base).mart_language_gate())
+
+
+@register("gated_skills", D.with_models(
+    "SELECT skill_name, CAST(SUM(n_postings) AS BIGINT) AS total, "
+    "CAST(SUM(n_german_required) AS BIGINT) AS n_german, "
+    f"{D.pct('SUM(n_german_required)', 'SUM(n_postings)')} AS pct_german "
+    f"FROM mart_skill_demand GROUP BY 1 HAVING SUM(n_postings) >= {T.MIN_TOTAL_GATED_SKILL} "
+    f"ORDER BY pct_german DESC NULLS LAST, skill_name LIMIT {T.TOP_GATED_SKILLS}"))
+def q_gated_skills(spark, base):
+    return R.skills_gated_by_german(warehouse(spark, base).mart_skill_demand())
+
+
+@register("pay_table", D.with_models("SELECT * FROM mart_pay_bands"))
+def q_pay_table(spark, base):
+    return R.pay_table(warehouse(spark, base).mart_pay_bands())
+
+
+@register("english_lift", D.with_models(
+    ", ov AS (SELECT AVG(CASE WHEN language_gate = 'english_ok' THEN CAST(1 AS DOUBLE) "
+    "ELSE CAST(0 AS DOUBLE) END) AS r FROM fct), "
+    "ag AS (SELECT skill_name, skill_category, CAST(SUM(n_postings) AS BIGINT) AS n_postings, "
+    "CAST(SUM(n_english_ok) AS BIGINT) AS n_english_ok FROM mart_skill_demand GROUP BY 1, 2) "
+    "SELECT skill_name, skill_category, n_postings, n_english_ok, "
+    "ROUND(n_english_ok / n_postings, 4) AS english_rate, "
+    "ROUND(n_english_ok / n_postings / NULLIF((SELECT r FROM ov), 0), 4) AS lift FROM ag"))
+def q_english_lift(spark, base):
+    w = warehouse(spark, base)
+    return R.english_lift(w.mart_skill_demand(), w.fact())
