@@ -34,7 +34,8 @@ def register(name: str, oracle: str | None = None):
 
 
 def warehouse(spark: SparkSession, base: str) -> M.Warehouse:
-    return M.Warehouse(spark, testbed.postings(spark, base))
+    key = ("testbed", base.rstrip("/"), M._source_signature(base))
+    return M.Warehouse(spark, testbed.postings(spark, base), key)
 
 
 # -- enrichment operators (B1-B6, F1) ---------------------------------------
@@ -95,7 +96,7 @@ def q_stg_joined(spark, base):
 
 @register("fct_postings", D.with_models(f"SELECT {', '.join(M.FACT_COLUMNS)} FROM fct"))
 def q_fct(spark, base):
-    return warehouse(spark, base).fact().select(*M.FACT_COLUMNS)
+    return warehouse(spark, base).fact_plan().select(*M.FACT_COLUMNS)
 
 
 @register("dim_skills", D.with_models("SELECT skill_name, category FROM dim_skills"))
@@ -252,3 +253,98 @@ def q_pay_table(spark, base):
 def q_english_lift(spark, base):
     w = warehouse(spark, base)
     return R.english_lift(w.mart_skill_demand(), w.fact())
+
+
+# -- salary model (H1-H12) ----------------------------------------------------
+
+from hirescope.plans import salary as S  # noqa: E402
+
+_TRAIN = (", train AS (SELECT slug, city, role_family, seniority, remote, language_gate, "
+          "salary_min_annualized_eur AS salary, snapshot_date, skills FROM fct "
+          "WHERE salary_min_annualized_eur IS NOT NULL AND salary_min_annualized_eur "
+          f"BETWEEN {T.TRAIN_SALARY_MIN} AND {T.TRAIN_SALARY_MAX})")
+_VOCAB = (", skc AS (SELECT skill_name, COUNT(*) AS n FROM (SELECT UNNEST(skills) AS skill_name "
+          "FROM train) GROUP BY 1), "
+          f"skt AS (SELECT * FROM skc ORDER BY n DESC, skill_name LIMIT {T.TOP_K_SKILLS}), "
+          f"skv AS (SELECT * FROM skt WHERE n >= {T.MIN_SKILL_FREQ}), "
+          "vocab AS (SELECT * FROM skv UNION ALL SELECT * FROM skc WHERE NOT EXISTS (SELECT 1 FROM skv)), "
+          f"tcity AS (SELECT city FROM train GROUP BY 1 ORDER BY COUNT(*) DESC, city LIMIT {T.TOP_N_CITIES})")
+
+
+def training(spark, base):
+    return S.training_frame(warehouse(spark, base).fact())
+
+
+@register("training_frame", D.with_models(
+    _TRAIN + f" SELECT slug, city, role_family, seniority, remote, language_gate, salary, "
+    f"snapshot_date, {D.skills_json('skills')} AS skills_json FROM train"))
+def q_training_frame(spark, base):
+    t = training(spark, base)
+    return t.withColumn("skills_json", M.X.skills_json(F.col("skills"))).drop("skills")
+
+
+@register("city_vocab", D.with_models(
+    _TRAIN + " SELECT city, COUNT(*) AS n FROM train GROUP BY 1 "
+    f"ORDER BY n DESC, city LIMIT {T.TOP_N_CITIES}"))
+def q_city_vocab(spark, base):
+    return S.city_vocab(training(spark, base))
+
+
+@register("skill_vocab", D.with_models(_TRAIN + _VOCAB + " SELECT skill_name, n FROM vocab"))
+def q_skill_vocab(spark, base):
+    return S.skill_vocab(training(spark, base))
+
+
+@register("features_long", D.with_models(
+    _TRAIN + _VOCAB +
+    " SELECT slug, 'skill__' || s AS feature FROM (SELECT slug, UNNEST(skills) AS s FROM train) "
+    "WHERE s IN (SELECT skill_name FROM vocab) "
+    "UNION ALL SELECT slug, 'city_' || CASE WHEN city IN (SELECT city FROM tcity) THEN city "
+    "ELSE 'Other' END FROM train "
+    "UNION ALL SELECT slug, 'role_' || coalesce(role_family, 'Other') FROM train "
+    "UNION ALL SELECT slug, 'sen_' || coalesce(seniority, 'unknown') FROM train "
+    "UNION ALL SELECT slug, 'lang_' || coalesce(language_gate, 'unclear') FROM train "
+    "UNION ALL SELECT slug, 'remote' FROM train WHERE remote"))
+def q_features_long(spark, base):
+    t = training(spark, base)
+    return S.features_long(t, S.feature_spec(t))
+
+
+@register("group_folds", D.with_models(
+    _TRAIN + ", sizes AS (SELECT strftime(snapshot_date, '%Y-%U') AS week_key, COUNT(*) AS n "
+    "FROM train GROUP BY 1), "
+    "ord AS (SELECT week_key, n, ROW_NUMBER() OVER (ORDER BY n DESC, week_key DESC) AS i FROM sizes), "
+    "r(i, week_key, n, fold, totals) AS ("
+    "SELECT CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS INTEGER), "
+    f"list_transform(range((SELECT LEAST({T.N_FOLDS}, COUNT(*)) FROM sizes)), lambda x: CAST(0 AS BIGINT)) "
+    "UNION ALL SELECT o.i, o.week_key, o.n, "
+    "CAST(list_position(r.totals, list_min(r.totals)) - 1 AS INTEGER), "
+    "list_transform(range(len(r.totals)), lambda j: r.totals[j + 1] + CASE WHEN "
+    "j = list_position(r.totals, list_min(r.totals)) - 1 THEN o.n ELSE 0 END) "
+    "FROM r JOIN ord o ON o.i = r.i + 1) "
+    "SELECT week_key, n, fold FROM r WHERE i > 0", recursive=True))
+def q_group_folds(spark, base):
+    return S.group_folds(training(spark, base))
+
+
+@register("salary_scores")
+def q_salary_scores(spark, base):
+    fct = warehouse(spark, base).fact()
+    sm = S.train_model(S.training_frame(fct))
+    if sm is None:
+        return spark.createDataFrame([], "slug string, predicted_min_eur double")
+    return sm.score(fct)
+
+
+@register("salary_cv")
+def q_salary_cv(spark, base):
+    return S.cv_metrics(training(spark, base))
+
+
+@register("salary_drivers")
+def q_salary_drivers(spark, base):
+    t = training(spark, base)
+    sm = S.train_model(t)
+    if sm is None:
+        return spark.createDataFrame([], "feature string, importance double")
+    return S.mean_abs_shap(sm, t)

@@ -182,5 +182,8 @@ mart_pay_bands AS (
 """
 
 
-def with_models(select: str) -> str:
-    return model_ctes() + select
+def with_models(select: str, recursive: bool = False) -> str:
+    ctes = model_ctes()
+    if recursive:
+        ctes = "WITH RECURSIVE" + ctes[len("WITH"):]
+    return ctes + select

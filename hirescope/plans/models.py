@@ -21,11 +21,14 @@ Scale notes
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
+from hirescope.session import scratch_path
 
 ENRICHED_COLUMNS = ["slug", "city", "seniority", "language_gate", "salary_min_eur",
                     "salary_max_eur", "salary_period", "skills_json"]
@@ -171,12 +174,38 @@ def mart_pay_bands(fct: DataFrame, approx: bool = False) -> DataFrame:
                        F.round(F.col("_q")[2].cast("double"), 0).alias("p75_min_eur")))
 
 
+_STORED_FACTS: dict[tuple, str] = {}
+
+
+def _source_signature(base: str) -> tuple:
+    """Sizes and modification times of the local source files (empty if remote)."""
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if not os.path.isdir(local):
+        return ()
+    sig = []
+    for root, _, files in os.walk(local):
+        for f in sorted(files):
+            st = os.stat(os.path.join(root, f))
+            sig.append((f, st.st_size, int(st.st_mtime)))
+    return tuple(sig)
+
+
 class Warehouse:
-    """All models of one run (F9), built lazily from a raw postings frame."""
+    """All models of one run (F9), built from a raw postings frame.
+
+    The fact is a *table*: built once (enrichment runs once per posting), written
+    as Parquet under the shared checkpoint folder and read back by every mart,
+    report and the salary model. Reading it back also cuts the lineage, so the
+    marts' filters and column selections reach the Parquet scan (PushedFilters,
+    ReadSchema) instead of being pushed through the regex projections.
+    ``key`` identifies the inputs; the stored fact is reused for the same key
+    within a session.
+    """
 
-    def __init__(self, spark: SparkSession, raw: DataFrame):
+    def __init__(self, spark: SparkSession, raw: DataFrame, key: tuple | None = None):
         self.spark = spark
         self.raw = raw
+        self.key = key
 
     def enriched(self) -> DataFrame:
         return enrich(self.raw)
@@ -190,9 +219,19 @@ class Warehouse:
     def staging(self) -> DataFrame:
         return staging(self.raw)
 
-    def fact(self) -> DataFrame:
+    def fact_plan(self) -> DataFrame:
         return fact(staging(self.raw))
 
+    def fact(self) -> DataFrame:
+        key = None if self.key is None else (self.spark.sparkContext.applicationId,) + self.key
+        path = _STORED_FACTS.get(key) if key else None
+        if path is None:
+            path = scratch_path(self.spark, "fct_jobs")
+            write_table(self.fact_plan(), path)
+            if key:
+                _STORED_FACTS[key] = path
+        return self.spark.read.parquet(path)
+
     def mart_language_gate(self) -> DataFrame:
         return mart_language_gate(self.fact())
 

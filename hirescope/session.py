@@ -34,8 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if os.environ.get("HIRESCOPE_DRIVER_MEMORY"):
-        conf["spark.driver.memory"] = os.environ["HIRESCOPE_DRIVER_MEMORY"]
+    # in local mode the driver JVM also runs the tasks
+    conf["spark.driver.memory"] = os.environ.get("HIRESCOPE_DRIVER_MEMORY", "8g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
