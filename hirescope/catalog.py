@@ -348,3 +348,167 @@ def q_salary_drivers(spark, base):
     if sm is None:
         return spark.createDataFrame([], "feature string, importance double")
     return S.mean_abs_shap(sm, t)
+
+
+# -- ingest (A1-A5) -----------------------------------------------------------
+
+from hirescope.operators.dedup import batch_dedup  # noqa: E402
+from hirescope.operators.upsert import upsert  # noqa: E402
+from hirescope.plans import ingest as I  # noqa: E402
+from hirescope.session import scratch_path  # noqa: E402
+from hirescope.sources import postings_json as J  # noqa: E402
+from hirescope.sources.tables import read_table  # noqa: E402
+
+_RAW_OUT = ("slug, title, company_name, location, remote, url, to_json(tags) AS tags, "
+            "to_json(job_types) AS job_types, description, created_at, snapshot_date")
+
+
+@register("ingest_json", D.with_models(f"SELECT {_RAW_OUT} FROM postings"))
+def q_ingest_json(spark, base):
+    """Postings written as JSON pages (some ``created_at`` as epoch numbers, plus
+    reposts and empty slugs), read back through A1/A2, deduplicated (A3) and
+    upserted into an empty raw table (A4)."""
+    raw = testbed.postings(spark, base).withColumn("k", F.substring("slug", 5, 30).cast("long"))
+    epoch = F.try_to_timestamp(F.substring("created_at", 1, 19),
+                               F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("long")
+    reposts = (raw.filter(F.col("k") % 7 == 0)
+               .withColumn("title", F.concat(F.lit("Repost: "), "title"))
+               .withColumn("k", F.col("k") + F.lit(10 ** 12)))
+    blanks = raw.filter(F.col("k") % 11 == 0).withColumn("slug", F.lit("")).withColumn(
+        "k", F.col("k") + F.lit(2 * 10 ** 12))
+    batch = raw.unionByName(reposts).unionByName(blanks)
+    numeric = F.when((F.col("k") % 3 == 0) & F.col("created_at").endswith("+00:00"), epoch)
+    path = scratch_path(spark, "pages")
+    J.write_pages(batch, path, numeric_created=numeric)
+    out = I.ingest_batch(I.empty_raw(spark), spark, path, multi_line=False,
+                         ingested_at=F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    return out.select("slug", "title", "company_name", "location", "remote", "url",
+                      F.to_json("tags").alias("tags"), F.to_json("job_types").alias("job_types"),
+                      "description", "created_at", "snapshot_date")
+
+
+def _lines(spark, base):
+    li = read_table(spark, base, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    o = read_table(spark, base, "orders", "o_orderkey", "o_orderdate")
+    return li.join(o, li.l_orderkey == o.o_orderkey)
+
+
+_LINES_SQL = ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderdate FROM lineitem "
+              "JOIN orders ON o_orderkey = l_orderkey")
+
+
+@register("batch_dedup", D.with_models(
+    f", li AS ({_LINES_SQL}), rows_ AS (SELECT CASE WHEN (l_orderkey + l_linenumber) % 29 = 0 "
+    "THEN '' ELSE 'job-' || CAST(l_orderkey AS VARCHAR) END AS slug, "
+    "CAST(o_orderdate AS DATE) + CAST((l_linenumber % 2) * 7 AS INTEGER) AS snapshot_date, "
+    "'Line ' || CAST(l_linenumber AS VARCHAR) || ' part ' || CAST(l_partkey AS VARCHAR) AS title, "
+    "l_linenumber AS _page, l_partkey AS _pos, l_suppkey AS _sub FROM li) "
+    "SELECT slug, snapshot_date, title, _page, _pos, _sub FROM rows_ WHERE slug <> '' "
+    "QUALIFY ROW_NUMBER() OVER (PARTITION BY slug, snapshot_date ORDER BY _page, _pos, _sub) = 1"))
+def q_batch_dedup(spark, base):
+    li = _lines(spark, base)
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    rows = li.select(
+        F.when((k + ln) % 29 == 0, F.lit("")).otherwise(F.concat(F.lit("job-"), k.cast("string")))
+        .alias("slug"),
+        F.date_add(F.to_date("o_orderdate"), ((ln % 2) * 7).cast("int")).alias("snapshot_date"),
+        F.concat(F.lit("Line "), ln.cast("string"), F.lit(" part "), F.col("l_partkey").cast("string"))
+        .alias("title"),
+        ln.alias("_page"), F.col("l_partkey").alias("_pos"), F.col("l_suppkey").alias("_sub"))
+    return batch_dedup(rows, ["_page", "_pos", "_sub"]).select(
+        "slug", "snapshot_date", "title", "_page", "_pos", "_sub")
+
+
+_T1, _T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+@register("upsert_latest", D.with_models(
+    f", b1 AS (SELECT slug, title, snapshot_date, TIMESTAMP '{_T1}' AS ingested_at FROM postings), "
+    f"li AS ({_LINES_SQL} WHERE l_orderkey % 3 = 0), "
+    "b2 AS (SELECT 'job-' || CAST(CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey "
+    "ELSE l_orderkey + 1000000000 END AS VARCHAR) AS slug, "
+    "'Update ' || CAST(l_linenumber AS VARCHAR) || '/' || CAST(l_partkey AS VARCHAR) || '/' || "
+    "CAST(l_suppkey AS VARCHAR) AS title, CAST(o_orderdate AS DATE) + 28 AS snapshot_date FROM li "
+    "QUALIFY ROW_NUMBER() OVER (PARTITION BY slug ORDER BY l_linenumber DESC, l_partkey DESC, "
+    "l_suppkey DESC) = 1) "
+    "SELECT coalesce(b2.slug, b1.slug) AS slug, "
+    "CASE WHEN b2.slug IS NOT NULL THEN b2.title ELSE b1.title END AS title, "
+    "CASE WHEN b2.slug IS NOT NULL THEN b2.snapshot_date ELSE b1.snapshot_date END AS snapshot_date, "
+    f"coalesce(b1.ingested_at, TIMESTAMP '{_T2}') AS ingested_at "
+    "FROM b1 FULL OUTER JOIN b2 ON b1.slug = b2.slug"))
+def q_upsert_latest(spark, base):
+    ts = lambda s: F.lit(s).cast("timestamp_ntz")
+    b1 = testbed.postings(spark, base).select(
+        "slug", "title", "snapshot_date", ts(_T1).alias("ingested_at"),
+        F.lit(1).alias("_batch"), F.substring("slug", 5, 30).cast("long").alias("_pos"),
+        F.lit(0).cast("long").alias("_sub"))
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    b2 = _lines(spark, base).filter(k % 3 == 0).select(
+        F.concat(F.lit("job-"), F.when(k % 2 == 0, k).otherwise(k + F.lit(1000000000))
+                 .cast("string")).alias("slug"),
+        F.concat(F.lit("Update "), ln.cast("string"), F.lit("/"), F.col("l_partkey").cast("string"),
+                 F.lit("/"), F.col("l_suppkey").cast("string")).alias("title"),
+        F.date_add(F.to_date("o_orderdate"), 28).alias("snapshot_date"),
+        ts(_T2).alias("ingested_at"), F.lit(2).alias("_batch"),
+        (ln.cast("long") * F.lit(10 ** 9) + F.col("l_partkey")).alias("_pos"),
+        F.col("l_suppkey").alias("_sub"))
+    empty = spark.createDataFrame([], "slug string, title string, snapshot_date date, "
+                                      "ingested_at timestamp_ntz")
+    order = ["_batch", "_pos", "_sub"]
+    return upsert(upsert(empty, b1, "slug", order), b2, "slug", order)
+
+
+# -- synthetic postings (A9) --------------------------------------------------
+
+from hirescope.sources import synth as SY  # noqa: E402
+
+
+@register("synth_postings")
+def q_synth(spark, base):
+    """One synthetic posting per order (id = order key, "now" = order date)."""
+    ids = read_table(spark, base, "orders", "o_orderkey", "o_orderdate")
+    out = SY.synth_postings(ids, "o_orderkey", as_of=F.col("o_orderdate"))
+    return out.withColumn("tags", F.to_json("tags")).withColumn("job_types", F.to_json("job_types"))
+
+
+# -- trends (X1, X3) ------------------------------------------------------------
+
+from hirescope.plans import trends as TR  # noqa: E402
+
+
+@register("skill_share_trend", D.with_models(
+    ", dated AS (SELECT *, date_trunc('month', posted_at) AS month FROM fct WHERE posted_at IS NOT NULL), "
+    "tot AS (SELECT month, COUNT(*) AS n_month FROM dated GROUP BY 1), "
+    "men AS (SELECT s AS skill_name, month, COUNT(*) AS n_postings FROM "
+    "(SELECT month, UNNEST(skills) AS s FROM dated) GROUP BY 1, 2), "
+    "sh AS (SELECT m.*, m.n_postings / t.n_month AS share FROM men m JOIN tot t USING (month)), "
+    "both_ AS (SELECT skill_name, month, n_postings, share, CAST(0 AS DOUBLE) AS prev_share FROM sh "
+    "UNION ALL SELECT skill_name, month + INTERVAL 1 MONTH, 0, CAST(0 AS DOUBLE), share FROM sh), "
+    "agg AS (SELECT skill_name, month, CAST(SUM(n_postings) AS BIGINT) AS n_postings, "
+    "SUM(share) AS share, SUM(prev_share) AS prev_share FROM both_ GROUP BY 1, 2) "
+    "SELECT skill_name, month, n_postings, ROUND(share, 4) AS share, ROUND(prev_share, 4) AS prev_share, "
+    "ROUND(share - prev_share, 4) AS share_change FROM agg WHERE month IN (SELECT month FROM tot)"))
+def q_skill_share_trend(spark, base):
+    return TR.skill_share_trend(warehouse(spark, base).fact())
+
+
+@register("snapshot_changes", D.with_models(
+    ", obs AS (SELECT DISTINCT 'job-' || CAST(l_orderkey AS VARCHAR) AS slug, "
+    "CAST(date_trunc('week', l_shipdate) AS DATE) AS snapshot_date FROM lineitem), "
+    "snaps AS (SELECT snapshot_date, ROW_NUMBER() OVER (ORDER BY snapshot_date) AS idx "
+    "FROM (SELECT DISTINCT snapshot_date FROM obs)), "
+    "o AS (SELECT ob.slug, s.idx, LAG(s.idx) OVER (PARTITION BY ob.slug ORDER BY s.idx) AS prev_idx, "
+    "LEAD(s.idx) OVER (PARTITION BY ob.slug ORDER BY s.idx) AS next_idx "
+    "FROM obs ob JOIN snaps s USING (snapshot_date)), "
+    "per AS (SELECT idx, COUNT(*) AS n_active, SUM(CASE WHEN prev_idx IS NULL OR prev_idx < idx - 1 "
+    "THEN 1 ELSE 0 END) AS n_new FROM o GROUP BY 1), "
+    "gone AS (SELECT idx + 1 AS idx, COUNT(*) AS n_gone FROM o WHERE (next_idx IS NULL OR "
+    "next_idx > idx + 1) AND idx < (SELECT MAX(idx) FROM snaps) GROUP BY 1) "
+    "SELECT s.snapshot_date, CAST(coalesce(p.n_active, 0) AS BIGINT) AS n_active, "
+    "CAST(coalesce(p.n_new, 0) AS BIGINT) AS n_new, "
+    "CAST(coalesce(p.n_active, 0) - coalesce(p.n_new, 0) AS BIGINT) AS n_kept, "
+    "CAST(coalesce(g.n_gone, 0) AS BIGINT) AS n_gone "
+    "FROM snaps s LEFT JOIN per p USING (idx) LEFT JOIN gone g USING (idx)"))
+def q_snapshot_changes(spark, base):
+    li = read_table(spark, base, "lineitem", "l_orderkey", "l_shipdate")
+    return TR.snapshot_changes(TR.observations_from_lines(li))
