@@ -512,3 +512,51 @@ def q_skill_share_trend(spark, base):
 def q_snapshot_changes(spark, base):
     li = read_table(spark, base, "lineitem", "l_orderkey", "l_shipdate")
     return TR.snapshot_changes(TR.observations_from_lines(li))
+
+
+# -- streaming (X4) -------------------------------------------------------------
+
+from hirescope.streaming import ingest as STR  # noqa: E402
+
+
+def _pages_source(spark, raw, path, mode="overwrite"):
+    J.write_pages(raw.withColumn("k", F.substring("slug", 5, 30).cast("long")), path, mode=mode)
+
+
+@register("weekly_stream", D.with_models(
+    "SELECT date_trunc('week', posted_at) AS week, COUNT(*) AS n_postings FROM stg "
+    "WHERE posted_at IS NOT NULL GROUP BY 1"))
+def q_weekly_stream(spark, base):
+    """Postings per Monday week from a file-source stream (availableNow) with a
+    watermark, merged from update-mode micro-batches."""
+    src, out, ck = (scratch_path(spark, n) for n in ("stream-src", "weekly", "weekly-ck"))
+    _pages_source(spark, testbed.postings(spark, base), src)
+    STR.start_weekly_counts(spark, src, out, ck).awaitTermination()
+    return STR.weekly_counts(spark, out)
+
+
+@register("stream_upsert", D.with_models(
+    ", b1 AS (SELECT slug, title, snapshot_date, CAST(substring(slug, 5) AS BIGINT) AS k FROM postings), "
+    "b2 AS (SELECT slug, 'Updated ' || title AS title, snapshot_date + 28 AS snapshot_date FROM b1 "
+    "WHERE k % 3 = 0 UNION ALL SELECT 'job-n' || CAST(k AS VARCHAR), title, snapshot_date FROM b1 "
+    "WHERE k % 5 = 0) "
+    "SELECT coalesce(b2.slug, b1.slug) AS slug, "
+    "CASE WHEN b2.slug IS NOT NULL THEN b2.title ELSE b1.title END AS title, "
+    "CASE WHEN b2.slug IS NOT NULL THEN b2.snapshot_date ELSE b1.snapshot_date END AS snapshot_date "
+    "FROM b1 FULL OUTER JOIN b2 ON b1.slug = b2.slug"))
+def q_stream_upsert(spark, base):
+    """Two increments of JSON pages through the streaming ingest (A2, A3 per
+    micro-batch into an idempotent log), then the upserted table (A4)."""
+    src, log, ck = (scratch_path(spark, n) for n in ("ingest-src", "ingest-log", "ingest-ck"))
+    raw = testbed.postings(spark, base).withColumn(
+        "k", F.substring("slug", 5, 30).cast("long"))
+    J.write_pages(raw, src)
+    STR.start_ingest(spark, src, log, ck).awaitTermination()
+    k = F.col("k")
+    updates = (raw.filter(k % 3 == 0).withColumn("title", F.concat(F.lit("Updated "), "title"))
+               .withColumn("snapshot_date", F.date_add("snapshot_date", 28)))
+    new = (raw.filter(k % 5 == 0).withColumn("slug", F.concat(F.lit("job-n"), k.cast("string")))
+           .withColumn("k", k + F.lit(10 ** 12)))
+    J.write_pages(updates.unionByName(new), src, mode="append")
+    STR.start_ingest(spark, src, log, ck).awaitTermination()
+    return STR.current_table(spark, log).select("slug", "title", "snapshot_date")
