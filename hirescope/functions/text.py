@@ -45,6 +45,64 @@ def skills(text: Column) -> Column:
     return F.array_compact(F.array(*hits))
 
 
+# Cheap necessary conditions for each skill's patterns: every match of the
+# skill's (case-insensitive) patterns contains one of these lowercase literals
+# in the case-folded text (see ``fold``). ``None``: no useful literal (the
+# regex always runs). An optimisation only; ``tests/test_text_rules.py``
+# checks gated == ungated on generated texts.
+SKILL_GATES: dict[str, list[str] | None] = {
+    "Python": ["python"], "R": None, "SQL": ["sql"], "Java": ["java"],
+    "JavaScript": ["java", "js"], "TypeScript": ["type", "ts"], "Scala": ["scala"],
+    "Go": ["lang"], "C++": ["c++"], "Rust": ["rust"], "Pandas": ["pandas"],
+    "NumPy": ["numpy"], "Spark": ["spark"], "dbt": ["dbt"], "Airflow": ["airflow"],
+    "Snowflake": ["snowflake"], "BigQuery": ["query"], "Databricks": ["databricks"],
+    "Kafka": ["kafka"], "Redshift": ["redshift"], "Postgres": ["postgres"],
+    "PyTorch": ["pytorch"], "TensorFlow": ["tensor"], "scikit-learn": ["learn"],
+    "XGBoost": ["boost"], "LLM": ["llm", "large language model"],
+    "RAG": ["rag", "augmented"], "LangChain": ["langchain"], "HuggingFace": ["hugging"],
+    "MLOps": ["mlops"], "Tableau": ["tableau"], "Power BI": ["power"],
+    "Looker": ["looker"], "Metabase": ["metabase"], "Excel": ["excel"],
+    "AWS": ["aws", "amazon web services"], "GCP": ["gcp", "google cloud"],
+    "Azure": ["azure"], "Docker": ["docker"], "Kubernetes": ["kubernetes", "k8s"],
+    "Terraform": ["terraform"], "React": ["react"], "FastAPI": ["api"],
+    "Django": ["django"], "Next.js": ["next"],
+}
+
+
+def fold(text: Column) -> Column:
+    """Case-folded text for the skill gates.
+
+    ``lower(upper(x))`` maps every character that Java's Unicode
+    case-insensitive matching equates with an ASCII letter to that letter
+    (``ſ``->s, Kelvin sign->k, dotless i->i); the combining dot that
+    lowercasing ``İ`` leaves behind is removed.
+    """
+    return F.translate(F.lower(F.upper(_nz(text))), "\u0307", "")
+
+
+def with_skills(df, text_col: str = "description", out: str = "skills"):
+    """``df`` plus the B1 skill array, with each regex behind its literal gate.
+
+    Equal to ``skills(col(text_col))``; the folded text is its own projection so
+    it is computed once per row.
+    """
+    t = _nz(F.col(text_col))
+    df = df.select("*", fold(F.col(text_col)).alias("_skill_fold"))
+    low = F.col("_skill_fold")
+    hits = []
+    for name in T.SKILL_NAMES_SORTED:
+        rx = t.rlike("(?iU)" + _alt(T.SKILL_PATTERNS[name]))
+        keys = SKILL_GATES.get(name)
+        if keys:
+            gate = None
+            for k in keys:
+                c = F.instr(low, k) > 0
+                gate = c if gate is None else (gate | c)
+            rx = gate & rx  # And short-circuits: the regex runs only past the gate
+        hits.append(F.when(rx, F.lit(name)))
+    return df.select("*", F.array_compact(F.array(*hits)).alias(out)).drop("_skill_fold")
+
+
 def skills_json(skills_arr: Column) -> Column:
     """JSON text of a skill array in the form ``["A", "B"]`` (comma + space).
 
@@ -114,16 +172,24 @@ SALARY_NUMBERS = ("_sal_hv", "_sal_lo", "_sal_hi")
 
 
 def salary_extracts(text: Column) -> list[Column]:
-    """Stage 1 of B5: first hourly match and first annual-range match groups.
+    """Stage 1 of B5: first hourly match and the first annual-range match.
 
-    Returned as separate columns so the (expensive) regex runs once per row;
-    the later stages reference these columns several times.
+    The text is scanned once per pattern; the annual groups are then taken
+    from the (short) matched text. The annual pattern has no anchors,
+    boundaries or look-around, so matching it again on its own first match
+    yields the same groups.
     """
     t = _nz(text)
     hourly = "(?iU)" + T.SALARY_HOURLY
     annual = "(?iU)" + T.SALARY_ANNUAL_RANGE
-    cols = [F.regexp_extract(t, hourly, 1)] + [F.regexp_extract(t, annual, i) for i in (1, 2, 3, 4)]
-    return [c.alias(n) for c, n in zip(cols, SALARY_PARTS)]
+    return [F.regexp_extract(t, hourly, 1).alias("_sal_h"),
+            F.regexp_extract(t, annual, 0).alias("_sal_a0")]
+
+
+def salary_groups() -> list[Column]:
+    annual = "(?iU)" + T.SALARY_ANNUAL_RANGE
+    m = F.col("_sal_a0")
+    return [F.regexp_extract(m, annual, i).alias(f"_sal_a{i}") for i in (1, 2, 3, 4)]
 
 
 def salary_numbers() -> list[Column]:
@@ -157,6 +223,7 @@ def salary_fields() -> list[Column]:
 def with_salary(df, text_col: str = "description"):
     """Add the three B5 salary columns to ``df`` (three staged projections)."""
     df = df.select("*", *salary_extracts(F.col(text_col)))
+    df = df.select("*", *salary_groups()).drop("_sal_a0")
     df = df.select("*", *salary_numbers()).drop(*SALARY_PARTS)
     return df.select("*", *salary_fields()).drop(*SALARY_NUMBERS)
 

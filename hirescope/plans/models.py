@@ -46,8 +46,8 @@ def _enrich(raw: DataFrame) -> DataFrame:
         X.city(F.col("location"), F.col("remote")).alias("city"),
         X.seniority(F.col("title"), F.col("description")).alias("seniority"),
         X.language_gate(F.col("description")).alias("language_gate"),
-        X.skills(F.col("description")).alias("skills"),
     )
+    df = X.with_skills(df, "description")
     df = X.with_salary(df, "description")
     return df.withColumn("skills_json", X.skills_json(F.col("skills")))
 
