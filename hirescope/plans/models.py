@@ -242,6 +242,41 @@ class Warehouse:
         return mart_pay_bands(self.fact())
 
 
+MODEL_TABLES = ["raw_jobs", "enriched_jobs", "dim_skills", "bridge_job_skill", "fct_jobs",
+                "mart_skill_demand", "mart_werkstudent_pay", "mart_language_gate"]
+
+
+def require_rows(df: DataFrame, what: str) -> None:
+    """Stop early with a clear message when an input table is empty."""
+    if df.isEmpty():
+        raise ValueError(f"{what} is empty: nothing to build")
+
+
+def run_all(spark: SparkSession, raw: DataFrame, out_dir: str) -> dict[str, str]:
+    """build every model in dependency order and write each as Parquet (A5).
+
+    The raw table is written first; enrichment, fact and marts are then built
+    from the written copy, so the regex work runs once and every later model
+    reads files. Returns table name -> path.
+    """
+    out = out_dir.rstrip("/")
+    paths = {t: f"{out}/{t}" for t in MODEL_TABLES}
+    write_table(raw, paths["raw_jobs"])
+    stored_raw = spark.read.parquet(paths["raw_jobs"])
+    require_rows(stored_raw, "raw_jobs")
+    write_table(fact(staging(stored_raw)), paths["fct_jobs"])
+    fct = spark.read.parquet(paths["fct_jobs"])
+    write_table(fct.select(*ENRICHED_COLUMNS), paths["enriched_jobs"])
+    dim = dim_skills(spark)
+    write_table(dim, paths["dim_skills"])
+    write_table(bridge(fct), paths["bridge_job_skill"])
+    write_table(mart_skill_demand(fct, spark.read.parquet(paths["dim_skills"])),
+                paths["mart_skill_demand"])
+    write_table(mart_pay_bands(fct), paths["mart_werkstudent_pay"])
+    write_table(mart_language_gate(fct), paths["mart_language_gate"])
+    return paths
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """A5 sink: full-refresh overwrite as Parquet."""
     w = df.write.mode("overwrite")

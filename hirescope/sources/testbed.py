@@ -177,14 +177,17 @@ def _pieces(template: str) -> list[tuple[str, str]]:
 
 # -- Spark ------------------------------------------------------------------
 
-def spread_partitions(spark: SparkSession, source: DataFrame) -> int:
-    """max(input splits, default parallelism, shuffle partitions).
+def spread_partitions(spark: SparkSession, source: DataFrame) -> int | None:
+    """Partition count for the CPU-bound enrichment, or ``None`` to keep the input's.
 
-    Never fewer partitions than the input already has, so at scale this only
-    re-keys the rows; on a small local input it spreads them over the cores.
+    Only when the input has fewer splits than the cluster has cores (a small
+    table stored as one row group) are the rows re-spread, over
+    max(default parallelism, shuffle partitions) partitions. At scale the input
+    already has thousands of splits and no extra shuffle is added.
     """
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(source.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism, shuffle)
+    target = max(spark.sparkContext.defaultParallelism,
+                 int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return target if source.rdd.getNumPartitions() < target else None
 
 
 _ARG_ORDER = ["a", "b", "r", "x", "n"]
@@ -220,10 +223,12 @@ def postings(spark: SparkSession, base: str) -> DataFrame:
           .select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"),
                   "o_orderdate", "c_name", "n_name"))
     # Enrichment costs ~70 regex searches per posting: it is CPU-bound while the
-    # keys are a few bytes, so byte-based splitting (or AQE coalescing) would put
-    # it on very few tasks. Hash-distribute the narrow key columns (before any
-    # text exists) over at least as many partitions as the cluster has cores.
-    j = j.repartition(spread_partitions(spark, o), "k")
+    # keys are a few bytes, so on a small input byte-based splitting (or AQE
+    # coalescing) would put it on very few tasks. In that case only, the narrow
+    # key columns (before any text exists) are hash-distributed over the cores.
+    n = spread_partitions(spark, o)
+    if n:
+        j = j.repartition(n, "k")
     picks = {name: _spark_pick(opts, key) for name, (opts, key) in PICKS.items()}
     description = F.concat_ws(" ", *[F.nullif(picks[p], F.lit("")) for p in DESCRIPTION_PARTS])
     ts = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("k") % 24).cast("int"))

@@ -119,3 +119,24 @@ def test_streaming_ingest_replays_are_idempotent(spark, tmp_path):
     STR.start_ingest(spark, src, log, ck, multi_line=True).awaitTermination()
     got = {r["slug"]: r["title"] for r in STR.current_table(spark, log).collect()}
     assert got == {"x": "two", "y": "y"}
+
+
+def test_run_all_writes_every_model(spark, tmp_path):
+    """The pipeline check: all 8 tables exist, bridge non-empty, some gate decided."""
+    from hirescope import catalog
+
+    raw = catalog.testbed.postings(spark, "/root/testdata/sf0.001")
+    paths = M.run_all(spark, raw, str(tmp_path / "wh"))
+    assert set(paths) == set(M.MODEL_TABLES)
+    counts = {t: spark.read.parquet(p).count() for t, p in paths.items()}
+    assert counts["raw_jobs"] == raw.count() == counts["fct_jobs"] == counts["enriched_jobs"]
+    assert counts["bridge_job_skill"] > 0 and counts["dim_skills"] == 45
+    fct = spark.read.parquet(paths["fct_jobs"])
+    assert fct.filter(F.col("language_gate") != "unclear").count() > 0
+
+
+def test_run_all_refuses_empty_input(spark, tmp_path):
+    import pytest
+
+    with pytest.raises(ValueError):
+        M.run_all(spark, I.empty_raw(spark).drop("raw_payload", "ingested_at"), str(tmp_path / "wh"))
