@@ -27,7 +27,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
     The result has the target's columns; ``order`` columns are dropped.
     """
     cols = target.columns
-    latest = keep_last(batch, [key], order).select(*cols)
+    # the deduplicated batch is used three times (count, key set, new rows): cut
+    # its lineage once with a reliable checkpoint in the shared folder (the batch
+    # is small next to the target and the files survive a lost executor)
+    latest = keep_last(batch, [key], order).select(*cols).checkpoint(eager=True)
     keys = latest.select(key)
     n_keys = keys.count()
     small = n_keys <= broadcast_max_keys

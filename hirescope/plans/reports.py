@@ -100,7 +100,8 @@ def skill_city_heatmap(fct: DataFrame, flt: PostingFilter = NO_FILTER,
     for comparison, unpivoted back to ``(skill_name, city, n)`` including the
     zero cells.
     """
-    counts = skill_city_counts(fct, flt).cache()
+    # small (skills x cities) and read four times: materialise it once
+    counts = skill_city_counts(fct, flt).checkpoint(eager=True)
     ts = top_k(counts.groupBy("skill_name").agg(F.sum("n").alias("t")),
                T.HEATMAP_TOP_SKILLS, [F.col("t").desc()], ["skill_name"]).select("skill_name")
     tc = top_k(counts.groupBy("city").agg(F.sum("n").alias("t")),
