@@ -327,13 +327,24 @@ def q_group_folds(spark, base):
     return S.group_folds(training(spark, base))
 
 
+_MODELS: dict[tuple, S.SalaryModel | None] = {}
+
+
+def trained_model(spark, base) -> S.SalaryModel | None:
+    """The salary model of these inputs: trained (and saved) once per session,
+    then loaded by scoring and explaining, as a trained model is an artifact."""
+    key = (spark.sparkContext.applicationId, base.rstrip("/"), M._source_signature(base))
+    if key not in _MODELS:
+        _MODELS[key] = S.train_model(training(spark, base))
+    return _MODELS[key]
+
+
 @register("salary_scores")
 def q_salary_scores(spark, base):
-    fct = warehouse(spark, base).fact()
-    sm = S.train_model(S.training_frame(fct))
+    sm = trained_model(spark, base)
     if sm is None:
         return spark.createDataFrame([], "slug string, predicted_min_eur double")
-    return sm.score(fct)
+    return sm.score(warehouse(spark, base).fact())
 
 
 @register("salary_cv")
@@ -343,11 +354,10 @@ def q_salary_cv(spark, base):
 
 @register("salary_drivers")
 def q_salary_drivers(spark, base):
-    t = training(spark, base)
-    sm = S.train_model(t)
+    sm = trained_model(spark, base)
     if sm is None:
         return spark.createDataFrame([], "feature string, importance double")
-    return S.mean_abs_shap(sm, t)
+    return S.mean_abs_shap(sm, training(spark, base))
 
 
 # -- ingest (A1-A5) -----------------------------------------------------------

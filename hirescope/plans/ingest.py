@@ -38,6 +38,22 @@ def load_files(target: DataFrame, spark: SparkSession, path: str, multi_line: bo
     return upsert(target, batch, "slug", J.ORDER_COLUMNS)
 
 
+def load_sample(spark: SparkSession, path: str, target: DataFrame | None = None,
+                multi_line: bool = True) -> tuple[DataFrame, int]:
+    """A1 as a job: (new raw table, number of posting rows read, duplicates included).
+
+    No dedup and no empty-slug filter, as the offline loader; a directory
+    without page files is an error.
+    """
+    pages = spark.read.schema(J.PAGE_SCHEMA).option("multiLine", multi_line).json(path)
+    if not pages.inputFiles():
+        raise FileNotFoundError(f"no page files in {path}")
+    batch = read_batch(spark, path, multi_line)
+    n = batch.count()
+    return upsert(target if target is not None else empty_raw(spark), batch, "slug",
+                  J.ORDER_COLUMNS), n
+
+
 def ingest_batch(target: DataFrame, spark: SparkSession, path: str, multi_line: bool = True,
                  ingested_at: Column | None = None) -> DataFrame:
     """API-style ingest: A3 dedup of the batch, then A4 upsert into ``target``."""

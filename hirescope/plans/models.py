@@ -235,6 +235,17 @@ class Warehouse:
     def mart_language_gate(self) -> DataFrame:
         return mart_language_gate(self.fact())
 
+    def register_views(self) -> None:
+        """The models as temporary views, for ``spark.sql`` users."""
+        views = {"raw_jobs": self.raw, "enriched_jobs": self.enriched(),
+                 "dim_skills": self.dim_skills(), "stg_jobs": self.staging(),
+                 "fct_jobs": self.fact(), "bridge_job_skill": self.bridge(),
+                 "mart_language_gate": self.mart_language_gate(),
+                 "mart_skill_demand": self.mart_skill_demand(),
+                 "mart_werkstudent_pay": self.mart_pay_bands()}
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+
     def mart_skill_demand(self) -> DataFrame:
         return mart_skill_demand(self.fact(), self.dim_skills())
 

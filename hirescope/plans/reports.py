@@ -52,12 +52,15 @@ def filter_values(fct: DataFrame) -> DataFrame:
     return cities.unionByName(roles).orderBy("facet", F.col("value").asc_nulls_last())
 
 
-def kpi_overview(fct: DataFrame, flt: PostingFilter = NO_FILTER) -> DataFrame:
-    """G1: one row of headline numbers."""
+def kpi_overview(fct: DataFrame, flt: PostingFilter = NO_FILTER,
+                 approx_distinct: bool = False) -> DataFrame:
+    """G1: one row of headline numbers (``approx_distinct``: HyperLogLog++ company count)."""
     f = flt.apply(fct)
+    companies = (F.approx_count_distinct("company_name") if approx_distinct
+                 else F.count_distinct("company_name"))
     return f.agg(
         F.count(F.lit(1)).alias("n_jobs"),
-        F.count_distinct("company_name").alias("n_companies"),
+        companies.alias("n_companies"),
         F.sum(F.when(F.col("remote"), F.lit(1)).otherwise(F.lit(0))).alias("n_remote"),
         F.sum(F.when(F.col("language_gate") == "english_ok", F.lit(1)).otherwise(F.lit(0)))
         .alias("n_english"),

@@ -249,6 +249,25 @@ class SalaryModel:
                 .select("slug", F.exp("prediction").alias("predicted_min_eur")))
 
 
+def save_spec(spark: SparkSession, spec: FeatureSpec, path: str) -> None:
+    """The feature layout next to the model (one small JSON row)."""
+    import json
+
+    body = json.dumps({k: getattr(spec, k) for k in
+                       ("skills", "top_cities", "city_levels", "role_levels", "sen_levels",
+                        "lang_levels")})
+    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode(
+        "overwrite").text(f"{path}/feature_spec")
+
+
+def load_model(spark: SparkSession, path: str) -> SalaryModel:
+    """A saved model (pipeline + feature layout) back for scoring/explaining."""
+    import json
+
+    spec = FeatureSpec(**json.loads(spark.read.text(f"{path}/feature_spec").first()["value"]))
+    return SalaryModel(spec, PipelineModel.load(f"{path}/pipeline"), f"{path}/pipeline")
+
+
 def train_model(train: DataFrame, p: GBTParams | None = None, spec: FeatureSpec | None = None,
                 save: bool = True) -> SalaryModel | None:
     """H7 + H10: fit on all rows when there are enough of them, else ``None``."""
@@ -261,12 +280,12 @@ def train_model(train: DataFrame, p: GBTParams | None = None, spec: FeatureSpec
         model = pipeline(spec, p).fit(data)
     finally:
         data.unpersist()
-    path = None
-    if save:
-        path = scratch_path(train.sparkSession, "salary-model")
-        model.write().overwrite().save(path)
-        model = PipelineModel.load(path)
-    return SalaryModel(spec, model, path)
+    if not save:
+        return SalaryModel(spec, model, None)
+    root = scratch_path(train.sparkSession, "salary-model")
+    model.write().overwrite().save(f"{root}/pipeline")
+    save_spec(train.sparkSession, spec, root)
+    return load_model(train.sparkSession, root)
 
 
 # -- H9 cross-validation -----------------------------------------------------

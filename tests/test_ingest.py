@@ -140,3 +140,16 @@ def test_run_all_refuses_empty_input(spark, tmp_path):
 
     with pytest.raises(ValueError):
         M.run_all(spark, I.empty_raw(spark).drop("raw_payload", "ingested_at"), str(tmp_path / "wh"))
+
+
+def test_load_sample_counts_rows_and_needs_files(spark, tmp_path):
+    import pytest
+
+    _write(tmp_path / "a.json", {"snapshot_date": "2024-01-01", "data": [
+        {"slug": "x", "title": "one"}, {"slug": "x", "title": "two"}, {"slug": "", "title": "e"}]})
+    table, n = I.load_sample(spark, str(tmp_path))
+    assert n == 3  # duplicates and the empty slug are read (no dedup offline)
+    assert {r["slug"]: r["title"] for r in table.collect()} == {"x": "two", "": "e"}
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(Exception):
+        I.load_sample(spark, str(tmp_path / "empty"))

@@ -79,3 +79,14 @@ def test_repeated_kfold_fallback_when_few_weeks(spark, base):
     per = folded.groupBy("repeat").count().collect()
     n = t.count()
     assert sorted(r["count"] for r in per) == [n] * 5
+
+
+def test_saved_model_loads_and_scores(spark, base):
+    t = S.training_frame(catalog.warehouse(spark, base).fact())
+    sm = S.train_model(t, S.GBTParams(trees=5))
+    root = sm.path.rsplit("/", 1)[0]
+    again = S.load_model(spark, root)
+    assert again.spec.names == sm.spec.names
+    a = sm.score(catalog.warehouse(spark, base).fact()).orderBy("slug").collect()
+    b = again.score(catalog.warehouse(spark, base).fact()).orderBy("slug").collect()
+    assert a == b and all(r["predicted_min_eur"] > 0 for r in a)
