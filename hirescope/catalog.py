@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.checks import duckdb_sql as D
+from hirescope.functions import text as X
 from hirescope.plans import models as M
 from hirescope.sources import testbed
 
@@ -570,3 +571,39 @@ def q_stream_upsert(spark, base):
     J.write_pages(updates.unionByName(new), src, mode="append")
     STR.start_ingest(spark, src, log, ck).awaitTermination()
     return STR.current_table(spark, log).select("slug", "title", "snapshot_date")
+
+
+# -- enrichment over long texts -------------------------------------------------
+
+from hirescope.operators.partitioning import spread_for_cpu  # noqa: E402
+
+def _documents_as_postings(spark, base):
+    """Every document as a posting: its first line as title, the whole text as
+    description (the rules always read whole texts), its source as location."""
+    d = read_table(spark, base, "documents", "doc_id", "text", "source")
+    d = spread_for_cpu(d, d, "doc_id")  # before the text is touched
+    return d.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"),
+                    F.substring_index("text", "\n", 1).alias("title"),
+                    F.col("source").alias("location"), F.lit(False).alias("remote"),
+                    F.col("text").alias("description"))
+
+
+_DOC_RULES = (
+    "SELECT slug, {skills} AS skills_json, {gate} AS language_gate, {sen} AS seniority, "
+    "{city} AS city FROM (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS slug, "
+    "split_part(text, chr(10), 1) AS title, source AS location, false AS remote, "
+    "text AS description FROM documents)").format(
+        skills=D.skills_json(D.skills_list("coalesce(description, '')")),
+        gate=D.language_gate("description"), sen=D.seniority("title", "description"),
+        city=D.city("location", "remote"))
+
+
+@register("enrich_documents", _DOC_RULES)
+def q_enrich_documents(spark, base):
+    raw = _documents_as_postings(spark, base)
+    df = raw.select("*", X.language_gate(F.col("description")).alias("language_gate"),
+                    X.seniority(F.col("title"), F.col("description")).alias("seniority"),
+                    X.city(F.col("location"), F.col("remote")).alias("city"))
+    df = X.with_skills(df, "description")
+    return df.select("slug", X.skills_json(F.col("skills")).alias("skills_json"),
+                     "language_gate", "seniority", "city")

@@ -72,12 +72,15 @@ SKILL_GATES: dict[str, list[str] | None] = {
 def fold(text: Column) -> Column:
     """Case-folded text for the skill gates.
 
-    ``lower(upper(x))`` maps every character that Java's Unicode
-    case-insensitive matching equates with an ASCII letter to that letter
-    (``ſ``->s, Kelvin sign->k, dotless i->i); the combining dot that
-    lowercasing ``İ`` leaves behind is removed.
+    Java's Unicode case-insensitive matching equates a text character t with a
+    lowercase ASCII letter c when ``toLowerCase(toUpperCase(t)) == c``: besides
+    A-Z/a-z that holds for four characters, dotless ``ı`` (i), long ``ſ`` (s),
+    ``İ`` (i) and the Kelvin sign (k). ``lower`` already maps the Kelvin sign
+    and turns ``İ`` into ``i`` plus a combining dot; ``translate`` maps ``ı`` and
+    ``ſ`` and deletes the combining dot. (``lower(upper(x))`` would not do: the
+    optimizer simplifies it to ``lower(x)``.)
     """
-    return F.translate(F.lower(F.upper(_nz(text))), "\u0307", "")
+    return F.translate(F.lower(_nz(text)), "\u0131\u017f\u0307", "is")
 
 
 def with_skills(df, text_col: str = "description", out: str = "skills"):
@@ -119,22 +122,44 @@ def skills_from_json(js: Column) -> Column:
 
 # -- B3 language gate ----------------------------------------------------
 
-def language_gate(text: Column) -> Column:
+def _any_literal(low: Column, literals: list[str]) -> Column:
+    out = None
+    for lit in literals:
+        c = F.instr(low, lit) > 0
+        out = c if out is None else (out | c)
+    return out
+
+
+# Literal necessary conditions of the lowercase-text rules (every pattern of the
+# group contains one of them verbatim; the regexes run on the same lowercased
+# string, so the test is exact). An optimisation only.
+LANGUAGE_GATE_LITERALS = {"english_ok": ["english", "german"],
+                          "german_required": ["deutsch", "german"]}
+SENIORITY_LITERALS = {"werkstudent": ["student"], "intern": ["intern", "prakti"],
+                      "junior": ["junior", "einsteiger", "entry"],
+                      "senior": ["senior", "lead", "staff", "principal"], "mid": ["mid"]}
+
+
+def language_gate(text: Column, gated: bool = True) -> Column:
     low = F.lower(_nz(text))
-    return (
-        F.when(low.rlike("(?U)" + _alt(T.ENGLISH_FRIENDLY_PATTERNS)), F.lit("english_ok"))
-        .when(low.rlike("(?U)" + _alt(T.GERMAN_REQUIRED_PATTERNS)), F.lit("german_required"))
-        .otherwise(F.lit("unclear"))
-    )
+    en = low.rlike("(?U)" + _alt(T.ENGLISH_FRIENDLY_PATTERNS))
+    de = low.rlike("(?U)" + _alt(T.GERMAN_REQUIRED_PATTERNS))
+    if gated:
+        en = _any_literal(low, LANGUAGE_GATE_LITERALS["english_ok"]) & en
+        de = _any_literal(low, LANGUAGE_GATE_LITERALS["german_required"]) & de
+    return (F.when(en, F.lit("english_ok")).when(de, F.lit("german_required"))
+            .otherwise(F.lit("unclear")))
 
 
 # -- B4 seniority ----------------------------------------------------------
 
-def seniority(title: Column, description: Column) -> Column:
+def seniority(title: Column, description: Column, gated: bool = True) -> Column:
     hay = F.lower(F.concat(_nz(title), F.lit("\n"), _nz(description)))
     out = None
     for level in T.SENIORITY_PRIORITY:
         cond = hay.rlike("(?U)" + _alt(T.SENIORITY_PATTERNS[level]))
+        if gated:
+            cond = _any_literal(hay, SENIORITY_LITERALS[level]) & cond
         out = F.when(cond, F.lit(level)) if out is None else out.when(cond, F.lit(level))
     return out.otherwise(F.lit(T.SENIORITY_UNKNOWN))
 
@@ -182,8 +207,10 @@ def salary_extracts(text: Column) -> list[Column]:
     t = _nz(text)
     hourly = "(?iU)" + T.SALARY_HOURLY
     annual = "(?iU)" + T.SALARY_ANNUAL_RANGE
-    return [F.regexp_extract(t, hourly, 1).alias("_sal_h"),
-            F.regexp_extract(t, annual, 0).alias("_sal_a0")]
+    # both patterns need a digit: texts without one skip both scans (exact)
+    has_digit = t.rlike(r"(?U)\d")
+    return [F.when(has_digit, F.regexp_extract(t, hourly, 1)).otherwise(F.lit("")).alias("_sal_h"),
+            F.when(has_digit, F.regexp_extract(t, annual, 0)).otherwise(F.lit("")).alias("_sal_a0")]
 
 
 def salary_groups() -> list[Column]:

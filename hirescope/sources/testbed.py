@@ -21,6 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirescope.operators.partitioning import spread_for_cpu
 from hirescope.sources.tables import read_table
 
 # Integer expressions over k (order key) usable verbatim in Spark SQL and DuckDB.
@@ -177,19 +178,6 @@ def _pieces(template: str) -> list[tuple[str, str]]:
 
 # -- Spark ------------------------------------------------------------------
 
-def spread_partitions(spark: SparkSession, source: DataFrame) -> int | None:
-    """Partition count for the CPU-bound enrichment, or ``None`` to keep the input's.
-
-    Only when the input has fewer splits than the cluster has cores (a small
-    table stored as one row group) are the rows re-spread, over
-    max(default parallelism, shuffle partitions) partitions. At scale the input
-    already has thousands of splits and no extra shuffle is added.
-    """
-    target = max(spark.sparkContext.defaultParallelism,
-                 int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    return target if source.rdd.getNumPartitions() < target else None
-
-
 _ARG_ORDER = ["a", "b", "r", "x", "n"]
 
 
@@ -226,9 +214,7 @@ def postings(spark: SparkSession, base: str) -> DataFrame:
     # keys are a few bytes, so on a small input byte-based splitting (or AQE
     # coalescing) would put it on very few tasks. In that case only, the narrow
     # key columns (before any text exists) are hash-distributed over the cores.
-    n = spread_partitions(spark, o)
-    if n:
-        j = j.repartition(n, "k")
+    j = spread_for_cpu(j, o, "k")
     picks = {name: _spark_pick(opts, key) for name, (opts, key) in PICKS.items()}
     description = F.concat_ws(" ", *[F.nullif(picks[p], F.lit("")) for p in DESCRIPTION_PARTS])
     ts = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("k") % 24).cast("int"))
