@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "build_fact",
+    "enrich_documents",
     "mart_language_gate",
     "mart_skill_demand",
     "mart_pay_bands",

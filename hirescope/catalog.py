@@ -590,9 +590,10 @@ def _documents_as_postings(spark, base):
 
 _DOC_RULES = (
     "SELECT slug, {skills} AS skills_json, {gate} AS language_gate, {sen} AS seniority, "
-    "{city} AS city FROM (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS slug, "
-    "split_part(text, chr(10), 1) AS title, source AS location, false AS remote, "
-    "text AS description FROM documents)").format(
+    "{city} AS city, salary_min_eur, salary_max_eur, salary_period FROM ({sal})").format(
+        sal=D.salary_select(
+            "(SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS slug, split_part(text, chr(10), 1) "
+            "AS title, source AS location, false AS remote, text AS description FROM documents)"),
         skills=D.skills_json(D.skills_list("coalesce(description, '')")),
         gate=D.language_gate("description"), sen=D.seniority("title", "description"),
         city=D.city("location", "remote"))
@@ -604,6 +605,7 @@ def q_enrich_documents(spark, base):
     df = raw.select("*", X.language_gate(F.col("description")).alias("language_gate"),
                     X.seniority(F.col("title"), F.col("description")).alias("seniority"),
                     X.city(F.col("location"), F.col("remote")).alias("city"))
-    df = X.with_skills(df, "description")
+    df = X.with_salary(X.with_skills(df, "description"), "description")
     return df.select("slug", X.skills_json(F.col("skills")).alias("skills_json"),
-                     "language_gate", "seniority", "city")
+                     "language_gate", "seniority", "city", "salary_min_eur", "salary_max_eur",
+                     "salary_period")

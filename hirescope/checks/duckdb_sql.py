@@ -113,36 +113,42 @@ def count_if(cond: str) -> str:
     return f"CAST(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
 
 
-def model_ctes() -> str:
-    """``WITH postings, stg, fct`` (bridge via UNNEST) over the warehouse tables."""
+def salary_select(source: str, text: str = "description") -> str:
+    """SELECT * from ``source`` plus salary_min_eur, salary_max_eur, salary_period."""
     hourly = lit("(?i)" + T.SALARY_HOURLY)
     annual = lit("(?i)" + T.SALARY_ANNUAL_RANGE)
-    d = "coalesce(description, '')"
+    d = f"coalesce({text}, '')"
     h_ok = f"coalesce(_hv BETWEEN {T.HOURLY_MIN} AND {T.HOURLY_MAX}, false)"
     a_ok = (f"coalesce(_lo BETWEEN {T.ANNUAL_MIN} AND {T.ANNUAL_MAX} AND _hi BETWEEN "
             f"{T.ANNUAL_MIN} AND {T.ANNUAL_MAX} AND _lo <= _hi, false)")
+    raw = (f"SELECT *, regexp_extract({d}, {hourly}, 1) AS _h, "
+           f"regexp_extract({d}, {annual}, 1) AS _a1, regexp_extract({d}, {annual}, 2) AS _a2, "
+           f"regexp_extract({d}, {annual}, 3) AS _a3, regexp_extract({d}, {annual}, 4) AS _a4 "
+           f"FROM {source}")
+    k_lo, k_hi = "_a2 <> ''", "_a4 <> ''"
+    num = (f"SELECT *, {locale_number('_h', 'false')} AS _hv, "
+           f"{locale_number('_a1', k_lo)} AS _lo, {locale_number('_a3', k_hi)} AS _hi "
+           f"FROM ({raw})")
+    return (f"SELECT * EXCLUDE (_h, _a1, _a2, _a3, _a4, _hv, _lo, _hi), "
+            f"CASE WHEN {h_ok} THEN _hv WHEN {a_ok} THEN _lo END AS salary_min_eur, "
+            f"CASE WHEN {h_ok} THEN _hv WHEN {a_ok} THEN _hi END AS salary_max_eur, "
+            f"CASE WHEN {h_ok} THEN 'hour' WHEN {a_ok} THEN 'year' END AS salary_period "
+            f"FROM ({num})")
+
+
+def model_ctes() -> str:
+    """``WITH postings, stg, fct`` (bridge via UNNEST) over the warehouse tables."""
+    d = "coalesce(description, '')"
     hw = T.HOURS_PER_WEEK * T.WEEKS_PER_YEAR
     return f"""WITH postings AS ({postings_sql()}),
-sal_raw AS (
-  SELECT *, regexp_extract({d}, {hourly}, 1) AS _h,
-         regexp_extract({d}, {annual}, 1) AS _a1, regexp_extract({d}, {annual}, 2) AS _a2,
-         regexp_extract({d}, {annual}, 3) AS _a3, regexp_extract({d}, {annual}, 4) AS _a4
-  FROM postings),
-sal_num AS (
-  SELECT *, {locale_number('_h', 'false')} AS _hv,
-         {locale_number('_a1', "_a2 <> ''")} AS _lo,
-         {locale_number('_a3', "_a4 <> ''")} AS _hi
-  FROM sal_raw),
+sal AS ({salary_select('postings')}),
 stg0 AS (
   SELECT slug, title, company_name, location AS raw_location, {city('location', 'remote')} AS city,
          remote, url, TRY_CAST(created_at AS TIMESTAMP) AS posted_at, snapshot_date, tags,
          job_types, description, {seniority('title', 'description')} AS seniority,
          {language_gate('description')} AS language_gate,
-         CASE WHEN {h_ok} THEN _hv WHEN {a_ok} THEN _lo END AS salary_min_eur,
-         CASE WHEN {h_ok} THEN _hv WHEN {a_ok} THEN _hi END AS salary_max_eur,
-         CASE WHEN {h_ok} THEN 'hour' WHEN {a_ok} THEN 'year' END AS salary_period,
-         {skills_list(d)} AS skills
-  FROM sal_num),
+         salary_min_eur, salary_max_eur, salary_period, {skills_list(d)} AS skills
+  FROM sal),
 stg AS (SELECT *, {skills_json('skills')} AS skills_json FROM stg0),
 fct AS (
   SELECT slug, title, company_name, city, remote, url, posted_at, snapshot_date, seniority,
