@@ -30,3 +30,18 @@ def test_mart_reads_only_needed_columns(spark, base):
 def test_skill_explode_does_not_reinfer_filter(spark, base):
     plan = _plan(catalog.warehouse(spark, base).bridge())
     assert "size(" not in plan
+
+
+def test_views_and_approx_distinct(spark, base):
+    from hirescope.plans import reports as R
+
+    w = catalog.warehouse(spark, base)
+    w.register_views()
+    n = spark.sql("SELECT COUNT(*) AS n FROM fct_jobs").first()["n"]
+    assert n == w.fact().count()
+    assert spark.sql("SELECT COUNT(*) FROM mart_werkstudent_pay").first()[0] > 0
+    exact = R.kpi_overview(w.fact()).first()
+    approx = R.kpi_overview(w.fact(), approx_distinct=True).first()
+    assert abs(approx["n_companies"] - exact["n_companies"]) <= 0.05 * exact["n_companies"]
+    plan = _plan(R.kpi_overview(w.fact(), approx_distinct=True))
+    assert "approx_count_distinct" in plan or "HyperLogLogPlusPlus" in plan
