@@ -66,8 +66,8 @@ def q_salary(spark, base):
 @register("city_of", D.with_models("SELECT slug, raw_location AS location, city FROM stg"))
 def q_city(spark, base):
     raw = testbed.postings(spark, base)
-    return M.enrich(raw).join(raw.select("slug", "location"), "slug").select(
-        "slug", "location", "city")
+    return raw.select("slug", "location",
+                      M.X.city(F.col("location"), F.col("remote")).alias("city"))
 
 
 # -- models (F2-F8) -----------------------------------------------------------

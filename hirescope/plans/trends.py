@@ -30,13 +30,16 @@ def skill_share_trend(fct: DataFrame) -> DataFrame:
     # one row per calendar month with data: bounded by the time span, broadcast
     shares = mentions.join(F.broadcast(totals), "month").withColumn(
         "share", F.col("n_postings") / F.col("n_month"))
-    cur = shares.select("skill_name", "month", "n_postings", "share",
-                        F.lit(0.0).alias("prev_share"))
-    nxt = shares.select("skill_name",
-                        F.add_months(F.col("month"), 1).cast("timestamp_ntz").alias("month"),
-                        F.lit(0).cast("long").alias("n_postings"), F.lit(0.0).alias("share"),
-                        F.col("share").alias("prev_share"))
-    both = (cur.unionByName(nxt).groupBy("skill_name", "month")
+    # each share row is emitted twice in one pass: as "current" for its month
+    # and as "previous" for the next month
+    twice = F.explode(F.array(
+        F.struct(F.col("month").alias("month"), F.col("n_postings").alias("n_postings"),
+                 F.col("share").alias("share"), F.lit(0.0).alias("prev_share")),
+        F.struct(F.add_months(F.col("month"), 1).cast("timestamp_ntz").alias("month"),
+                 F.lit(0).cast("long").alias("n_postings"), F.lit(0.0).alias("share"),
+                 F.col("share").alias("prev_share"))))
+    both = (shares.select("skill_name", twice.alias("e")).select("skill_name", "e.*")
+            .groupBy("skill_name", "month")
             .agg(F.sum("n_postings").alias("n_postings"), F.sum("share").alias("share"),
                  F.sum("prev_share").alias("prev_share")))
     both = both.join(F.broadcast(totals.select("month")), "month", "left_semi")
@@ -63,11 +66,15 @@ def snapshot_changes(history: DataFrame) -> DataFrame:
     is_new = F.col("prev_idx").isNull() | (F.col("prev_idx") < F.col("idx") - 1)
     ends = (F.col("next_idx").isNull() | (F.col("next_idx") > F.col("idx") + 1)) & (
         F.col("idx") < last_idx)
-    here = o.select("idx", F.lit(1).alias("n_active"),
-                    F.when(is_new, 1).otherwise(0).alias("n_new"), F.lit(0).alias("n_gone"))
-    gone = o.filter(ends).select((F.col("idx") + 1).alias("idx"), F.lit(0).alias("n_active"),
-                                 F.lit(0).alias("n_new"), F.lit(1).alias("n_gone"))
-    per = (here.unionByName(gone).groupBy("idx")
+    # one pass: each observation counts where it is, and (if its run ends there)
+    # as "gone" at the next snapshot; the index past the last snapshot is dropped
+    # by the join with the snapshot table below
+    two = F.explode(F.array(
+        F.struct(F.col("idx").alias("idx"), F.lit(1).alias("n_active"),
+                 is_new.cast("int").alias("n_new"), F.lit(0).alias("n_gone")),
+        F.struct((F.col("idx") + 1).alias("idx"), F.lit(0).alias("n_active"), F.lit(0).alias("n_new"),
+                 ends.cast("int").alias("n_gone"))))
+    per = (o.select(two.alias("e")).select("e.*").groupBy("idx")
            .agg(F.sum("n_active").cast("long").alias("n_active"),
                 F.sum("n_new").cast("long").alias("n_new"),
                 F.sum("n_gone").cast("long").alias("n_gone")))
