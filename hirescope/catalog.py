@@ -15,9 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.checks import duckdb_sql as D
+from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
+from hirescope.operators.dedup import batch_dedup
+from hirescope.operators.partitioning import spread_for_cpu
+from hirescope.operators.upsert import upsert
+from hirescope.plans import ingest as I
 from hirescope.plans import models as M
+from hirescope.plans import reports as R
+from hirescope.plans import salary as S
+from hirescope.plans import trends as TR
+from hirescope.session import scratch_path
+from hirescope.sources import postings_json as J
+from hirescope.sources import synth as SY
 from hirescope.sources import testbed
+from hirescope.sources.tables import read_table
+from hirescope.streaming import ingest as STR
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,7 +80,7 @@ def q_salary(spark, base):
 def q_city(spark, base):
     raw = testbed.postings(spark, base)
     return raw.select("slug", "location",
-                      M.X.city(F.col("location"), F.col("remote")).alias("city"))
+                      X.city(F.col("location"), F.col("remote")).alias("city"))
 
 
 # -- models (F2-F8) -----------------------------------------------------------
@@ -129,8 +142,6 @@ def q_mart_pay(spark, base):
 
 # -- reports (C5, C6, G1-G10, X2) ---------------------------------------------
 
-from hirescope.plans import reports as R  # noqa: E402
-from hirescope.functions import taxonomy as T  # noqa: E402
 
 EXAMPLE_FILTER = R.PostingFilter(cities=["Berlin", "Munich", "Cologne", "Remote"],
                                  roles=["DS/ML", "Analytics", "AI"], english_only=True)
@@ -258,7 +269,6 @@ def q_english_lift(spark, base):
 
 # -- salary model (H1-H12) ----------------------------------------------------
 
-from hirescope.plans import salary as S  # noqa: E402
 
 _TRAIN = (", train AS (SELECT slug, city, role_family, seniority, remote, language_gate, "
           "salary_min_annualized_eur AS salary, snapshot_date, skills FROM fct "
@@ -281,7 +291,7 @@ def training(spark, base):
     f"snapshot_date, {D.skills_json('skills')} AS skills_json FROM train"))
 def q_training_frame(spark, base):
     t = training(spark, base)
-    return t.withColumn("skills_json", M.X.skills_json(F.col("skills"))).drop("skills")
+    return t.withColumn("skills_json", X.skills_json(F.col("skills"))).drop("skills")
 
 
 @register("city_vocab", D.with_models(
@@ -363,12 +373,6 @@ def q_salary_drivers(spark, base):
 
 # -- ingest (A1-A5) -----------------------------------------------------------
 
-from hirescope.operators.dedup import batch_dedup  # noqa: E402
-from hirescope.operators.upsert import upsert  # noqa: E402
-from hirescope.plans import ingest as I  # noqa: E402
-from hirescope.session import scratch_path  # noqa: E402
-from hirescope.sources import postings_json as J  # noqa: E402
-from hirescope.sources.tables import read_table  # noqa: E402
 
 _RAW_OUT = ("slug, title, company_name, location, remote, url, to_json(tags) AS tags, "
             "to_json(job_types) AS job_types, description, created_at, snapshot_date")
@@ -471,8 +475,6 @@ def q_upsert_latest(spark, base):
 
 # -- synthetic postings (A9) --------------------------------------------------
 
-from hirescope.sources import synth as SY  # noqa: E402
-
 
 @register("synth_postings")
 def q_synth(spark, base):
@@ -484,8 +486,6 @@ def q_synth(spark, base):
 
 # -- trends (X1, X3) ------------------------------------------------------------
 
-from hirescope.plans import trends as TR  # noqa: E402
-
 
 @register("skill_share_trend", D.with_models(
     ", dated AS (SELECT *, date_trunc('month', posted_at) AS month FROM fct WHERE posted_at IS NOT NULL), "
@@ -527,8 +527,6 @@ def q_snapshot_changes(spark, base):
 
 # -- streaming (X4) -------------------------------------------------------------
 
-from hirescope.streaming import ingest as STR  # noqa: E402
-
 
 def _pages_source(spark, raw, path, mode="overwrite"):
     J.write_pages(raw.withColumn("k", F.substring("slug", 5, 30).cast("long")), path, mode=mode)
@@ -575,7 +573,6 @@ def q_stream_upsert(spark, base):
 
 # -- enrichment over long texts -------------------------------------------------
 
-from hirescope.operators.partitioning import spread_for_cpu  # noqa: E402
 
 def _documents_as_postings(spark, base):
     """Every document as a posting: its first line as title, the whole text as
