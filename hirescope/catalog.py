@@ -386,10 +386,10 @@ def q_ingest_json(spark, base):
     raw = testbed.postings(spark, base).withColumn("k", F.substring("slug", 5, 30).cast("long"))
     epoch = F.try_to_timestamp(F.substring("created_at", 1, 19),
                                F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("long")
-    reposts = (raw.filter(F.col("k") % 7 == 0)
-               .withColumn("title", F.concat(F.lit("Repost: "), "title"))
+    # every posting also arrives as a later repost and as a copy without a slug
+    reposts = (raw.withColumn("title", F.concat(F.lit("Repost: "), "title"))
                .withColumn("k", F.col("k") + F.lit(10 ** 12)))
-    blanks = raw.filter(F.col("k") % 11 == 0).withColumn("slug", F.lit("")).withColumn(
+    blanks = raw.withColumn("slug", F.lit("")).withColumn(
         "k", F.col("k") + F.lit(2 * 10 ** 12))
     batch = raw.unionByName(reposts).unionByName(blanks)
     numeric = F.when((F.col("k") % 3 == 0) & F.col("created_at").endswith("+00:00"), epoch)
@@ -439,9 +439,9 @@ _T1, _T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
 @register("upsert_latest", D.with_models(
     f", b1 AS (SELECT slug, title, snapshot_date, TIMESTAMP '{_T1}' AS ingested_at FROM postings), "
-    f"li AS ({_LINES_SQL} WHERE l_orderkey % 3 = 0), "
-    "b2 AS (SELECT 'job-' || CAST(CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey "
-    "ELSE l_orderkey + 1000000000 END AS VARCHAR) AS slug, "
+    f"li AS ({_LINES_SQL}), "
+    "b2 AS (SELECT CASE WHEN l_linenumber % 2 = 1 THEN 'job-' ELSE 'job-n' END "
+    "|| CAST(l_orderkey AS VARCHAR) AS slug, "
     "'Update ' || CAST(l_linenumber AS VARCHAR) || '/' || CAST(l_partkey AS VARCHAR) || '/' || "
     "CAST(l_suppkey AS VARCHAR) AS title, CAST(o_orderdate AS DATE) + 28 AS snapshot_date FROM li "
     "QUALIFY ROW_NUMBER() OVER (PARTITION BY slug ORDER BY l_linenumber DESC, l_partkey DESC, "
@@ -458,9 +458,10 @@ def q_upsert_latest(spark, base):
         F.lit(1).alias("_batch"), F.substring("slug", 5, 30).cast("long").alias("_pos"),
         F.lit(0).cast("long").alias("_sub"))
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
-    b2 = _lines(spark, base).filter(k % 3 == 0).select(
-        F.concat(F.lit("job-"), F.when(k % 2 == 0, k).otherwise(k + F.lit(1000000000))
-                 .cast("string")).alias("slug"),
+    # every order line: odd lines update the order's posting, even ones add a new posting
+    b2 = _lines(spark, base).select(
+        F.concat(F.when(ln % 2 == 1, F.lit("job-")).otherwise(F.lit("job-n")),
+                 k.cast("string")).alias("slug"),
         F.concat(F.lit("Update "), ln.cast("string"), F.lit("/"), F.col("l_partkey").cast("string"),
                  F.lit("/"), F.col("l_suppkey").cast("string")).alias("title"),
         F.date_add(F.to_date("o_orderdate"), 28).alias("snapshot_date"),
@@ -547,8 +548,7 @@ def q_weekly_stream(spark, base):
 @register("stream_upsert", D.with_models(
     ", b1 AS (SELECT slug, title, snapshot_date, CAST(substring(slug, 5) AS BIGINT) AS k FROM postings), "
     "b2 AS (SELECT slug, 'Updated ' || title AS title, snapshot_date + 28 AS snapshot_date FROM b1 "
-    "WHERE k % 3 = 0 UNION ALL SELECT 'job-n' || CAST(k AS VARCHAR), title, snapshot_date FROM b1 "
-    "WHERE k % 5 = 0) "
+    "UNION ALL SELECT 'job-n' || CAST(k AS VARCHAR), title, snapshot_date FROM b1) "
     "SELECT coalesce(b2.slug, b1.slug) AS slug, "
     "CASE WHEN b2.slug IS NOT NULL THEN b2.title ELSE b1.title END AS title, "
     "CASE WHEN b2.slug IS NOT NULL THEN b2.snapshot_date ELSE b1.snapshot_date END AS snapshot_date "
@@ -562,9 +562,10 @@ def q_stream_upsert(spark, base):
     J.write_pages(raw, src)
     STR.start_ingest(spark, src, log, ck).awaitTermination()
     k = F.col("k")
-    updates = (raw.filter(k % 3 == 0).withColumn("title", F.concat(F.lit("Updated "), "title"))
+    # second increment: every posting updated, and a new posting per order
+    updates = (raw.withColumn("title", F.concat(F.lit("Updated "), "title"))
                .withColumn("snapshot_date", F.date_add("snapshot_date", 28)))
-    new = (raw.filter(k % 5 == 0).withColumn("slug", F.concat(F.lit("job-n"), k.cast("string")))
+    new = (raw.withColumn("slug", F.concat(F.lit("job-n"), k.cast("string")))
            .withColumn("k", k + F.lit(10 ** 12)))
     J.write_pages(updates.unionByName(new), src, mode="append")
     STR.start_ingest(spark, src, log, ck).awaitTermination()
