@@ -86,7 +86,7 @@ def q_city(spark, base):
 # -- models (F2-F8) -----------------------------------------------------------
 
 _STG_COLS = ("slug, title, company_name, raw_location, city, remote, url, posted_at, "
-             "snapshot_date, to_json(tags) AS tags, to_json(job_types) AS job_types, "
+             "snapshot_date, CAST(to_json(tags) AS VARCHAR) AS tags, CAST(to_json(job_types) AS VARCHAR) AS job_types, "
              "description, seniority, language_gate, salary_min_eur, salary_max_eur, "
              "salary_period, skills_json")
 
@@ -374,8 +374,8 @@ def q_salary_drivers(spark, base):
 # -- ingest (A1-A5) -----------------------------------------------------------
 
 
-_RAW_OUT = ("slug, title, company_name, location, remote, url, to_json(tags) AS tags, "
-            "to_json(job_types) AS job_types, description, created_at, snapshot_date")
+_RAW_OUT = ("slug, title, company_name, location, remote, url, CAST(to_json(tags) AS VARCHAR) AS tags, "
+            "CAST(to_json(job_types) AS VARCHAR) AS job_types, description, created_at, snapshot_date")
 
 
 @register("ingest_json", D.with_models(f"SELECT {_RAW_OUT} FROM postings"))
