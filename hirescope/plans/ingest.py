@@ -9,7 +9,6 @@ version of the raw table; ``write_version`` stores it as Parquet.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirescope.operators.dedup import batch_dedup
 from hirescope.operators.upsert import upsert
