@@ -316,7 +316,15 @@ def cv_predictions(train: DataFrame, p: GBTParams | None = None,
 
 def cv_metrics(train: DataFrame, p: GBTParams | None = None,
                spec: FeatureSpec | None = None) -> DataFrame:
-    """Mean per-split MAE (log scale) and R^2 (R^2 over splits with > 1 row)."""
+    """Mean per-split MAE (log scale) and R^2 (R^2 over splits with > 1 row).
+
+    Like training, CV runs only when the H7 gate passes; otherwise the result is
+    empty (no model, no metrics).
+    """
+    spec = spec or feature_spec(train)
+    if train.count() < min_training_rows(spec):
+        return train.sparkSession.createDataFrame(
+            [], "mae_log double, r2 double, n_folds int, n_splits long")
     preds, label, count, data = cv_predictions(train, p, spec)
     err = F.col("label") - F.col("prediction")
     per = preds.groupBy("repeat", "fold").agg(

@@ -90,3 +90,9 @@ def test_saved_model_loads_and_scores(spark, base):
     a = sm.score(catalog.warehouse(spark, base).fact()).orderBy("slug").collect()
     b = again.score(catalog.warehouse(spark, base).fact()).orderBy("slug").collect()
     assert a == b and all(r["predicted_min_eur"] > 0 for r in a)
+
+
+def test_training_gate_blocks_small_frames(spark, base):
+    t = S.training_frame(catalog.warehouse(spark, base).fact()).limit(10)
+    assert S.train_model(t, S.GBTParams(trees=2)) is None
+    assert S.cv_metrics(t, S.GBTParams(trees=2)).count() == 0
