@@ -154,7 +154,7 @@ def synth_postings(ids: DataFrame, id_col: str = "id", as_of: Column | None = No
         slug.alias("slug"), title.alias("title"), company.alias("company_name"),
         _pick([loc for _, loc in CITIES], city_i).alias("location"),
         (d.uniform("remote") < P_REMOTE).alias("remote"),
-        F.concat(F.lit("https://arbeitnow.example/"), F.col(id_col).cast("string")).alias("url"),
+        F.concat(F.lit("https://postings.example/"), F.col(id_col).cast("string")).alias("url"),
         F.array(F.lower(role), F.lower(city)).alias("tags"),
         job_types.alias("job_types"),
         description.alias("description"),

@@ -78,7 +78,7 @@ def test_load_files_offline_path_end_to_end(spark, tmp_path):
     """Synthetic pages -> load -> warehouse: every model exists and is populated."""
     ids = spark.range(300).withColumnRenamed("id", "k")
     posts = synth.synth_postings(ids, "k", as_of=F.lit(dt.datetime(2024, 5, 1)).cast("timestamp_ntz"))
-    J.write_pages(posts.withColumn("k", F.col("url").substr(27, 10).cast("long")),
+    J.write_pages(posts.withColumn("k", F.regexp_extract("url", r"(\d+)$", 1).cast("long")),
                   str(tmp_path / "pages"))
     raw = I.load_files(I.empty_raw(spark), spark, str(tmp_path / "pages"), multi_line=False)
     assert raw.count() == 300
