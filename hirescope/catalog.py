@@ -575,31 +575,30 @@ def q_stream_upsert(spark, base):
 # -- enrichment over long texts -------------------------------------------------
 
 
-def _documents_as_postings(spark, base):
-    """Every document as a posting: its first line as title, the whole text as
-    description (the rules always read whole texts), its source as location."""
-    d = read_table(spark, base, "documents", "doc_id", "text", "source")
-    d = spread_for_cpu(d, d, "doc_id")  # before the text is touched
-    return d.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"),
-                    F.substring_index("text", "\n", 1).alias("title"),
-                    F.col("source").alias("location"), F.lit(False).alias("remote"),
-                    F.col("text").alias("description"))
-
-
-_DOC_RULES = (
-    "SELECT slug, {skills} AS skills_json, {gate} AS language_gate, {sen} AS seniority, "
-    "{city} AS city, salary_min_eur, salary_max_eur, salary_period FROM ({sal})").format(
-        sal=D.salary_select(
-            "(SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS slug, split_part(text, chr(10), 1) "
-            "AS title, source AS location, false AS remote, text AS description FROM documents)"),
-        skills=D.skills_json(D.skills_list("coalesce(description, '')")),
-        gate=D.language_gate("description"), sen=D.seniority("title", "description"),
-        city=D.city("location", "remote"))
-
-
-@register("enrich_documents", _DOC_RULES)
-def q_enrich_documents(spark, base):
-    raw = _documents_as_postings(spark, base)
+def _texts_as_postings(spark, base, table, id_col, text_col, location_col, prefix):
+    """Every row of a text table as a posting: the first line as title, the whole
+    text as description (the rules always read whole texts), ``location_col`` as
+    location. Rows are spread over the cores on their id before any text is read."""
+    d = read_table(spark, base, table, id_col, text_col, location_col)
+    d = spread_for_cpu(d, d, id_col)
+    return d.select(F.concat(F.lit(prefix), F.col(id_col).cast("string")).alias("slug"),
+                    F.substring_index(text_col, "\n", 1).alias("title"),
+                    F.col(location_col).alias("location"), F.lit(False).alias("remote"),
+                    F.col(text_col).alias("description"))
+
+
+def _texts_rules_sql(table, id_col, text_col, location_col, prefix):
+    src = (f"(SELECT '{prefix}' || CAST({id_col} AS VARCHAR) AS slug, "
+           f"split_part({text_col}, chr(10), 1) AS title, {location_col} AS location, "
+           f"false AS remote, {text_col} AS description FROM {table})")
+    text = "coalesce(description, '')"
+    return (f"SELECT slug, {D.skills_json(D.skills_list(text))} AS skills_json, "
+            f"{D.language_gate('description')} AS language_gate, "
+            f"{D.seniority('title', 'description')} AS seniority, {D.city('location', 'remote')} AS city, "
+            f"salary_min_eur, salary_max_eur, salary_period FROM ({D.salary_select(src)})")
+
+
+def _enrich_texts(raw):
     df = raw.select("*", X.language_gate(F.col("description")).alias("language_gate"),
                     X.seniority(F.col("title"), F.col("description")).alias("seniority"),
                     X.city(F.col("location"), F.col("remote")).alias("city"))
@@ -607,3 +606,22 @@ def q_enrich_documents(spark, base):
     return df.select("slug", X.skills_json(F.col("skills")).alias("skills_json"),
                      "language_gate", "seniority", "city", "salary_min_eur", "salary_max_eur",
                      "salary_period")
+
+
+def _documents_as_postings(spark, base):
+    return _texts_as_postings(spark, base, "documents", "doc_id", "text", "source", "doc-")
+
+
+_DOC_RULES = _texts_rules_sql("documents", "doc_id", "text", "source", "doc-")
+
+
+@register("enrich_documents", _DOC_RULES)
+def q_enrich_documents(spark, base):
+    return _enrich_texts(_documents_as_postings(spark, base))
+
+
+@register("enrich_pages", _texts_rules_sql("pages", "page_id", "html", "url", "page-"))
+def q_enrich_pages(spark, base):
+    """The rules over raw HTML (live postings arrive as HTML descriptions)."""
+    return _enrich_texts(_texts_as_postings(spark, base, "pages", "page_id", "html", "url",
+                                            "page-"))
