@@ -113,11 +113,14 @@ def q_fct(spark, base):
     return warehouse(spark, base).fact_plan().select(*M.FACT_COLUMNS)
 
 
-@register("dim_skills", D.with_models("SELECT skill_name, category FROM dim_skills"))
+@register("dim_skills", D.with_models(
+    "SELECT d.skill_name, d.category, CAST(coalesce(c.n, 0) AS BIGINT) AS n_postings "
+    "FROM dim_skills d LEFT JOIN (SELECT skill_name, COUNT(*) AS n FROM bridge GROUP BY 1) c "
+    "USING (skill_name)"))
 def q_dim(spark, base):
-    # the dimension is the fixed taxonomy; restricted by a semi join to skills that
-    # the postings mention would change its meaning, so it is returned whole
-    return M.dim_skills(spark)
+    """the whole skill dimension, with each skill's posting count from the bridge."""
+    w = warehouse(spark, base)
+    return M.dim_with_usage(w.dim_skills(), w.bridge())
 
 
 @register("bridge_skills", D.with_models("SELECT slug, skill_name FROM bridge"))

@@ -72,6 +72,15 @@ def explode_skills(skills_col: str = "skills"):
     return F.explode_outer(skills_col)
 
 
+def dim_with_usage(dim: DataFrame, bridge_df: DataFrame) -> DataFrame:
+    """The skill dimension (every row) with the number of postings per skill (0 if none)."""
+    counts = bridge_df.groupBy("skill_name").agg(F.count(F.lit(1)).alias("n_postings"))
+    # both sides have at most one row per taxonomy skill (45): a small join
+    return (dim.join(F.broadcast(counts), "skill_name", "left")
+               .select("skill_name", "category",
+                       F.coalesce("n_postings", F.lit(0).cast("long")).alias("n_postings")))
+
+
 def bridge(enriched_or_fact: DataFrame) -> DataFrame:
     """F3 ``bridge_job_skill``: one row per (slug, skill)."""
     return (enriched_or_fact.select("slug", explode_skills().alias("skill_name"))
