@@ -48,8 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint dir already set
-    on the context). Only when neither is set, as in local tests, a fresh
-    folder is made and registered.
+    on the context). Only when neither is set and the session runs in local
+    mode (tests, a laptop) is a fresh local folder made and registered; on a
+    cluster a machine-local folder would not be shared, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object "
+                               "store): fact tables, models and checkpoints are written there")
         configured = tempfile.mkdtemp(prefix="hirescope-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
