@@ -1,9 +1,12 @@
 """Text-enrichment rules as Spark Column expressions.
 
-Every function here maps Columns to a Column built from JVM-side SQL
-functions only (``rlike``, ``regexp_extract``, ``when`` ...), so enrichment
-stays inside whole-stage codegen and runs wherever the table's partitions
-live. No Python UDF is involved.
+Every rule is built from JVM-side SQL functions only (``rlike``,
+``regexp_extract``, ``instr``, ``when`` ...), so enrichment stays inside
+whole-stage codegen and runs wherever the table's partitions live. No Python
+UDF is involved. Most rules are Column -> Column functions; ``with_skills`` and
+``with_salary`` take a DataFrame because they stage intermediate columns (a
+case-folded text, the regex matches) in their own projections so that an
+expensive expression is computed once per row rather than once per use.
 
 Regex dialect notes: Java's ``\\b``, ``\\s`` and case folding are ASCII-only
 unless ``(?U)`` is given; the rules are specified with Unicode semantics, so
