@@ -28,6 +28,7 @@ def test_normalize_created_at_and_truthiness(spark, tmp_path):
         {"slug": "d", "created_at": 0, "title": None},
         {"slug": "e", "created_at": "", "remote": []},
         {"slug": "f"},
+        {"slug": "g", "created_at": 1e20},
     ]}
     _write(tmp_path / "p1.json", page)
     rows = {r["slug"]: r for r in I.read_batch(spark, str(tmp_path)).collect()}
@@ -36,6 +37,7 @@ def test_normalize_created_at_and_truthiness(spark, tmp_path):
     assert rows["c"]["created_at"] == "2023-11-14T22:13:20.250000+00:00"
     assert rows["d"]["created_at"] == "1970-01-01T00:00:00+00:00"  # 0 is a number, not falsy
     assert rows["e"]["created_at"] is None and rows["f"]["created_at"] is None
+    assert rows["g"]["created_at"] is None  # out of range: NULL, not a failed job
     assert [rows[s]["remote"] for s in "abcdef"] == [True, True, False, False, False, False]
     assert rows["a"]["tags"] == ["x", "y"] and rows["f"]["tags"] == []
     assert rows["d"]["title"] == "" and rows["f"]["description"] == ""
