@@ -21,6 +21,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "build_fact",
     "enrich_documents",
+    "enrich_pages",
+    "ingest_json",
+    "upsert_latest",
     "mart_language_gate",
     "mart_skill_demand",
     "mart_pay_bands",
@@ -31,6 +34,8 @@ HEADLINE = [
     "gate_cells",
     "gated_skills",
     "english_lift",
+    "skill_share_trend",
+    "snapshot_changes",
     "training_frame",
     "features_long",
     "group_folds",
