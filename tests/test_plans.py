@@ -45,3 +45,20 @@ def test_views_and_approx_distinct(spark, base):
     assert abs(approx["n_companies"] - exact["n_companies"]) <= 0.05 * exact["n_companies"]
     plan = _plan(R.kpi_overview(w.fact(), approx_distinct=True))
     assert "approx_count_distinct" in plan or "HyperLogLogPlusPlus" in plan
+
+
+def test_kpis_over_empty_filter_keep_sql_null_semantics(spark, base):
+    from hirescope.plans import reports as R
+
+    flt = R.PostingFilter(cities=["No Such City"])
+    row = R.kpi_overview(catalog.warehouse(spark, base).fact(), flt).first()
+    assert row["n_jobs"] == 0 and row["n_companies"] == 0
+    assert row["n_remote"] is None and row["n_english"] is None and row["avg_salary"] is None
+
+
+def test_language_gate_table_empty_selection_is_empty(spark, base):
+    from hirescope.plans import reports as R
+
+    mart = catalog.warehouse(spark, base).mart_language_gate()
+    assert R.language_gate_table(mart, cities=[], roles=None).count() == 0
+    assert R.language_gate_table(mart).count() == mart.count()
