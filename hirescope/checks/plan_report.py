@@ -18,6 +18,14 @@ SKIP = {"salary_scores", "salary_cv", "salary_drivers", "weekly_stream", "stream
         "ingest_json"}
 
 
+def _table(location: str) -> str:
+    """Table name from a (possibly truncated) scan location."""
+    if "/hirescope/" in location or "/checkpoints/" in location:
+        return "fct_jobs (written fact)"
+    m = re.search(r"/([A-Za-z_]+)\.parquet", location)
+    return m.group(1) if m else location[-40:]
+
+
 def summarize(plan: str) -> dict:
     ex = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)", plan)
     return {
@@ -30,9 +38,9 @@ def summarize(plan: str) -> dict:
             plan))),
         "python": sorted({p for p in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas",
                                       "FlatMapGroupsInPandas") if p in plan}),
-        "scans": sorted(set(re.findall(
-            r"FileScan parquet [^\n]*?Location: [^\[]*\[[^\]]*/([a-z_]+)(?:\.parquet)?[^\]]*\][^\n]*?"
-            r"PushedFilters: (\[[^\]]*\]), ReadSchema: (struct<[^\n]*?>)(?=\n|$)", plan))),
+        "scans": sorted({(_table(loc), pushed, schema) for loc, pushed, schema in re.findall(
+            r"FileScan parquet [^\n]*?Location: [^\[]*\[([^\]]*)\][^\n]*?"
+            r"PushedFilters: (\[[^\]]*\]), ReadSchema: (struct<[^\n]*?>)(?=\n|$)", plan)}),
         "codegen": "WholeStageCodegen" in plan or "*(" in plan,
     }
 
