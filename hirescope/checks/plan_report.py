@@ -40,7 +40,7 @@ def summarize(plan: str) -> dict:
                                       "FlatMapGroupsInPandas") if p in plan}),
         "scans": sorted({(_table(loc), pushed, schema) for loc, pushed, schema in re.findall(
             r"FileScan parquet [^\n]*?Location: [^\[]*\[([^\]]*)\][^\n]*?"
-            r"PushedFilters: (\[[^\n]*?\]), ReadSchema: (struct<[^\n]*?>)(?=\n|$)", plan)}),
+            r"PushedFilters: (\[[^\n]*?), ReadSchema: (struct<[^\n]*)", plan)}),
         "codegen": "WholeStageCodegen" in plan or "*(" in plan,
     }
 
