@@ -62,3 +62,28 @@ def test_language_gate_table_empty_selection_is_empty(spark, base):
     mart = catalog.warehouse(spark, base).mart_language_gate()
     assert R.language_gate_table(mart, cities=[], roles=None).count() == 0
     assert R.language_gate_table(mart).count() == mart.count()
+
+
+def test_hot_key_operators_combine_map_side(spark):
+    """One slug holding a third of the rows is reduced before the shuffle."""
+    from pyspark.sql import functions as F
+
+    from hirescope.operators.dedup import batch_dedup, keep_last
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id").cast("string")))
+        .alias("slug"), F.lit(None).cast("date").alias("snapshot_date"), F.col("id").alias("_pos"))
+    for out in (batch_dedup(df, ["_pos"]), keep_last(df, ["slug"], ["_pos"])):
+        plan = _plan(out)
+        assert "partial_min_by" in plan or "partial_max_by" in plan, plan
+        assert out.count() == 1 + 2 * n // 3
+    first_hot = batch_dedup(df, ["_pos"]).filter(F.col("slug") == "hot").first()["_pos"]
+    assert first_hot == 0
+
+
+def test_marts_aggregate_partially(spark, base):
+    w = catalog.warehouse(spark, base)
+    for df in (w.mart_language_gate(), w.mart_skill_demand(), w.mart_pay_bands()):
+        plan = _plan(df)
+        assert "partial_" in plan
