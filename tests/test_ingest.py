@@ -155,3 +155,22 @@ def test_load_sample_counts_rows_and_needs_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(Exception):
         I.load_sample(spark, str(tmp_path / "empty"))
+
+
+def test_page_order_survives_file_splits(spark, tmp_path):
+    """A large JSON-lines file read as many splits keeps its page order."""
+    lines = [json.dumps({"snapshot_date": "2024-01-01",
+                         "data": [{"slug": "dup", "title": f"p{i:04d}", "description": "x" * 200}]})
+             for i in range(400)]
+    (tmp_path / "big.json").write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = I.read_batch(spark, str(tmp_path), multi_line=False)
+        assert rows.rdd.getNumPartitions() > 5
+        first = batch_dedup(rows, J.ORDER_COLUMNS).first()
+        table, n = I.load_sample(spark, str(tmp_path), multi_line=False)
+        last = table.first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert first["title"] == "p0000" and n == 400 and last["title"] == "p0399"
