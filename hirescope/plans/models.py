@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
+from hirescope.operators.quantiles import bucketed_quantiles
 from hirescope.session import scratch_path
 
 ENRICHED_COLUMNS = ["slug", "city", "seniority", "language_gate", "salary_min_eur",
@@ -159,28 +160,41 @@ def mart_skill_demand(fct: DataFrame, dim: DataFrame) -> DataFrame:
                               X.pct(F.col("n_german_required"), F.col("n_postings"))))
 
 
-def mart_pay_bands(fct: DataFrame, approx: bool = False) -> DataFrame:
+def mart_pay_bands(fct: DataFrame, approx: bool = False, method: str | None = None,
+                   bucket_width: float = 1000.0) -> DataFrame:
     """F8: pay bands for werkstudent/intern/junior by city x role, >= 2 postings.
 
-    Exact quantiles use ``percentile`` (one pass, partial + final aggregation;
-    its buffer is a value->count map, i.e. it grows with the number of
-    *distinct* pay values per group, which the salary domain bounds).
-    ``approx=True`` switches to ``percentile_approx`` (fixed-size sketch).
+    ``method``:
+    * ``"percentile"`` (default): exact, one pass (partial + final aggregation);
+      the final merge for a group holds that group's distinct pay values.
+    * ``"bucketed"``: exact, same numbers, without ever holding a group's values
+      in one task (``operators.quantiles.bucketed_quantiles``); for very large,
+      skewed groups.
+    * ``"approx"`` (or ``approx=True``): ``percentile_approx``, fixed-size sketch.
     """
+    method = method or ("approx" if approx else "percentile")
     s = F.col("salary_min_annualized_eur")
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile_approx(s, qs, 10000) if approx else F.percentile(s, qs)
-    agg = (fct.filter(F.col("seniority").isin(T.PAY_SENIORITIES))
-              .groupBy("city", "role_family")
-              .agg(F.count(F.lit(1)).alias("n_postings"),
-                   F.count(s).alias("n_with_salary"),
-                   F.round(F.avg(s), 0).alias("avg_min_eur"),
-                   q.alias("_q")))
+    probs = [0.25, 0.5, 0.75]
+    rows = fct.filter(F.col("seniority").isin(T.PAY_SENIORITIES))
+    base = [F.count(F.lit(1)).alias("n_postings"), F.count(s).alias("n_with_salary"),
+            F.round(F.avg(s), 0).alias("avg_min_eur")]
+    names = ["p25_min_eur", "median_min_eur", "p75_min_eur"]
+    if method == "bucketed":
+        agg = rows.groupBy("city", "role_family").agg(*base).filter(
+            F.col("n_postings") >= T.MIN_POSTINGS_PAY)
+        q = bucketed_quantiles(rows, ["city", "role_family"], "salary_min_annualized_eur",
+                               probs, bucket_width)
+        # both sides hold one row per (city, role) group
+        out = agg.join(q, ["city", "role_family"], "left")
+        return out.select("city", "role_family", "n_postings", "n_with_salary", "avg_min_eur",
+                          *[F.round(F.col(f"q{i}"), 0).alias(n) for i, n in enumerate(names)])
+    qs = F.array(*[F.lit(p) for p in probs])
+    q = F.percentile_approx(s, qs, 10000) if method == "approx" else F.percentile(s, qs)
+    agg = rows.groupBy("city", "role_family").agg(*base, q.alias("_q"))
     return (agg.filter(F.col("n_postings") >= T.MIN_POSTINGS_PAY)
                .select("city", "role_family", "n_postings", "n_with_salary", "avg_min_eur",
-                       F.round(F.col("_q")[0].cast("double"), 0).alias("p25_min_eur"),
-                       F.round(F.col("_q")[1].cast("double"), 0).alias("median_min_eur"),
-                       F.round(F.col("_q")[2].cast("double"), 0).alias("p75_min_eur")))
+                       *[F.round(F.col("_q")[i].cast("double"), 0).alias(n)
+                         for i, n in enumerate(names)]))
 
 
 _STORED_FACTS: dict[tuple, str] = {}

@@ -87,3 +87,39 @@ def test_marts_aggregate_partially(spark, base):
     for df in (w.mart_language_gate(), w.mart_skill_demand(), w.mart_pay_bands()):
         plan = _plan(df)
         assert "partial_" in plan
+
+
+def test_bucketed_quantiles_equal_percentile_and_oracle(spark, base):
+    from hirescope.checks.compare import compare
+
+    w = catalog.warehouse(spark, base)
+    exact = {tuple(r) for r in M.mart_pay_bands(w.fact()).collect()}
+    bucketed = {tuple(r) for r in M.mart_pay_bands(w.fact(), method="bucketed").collect()}
+    assert exact == bucketed
+    narrow = {tuple(r) for r in M.mart_pay_bands(w.fact(), method="bucketed",
+                                                 bucket_width=37.0).collect()}
+    assert narrow == exact
+    r = compare(spark, base, "mart_pay_bands_bucketed",
+                lambda s, b: M.mart_pay_bands(catalog.warehouse(s, b).fact(), method="bucketed"),
+                catalog.ORACLE["mart_pay_bands"])
+    assert r["match"], r
+
+
+def test_bucketed_quantiles_brute_force(spark):
+    import random
+
+    import numpy as np
+
+    from hirescope.operators.quantiles import bucketed_quantiles
+
+    rnd = random.Random(5)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 7}", float(rnd.choice([rnd.randint(1, 50),
+                                                                    rnd.random() * 100])))
+            for i in range(3000)] + [("single", 4.0), ("hot", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["q0"], r["q1"], r["q2"])
+           for r in bucketed_quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], 7.5).collect()}
+    for g in {g for g, _ in rows}:
+        vals = np.array([v for k, v in rows if k == g and v is not None])
+        want = np.quantile(vals, [0.1, 0.5, 0.9], method="linear")
+        assert np.allclose(got[g], want, rtol=0, atol=1e-9), (g, got[g], want)
