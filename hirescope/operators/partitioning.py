@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def cpu_partitions(spark: SparkSession) -> int:
-    return max(spark.sparkContext.defaultParallelism,
-               int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        return max(spark.sparkContext.defaultParallelism, shuffle)
+    except Exception:  # no SparkContext (Spark Connect)
+        return shuffle
 
 
 def spread_for_cpu(df: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -21,6 +24,10 @@ def spread_for_cpu(df: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """
     spark = df.sparkSession
     target = cpu_partitions(spark)
-    if source.rdd.getNumPartitions() < target:
+    try:
+        n_in = source.rdd.getNumPartitions()
+    except Exception:  # split count unknown (Spark Connect): leave the input as is
+        return df
+    if n_in < target:
         return df.repartition(target, key)
     return df

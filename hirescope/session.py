@@ -52,7 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     mode (tests, a laptop) is a fresh local folder made and registered; on a
     cluster a machine-local folder would not be shared, so that is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context: use the setting only
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
