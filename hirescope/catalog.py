@@ -497,7 +497,7 @@ def q_synth(spark, base):
 # -- trends (X1, X3) ------------------------------------------------------------
 
 
-@register("skill_share_trend", D.with_models(
+_TREND_SQL = (
     ", dated AS (SELECT *, date_trunc('month', posted_at) AS month FROM fct WHERE posted_at IS NOT NULL), "
     "tot AS (SELECT month, COUNT(*) AS n_month FROM dated GROUP BY 1), "
     "men AS (SELECT s AS skill_name, month, COUNT(*) AS n_postings FROM "
@@ -508,11 +508,30 @@ def q_synth(spark, base):
     "agg AS (SELECT skill_name, month, CAST(SUM(n_postings) AS BIGINT) AS n_postings, "
     "SUM(share) AS share, SUM(prev_share) AS prev_share FROM both_ GROUP BY 1, 2) "
     "SELECT skill_name, month, n_postings, ROUND(share, 4) AS share, ROUND(prev_share, 4) AS prev_share, "
-    "ROUND(share - prev_share, 4) AS share_change FROM agg WHERE month IN (SELECT month FROM tot)"))
+    "ROUND(share - prev_share, 4) AS share_change FROM agg WHERE month IN (SELECT month FROM tot)")
+
+
+@register("skill_share_trend", D.with_models(_TREND_SQL))
 def q_skill_share_trend(spark, base):
     return TR.skill_share_trend(warehouse(spark, base).fact())
 
 
+# the trend's final SELECT becomes a CTE ``tr`` that the movers rank
+_TREND_AS_CTE = _TREND_SQL.replace(
+    "SELECT skill_name, month, n_postings, ROUND(share, 4) AS share",
+    ", tr AS (SELECT skill_name, month, n_postings, ROUND(share, 4) AS share", 1) + ")"
+
+
+@register("skill_movers", D.with_models(
+    _TREND_AS_CTE + " SELECT month, skill_name, share, prev_share, share_change, "
+    "ROW_NUMBER() OVER (PARTITION BY month ORDER BY share_change DESC, skill_name) AS gain_rank, "
+    "ROW_NUMBER() OVER (PARTITION BY month ORDER BY share_change ASC, skill_name) AS loss_rank "
+    "FROM tr QUALIFY gain_rank <= 5 OR loss_rank <= 5"))
+def q_skill_movers(spark, base):
+    """X1 report: per month the 5 largest share gains and losses."""
+    return TR.skill_movers(TR.skill_share_trend(warehouse(spark, base).fact()), 5)
+
+
 @register("snapshot_changes", D.with_models(
     ", obs AS (SELECT DISTINCT 'job-' || CAST(l_orderkey AS VARCHAR) AS slug, "
     "CAST(date_trunc('week', l_shipdate) AS DATE) AS snapshot_date FROM lineitem), "

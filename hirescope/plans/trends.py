@@ -49,6 +49,21 @@ def skill_share_trend(fct: DataFrame) -> DataFrame:
                        F.round(F.col("share") - F.col("prev_share"), 4).alias("share_change"))
 
 
+def skill_movers(trend: DataFrame, k: int = 5) -> DataFrame:
+    """X1 report: per month the ``k`` largest share gains and losses (ties by name).
+
+    The window per month holds one row per skill (<= 45 taxonomy skills).
+    """
+    by_month = Window.partitionBy("month")
+    up = by_month.orderBy(F.col("share_change").desc(), "skill_name")
+    down = by_month.orderBy(F.col("share_change").asc(), "skill_name")
+    ranked = (trend.withColumn("gain_rank", F.row_number().over(up))
+                   .withColumn("loss_rank", F.row_number().over(down)))
+    return (ranked.filter((F.col("gain_rank") <= k) | (F.col("loss_rank") <= k))
+                  .select("month", "skill_name", "share", "prev_share", "share_change",
+                          "gain_rank", "loss_rank"))
+
+
 def snapshot_changes(history: DataFrame) -> DataFrame:
     """Per snapshot, postings active, new (not in the previous snapshot), kept,
     and gone (in the previous snapshot, not in this one).
