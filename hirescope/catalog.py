@@ -25,7 +25,7 @@ from hirescope.plans import models as M
 from hirescope.plans import reports as R
 from hirescope.plans import salary as S
 from hirescope.plans import trends as TR
-from hirescope.session import scratch_path
+from hirescope.session import scratch_path, session_id
 from hirescope.sources import postings_json as J
 from hirescope.sources import synth as SY
 from hirescope.sources import testbed
@@ -353,7 +353,7 @@ _MODELS: dict[tuple, S.SalaryModel | None] = {}
 def trained_model(spark, base) -> S.SalaryModel | None:
     """The salary model of these inputs: trained (and saved) once per session,
     then loaded by scoring and explaining, as a trained model is an artifact."""
-    key = (spark.sparkContext.applicationId, base.rstrip("/"), M._source_signature(base))
+    key = (session_id(spark), base.rstrip("/"), M._source_signature(base))
     if key not in _MODELS:
         _MODELS[key] = S.train_model(training(spark, base))
     return _MODELS[key]

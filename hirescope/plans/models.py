@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
 from hirescope.operators.quantiles import bucketed_quantiles
-from hirescope.session import scratch_path
+from hirescope.session import scratch_path, session_id
 
 ENRICHED_COLUMNS = ["slug", "city", "seniority", "language_gate", "salary_min_eur",
                     "salary_max_eur", "salary_period", "skills_json"]
@@ -246,7 +246,7 @@ class Warehouse:
         return fact(staging(self.raw))
 
     def fact(self) -> DataFrame:
-        key = None if self.key is None else (self.spark.sparkContext.applicationId,) + self.key
+        key = None if self.key is None else (session_id(self.spark),) + self.key
         path = _STORED_FACTS.get(key) if key else None
         if path is None:
             path = scratch_path(self.spark, "fct_jobs")

@@ -73,6 +73,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def session_id(spark: SparkSession) -> str:
+    """An id of the running application (keys of per-session artifacts)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no context
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
