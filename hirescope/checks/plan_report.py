@@ -56,8 +56,9 @@ def main(argv: list[str]) -> None:
     print("Generated by `python -m hirescope.checks.plan_report`. Columns: hash/range/single-"
           "partition exchanges (shuffles), broadcast exchanges, join strategies, Python "
           "operators. Scans list the table, pushed filters and read schema.\n")
-    print("Reading notes: the rule queries (`enrich_*`, `*_of`, `stg_*`, `fct_postings`) read "
-          "the three source tables pruned to the columns they need and have one hash exchange, "
+    print("Reading notes: the posting rule queries (`enrich_skills`, `*_of`, `stg_*`, "
+          "`fct_postings`) read orders, customer and nation (`enrich_documents` / `enrich_pages` "
+          "their one table), pruned to the columns they need, and have one hash exchange, "
           "the re-spread of the key columns that only happens for inputs with fewer splits than "
           "cores (every table here is one Parquet row group); the nation/customer broadcasts are "
           "Spark's own size-based choice at this scale. Marts and reports read the written fact "
