@@ -96,3 +96,17 @@ def test_training_gate_blocks_small_frames(spark, base):
     t = S.training_frame(catalog.warehouse(spark, base).fact()).limit(10)
     assert S.train_model(t, S.GBTParams(trees=2)) is None
     assert S.cv_metrics(t, S.GBTParams(trees=2)).count() == 0
+
+
+def test_grouped_cv_metrics_on_real_rows(spark, base):
+    import math
+
+    t = S.training_frame(catalog.warehouse(spark, base).fact())
+    spec = S.feature_spec(t)
+    preds, label, count, data = S.cv_predictions(t, S.GBTParams(trees=3), spec)
+    assert label == "n_folds" and count == 5
+    assert preds.count() == t.count()  # every row is predicted exactly once
+    data.unpersist()
+    m = S.cv_metrics(t, S.GBTParams(trees=3), spec).first()
+    assert m["n_folds"] == 5 and m["n_splits"] == 5
+    assert 0 < m["mae_log"] < 5 and math.isfinite(m["r2"]) and m["r2"] <= 1
