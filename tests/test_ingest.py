@@ -174,3 +174,19 @@ def test_page_order_survives_file_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert first["title"] == "p0000" and n == 400 and last["title"] == "p0399"
+
+
+def test_streaming_log_compaction(spark, tmp_path):
+    src, log, ck, snaps = (str(tmp_path / n) for n in ("src", "log", "ck", "snaps"))
+    (tmp_path / "src").mkdir()
+    _write(tmp_path / "src" / "a.json", {"snapshot_date": "2024-01-01", "data": [
+        {"slug": "x", "title": "one"}, {"slug": "y", "title": "y"}]}, pretty=False)
+    STR.start_ingest(spark, src, log, ck).awaitTermination()
+    snap, upto = STR.compact(spark, log, snaps)
+    _write(tmp_path / "src" / "b.json", {"snapshot_date": "2024-01-08", "data": [
+        {"slug": "x", "title": "two"}, {"slug": "z", "title": "z"}]}, pretty=False)
+    STR.start_ingest(spark, src, log, ck).awaitTermination()
+    full = {r["slug"]: (r["title"], r["ingested_at"]) for r in STR.current_table(spark, log).collect()}
+    fast = {r["slug"]: (r["title"], r["ingested_at"])
+            for r in STR.current_table(spark, log, snap, upto).collect()}
+    assert fast == full and {k: v[0] for k, v in full.items()} == {"x": "two", "y": "y", "z": "z"}
