@@ -107,6 +107,12 @@ def test_streaming_watermark_drops_late_rows(spark, tmp_path):
     STR.start_weekly_counts(spark, src, out, ck, delay="7 days").awaitTermination()
     got = {r["week"]: r["n_postings"] for r in STR.weekly_counts(spark, out).collect()}
     assert got == {dt.datetime(2024, 1, 1): 3}
+    snap, upto = STR.compact_weekly(spark, out, str(tmp_path / "snaps"))
+    page("c.json", ["2024-01-04T10:00:00+00:00", "2024-01-09T10:00:00+00:00"])
+    STR.start_weekly_counts(spark, src, out, ck, delay="7 days").awaitTermination()
+    full = {r["week"]: r["n_postings"] for r in STR.weekly_counts(spark, out).collect()}
+    fast = {r["week"]: r["n_postings"] for r in STR.weekly_counts(spark, out, snap, upto).collect()}
+    assert fast == full == {dt.datetime(2024, 1, 1): 4, dt.datetime(2024, 1, 8): 1}
 
 
 def test_streaming_ingest_replays_are_idempotent(spark, tmp_path):
