@@ -14,13 +14,15 @@ bound are computed:
 2. Of the shared head columns a set keeps, rarest first, as many as a linked
    partner cannot all avoid. Frequent columns - passages that many documents
    share - thereby block almost nothing.
-3. A block is a column with the sets that kept it. The product is taken block
-   by block for a few rows (pivots) against all: overlaps of a pivot with the
-   block's members are counted on the full sets, pairs below the bound are
-   discarded, the others link. Sets that are already in one component need no
-   further product, so a group of thousands of near copies costs one row.
-   The number of pivots grows fourfold each round, until no block holds two
-   components with pairs not yet decided. No pair is ever left out.
+3. The product is taken over what the kept columns tie together. Pairs of sets
+   that share a column of at most ``FEW`` sets are listed once and their overlap
+   counted on the full sets. Sets tied by more frequent columns form groups; a
+   group's incidence matrix is cut into chunks of rows in order of set size, two
+   chunks meet in a task unless all their sizes are too far apart, and the task
+   accumulates the overlaps slab of columns by slab. Pairs below the bound are
+   discarded there, and of the links only those that join something are given
+   out, so a group of thousands of near copies leaves thousands of rows, not
+   their square. No pair is left undecided.
 4. Components are found by alternating stars on the link table.
 
 Shingle sets, columns and set names are 64-bit hashes. Bounded in memory: runs
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -47,6 +49,9 @@ from hirescope.llm import common as C
 
 WORDS = 5
 HOT = 1024
+FEW = 8  # a column with more sets is multiplied as part of a group
+CHUNK = 500_000  # entries of a chunk of a group's rows
+SLAB = 4096  # columns multiplied at once
 BROADCAST_IDS = 400_000  # 8-byte ids of documents to be looked up: at most some 10 MB
 
 
@@ -239,61 +244,126 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
-def link_components(kept: DataFrame, sets: DataFrame) -> DataFrame:
-    """(name, comp) of the sets in blocks, by pivot rounds over the blocks."""
-    ranked = C.stored(kept.withColumn("rank", F.row_number().over(W.partitionBy("h").orderBy("name"))), "join-blocks")
-    comps = None
-
-    def decide(pairs: DataFrame, comps: DataFrame | None) -> DataFrame | None:
-        """Count the pairs' overlaps and merge the components that they link."""
-        links = C.stored(linked(pairs, sets), "join-links")
-        if not links.limit(1).count():
-            return comps
-        if comps is None:
-            return C.stored(components(links).select(F.col("node").alias("name"), "comp"), "join-comps")
-        ca = comps.select(F.col("name").alias("na"), F.col("comp").alias("x"))
-        cb = comps.select(F.col("name").alias("nb"), F.col("comp").alias("y"))
-        lifted = (links.join(ca, F.col("a") == F.col("na"), "left").join(cb, F.col("b") == F.col("nb"), "left")
-                  .select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
-        merged = components(lifted)
-        m = merged.select(F.col("node").alias("mn"), F.col("comp").alias("mc"))
-        moved = comps.join(m, F.col("comp") == F.col("mn"), "left").select(
-            "name", F.coalesce("mc", "comp").alias("comp"))
-        fresh = merged.select(F.col("node").alias("name"), "comp").join(comps, "name", "left_anti")
-        return C.stored(moved.unionByName(fresh), "join-comps")
-
-    def fits(n: str, m: str) -> Column:
-        return 4 * F.least(n, m) >= 3 * F.greatest(n, m)
-
-    # round 0: every set against the smallest-named set it meets: near copies fall into components
-    least = ranked.filter("rank = 1").select(F.col("h").alias("ph"), F.col("name").alias("p"), F.col("n").alias("pn"))
-    met = (ranked.filter("rank > 1").join(least, F.col("h") == F.col("ph")).filter(fits("n", "pn"))
-           .groupBy("name").agg(F.min("p").alias("p")))
-    comps = decide(met.select(F.col("p").alias("a"), F.col("name").alias("b")), comps)
-
-    lo, width = 1, 2
-    todo = ranked
-    while True:
-        if comps is None:
-            cur = todo.withColumn("comp", F.col("name"))
+def product(sizes: np.ndarray, lens_a: np.ndarray, cols_a: np.ndarray, lens_b: np.ndarray,
+            cols_b: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Per row of A the rows of B that overlap enough: A times B transposed, slab of columns by slab.
+
+    ``sizes`` are A's then B's set sizes. Only columns that both sides have are multiplied.
+    """
+    na, nb = len(lens_a), len(lens_b)
+    common = np.intersect1d(cols_a, cols_b)
+    row_a, row_b = np.repeat(np.arange(na), lens_a), np.repeat(np.arange(nb), lens_b)
+
+    def entries(cols: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(common, cols), max(len(common) - 1, 0))
+        hit = common[at] == cols if len(common) else np.zeros(len(cols), bool)
+        order = np.argsort(at[hit], kind="stable")
+        return at[hit][order], rows[hit][order]
+
+    (ca, ra), (cb, rb) = entries(cols_a, row_a), entries(cols_b, row_b)
+    overlap = np.zeros((na, nb), np.float32)
+    for lo in range(0, len(common), SLAB):
+        hi = min(lo + SLAB, len(common))
+        x, y = np.zeros((na, hi - lo), np.float32), np.zeros((nb, hi - lo), np.float32)
+        s = slice(*np.searchsorted(ca, [lo, hi]))
+        x[ra[s], ca[s] - lo] = 1
+        s = slice(*np.searchsorted(cb, [lo, hi]))
+        y[rb[s], cb[s] - lo] = 1
+        overlap += x @ y.T
+    enough = 7 * overlap >= 3 * (sizes[:na, None] + sizes[None, na:])
+    for i in np.flatnonzero(enough.any(axis=1)):
+        yield int(i), np.flatnonzero(enough[i])
+
+
+def spanning(names: np.ndarray, rows: Iterator[tuple[int, np.ndarray]]) -> tuple[list[int], list[int]]:
+    """Of the links (row, rows) those that join something not joined before."""
+    label = np.arange(len(names))
+    a: list[int] = []
+    b: list[int] = []
+    for i, js in rows:
+        ls, first = np.unique(label[js], return_index=True)
+        new = ls != label[i]
+        if new.any():
+            a += [int(names[i])] * int(new.sum())
+            b += names[js[first[new]]].tolist()
+            label[np.isin(label, ls)] = label[i]
+    return a, b
+
+
+def group_links(frequent: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links that span the components among sets that share frequent columns.
+
+    The sets that such columns tie together are a group. Its rows, in order of
+    size, are cut into chunks of at most ``CHUNK`` entries; two chunks meet in a
+    task unless all their sizes are too far apart. A task holds two chunks.
+    """
+    least = frequent.groupBy("h").agg(F.min("name").alias("m")).withColumnRenamed("h", "lh")
+    ties = frequent.join(least, F.col("h") == F.col("lh")).select(
+        F.col("name").alias("a"), F.col("m").alias("b")).distinct()
+    groups = components(ties)
+    groups = groups.select(F.col("node").alias("name"), F.col("comp").alias("g")).union(
+        groups.select(F.col("comp").alias("name"), F.col("comp").alias("g")).distinct())
+    w = W.partitionBy("g").orderBy("n", "name").rowsBetween(W.unboundedPreceding, -1)
+    placed = C.stored(groups.join(sets.select("name", "n"), "name").withColumn(
+        "c", (F.coalesce(F.sum("n").over(w), F.lit(0)) / CHUNK).cast("int")), "join-groups")
+    spans = placed.groupBy("g", "c").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    one = spans.select(F.col("g").alias("g1"), F.col("c").alias("i"), F.col("hi").alias("hi1"))
+    meets = (spans.join(one, (F.col("g") == F.col("g1")) & (F.col("i") <= F.col("c"))
+                        & (4 * F.col("hi1") >= 3 * F.col("lo")))
+             .select("g", "i", F.col("c").alias("j")))
+    sides = meets.select("g", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("side"))
+    rows = (placed.select("g", "c", "name").join(sides.withColumnRenamed("g", "sg"),
+                                                 (F.col("g") == F.col("sg")) & (F.col("c") == F.col("side")))
+            .select("g", "i", "j", "side", F.col("name").alias("member"))
+            .join(sets, F.col("member") == F.col("name")).select("g", "i", "j", "side", "name", "s"))
+
+    def multiply(t: pa.Table) -> pa.RecordBatch:
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        side = t.column("side").to_numpy()
+        names = t.column("name").to_numpy()
+        lists = t.column("s").combine_chunks()
+        lens = lists.value_lengths().to_numpy()
+        flat = lists.flatten().to_numpy()
+        cut = int((side == i).sum())  # sorted by side
+        at = int(lens[:cut].sum())
+        if i == j:
+            found = ((r, k[k > r]) for r, k in product(np.concatenate([lens, lens]), lens, flat, lens, flat))
         else:
-            c = comps.withColumnRenamed("name", "cn")
-            cur = todo.drop("comp").join(c, F.col("name") == F.col("cn"), "left").select(
-                "h", "name", "n", "rank", F.coalesce("comp", "name").alias("comp"))
-        # blocks that still hold several components, and members beyond the pivots done
-        open_ = (cur.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max("rank").alias("top"))
-                 .filter((F.col("c0") != F.col("c1")) & (F.col("top") > lo)).select(F.col("h").alias("oh")))
-        todo = C.stored(cur.join(open_, F.col("h") == F.col("oh"), "left_semi"), "join-open")
-        if not todo.limit(1).count():
-            return comps if comps is not None else ranked.select("name", F.col("name").alias("comp")).limit(0)
-        pivots = todo.filter(F.col("rank").between(lo, lo + width - 1)).select(
-            F.col("h").alias("ph"), F.col("name").alias("a"), F.col("n").alias("pn"), F.col("comp").alias("pc"),
-            F.col("rank").alias("pr"))
-        pairs = (todo.join(pivots, F.col("h") == F.col("ph"))
-                 .filter((F.col("rank") > F.col("pr")) & (F.col("comp") != F.col("pc")) & fits("n", "pn"))
-                 .select("a", F.col("name").alias("b")).distinct())
-        comps = decide(pairs, comps)
-        lo, width = lo + width, 4 * width
+            found = ((r, k + cut) for r, k in product(lens, lens[:cut], flat[:at], lens[cut:], flat[at:]))
+        a, b = spanning(names, ((r, k) for r, k in found if len(k)))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            key = np.stack([b.column(c).to_numpy() for c in (0, 1, 2)])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                part = b.slice(lo, hi - lo)
+                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in (0, 1, 2)):
+                    yield multiply(pa.Table.from_batches(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield multiply(pa.Table.from_batches(held))
+
+    return (rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side", "name")
+            .mapInArrow(run, "a long, b long"))
+
+
+def link_components(kept: DataFrame, sets: DataFrame) -> DataFrame:
+    """(name, comp) of the sets that link with another."""
+    sized = kept.groupBy("h").agg(F.count("*").alias("c")).withColumnRenamed("h", "ch")
+    rows = C.stored(kept.join(sized, F.col("h") == F.col("ch")).drop("ch"), "join-blocks")
+    many = C.stored(group_links(rows.filter(F.col("c") > FEW), sets), "join-links")
+    # columns of at most FEW sets: a set meets FEW - 1 others in one, and each pair is counted once
+    few = rows.filter(F.col("c") <= FEW)
+    other = few.select(F.col("h").alias("h2"), F.col("name").alias("b"), F.col("n").alias("nb"))
+    pairs = (few.join(other, (F.col("h") == F.col("h2")) & (F.col("name") < F.col("b"))
+                      & (4 * F.least("n", "nb") >= 3 * F.greatest("n", "nb")))
+             .select(F.col("name").alias("a"), "b").distinct())
+    links = many.union(linked(pairs, sets))
+    return components(links).select(F.col("node").alias("name"), "comp")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
