@@ -286,9 +286,9 @@ def first_states(pairs: np.ndarray, states: int, seed: int = 3, rounds: int = 60
         e = left * (move @ (right @ r.T)) + right * (move.T @ (left @ r))
         start = joint.sum(1) + 1e-9
         start /= start.sum()
-        move = joint + 1e-6 * joint.sum()
+        move = joint + 1e-6 * joint.sum() + 1e-12
         move /= move.sum(1, keepdims=True)
-        emit = e + 1e-6 * base[None] / base.sum() * e.sum()
+        emit = e + (1e-6 * e.sum() + 1e-12) * base[None] / base.sum()
         emit /= emit.sum(1, keepdims=True)
     return start, move, emit
 

@@ -95,16 +95,16 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, n, name) of every row; name null without shingles."""
+    """(doc_id, text_id, n, name) of every row; name null without shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.chunks(batches, "text"):
             _, _, size, name = shingle_sets(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(name, mask=size == 0)],
-                                             names=["doc_id", "n", "name"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(size), pa.array(name, mask=size == 0)],
+                                             names=["doc_id", "text_id", "n", "name"])
 
-    src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_id"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, n long, name long")
+    return src.mapInArrow(run, f"doc_id {kind}, text_id long, n long, name long")
 
 
 def head_postings(docs: DataFrame, text: str) -> DataFrame:
@@ -366,8 +366,8 @@ def link_components(kept: DataFrame, sets: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("name"), "comp")
 
 
-def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def classified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, text_id, n_shingles, component_id) of every row."""
     rows = C.stored(digests(docs, key, text), "join-rows")
     classes = C.stored(rows.filter("name is not null").groupBy("name").agg(
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "join-classes")
@@ -386,22 +386,27 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     of = named.join(smallest, F.col("comp") == F.col("sc")).select(F.col("name").alias("on"), "component_id")
     of = C.stored(of, "join-components")
     return rows.join(of, F.col("name") == F.col("on"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "text_id", F.col("n").alias("n_shingles"),
         F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    return classified(docs, key, text).drop("text_id")
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document whose id names it.
 
     Rows that repeat its id and text stay once; rows without shingles all stay.
     """
     ids = C.stored(
-        jaccard_join(docs, key, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id").agg(F.sum((F.col("n_shingles") > 0).cast("int")).alias("__n"))
-        .withColumnRenamed("doc_id", "__keep"), "join-keep")
-    mine = F.col(key).eqNullSafe(F.col("__keep"))
-    once = docs.join(ids.filter("__n < 2").select("__keep"), mine, "left_semi")
-    repeated = ids.filter("__n > 1").select("__keep")
+        classified(docs, key, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("doc_id", "text_id").agg(F.sum((F.col("n_shingles") > 0).cast("int")).alias("__n"))
+        .select(F.col("doc_id").alias("__keep"), F.col("text_id").alias("__text"), "__n"), "join-keep")
+    mine = F.col(key).eqNullSafe(F.col("__keep")) & (F.xxhash64(text) == F.col("__text"))
+    once = docs.join(ids.filter("__n < 2").drop("__n"), mine, "left_semi")
+    repeated = ids.filter("__n > 1").drop("__n")
     if not repeated.limit(1).count():
         return once
     return once.unionByName(docs.join(repeated, mine, "left_semi").dropDuplicates([key, text]))

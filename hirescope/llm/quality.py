@@ -136,7 +136,7 @@ def base_failed(prefix: str = "") -> Column:
 
 def measure(name: str, prefix: str = "") -> Column:
     num, den, _, _ = MEASURES[name]
-    return F.expr(f"{SCALE} * {prefix}{num} div {prefix}{den}")
+    return F.expr(f"CASE WHEN {prefix}{den} > 0 THEN {SCALE} * {prefix}{num} div {prefix}{den} END")
 
 
 def sketch_bucket(v: Column) -> Column:
