@@ -6,8 +6,8 @@ order of the summed squared distance of its halves to the two centroids, taken
 from a heap over the two sorted lists, until the visited cells hold enough
 vectors; those are reranked with exact double precision distances.
 
-* The codebooks are k-means on a bounded sample (``SAMPLE`` vectors, by hash
-  of the id); K = sqrt(rows / CELL), at most ``MAX_K``, so the table of cell
+* The codebooks are k-means on a bounded sample (``SAMPLE`` vectors or
+  so, by hash of the id); K = sqrt(rows / CELL), at most ``MAX_K``, so the table of cell
   sizes that steers the traversal has at most MAX_K^2 entries. Every row is indexed.
 * How many vectors are enough is measured: for ``PROBES`` sample queries the
   true neighbours are found by brute force over all rows, and the share of
@@ -126,8 +126,10 @@ def top_k(queries: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray,
 
 def fit(vectors: DataFrame, dim: int, rows: int, sample: int = SAMPLE, seed: int = 7) -> Cells:
     """The codebooks, from a bounded sample (at most ``sample`` rows reach the driver)."""
-    part = (vectors.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(sample).select("v")).toArrow()
-    _, x = _matrix(part.column(0).combine_chunks(), dim)
+    part = C.hash_sample(vectors.select("id", "v"), "id", rows, sample).toArrow().sort_by("id")
+    _, x = _matrix(part.column("v").combine_chunks(), dim)
+    if not len(x):  # a few rows, none of them sampled
+        _, x = _matrix(vectors.select("v").limit(sample).toArrow().column("v").combine_chunks(), dim)
     k = int(min(MAX_K, max(1, (rows / CELL) ** 0.5), max(1, len(x))))
     half = max(1, dim // 2)
     return Cells(kmeans(x[:, :half], k, seed), kmeans(x[:, half:], k, seed + 1))
@@ -151,7 +153,8 @@ def index(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
 def share_to_visit(indexed: DataFrame, cells: Cells, sizes: np.ndarray, dim: int, is_query: str, k: int,
                    target: float) -> float:
     """The share of all rows at which ``target`` of the true neighbours of sample queries have been met."""
-    part = indexed.filter(is_query).orderBy(F.xxhash64("id"), "id").limit(PROBES).toArrow()
+    queries = indexed.filter(is_query)
+    part = C.hash_sample(queries, "id", queries.count(), PROBES).toArrow().sort_by("id")
     _, q = _matrix(part.column("v").combine_chunks(), dim)
     if not len(q):
         return 1.0

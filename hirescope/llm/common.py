@@ -51,6 +51,30 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def most_frequent(counts: DataFrame, top: int, n: str = "n") -> DataFrame:
+    """The rows with the largest counts, at most ``top``: all from a count on.
+
+    The count is read from a histogram of the counts' leading 8 bits (some
+    thousand rows at most), so no task and no driver sorts the table; rows of the
+    bucket with which ``top`` would be exceeded are left out together.
+    """
+    shift = F.greatest(F.length(F.bin(F.col(n))) - 8, F.lit(0))
+    bucket = F.call_function("shiftleft", F.call_function("shiftright", F.col(n), shift), shift)
+    floor, held = None, 0
+    for r in sorted(counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("m")).collect(), reverse=True):
+        held += r.m
+        if held > top:
+            break
+        floor = r.b
+    return counts.filter(F.lit(False) if floor is None else F.col(n) >= floor)
+
+
+def hash_sample(df: DataFrame, key: str, rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the ``rows`` rows, by a hash of the key; at most twice as many."""
+    share = min(1.0, wanted / max(rows, 1))
+    return df.filter(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 40)) < int(share * (1 << 40))).limit(2 * wanted)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

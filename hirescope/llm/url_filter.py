@@ -106,7 +106,7 @@ def bucket(token: str) -> int:
 
 
 def unigrams(pages: DataFrame, html: str = "html", top: int = UNIGRAMS) -> dict[str, int]:
-    """The most frequent words of all pages' texts with their counts (at most ``top``; ties by word)."""
+    """The most frequent words of all pages' texts with their counts (at most ``top``)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.chunks(batches, html, 8 << 20):
             seen: Counter = Counter()
@@ -116,9 +116,9 @@ def unigrams(pages: DataFrame, html: str = "html", top: int = UNIGRAMS) -> dict[
             yield pa.RecordBatch.from_arrays(
                 [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
-    counts = (pages.select(html).mapInArrow(count, "word string, n long")
-              .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(top))
-    out = {r.word: r.n for r in counts.collect()}  # at most ``top`` rows
+    counts = C.stored(pages.select(html).mapInArrow(count, "word string, n long")
+                      .groupBy("word").agg(F.sum("n").alias("n")), "url-words")
+    out = {r.word: r.n for r in sorted(C.most_frequent(counts, top).collect())}  # at most ``top`` rows
     floor = max(out.values(), default=1)
     for w in SEEDS:  # the seeds are words of the language too
         out[w] = max(out.get(w, 0), math.isqrt(floor) + 1)
