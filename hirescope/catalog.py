@@ -557,20 +557,27 @@ def q_snapshot_changes(spark, base):
 # -- streaming (X4) -------------------------------------------------------------
 
 
-def _pages_source(spark, raw, path, mode="overwrite"):
-    J.write_pages(raw.withColumn("k", F.substring("slug", 5, 30).cast("long")), path, mode=mode)
+def _mixed_created(k):
+    """Every third UTC posting time as epoch seconds, the rest as text."""
+    epoch = F.try_to_timestamp(F.substring("created_at", 1, 19),
+                               F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("long")
+    return F.when((k % 3 == 0) & F.col("created_at").endswith("+00:00"), epoch)
 
 
 @register("weekly_stream", D.with_models(
     "SELECT date_trunc('week', posted_at) AS week, COUNT(*) AS n_postings FROM stg "
     "WHERE posted_at IS NOT NULL GROUP BY 1"))
 def q_weekly_stream(spark, base):
-    """Postings per Monday week from a file-source stream (availableNow) with a
-    watermark, merged from update-mode micro-batches."""
-    src, out, ck = (scratch_path(spark, n) for n in ("stream-src", "weekly", "weekly-ck"))
-    _pages_source(spark, testbed.postings(spark, base), src)
-    STR.start_weekly_counts(spark, src, out, ck).awaitTermination()
-    return STR.weekly_counts(spark, out)
+    """Postings per Monday week from a file-source stream, one file per micro-batch:
+    numeric and text posting times, and a repost of every posting in a later file."""
+    src, log, ck = (scratch_path(spark, n) for n in ("stream-src", "stream-log", "stream-ck"))
+    k = F.col("k")
+    raw = testbed.postings(spark, base).withColumn("k", F.substring("slug", 5, 30).cast("long"))
+    again = raw.withColumn("title", F.concat(F.lit("Repost: "), "title")).withColumn("k", k + F.lit(10 ** 12))
+    for part in (raw, again):
+        J.write_pages(part, src, numeric_created=_mixed_created(k), mode="append", files=4)
+    STR.start_ingest(spark, src, log, ck, max_files=1).awaitTermination()
+    return STR.weekly_counts(spark, log)
 
 
 @register("stream_upsert", D.with_models(
@@ -582,21 +589,23 @@ def q_weekly_stream(spark, base):
     "CASE WHEN b2.slug IS NOT NULL THEN b2.snapshot_date ELSE b1.snapshot_date END AS snapshot_date "
     "FROM b1 FULL OUTER JOIN b2 ON b1.slug = b2.slug"))
 def q_stream_upsert(spark, base):
-    """Two increments of JSON pages through the streaming ingest (A2, A3 per
-    micro-batch into an idempotent log), then the upserted table (A4)."""
+    """Two runs of JSON pages, one file per micro-batch, through the streaming ingest
+    (A2, A3 per run), then the upserted table (A4). Every posting of the first run
+    comes again in a later file of that run: the first one stays."""
     src, log, ck = (scratch_path(spark, n) for n in ("ingest-src", "ingest-log", "ingest-ck"))
     raw = testbed.postings(spark, base).withColumn(
         "k", F.substring("slug", 5, 30).cast("long"))
-    J.write_pages(raw, src)
-    STR.start_ingest(spark, src, log, ck).awaitTermination()
     k = F.col("k")
+    again = raw.withColumn("title", F.concat(F.lit("Repost: "), "title")).withColumn("k", k + F.lit(10 ** 12))
+    J.write_pages(raw.unionByName(again), src, numeric_created=_mixed_created(k), files=4)
+    STR.start_ingest(spark, src, log, ck, max_files=1).awaitTermination()
     # second increment: every posting updated, and a new posting per order
     updates = (raw.withColumn("title", F.concat(F.lit("Updated "), "title"))
                .withColumn("snapshot_date", F.date_add("snapshot_date", 28)))
     new = (raw.withColumn("slug", F.concat(F.lit("job-n"), k.cast("string")))
            .withColumn("k", k + F.lit(10 ** 12)))
-    J.write_pages(updates.unionByName(new), src, mode="append")
-    STR.start_ingest(spark, src, log, ck).awaitTermination()
+    J.write_pages(updates.unionByName(new), src, mode="append", files=4)
+    STR.start_ingest(spark, src, log, ck, max_files=1).awaitTermination()
     return STR.current_table(spark, log).select("slug", "title", "snapshot_date")
 
 

@@ -102,11 +102,13 @@ def with_skills(df, text_col: str = "description", out: str = "skills"):
         if keys:
             gate = None
             for k in keys:
-                c = F.instr(low, k) > 0
+                c = low.contains(k)
                 gate = c if gate is None else (gate | c)
             rx = gate & rx  # And short-circuits: the regex runs only past the gate
         hits.append(F.when(rx, F.lit(name)))
-    return df.select("*", F.array_compact(F.array(*hits)).alias(out)).drop("_skill_fold")
+    joined = F.concat_ws("\x1f", *hits)  # no skill name holds the separator
+    found = F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, "\x1f"))
+    return df.select("*", found.alias(out)).drop("_skill_fold")
 
 
 def skills_json(skills_arr: Column) -> Column:
@@ -114,8 +116,8 @@ def skills_json(skills_arr: Column) -> Column:
 
     Skill names contain no character that JSON would escape.
     """
-    quoted = F.transform(skills_arr, lambda s: F.concat(F.lit('"'), s, F.lit('"')))
-    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+    return F.when(F.size(skills_arr) > 0, F.concat(F.lit('["'), F.concat_ws('", "', skills_arr), F.lit('"]'))).when(
+        skills_arr.isNotNull(), F.lit("[]"))
 
 
 def skills_from_json(js: Column) -> Column:

@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirescope.operators.dedup import keep_last
-
-# Above this many distinct batch keys the key set is not broadcast.
-BROADCAST_MAX_KEYS = 2_000_000
+from hirescope.session import scratch_path
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
-           keep_first: tuple[str, ...] = ("ingested_at",),
-           broadcast_max_keys: int = BROADCAST_MAX_KEYS) -> DataFrame:
+           keep_first: tuple[str, ...] = ("ingested_at",)) -> DataFrame:
     """``INSERT OR REPLACE`` semantics as a new version of ``target``.
 
     * within the batch the last row per key (by ``order``) wins;
@@ -21,24 +18,21 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
       ``keep_first`` columns, which keep the target's value;
     * target rows whose key is not in the batch pass through untouched.
 
-    The target is never aggregated: it is anti-joined with the batch's key
-    set. When the (counted) key set is small it is broadcast, so the target is
-    only scanned, never shuffled; otherwise both sides are shuffled on the key.
-    The result has the target's columns; ``order`` columns are dropped.
+    The target is never aggregated: it is anti-joined with the batch's keys.
+    The deduplicated batch is written once as a table, so that its key column can
+    be read alone and its size is known; whether it is broadcast is Spark's
+    choice by its own threshold. The result has the target's columns; ``order``
+    columns are dropped.
     """
     cols = target.columns
-    # the deduplicated batch is used three times (count, key set, new rows): cut
-    # its lineage once with a reliable checkpoint in the shared folder (the batch
-    # is small next to the target and the files survive a lost executor)
-    latest = keep_last(batch, [key], order).select(*cols).checkpoint(eager=True)
+    spark = target.sparkSession
+    path = scratch_path(spark, "upsert-batch")
+    keep_last(batch, [key], order).select(*cols).write.parquet(path)
+    latest = spark.read.schema(target.schema).parquet(path)
     keys = latest.select(key)
-    n_keys = keys.count()
-    small = n_keys <= broadcast_max_keys
-    keys_side = F.broadcast(keys) if small else keys
-    untouched = target.join(keys_side, key, "left_anti")
-    firsts = target.select(key, *[F.col(c).alias(f"_first_{c}") for c in keep_first]).join(
-        keys_side, key, "left_semi")
-    replaced = latest.join(F.broadcast(firsts) if small else firsts, key, "left")
+    untouched = target.join(keys, key, "left_anti")
+    firsts = target.select(key, *[F.col(c).alias(f"_first_{c}") for c in keep_first]).join(keys, key, "left_semi")
+    replaced = latest.join(firsts, key, "left")
     replaced = replaced.select(*[
         F.coalesce(F.col(f"_first_{c}"), F.col(c)).alias(c) if c in keep_first else F.col(c)
         for c in cols])

@@ -228,7 +228,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, raw: DataFrame, key: tuple | None = None):
         self.spark = spark
         self.raw = raw
-        self.key = key
+        # inputs that cannot be told apart (remote storage) are not shared between instances
+        self.key = key if key is None or key[-1] else None
+        self._fact_path: str | None = None
 
     def enriched(self) -> DataFrame:
         return enrich(self.raw)
@@ -247,12 +249,13 @@ class Warehouse:
 
     def fact(self) -> DataFrame:
         key = None if self.key is None else (session_id(self.spark),) + self.key
-        path = _STORED_FACTS.get(key) if key else None
+        path = self._fact_path or (_STORED_FACTS.get(key) if key else None)
         if path is None:
             path = scratch_path(self.spark, "fct_jobs")
             write_table(self.fact_plan(), path)
             if key:
                 _STORED_FACTS[key] = path
+        self._fact_path = path
         return self.spark.read.parquet(path)
 
     def mart_language_gate(self) -> DataFrame:
