@@ -21,7 +21,7 @@ from hirescope.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: a task tokenises at most this many bytes of text at once (one text is never cut)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: a side is broadcast only below this many (narrow) rows
 BROADCAST_ROWS = 5_000

@@ -38,7 +38,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE = 0.1
 SEED = 17
 VARIANTS = 2
-CACHE = 600_000  # units remembered per worker
+CACHE = 400_000  # units remembered per worker
 LONGEST_KEPT = 48
 MARK = "▁"
 
@@ -375,7 +375,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, rate, seed)
-        for b in C.chunks(batches, text):
+        for b in C.chunks(batches, text, 2 << 20):
             texts = b.column(text)
             turns = np.array([zlib.crc32(str(k).encode()) % VARIANTS for k in b.column(key).to_pylist()])
             flat, ends, data = c.encode_texts(texts, turns)
