@@ -18,7 +18,7 @@ from hirescope.checks import duckdb_sql as D
 from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
 from hirescope.operators.dedup import batch_dedup
-from hirescope.operators.partitioning import spread_for_cpu
+from hirescope.operators.partitioning import spread
 from hirescope.operators.upsert import upsert
 from hirescope.plans import ingest as I
 from hirescope.plans import models as M
@@ -143,6 +143,12 @@ def q_mart_pay(spark, base):
     return warehouse(spark, base).mart_pay_bands()
 
 
+@register("mart_pay_bands_percentile", D.with_models("SELECT * FROM mart_pay_bands"))
+def q_mart_pay_percentile(spark, base):
+    """F8 in one pass; a group's distinct pay values meet in one task."""
+    return M.mart_pay_bands(warehouse(spark, base).fact(), method="percentile")
+
+
 @register("mart_pay_bands_bucketed", D.with_models("SELECT * FROM mart_pay_bands"))
 def q_mart_pay_bucketed(spark, base):
     """F8 with exact quantiles computed without holding any group in one task."""
@@ -276,6 +282,89 @@ def q_english_lift(spark, base):
     return R.english_lift(w.mart_skill_demand(), w.fact())
 
 
+_FILTERED = (f", ff AS (SELECT * FROM fct WHERE city IN ({_in(EXAMPLE_FILTER.cities)}) "
+             f"AND role_family IN ({_in(EXAMPLE_FILTER.roles)}) AND language_gate = 'english_ok')")
+_FILTERED_SKILL_CITY = ("SELECT b.skill_name, f.city, COUNT(*) AS n FROM ff f "
+                        "JOIN bridge b USING (slug) GROUP BY 1, 2")
+_GATE_SELECTION = (f"WHERE city IN ({_in(EXAMPLE_FILTER.cities)}) "
+                   f"AND role_family IN ({_in(EXAMPLE_FILTER.roles)})")
+
+
+@register("by_city_filtered", D.with_models(
+    _FILTERED + f" SELECT city, COUNT(*) AS n FROM ff GROUP BY 1 ORDER BY n DESC, city LIMIT {T.TOP_CITIES_REPORT}"))
+def q_by_city_filtered(spark, base):
+    return R.postings_by_city(warehouse(spark, base).fact(), EXAMPLE_FILTER)
+
+
+@register("top_skills_filtered", D.with_models(
+    _FILTERED + " SELECT b.skill_name, d.category, COUNT(*) AS n FROM ff f JOIN bridge b USING (slug) "
+    "LEFT JOIN dim_skills d ON d.skill_name = b.skill_name GROUP BY 1, 2 "
+    f"ORDER BY n DESC, skill_name LIMIT {T.TOP_SKILLS_REPORT}"))
+def q_top_skills_filtered(spark, base):
+    w = warehouse(spark, base)
+    return R.top_skills(w.fact(), w.dim_skills(), EXAMPLE_FILTER)
+
+
+@register("skill_city_filtered", D.with_models(_FILTERED + " " + _FILTERED_SKILL_CITY))
+def q_skill_city_filtered(spark, base):
+    return R.skill_city_counts(warehouse(spark, base).fact(), EXAMPLE_FILTER)
+
+
+@register("skill_city_top_filtered", D.with_models(
+    _FILTERED + f", sc AS ({_FILTERED_SKILL_CITY}), "
+    f"ts AS (SELECT skill_name FROM sc GROUP BY 1 ORDER BY SUM(n) DESC, skill_name LIMIT {T.HEATMAP_TOP_SKILLS}), "
+    f"tc AS (SELECT city FROM sc GROUP BY 1 ORDER BY SUM(n) DESC, city LIMIT {T.HEATMAP_TOP_CITIES}), "
+    "sub AS (SELECT * FROM sc WHERE skill_name IN (SELECT skill_name FROM ts) AND city IN (SELECT city FROM tc)) "
+    "SELECT r.skill_name, c.city, CAST(COALESCE(s.n, 0) AS BIGINT) AS n "
+    "FROM (SELECT DISTINCT skill_name FROM sub) r CROSS JOIN (SELECT DISTINCT city FROM sub) c "
+    "LEFT JOIN sub s ON s.skill_name = r.skill_name AND s.city = c.city"))
+def q_skill_city_top_filtered(spark, base):
+    return R.skill_city_heatmap(warehouse(spark, base).fact(), EXAMPLE_FILTER)
+
+
+@register("gate_table_filtered", D.with_models(
+    "SELECT city, role_family, pct_german_required, pct_english_ok, n_postings FROM mart_language_gate "
+    + _GATE_SELECTION))
+def q_gate_table_filtered(spark, base):
+    return R.language_gate_table(warehouse(spark, base).mart_language_gate(),
+                                 EXAMPLE_FILTER.cities, EXAMPLE_FILTER.roles)
+
+
+@register("gate_cells_filtered", D.with_models(
+    "SELECT city, " + ", ".join(
+        f"AVG(CASE WHEN role_family = {D.lit(r)} THEN pct_german_required END) AS \"{r}\""
+        for r in T.ROLE_FAMILIES if r in EXAMPLE_FILTER.roles)
+    + f" FROM mart_language_gate {_GATE_SELECTION} GROUP BY city"))
+def q_gate_cells_filtered(spark, base):
+    return R.language_gate_pivot(warehouse(spark, base).mart_language_gate(),
+                                 EXAMPLE_FILTER.cities, EXAMPLE_FILTER.roles)
+
+
+@register("skills_decoded", D.with_models("SELECT slug, skill_name FROM bridge"))
+def q_skills_decoded(spark, base):
+    """The bridge from the stored JSON text of every posting's skills."""
+    fct = warehouse(spark, base).fact().select("slug", X.skills_from_json(F.col("skills_json")).alias("skills"))
+    return M.bridge(fct)
+
+
+_TABLE_SQL = {"raw_jobs": "postings", "enriched_jobs": "stg", "dim_skills": "dim_skills",
+              "bridge_job_skill": "bridge", "fct_jobs": "fct", "mart_skill_demand": "mart_skill_demand",
+              "mart_werkstudent_pay": "mart_pay_bands", "mart_language_gate": "mart_language_gate"}
+
+
+@register("run_all_tables", D.with_models(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {src}" for t, src in _TABLE_SQL.items())))
+def q_run_all_tables(spark, base):
+    """every model built and written in order, then the rows of each written table."""
+    paths = M.run_all(spark, testbed.postings(spark, base), scratch_path(spark, "run-all"))
+    counts = [spark.read.parquet(paths[t]).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+              for t in _TABLE_SQL]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 # -- salary model (H1-H12) ----------------------------------------------------
 
 
@@ -380,6 +469,51 @@ def q_salary_drivers(spark, base):
     return S.mean_abs_shap(sm, training(spark, base))
 
 
+_GATE_SQL = (_TRAIN + _VOCAB +
+             ", g AS (SELECT (SELECT COUNT(*) FROM train) AS n_rows, (SELECT COUNT(*) FROM vocab) "
+             "+ (SELECT COUNT(DISTINCT CASE WHEN city IN (SELECT city FROM tcity) THEN city ELSE 'Other' END) FROM train) "
+             "+ (SELECT COUNT(DISTINCT coalesce(role_family, 'Other')) FROM train) "
+             "+ (SELECT COUNT(DISTINCT coalesce(seniority, 'unknown')) FROM train) "
+             "+ (SELECT COUNT(DISTINCT coalesce(language_gate, 'unclear')) FROM train) + 1 AS n_features), "
+             f"gate AS (SELECT *, GREATEST({T.MIN_TRAINING_ROWS}, n_features * {T.MIN_ROWS_PER_FEATURE}) AS min_rows FROM g)")
+
+
+@register("model_gate", D.with_models(
+    _GATE_SQL + " SELECT n_rows, n_features, min_rows, n_rows >= min_rows AS trains FROM gate"))
+def q_model_gate(spark, base):
+    return S.model_gate(training(spark, base))
+
+
+@register("model_checks", D.with_models(
+    _GATE_SQL + " SELECT n_rows, CAST(0 AS BIGINT) AS n_shap_off, CAST(0 AS BIGINT) AS n_trees_off, "
+    "CAST(0 AS BIGINT) AS n_scores_off FROM gate WHERE n_rows >= min_rows"))
+def q_model_checks(spark, base):
+    """Every training row explained, predicted and scored without a difference."""
+    sm = trained_model(spark, base)
+    if sm is None:
+        return spark.createDataFrame([], "n_rows long, n_shap_off long, n_trees_off long, n_scores_off long")
+    return S.model_checks(sm, training(spark, base))
+
+
+@register("cv_fold_sizes", ORACLE["group_folds"].replace(
+    "SELECT week_key, n, fold FROM r WHERE i > 0",
+    "SELECT 0 AS repeat, fold, CAST(SUM(n) AS BIGINT) AS n FROM r WHERE i > 0 GROUP BY fold"))
+def q_cv_fold_sizes(spark, base):
+    """H8, H9: cross-validation predicts each fold's training rows exactly once (the
+    folds do not depend on the number of trees)."""
+    preds, _, _, _ = S.cv_predictions(training(spark, base), S.GBTParams(trees=5))
+    return preds.groupBy("repeat", "fold").agg(F.count("prediction").alias("n"))
+
+
+@register("salary_report")
+def q_salary_report(spark, base):
+    """Model quality and drivers as one table."""
+    sm = trained_model(spark, base)
+    if sm is None:
+        return spark.createDataFrame([], "section string, name string, value double")
+    return S.quality_report(sm, training(spark, base))
+
+
 # -- ingest (A1-A5) -----------------------------------------------------------
 
 
@@ -617,7 +751,8 @@ def _texts_as_postings(spark, base, table, id_col, text_col, location_col, prefi
     text as description (the rules always read whole texts), ``location_col`` as
     location. Rows are spread over the cores on their id before any text is read."""
     d = read_table(spark, base, table, id_col, text_col, location_col)
-    d = spread_for_cpu(d, d, id_col)
+    if spark.conf.get("hirescope.spreadTexts", "false") == "true":
+        d = spread(d, id_col)
     return d.select(F.concat(F.lit(prefix), F.col(id_col).cast("string")).alias("slug"),
                     F.substring_index(text_col, "\n", 1).alias("title"),
                     F.col(location_col).alias("location"), F.lit(False).alias("remote"),

@@ -6,28 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def cpu_partitions(spark: SparkSession) -> int:
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        return max(spark.sparkContext.defaultParallelism, shuffle)
-    except Exception:  # no SparkContext (Spark Connect)
-        return shuffle
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def spread_for_cpu(df: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute ``df`` on ``key`` when ``source`` has fewer splits than cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute the rows of ``df`` on ``key``; an explicit choice of the caller.
 
     Regex enrichment is CPU-bound while its input is small in bytes, so byte
     based splitting (one task per Parquet row group) can leave most cores idle.
-    Only an under-split input is re-spread; at scale the input has thousands of
-    splits and no shuffle is added. ``key`` should be unique-ish (an id), so a
-    hot value cannot pile up in one partition.
+    All columns of ``df`` are shuffled, texts included: use it for an input of few
+    row groups, not for a large table, whose splits keep the cores busy. ``key``
+    should be unique-ish (an id), so a hot value cannot pile up in one partition.
     """
-    spark = df.sparkSession
-    target = cpu_partitions(spark)
-    try:
-        n_in = source.rdd.getNumPartitions()
-    except Exception:  # split count unknown (Spark Connect): leave the input as is
-        return df
-    if n_in < target:
-        return df.repartition(target, key)
-    return df
+    return df.repartition(cpu_partitions(df.sparkSession), key)

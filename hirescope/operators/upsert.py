@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.operators.dedup import keep_last
+from hirescope.operators.dedup import rows_of, winners
 from hirescope.session import scratch_path
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
-           keep_first: tuple[str, ...] = ("ingested_at",)) -> DataFrame:
+           keep_first: tuple[str, ...] = ("ingested_at",), won: DataFrame | None = None) -> DataFrame:
     """``INSERT OR REPLACE`` semantics as a new version of ``target``.
 
     * within the batch the last row per key (by ``order``) wins;
@@ -18,7 +18,9 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
       ``keep_first`` columns, which keep the target's value;
     * target rows whose key is not in the batch pass through untouched.
 
-    The target is never aggregated: it is anti-joined with the batch's keys.
+    ``won`` are the winning (key, order) rows of the batch where the caller has
+    picked them already. The target is never aggregated: it is anti-joined with
+    the batch's keys.
     The deduplicated batch is written once as a table, so that its key column can
     be read alone and its size is known; whether it is broadcast is Spark's
     choice by its own threshold. The result has the target's columns; ``order``
@@ -27,7 +29,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
     cols = target.columns
     spark = target.sparkSession
     path = scratch_path(spark, "upsert-batch")
-    keep_last(batch, [key], order).select(*cols).write.parquet(path)
+    won = winners(batch, [key], order, last=True) if won is None else won
+    rows_of(batch, won).select(*cols).write.parquet(path)
     latest = spark.read.schema(target.schema).parquet(path)
     keys = latest.select(key)
     untouched = target.join(keys, key, "left_anti")

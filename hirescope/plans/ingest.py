@@ -9,9 +9,11 @@ version of the raw table; ``write_version`` stores it as Parquet.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hirescope.operators.dedup import batch_dedup
+from hirescope.operators.dedup import winners
 from hirescope.operators.upsert import upsert
+from hirescope.session import scratch_path
 from hirescope.sources import postings_json as J
 
 RAW_SCHEMA = ("slug string, title string, company_name string, location string, "
@@ -30,10 +32,18 @@ def read_batch(spark: SparkSession, path: str, multi_line: bool = True,
     return J.normalize(J.read_pages(spark, path, multi_line), ingested_at)
 
 
+def staged(batch: DataFrame) -> DataFrame:
+    """The batch as a stored table: pages are parsed once, and the passes that
+    pick winners read the key and order columns only."""
+    path = scratch_path(batch.sparkSession, "ingest-batch")
+    batch.write.parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
 def load_files(target: DataFrame, spark: SparkSession, path: str, multi_line: bool = True,
                ingested_at: Column | None = None) -> DataFrame:
     """Offline load: all rows, later rows replace earlier ones with the same slug."""
-    batch = read_batch(spark, path, multi_line, ingested_at)
+    batch = staged(read_batch(spark, path, multi_line, ingested_at))
     return upsert(target, batch, "slug", J.ORDER_COLUMNS)
 
 
@@ -44,10 +54,10 @@ def load_sample(spark: SparkSession, path: str, target: DataFrame | None = None,
     No dedup and no empty-slug filter, as the offline loader; a directory
     without page files is an error.
     """
-    pages = spark.read.schema(J.PAGE_SCHEMA).option("multiLine", multi_line).json(path)
-    if not pages.inputFiles():
+    files = spark.read.format("binaryFile").option("pathGlobFilter", J.PAGE_FILES).load(path)
+    if files.select("path").isEmpty():
         raise FileNotFoundError(f"no page files in {path}")
-    batch = read_batch(spark, path, multi_line)
+    batch = staged(read_batch(spark, path, multi_line))
     n = batch.count()
     return upsert(target if target is not None else empty_raw(spark), batch, "slug",
                   J.ORDER_COLUMNS), n
@@ -55,9 +65,15 @@ def load_sample(spark: SparkSession, path: str, target: DataFrame | None = None,
 
 def ingest_batch(target: DataFrame, spark: SparkSession, path: str, multi_line: bool = True,
                  ingested_at: Column | None = None) -> DataFrame:
-    """API-style ingest: A3 dedup of the batch, then A4 upsert into ``target``."""
-    batch = batch_dedup(read_batch(spark, path, multi_line, ingested_at), J.ORDER_COLUMNS)
-    return upsert(target, batch, "slug", J.ORDER_COLUMNS)
+    """API-style ingest: A3 dedup of the batch, then A4 upsert into ``target``.
+
+    The first row per (slug, snapshot_date), then the last of those per slug, are
+    picked on narrow rows; the whole rows are joined back once.
+    """
+    batch = staged(read_batch(spark, path, multi_line, ingested_at).filter(F.col("slug") != ""))
+    firsts = winners(batch, ["slug", "snapshot_date"], J.ORDER_COLUMNS)
+    won = winners(firsts, ["slug"], J.ORDER_COLUMNS, last=True)
+    return upsert(target, batch, "slug", J.ORDER_COLUMNS, won=won)
 
 
 def write_version(df: DataFrame, path: str) -> None:

@@ -165,14 +165,13 @@ def mart_pay_bands(fct: DataFrame, approx: bool = False, method: str | None = No
     """F8: pay bands for werkstudent/intern/junior by city x role, >= 2 postings.
 
     ``method``:
-    * ``"percentile"`` (default): exact, one pass (partial + final aggregation);
+    * ``"bucketed"`` (default): exact, without ever holding a group's values in
+      one task (``operators.quantiles.bucketed_quantiles``).
+    * ``"percentile"``: exact, same numbers, one pass (partial + final aggregation);
       the final merge for a group holds that group's distinct pay values.
-    * ``"bucketed"``: exact, same numbers, without ever holding a group's values
-      in one task (``operators.quantiles.bucketed_quantiles``); for very large,
-      skewed groups.
     * ``"approx"`` (or ``approx=True``): ``percentile_approx``, fixed-size sketch.
     """
-    method = method or ("approx" if approx else "percentile")
+    method = method or ("approx" if approx else "bucketed")
     s = F.col("salary_min_annualized_eur")
     probs = [0.25, 0.5, 0.75]
     rows = fct.filter(F.col("seniority").isin(T.PAY_SENIORITIES))

@@ -1,14 +1,13 @@
 """Reporting queries over the fact and the marts.
 
-Each report returns a DataFrame; nothing is collected, except the <= 10 city
-names a pivot needs for its column list (bounded by the report's own limit).
+Each report returns a DataFrame; nothing is collected.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirescope.functions import taxonomy as T
@@ -24,7 +23,6 @@ class PostingFilter:
     cities: list[str] | None = None
     roles: list[str] | None = None
     english_only: bool = False
-    extra: dict = field(default_factory=dict)
 
     def apply(self, fct: DataFrame) -> DataFrame:
         out = fct
@@ -99,24 +97,24 @@ def skill_city_heatmap(fct: DataFrame, flt: PostingFilter = NO_FILTER,
     """Top 15 skills x top 10 cities, missing cells 0.
 
     Both top sets come from the G5 counts (bounded: <= 15 and <= 10 keys, so the
-    semi joins broadcast them). The pivot is built with ``groupBy.pivot`` and,
-    for comparison, unpivoted back to ``(skill_name, city, n)`` including the
-    zero cells.
+    semi joins broadcast them). Each skill's cells become one row, which is then
+    exploded over the cities that any of them has: at most 15 rows with 10
+    entries. ``long_form=False`` pivots that to one column per city.
     """
-    # small (skills x cities) and read four times: materialise it once
-    counts = skill_city_counts(fct, flt).checkpoint(eager=True)
+    counts = skill_city_counts(fct, flt)
     ts = top_k(counts.groupBy("skill_name").agg(F.sum("n").alias("t")),
                T.HEATMAP_TOP_SKILLS, [F.col("t").desc()], ["skill_name"]).select("skill_name")
     tc = top_k(counts.groupBy("city").agg(F.sum("n").alias("t")),
                T.HEATMAP_TOP_CITIES, [F.col("t").desc()], ["city"]).select("city")
     sub = semi_join_small(semi_join_small(counts, ts, "skill_name"), tc, "city")
-    present = sorted(r["city"] for r in sub.select("city").distinct().collect())  # <= 10 names
-    wide = sub.groupBy("skill_name").pivot("city", present).agg(F.sum("n")).na.fill(0)
-    if not long_form:
-        return wide
-    if not present:
-        return sub.select("skill_name", "city", "n")
-    return wide.unpivot("skill_name", [F.col(f"`{c}`") for c in present], "city", "n")
+    per = sub.groupBy("skill_name").agg(F.collect_list(F.struct("city", "n")).alias("cells"))
+    shown = F.array_distinct(F.flatten(F.collect_list("cells.city").over(Window.partitionBy(F.lit(1)))))
+    grid = per.withColumn("shown", shown).select("skill_name", "cells", F.explode("shown").alias("city"))
+    n = F.expr("aggregate(filter(cells, c -> c.city = city), 0L, (s, c) -> s + c.n)")
+    long = grid.select("skill_name", "city", n.alias("n"))
+    if long_form:
+        return long
+    return long.groupBy("skill_name").pivot("city").agg(F.sum("n"))
 
 
 def language_gate_table(mart_gate: DataFrame, cities: list[str] | None = None,
@@ -135,14 +133,16 @@ def language_gate_table(mart_gate: DataFrame, cities: list[str] | None = None,
               .orderBy(F.col("pct_english_ok").desc_nulls_last(), "city", "role_family"))
 
 
-def language_gate_pivot(mart_gate: DataFrame) -> DataFrame:
+def language_gate_pivot(mart_gate: DataFrame, cities: list[str] | None = None,
+                        roles: list[str] | None = None) -> DataFrame:
     """City x role family of pct_german_required (mean), missing cells NULL.
 
-    Role families are a fixed enumeration, so the pivot columns are known
-    without a pass over the data.
+    Role families are a fixed enumeration, so the pivot columns (those selected)
+    are known without a pass over the data.
     """
-    return (mart_gate.groupBy("city").pivot("role_family", T.ROLE_FAMILIES)
-            .agg(F.avg("pct_german_required")))
+    shown = [r for r in T.ROLE_FAMILIES if roles is None or r in roles]
+    table = language_gate_table(mart_gate, cities, roles)
+    return table.groupBy("city").pivot("role_family", shown).agg(F.avg("pct_german_required"))
 
 
 def skills_gated_by_german(mart_skill: DataFrame) -> DataFrame:

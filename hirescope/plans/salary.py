@@ -28,7 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -218,22 +218,27 @@ class GBTParams:
     seed: int = T.GBT_SEED
 
 
-def pipeline(spec: FeatureSpec, p: GBTParams) -> Pipeline:
-    """label -> features -> GBT. Every stage is a Spark ML stage, so the fitted
-    PipelineModel is saved and loaded with Spark ML persistence (A8)."""
+def preparation(spec: FeatureSpec) -> PipelineModel:
+    """salary -> label, indicator columns -> one vector (nothing to fit)."""
     label = SQLTransformer(statement="SELECT *, ln(salary) AS label FROM __THIS__")
-    vec = VectorAssembler(inputCols=spec.columns, outputCol="features")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=p.trees,
-                       maxDepth=p.depth, stepSize=p.learning_rate,
-                       minInstancesPerNode=p.min_child, subsamplingRate=p.subsample,
-                       featureSubsetStrategy=str(p.colsample), seed=p.seed)
-    return Pipeline(stages=[label, vec, gbt])
+    return PipelineModel(stages=[label, VectorAssembler(inputCols=spec.columns, outputCol="features")])
 
 
-def _fit_frame(train: DataFrame, spec: FeatureSpec) -> DataFrame:
-    # training is iterative (one pass per tree): keep the small feature frame in
-    # memory, spilling to disk rather than recomputing the regex enrichment
-    return spec.featurize(train).persist(StorageLevel.MEMORY_AND_DISK)
+def regressor(p: GBTParams) -> GBTRegressor:
+    return GBTRegressor(featuresCol="features", labelCol="label", maxIter=p.trees,
+                        maxDepth=p.depth, stepSize=p.learning_rate,
+                        minInstancesPerNode=p.min_child, subsamplingRate=p.subsample,
+                        featureSubsetStrategy=str(p.colsample), seed=p.seed)
+
+
+def _fit_frame(train: DataFrame, spec: FeatureSpec, *keep: str) -> DataFrame:
+    """label, features (one sparse vector) and the columns to ``keep``, persisted.
+
+    Training is iterative (one pass per tree): the narrow frame stays in memory,
+    spilling to disk, instead of the wide rows being read again.
+    """
+    return (preparation(spec).transform(spec.featurize(train)).select(*keep, "label", "features")
+            .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 @dataclass
@@ -277,7 +282,8 @@ def train_model(train: DataFrame, p: GBTParams | None = None, spec: FeatureSpec
     try:
         if data.count() < min_training_rows(spec):
             return None
-        model = pipeline(spec, p).fit(data)
+        # every stage is a Spark ML stage, so the model is saved and loaded as one
+        model = PipelineModel(stages=[*preparation(spec).stages, regressor(p).fit(data)])
     finally:
         data.unpersist()
     if not save:
@@ -295,13 +301,13 @@ def cv_predictions(train: DataFrame, p: GBTParams | None = None,
     p = p or GBTParams()
     spec = spec or feature_spec(train)
     folded, label, count, splits = assign_folds(train)
-    data = _fit_frame(folded, spec)
-    pipe = pipeline(spec, p)
+    data = _fit_frame(folded, spec, "repeat", "fold")
+    gbt = regressor(p)
 
     def run(split):
         rep, fold = split
         part = data.filter(F.col("repeat") == rep)
-        m = pipe.fit(part.filter(F.col("fold") != fold))
+        m = gbt.fit(part.filter(F.col("fold") != fold))
         return (m.transform(part.filter(F.col("fold") == fold))
                 .select(F.lit(rep).alias("repeat"), F.lit(fold).alias("fold"), "label",
                         "prediction"))
@@ -457,3 +463,65 @@ def mean_abs_shap(sm: SalaryModel, train: DataFrame) -> DataFrame:
     named = agg.join(F.broadcast(sm.spec.names_frame(train.sparkSession)), "feature_idx")
     return top_k(named.select("feature", "importance"), T.TOP_DRIVERS,
                  [F.col("importance").desc()], ["feature"])
+
+
+def model_gate(train: DataFrame) -> DataFrame:
+    """H7: rows, features, rows that training needs, and whether it runs (one row)."""
+    spec = feature_spec(train)
+    need = min_training_rows(spec)
+    return train.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", F.lit(len(spec.names)).cast("long").alias("n_features"),
+        F.lit(need).cast("long").alias("min_rows"), (F.col("n_rows") >= need).alias("trains"))
+
+
+def _tree_predictions(x: np.ndarray, trees: list[dict], weights: list[float]) -> np.ndarray:
+    """The ensemble's prediction from the saved node table."""
+    out = np.zeros(len(x))
+    for tree, w in zip(trees, weights):
+        for value, path in _leaf_paths(tree):
+            here = np.ones(len(x), bool)
+            for f, left, split, ncat, _ in path:
+                gl = _goes_left(x[:, f], split, ncat)
+                here &= gl if left else ~gl
+            out[here] += w * value
+    return out
+
+
+def model_checks(sm: SalaryModel, train: DataFrame, tol: float = 1e-6) -> DataFrame:
+    """H10-H12 held against each other on every training row (one row of counts).
+
+    ``n_shap_off``: rows whose SHAP values and base do not add up to the prediction;
+    ``n_trees_off``: rows whose prediction differs from the saved trees' own;
+    ``n_scores_off``: rows whose score is not exp of the prediction.
+    """
+    trees, weights = tree_table(sm)
+    cols = sm.spec.columns
+    scored = sm.model.transform(sm.spec.featurize(train)).select(*cols, "slug", "prediction")
+    scores = sm.score(train).withColumnRenamed("slug", "_slug")
+    both = scored.join(scores, F.col("slug") == F.col("_slug")).select(*cols, "prediction", "predicted_min_eur")
+
+    def per_batch(batches):
+        for pdf in batches:
+            x, p = pdf[cols].to_numpy(dtype=float), pdf["prediction"].to_numpy()
+            phi, base = shap_values(x, trees, weights)
+            score = pdf["predicted_min_eur"].to_numpy()
+            yield pd.DataFrame({
+                "n": [len(p)], "s": [int((np.abs(phi.sum(axis=1) + base - p) > tol).sum())],
+                "t": [int((np.abs(_tree_predictions(x, trees, weights) - p) > tol).sum())],
+                "e": [int((np.abs(score - np.exp(p)) > tol * score).sum())]})
+
+    parts = both.mapInPandas(per_batch, "n long, s long, t long, e long")
+    return parts.agg(F.sum("n").alias("n_rows"), F.sum("s").alias("n_shap_off"),
+                     F.sum("t").alias("n_trees_off"), F.sum("e").alias("n_scores_off"))
+
+
+def quality_report(sm: SalaryModel, train: DataFrame, p: GBTParams | None = None) -> DataFrame:
+    """Cross-validation errors, fold count and the importance table in one (section, name, value)."""
+    m = cv_metrics(train, p, sm.spec)
+    label = m.columns[2]
+    metrics = m.select(F.lit("metric").alias("section"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
+        for c in ("mae_log", "r2", label)])).alias("e")).select("section", "e.*")
+    drivers = mean_abs_shap(sm, train).select(
+        F.lit("driver").alias("section"), F.col("feature").alias("name"), F.col("importance").alias("value"))
+    return metrics.unionByName(drivers)

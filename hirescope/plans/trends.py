@@ -70,11 +70,13 @@ def snapshot_changes(history: DataFrame) -> DataFrame:
 
     ``history`` has one row per observation ``(slug, snapshot_date)``.
     """
+    # the snapshot dates, listed once (one row per snapshot, bounded by the calendar; a pass
+    # that reads the date column only) and used for numbering, the last index and the result
+    dates = sorted(r[0] for r in history.select("snapshot_date").distinct().collect() if r[0] is not None)
+    last_idx = len(dates)
+    snaps = history.sparkSession.createDataFrame(
+        [(d, i) for i, d in enumerate(dates, 1)], "snapshot_date date, idx int")
     obs = history.select("slug", "snapshot_date").distinct()
-    # one row per snapshot date: a small table, numbered by a single ordered window
-    snaps = obs.select("snapshot_date").distinct().withColumn(
-        "idx", F.row_number().over(Window.orderBy("snapshot_date")))
-    last_idx = snaps.agg(F.max("idx")).scalar()
     o = obs.join(F.broadcast(snaps), "snapshot_date")
     w = Window.partitionBy("slug").orderBy("idx")
     o = o.withColumn("prev_idx", F.lag("idx").over(w)).withColumn("next_idx", F.lead("idx").over(w))

@@ -21,7 +21,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.operators.partitioning import spread_for_cpu
+from hirescope.operators.partitioning import spread
 from hirescope.sources.tables import read_table
 
 # Integer expressions over k (order key) usable verbatim in Spark SQL and DuckDB.
@@ -210,11 +210,9 @@ def postings(spark: SparkSession, base: str) -> DataFrame:
           .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
           .select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"),
                   "o_orderdate", "c_name", "n_name"))
-    # Enrichment costs ~70 regex searches per posting: it is CPU-bound while the
-    # keys are a few bytes, so on a small input byte-based splitting (or AQE
-    # coalescing) would put it on very few tasks. In that case only, the narrow
-    # key columns (before any text exists) are hash-distributed over the cores.
-    j = spread_for_cpu(j, o, "k")
+    # Enrichment costs ~70 regex searches per posting, CPU-bound while the keys are a few
+    # bytes: the narrow key columns are dealt over the cores before any text exists.
+    j = spread(j, "k")
     picks = {name: _spark_pick(opts, key) for name, (opts, key) in PICKS.items()}
     description = F.concat_ws(" ", *[F.nullif(picks[p], F.lit("")) for p in DESCRIPTION_PARTS])
     ts = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("k") % 24).cast("int"))
