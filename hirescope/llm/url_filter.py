@@ -5,9 +5,10 @@ counted over the words of all pages, lets a Viterbi search split a label into
 its likeliest words ("cheappills" -> cheap, pills). The segmented host and
 path tokens feed a multinomial naive Bayes model with two classes. It learns
 from every page of the input: a page is a block example if one of its
-segmented tokens is in a small seed list of spam words or a block rule covers
-it, an allow example otherwise; what it adds to the seeds are the words, hosts
-and paths seen together with them. Tokens are hashed to 2^18 buckets, so the
+segmented tokens is in a small seed list of spam words, an allow example
+otherwise; what it adds to the seeds are the words, hosts and paths seen
+together with them. The rules decide their own pages and teach nothing: a
+rule for one path says nothing about that path elsewhere. Tokens are hashed to 2^18 buckets, so the
 model has a fixed size however many hosts there are; the unigram list keeps
 the ``UNIGRAMS`` most frequent words, counted over all pages.
 
@@ -131,9 +132,7 @@ def train(pages: DataFrame, words: dict[str, int], url: str = "url") -> tuple[np
         seg, seen = Segmenter(words), Counter()
         for b in batches:
             for u in b.column(0).to_pylist():
-                host, path = split_url(u)
-                rule, verdict = rule_of(host, path)
-                toks = seg.tokens(host, path)
+                toks = seg.tokens(*split_url(u))
                 label = 1 if any(t[2:] in SEEDS for t in toks) else 0
                 seen[(-1, label)] += 1
                 for t in toks:
