@@ -51,6 +51,7 @@ WORDS = 5
 HOT = 1024
 FEW = 8  # a column with more sets is multiplied as part of a group
 CHUNK = 500_000  # entries of a chunk of a group's rows
+ROWS = 2_500  # rows of a chunk, if they are short: a task's overlaps are at most some (4 * ROWS)^2 numbers
 SLAB = 4096  # columns multiplied at once
 BROADCAST_IDS = 400_000  # 8-byte ids of documents to be looked up: at most some 10 MB
 
@@ -294,8 +295,9 @@ def group_links(frequent: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): links that span the components among sets that share frequent columns.
 
     The sets that such columns tie together are a group. Its rows, in order of
-    size, are cut into chunks of at most ``CHUNK`` entries; two chunks meet in a
-    task unless all their sizes are too far apart. A task holds two chunks.
+    size, are cut into chunks of about ``CHUNK`` entries or ``ROWS`` short rows (no
+    task ever sorts a whole group); two chunks meet in a task unless all their
+    sizes are too far apart. A task holds two chunks.
     """
     least = frequent.groupBy("h").agg(F.min("name").alias("m")).withColumnRenamed("h", "lh")
     ties = frequent.join(least, F.col("h") == F.col("lh")).select(
@@ -303,9 +305,17 @@ def group_links(frequent: DataFrame, sets: DataFrame) -> DataFrame:
     groups = components(ties)
     groups = groups.select(F.col("node").alias("name"), F.col("comp").alias("g")).union(
         groups.select(F.col("comp").alias("name"), F.col("comp").alias("g")).distinct())
-    w = W.partitionBy("g").orderBy("n", "name").rowsBetween(W.unboundedPreceding, -1)
-    placed = C.stored(groups.join(sets.select("name", "n"), "name").withColumn(
-        "c", (F.coalesce(F.sum("n").over(w), F.lit(0)) / CHUNK).cast("int")), "join-groups")
+    sized = groups.join(sets.select("name", "n"), "name").withColumn(
+        "load", F.greatest(F.col("n"), F.lit(CHUNK // ROWS)))
+    # chunks are dealt out by set size; the sets of one size are split by hash where they fill several
+    w = W.partitionBy("g").orderBy("n").rowsBetween(W.unboundedPreceding, -1)  # one row per set size
+    steps = sized.groupBy("g", "n").agg(F.sum("load").alias("t")).select(
+        F.col("g").alias("tg"), F.col("n").alias("tn"),
+        F.floor(F.coalesce(F.sum("t").over(w), F.lit(0)) / CHUNK).alias("first"), F.ceil(F.col("t") / CHUNK).alias("parts"))
+    placed = C.stored(
+        sized.join(steps, (F.col("g") == F.col("tg")) & (F.col("n") == F.col("tn")))
+        .select("g", "name", "n", (F.col("first") + F.pmod(F.xxhash64("name"), F.col("parts"))).cast("int").alias("c")),
+        "join-groups")
     spans = placed.groupBy("g", "c").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     one = spans.select(F.col("g").alias("g1"), F.col("c").alias("i"), F.col("hi").alias("hi1"))
     meets = (spans.join(one, (F.col("g") == F.col("g1")) & (F.col("i") <= F.col("c"))
