@@ -28,8 +28,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, checked to decode to its text."""
-    return sp_codec.encoded_documents(docs)
+    """Token ids of every document, checked to decode to its text; copies of one are segmented anew."""
+    return sp_codec.encoded_documents(docs, copies=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),

@@ -3,28 +3,30 @@
 The model is a BPE SentencePiece model with byte fallback, given by path; it is
 only read, never trained. Encoding follows the model's own agenda: adjacent
 symbols whose union is a piece wait in a priority queue, the best scored is
-merged first, the leftmost on ties. With dropout, a popped candidate is skipped
-if a hash keyed by the seed, the unit, its variant, the place and the piece
-falls below the rate, so a text's segmentation is varied but the same on every
-run and every executor. Rate 0 is plain SentencePiece encoding.
+merged first, the leftmost on ties. With dropout, every popped candidate is
+skipped with the rate as its chance, drawn from a 64-bit hash of the seed, the
+document's key and the unit's place in the text: every occurrence of a word has
+draws of its own, the same on every run and every executor. Rate 0 is plain
+SentencePiece encoding.
 
 No piece continues past a word start or a line end, so a text is encoded unit
-by unit (white space run plus word), and units are memoised; a unit's variant
-turns with its place in the text and the document's key, over ``VARIANTS``
-seeds. Decoding joins the pieces' bytes. A literal U+2581 - the model's mark
+by unit (white space run plus word). The gaps from skip to skip are geometric:
+an occurrence whose first gap reaches past the end of its unit's dropout-free
+agenda is plainly encoded, once for all such occurrences of a chunk; each other
+occurrence runs an agenda of its own. Decoding joins the pieces' bytes. A literal U+2581 - the model's mark
 for a space - is written as its bytes, so that decoding is lossless for every
 text.
 
 Defined results: null text gives null ids and decodes to null (lossless); an
-empty text gives no ids; repeated rows give repeated, equal rows; an empty
-table gives an empty result; only the key and the text are read, or, in
-``encode``, extra columns pass through.
+empty text gives no ids; repeated rows give repeated, equal rows (unless
+``copies`` of a key are told apart); an empty table gives an empty result; only
+the key and the text are read, or, in ``encode``, extra columns pass through.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +39,9 @@ from hirescope.llm import common as C
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE = 0.1
 SEED = 17
-VARIANTS = 2
-CACHE = 400_000  # units remembered per worker
-LONGEST_KEPT = 48
+VARIANTS = 64  # draws that the tests walk through; in a text every occurrence has its own, of 64 bits
+LONGEST_KEPT = 48  # longer units are encoded one by one
+ROWS = 50_000  # units whose agendas run side by side
 MARK = "▁"
 
 
@@ -61,8 +63,13 @@ class Codec:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         n = sp.get_piece_size()
-        self.limit = int(rate * (1 << 32))
-        self.seed = seed & 0xFFFFFFFF
+        self.seed = C.mix64(np.array([seed & 0xFFFFFFFF], np.uint64) + np.uint64(1))
+        # a gap reaches k candidates if its draw is below (1 - rate)^k
+        stay, self.reach = 1.0, []
+        while rate > 0 and (stay := stay * (1 - rate)) * 2.0 ** 64 >= 1:
+            self.reach.append(int(stay * 2.0 ** 64))
+        self.reach = np.array(self.reach[::-1], np.uint64)
+        self.drops = rate > 0
         self.merges: dict[str, tuple[float, int]] = {}
         self.bytes_of: list[bytes] = []
         self.byte_ids = [0] * 256
@@ -77,21 +84,36 @@ class Codec:
             else:
                 self.merges[piece] = (-sp.get_score(i), i)
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
-        self.mark_bytes = self._packed([self.byte_ids[b] for b in MARK.encode()])
-        self.cache: dict[int, bytes] = {}
         self._tables()
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
         return np.array(ids, np.int32).tobytes()
 
+    def _gaps(self, draws: np.ndarray, level: np.ndarray | int) -> np.ndarray:
+        """Candidates popped before the skip number ``level`` of each occurrence, since the last skip."""
+        u = C.mix64(draws + (np.atleast_1d(level).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+        return len(self.reach) - np.searchsorted(self.reach, u, "right")
+
+    def _skips(self, draw: np.uint64) -> Iterator[int]:
+        """The numbers of an occurrence's skipped candidates."""
+        last, level = -1, 0
+        while self.drops:
+            at = last + np.cumsum(self._gaps(np.full(256, draw, np.uint64), np.arange(level, level + 256)) + 1)
+            yield from at.tolist()
+            last, level = int(at[-1]), level + 256
+
     def _unit(self, unit: str, variant: int) -> bytes:
-        """The ids of one unit by agenda, as packed int32."""
-        merges, limit = self.merges, self.limit
+        """The ids of one unit by agenda, as packed int32; ``variant`` is its draw."""
+        return self._packed(self._agenda(unit, self._skips(np.uint64(variant))))
+
+    def _agenda(self, unit: str, skips: Iterator[int]) -> list[int]:
+        """The ids of one unit by a priority queue, without the candidates of the numbers ``skips``."""
+        merges = self.merges
         sym: list[str] = list(unit)
         n = len(sym)
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        key = zlib.crc32(unit.encode(), (self.seed + 0x9E3779B9 * variant) & 0xFFFFFFFF) if limit else 0
+        pops, skip = 0, next(skips, -1)
         agenda: list[tuple[float, int, int, int]] = []
         for i in range(n - 1):
             m = merges.get(sym[i] + sym[i + 1])
@@ -104,12 +126,10 @@ class Codec:
             # gone, or merged with something else meanwhile
             if j < 0 or not sym[i] or len(sym[i]) + len(sym[j]) != size:
                 continue
-            if limit:
-                x = (key ^ (i * 0x85EBCA6B) ^ (piece * 0xC2B2AE35)) & 0xFFFFFFFF
-                x = ((x ^ (x >> 16)) * 0x7FEB352D) & 0xFFFFFFFF
-                x = ((x ^ (x >> 15)) * 0x846CA68B) & 0xFFFFFFFF
-                if x ^ (x >> 16) < limit:
-                    continue
+            pops += 1
+            if pops - 1 == skip:
+                skip = next(skips, -1)
+                continue
             merged = sym[i] = sym[i] + sym[j]
             sym[j] = ""
             j = right[i] = right[j]
@@ -131,77 +151,119 @@ class Codec:
                     ids.append(m[1])
                 else:
                     ids.extend(self.byte_ids[b] for b in s.encode())
-        return self._packed(ids)
+        return ids
 
     def _units(self, units: list[str], variants: np.ndarray) -> list[bytes]:
-        """The ids of many units at once: the agendas of all units are rows of a matrix.
+        """``_unit`` of many units."""
+        text = "".join(units)
+        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        size = np.array([len(u) for u in units])
+        ids, n, _ = self._side_by_side(self.char_ids[chars], np.cumsum(size) - size, size,
+                                       np.asarray(variants).astype(np.uint64), np.frombuffer(text.encode(), np.uint8))
+        return [ids[e - k:e].tobytes() for e, k in zip(np.cumsum(n).tolist(), n.tolist(), strict=True)]
 
-        Row by row the same as ``_unit``: ``rank`` holds the waiting candidates, the
-        smallest (leftmost on ties) is popped, skipped or merged, and a merge renews
-        the candidates at its two sides.
+    def _side_by_side(self, chars: np.ndarray, begin: np.ndarray, size: np.ndarray, draws: np.ndarray | None,
+                      data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of many units one after another, their numbers of ids, and of candidates popped.
+
+        ``chars`` are the symbols of all characters of ``data``, ``begin`` and ``size`` the units
+        in it; no ``draws``, no skips. Those of like length share a matrix.
         """
-        n, width = len(units), max(map(len, units))
-        text = np.array(units, f"<U{width}").view(np.uint32).reshape(n, width)
-        size = np.array([len(u) for u in units])
-        sym = self._char_ids(text)
-        # an unknown character keeps a symbol of its own that joins nothing
-        sym[np.arange(width) >= size[:, None]] = self.no_symbol
-        place = np.broadcast_to(np.arange(width, dtype=np.uint32), (n, width)).copy()
-        rank, made = self._pairs(sym[:, :-1], sym[:, 1:])
-        key = np.zeros(n, np.uint32)
-        if self.limit:
-            key = np.array([zlib.crc32(u.encode(), (self.seed + 0x9E3779B9 * int(v)) & 0xFFFFFFFF)
-                            for u, v in zip(units, variants, strict=True)], np.uint32)
-        rows = np.arange(n)  # units still at work
-        done: list[bytes] = [b""] * n
+        n, pops = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+        order = np.argsort(size, kind="stable")
+        sizes = size[order]
+        done, places, at = [], [], 0
+        while at < len(order):
+            to = min(int(np.searchsorted(sizes, sizes[at] + 3, "right")), at + ROWS)
+            part = order[at:to]
+            sym, where, n[part], pops[part] = self._matrix(
+                chars, begin[part], size[part], None if draws is None else draws[part])
+            done.append(sym)
+            places.append(where)
+            at = to
+        if not done:
+            return np.zeros(0, np.int32), n, pops
+        sym, where = np.concatenate(done), np.concatenate(places)
+        odd = np.flatnonzero(sym >= len(self.bytes_of))
+        if len(odd):  # a character that is no piece gives its bytes
+            first = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+            width = np.ones(len(sym), np.int64)
+            width[odd] = first[where[odd] + 1] - first[where[odd]]
+            stop = np.cumsum(width)
+            out = np.repeat(sym, width)
+            part = np.arange(int(width[odd].sum())) - np.repeat(np.cumsum(width[odd]) - width[odd], width[odd])
+            byte = np.array(self.byte_ids, np.int32)[data[np.repeat(first[where[odd]], width[odd]) + part]]
+            out[np.repeat(stop[odd] - width[odd], width[odd]) + part] = byte
+            row = np.repeat(order, n[order])
+            n = np.bincount(row, width, len(size)).astype(np.int64)
+            sym = out
+        # from the order of lengths to that of the units
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return ragged(sym, n[order], back)[0], n, pops
+
+    def _matrix(self, chars: np.ndarray, begin: np.ndarray, size: np.ndarray,
+                draws: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The symbols of units, each one's first character, the symbols per unit, and the pops.
+
+        The agendas of all units are rows of a matrix, row by row the same as ``_agenda``:
+        ``rank`` holds the waiting candidates at their left symbols' places, every round pops
+        the smallest (leftmost on ties) of every row and skips it or merges, and a merge renews
+        the candidates at its two sides. Symbols are linked, so nothing moves.
+        """
+        n, width = len(size), int(size.max())
+        step = width + 2  # a column without symbol at either side
         cols = np.arange(width)
-        while len(rows):
-            best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), np.int64)
-            here = np.arange(len(rows))
-            top = rank[here, best] if rank.shape[1] else np.full(len(rows), self.no_rank)
-            end = top == self.no_rank
-            if end.any():
-                self._finish(np.flatnonzero(end), units, rows, sym, place, size, done)
-                go = ~end
-                rows, key, sym, place, rank, made, size, best = (
-                    rows[go], key[go], sym[go], place[go], rank[go], made[go], size[go], best[go])
-                here = np.arange(len(rows))
-                if not len(rows):
+        sym = np.full((n, step), self.no_symbol, np.int32)
+        inside = cols < size[:, None]
+        sym[:, 1:-1][inside] = chars[(begin[:, None] + cols)[inside]]
+        after = np.tile(np.arange(1, step + 1, dtype=np.int16), (n, 1))
+        before = after - np.int16(2)
+        rank = np.full((n, step), self.no_rank, np.int32)
+        rank[:, 1:-1] = self._pairs(sym[:, 1:-1], sym[:, 2:])
+        gone = np.zeros((n, step), bool)
+        s, r, a, b, g = sym.ravel(), rank.ravel(), after.ravel(), before.ravel(), gone.ravel()
+        pops = np.zeros(n, np.int64)
+        live, waiting = np.arange(n), rank  # waiting: the rows of rank that live (or a little more)
+        skip = self._gaps(draws, 0) if draws is not None else None
+        level = np.ones(n, np.int64)
+        pop = 0  # every row pops one candidate a round
+        while len(live):
+            best = waiting.argmin(axis=1) if waiting is rank else rank[live].argmin(axis=1)
+            base = live * step
+            here = base + best
+            top = r[here]
+            go = top != self.no_rank
+            if not go.all():
+                pops[live[~go]] = pop
+                live, base, here, top, waiting = live[go], base[go], here[go], top[go], None
+                if not len(live):
                     break
-            piece = made[here, best]
-            rank[here, best] = self.no_rank
-            if self.limit:
-                x = key ^ (place[here, best] * np.uint32(0x85EBCA6B)) ^ (
-                    piece.astype(np.uint32) * np.uint32(0xC2B2AE35))
-                x = (x ^ (x >> np.uint32(16))) * np.uint32(0x7FEB352D)
-                x = (x ^ (x >> np.uint32(15))) * np.uint32(0x846CA68B)
-                x ^= x >> np.uint32(16)
-                take = np.flatnonzero(x >= self.limit)
-            else:
-                take = here
-            if not len(take):
+            if skip is not None:
+                hit = skip[live] == pop
+                if hit.any():
+                    rows = live[hit]
+                    r[here[hit]] = self.no_rank
+                    skip[rows] = pop + 1 + self._gaps(draws[rows], level[rows])
+                    level[rows] += 1
+                    base, here, top = base[~hit], here[~hit], top[~hit]
+            pop += 1
+            if not len(here):
                 continue
-            at = best[take]
-            sym[take, at] = piece[take]
-            size[take] -= 1
-            # close the gap behind the merged symbol
-            w = sym.shape[1]
-            idx = np.minimum(cols[:w] + (cols[:w] > at[:, None]), w - 1)
-            moved = np.take_along_axis(sym[take], idx, 1)
-            moved[:, -1] = self.no_symbol
-            sym[take] = moved
-            place[take] = np.take_along_axis(place[take], idx, 1)
-            idx = np.minimum(cols[:w - 1] + (cols[:w - 1] > at[:, None]), w - 2)
-            for m in (rank, made):
-                m[take] = np.take_along_axis(m[take], idx, 1)
-            rank[take, w - 2] = self.no_rank
-            right = at < w - 1
-            t, a = take[right], at[right]
-            rank[t, a], made[t, a] = self._pairs(sym[t, a], sym[t, a + 1])
-            left = at > 0
-            t, a = take[left], at[left] - 1
-            rank[t, a], made[t, a] = self._pairs(sym[t, a], sym[t, a + 1])
-        return done
+            gone_at = base + a[here]
+            far = a[gone_at]
+            right = base + far
+            left = base + b[here]
+            made = self.piece_at[top]
+            s[here] = made
+            g[gone_at] = True
+            r[gone_at] = self.no_rank
+            a[here] = far
+            b[right] = here - base
+            both = self._pairs(np.concatenate([s[left], made]), np.concatenate([made, s[right]]))
+            r[left], r[here] = both[:len(here)], both[len(here):]
+        stays = inside & ~gone[:, 1:-1]
+        return sym[:, 1:-1][stays], (begin[:, None] + cols)[stays], stays.sum(axis=1), pops
 
     def _tables(self) -> None:
         """Symbols are pieces and single characters; a pair of them that makes a piece has its rank."""
@@ -223,62 +285,22 @@ class Codec:
         keys = np.array(sorted(pairs), np.int64)
         self.pair_keys = keys
         self.pair_rank = np.array([pairs[k][0] for k in keys.tolist()], np.int32)
-        self.pair_made = np.array([pairs[k][1] for k in keys.tolist()], np.int32)
+        self.piece_at = np.array(sorted(order, key=order.get), np.int32)  # by rank
         self.char_ids = np.full(0x110000, self.no_symbol, np.int32)
         for c, i in symbols.items():
             if len(c) == 1:
                 self.char_ids[ord(c)] = i
 
-    def _char_ids(self, chars: np.ndarray) -> np.ndarray:
-        return self.char_ids[chars]
-
-    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) * self.radix + b
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        hit = self.pair_keys[at] == key
-        return np.where(hit, self.pair_rank[at], self.no_rank), np.where(hit, self.pair_made[at], 0)
-
-    def _finish(self, ended: np.ndarray, units: list[str], rows: np.ndarray, sym: np.ndarray,
-                place: np.ndarray, size: np.ndarray, done: list[bytes]) -> None:
-        """Pack the ids of the ended rows; a character that is no piece gives its bytes."""
-        w = sym.shape[1]
-        ids = np.ascontiguousarray(sym[ended], np.int32)
-        sizes = size[ended]
-        odd = ((ids >= len(self.bytes_of)) & (np.arange(w) < sizes[:, None])).any(axis=1)
-        packed = ids.tobytes()
-        at = (np.arange(len(ended)) * w * 4).tolist()
-        for r, a, k, o, e in zip(rows[ended].tolist(), at, (sizes * 4).tolist(), odd.tolist(), ended.tolist(), strict=True):
-            if o:
-                out: list[int] = []
-                for x, p in zip(sym[e, :k // 4].tolist(), place[e, :k // 4].tolist(), strict=True):
-                    out.extend([x] if x < len(self.bytes_of) else [self.byte_ids[b] for b in units[r][p].encode()])
-                done[r] = self._packed(out)
-            else:
-                done[r] = packed[a:a + k]
-
-    def _new_units(self, units: list[str], variants: np.ndarray) -> list[bytes]:
-        """The ids of units not met before, those of like length together."""
-        out: list[bytes] = [b""] * len(units)
-        order = sorted(range(len(units)), key=lambda i: len(units[i]))
-        at = 0
-        while at < len(order) and len(units[order[at]]) <= LONGEST_KEPT:
-            most = min(len(units[order[at]]) + 3, LONGEST_KEPT)
-            to = at
-            while to < len(order) and to - at < 50_000 and len(units[order[to]]) <= most:
-                to += 1
-            part = order[at:to]
-            for i, ids in zip(part, self._units([units[i] for i in part], variants[part]), strict=True):
-                out[i] = ids
-            at = to
-        for i in order[at:]:
-            out[i] = self._unit(units[i], int(variants[i]))
-        return out
+        return np.where(self.pair_keys[at] == key, self.pair_rank[at], self.no_rank)
 
     def encode_texts(self, texts: pa.Array, turns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of whole texts, where each text's begin and end, and the bytes that they stand for.
 
         The bytes are the texts', each text that is not empty behind one space (the
-        model's mark of a text's start).
+        model's mark of a text's start). ``turns`` are the documents' keys as 64-bit hashes.
         """
         raw, ends = C.text_bytes(texts)
         lens = np.diff(ends)
@@ -304,25 +326,38 @@ class Codec:
         sizes = np.diff(np.append(starts, len(data)))
         text_of = np.searchsorted(first, starts, "right") - 1
         begin = np.searchsorted(starts, first)
-        variant = (np.arange(len(starts)) - begin[text_of] + turns[full][text_of]) % VARIANTS
-        key = C.mix64(C.run_hashes(data, starts, sizes) + variant.astype(np.uint64))
-        names, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-        got = list(map(self.cache.get, names.tolist()))
-        new = [i for i, g in enumerate(got) if g is None]
-        if new:
-            flat = data.tobytes()
-            spans = [(int(starts[at[i]]), int(sizes[at[i]])) for i in new]
-            units = [flat[a:a + n].decode() for a, n in spans]
-            fresh = self._new_units([u.replace(" ", MARK) for u in units], variant[at[new]])
-            if len(self.cache) + len(new) > CACHE:
-                self.cache.clear()
-            for i, u, ids in zip(new, units, fresh, strict=True):
-                got[i] = ids = self.mark_bytes if u == MARK else ids
-                if len(u) <= LONGEST_KEPT:
-                    self.cache[int(names[i])] = ids
-        ids = np.frombuffer(b"".join(got), np.int32)
-        counts = np.fromiter(map(len, got), np.int64, len(got)) // 4
-        out, n = ragged(ids, counts, inverse)
+        place = (np.arange(len(starts)) - begin[text_of]).astype(np.uint64)
+        draws = C.mix64(C.mix64(turns.astype(np.uint64)[full] + self.seed)[text_of]
+                        + place * np.uint64(0xD6E8FEB86659FD93))
+        # the characters' symbols; a literal mark is none
+        flat = data.tobytes()
+        points = np.frombuffer(flat.decode().encode("utf-32-le"), np.uint32)
+        chars = self.char_ids[points]
+        chars[points == 0x20] = self.char_ids[ord(MARK)]
+        chars[points == ord(MARK)] = self.no_symbol
+        char_at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        begins = np.searchsorted(char_at, starts)
+        widths = np.diff(np.append(begins, len(points)))
+
+        short = np.flatnonzero(widths <= LONGEST_KEPT)
+        _, at, inverse = np.unique(C.run_hashes(data, starts, sizes)[short], return_index=True, return_inverse=True)
+        at = short[at]
+        ids, counts, pops = self._side_by_side(chars, begins[at], widths[at], None, data)
+        node = np.zeros(len(starts), np.int64)  # of every occurrence, the place of its ids
+        node[short] = inverse
+        if self.drops:
+            own = short[self._gaps(draws[short], 0) < pops[inverse]]
+            node[own] = len(counts) + np.arange(len(own))
+            more, n, _ = self._side_by_side(chars, begins[own], widths[own], draws[own], data)
+            ids, counts = np.concatenate([ids, more]), np.concatenate([counts, n])
+        long = np.flatnonzero(widths > LONGEST_KEPT)
+        if len(long):
+            units = [flat[starts[i]:starts[i] + sizes[i]].decode().replace(" ", MARK) for i in long]
+            more = [self._agenda(u, self._skips(draws[i])) for u, i in zip(units, long, strict=True)]
+            node[long] = len(counts) + np.arange(len(long))
+            ids = np.concatenate([ids, *(np.array(m, np.int32) for m in more)])
+            counts = np.append(counts, [len(m) for m in more])
+        out, n = ragged(ids, counts, node)
         per_text = np.zeros(len(lens) + 1, np.int64)
         per_text[full + 1] = np.add.reduceat(n, begin)
         return out, np.cumsum(per_text), data
@@ -353,6 +388,11 @@ class Codec:
         return b"".join([names[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])[1:].decode()
 
 
+def key_hash(key: object) -> int:
+    """64 bits that name a document."""
+    return int.from_bytes(hashlib.blake2b(str(key).encode(), digest_size=8).digest(), "little")
+
+
 _CODECS: dict[tuple, Codec] = {}
 
 
@@ -365,8 +405,13 @@ def codec(model: str, rate: float, seed: int) -> Codec:
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str = MODEL,
-           rate: float = RATE, seed: int = SEED, ids: str = "ids", lossless: str | None = None) -> DataFrame:
-    """``docs`` plus the ids of the whole text; ``lossless`` names a column that tells if decoding gave the text back."""
+           rate: float = RATE, seed: int = SEED, ids: str = "ids", lossless: str | None = None,
+           copies: bool = False) -> DataFrame:
+    """``docs`` plus the ids of the whole text; ``lossless`` names a column that tells if decoding gave the text back.
+
+    With ``copies``, rows of one key that follow one another, as the mix writes a document that it
+    takes twice, are numbered, and the number is part of the key: each copy has draws of its own.
+    """
     extra = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
     if lossless:
         extra.append(T.StructField(lossless, T.BooleanType()))
@@ -375,9 +420,15 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, rate, seed)
+        last, copy = None, -1
         for b in C.chunks(batches, text, 2 << 20):
             texts = b.column(text)
-            turns = np.array([zlib.crc32(str(k).encode()) % VARIANTS for k in b.column(key).to_pylist()])
+            keys = b.column(key).to_pylist()
+            for i, k in enumerate(keys if copies else ()):
+                last, copy = k, copy + 1 if k == last else 0
+                if copy:
+                    keys[i] = f"{k}#{copy}"
+            turns = np.array([key_hash(k) for k in keys], np.uint64)
             flat, ends, data = c.encode_texts(texts, turns)
             cols = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()),
                                              mask=texts.is_null() if texts.null_count else None)]
@@ -402,9 +453,9 @@ def decode(rows: DataFrame, ids: str = "ids", text: str = "text", model: str = M
     return rows.mapInArrow(run, schema)
 
 
-def encoded_documents(docs: DataFrame) -> DataFrame:
+def encoded_documents(docs: DataFrame, copies: bool = False) -> DataFrame:
     """(doc_id, ids, n_tokens, n_chars, lossless) of every document."""
-    rows = encode(docs.select("doc_id", "text"), lossless="lossless")
+    rows = encode(docs.select("doc_id", "text"), lossless="lossless", copies=copies)
     return rows.selectExpr("doc_id", "ids", "cast(coalesce(size(ids), 0) as long) as n_tokens",
                            "cast(coalesce(length(text), 0) as long) as n_chars", "lossless")
 

@@ -109,6 +109,26 @@ def test_matrix_agenda_equals_the_queue():
         assert c._units(units, np.full(len(units), v)) == [c._unit(u, v) for u in units]
 
 
+def test_every_occurrence_has_draws_of_its_own(spark):
+    c, plain = sp_codec.Codec(), sp_codec.Codec(rate=0.0)
+    word, n = " national", 4000
+    whole = plain.encode(word[1:]).tolist()
+    skips = [next(c._skips(x)) for x in common.mix64(np.arange(1, 20_001, dtype=np.uint64))]
+    for k in (1, 3, 8):  # each candidate is skipped with the rate
+        assert abs(sum(s >= k for s in skips) / 20_000 - 0.9 ** k) < 0.015
+    ids = c.encode((word * n)[1:], 3)
+    cuts, begin = [], 0
+    for i, end in enumerate(np.cumsum([len(c.bytes_of[t]) for t in ids.tolist()])):
+        if end % len(word) == 0:
+            cuts.append(tuple(ids[begin:i + 1].tolist()))
+            begin = i + 1
+    assert len(cuts) == n and len(set(cuts)) > 10 and whole == list(max(set(cuts), key=cuts.count))
+    assert len({c.encode("national", k).tobytes() for k in range(300)}) > 5  # and in every document
+    d = spark.createDataFrame([(1, "nation " * 50), (1, "nation " * 50), (2, "nation " * 50)], "doc_id long, text string").coalesce(1)
+    rows = sp_codec.encode(d, lossless="ok", copies=True).collect()
+    assert len({tuple(r.ids) for r in rows}) == 3 and all(r.ok for r in rows)
+
+
 def test_codec_tables(spark):
     d = spark.createDataFrame([(1, "a b", 3), (1, "a b", 3), (None, None, None), (2, "", 0)], "doc_id long, text string, n_tokens long")
     rows = sp_codec.encode(d.withColumnRenamed("n_tokens", "extra"), lossless="ok")
