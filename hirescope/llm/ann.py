@@ -107,21 +107,26 @@ class Cells:
 
 def top_k(queries: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray, allowed: np.ndarray,
           k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query (index, ids, distances) of its k nearest allowed rows, ties to the smaller id."""
+    """Per query (index, rows, distances) of its k nearest allowed ids, each at its nearest row, ties to the smaller id."""
     if not len(x):
         return
     rough = (queries ** 2).sum(1)[:, None] + (x ** 2).sum(1)[None] - 2 * queries @ x.T
     rough[~allowed | (ids[None] == own[:, None])] = np.inf
-    kk = min(k, rough.shape[1])
-    limit = np.partition(rough, kk - 1, axis=1)[:, kk - 1]
+    # an id's rows count once, at the nearest
+    by_id = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(ids[by_id]) != 0))
+    nearest = rough if len(first) == len(ids) else np.minimum.reduceat(rough[:, by_id], first, axis=1)
+    kk = min(k, nearest.shape[1])
+    limit = np.partition(nearest, kk - 1, axis=1)[:, kk - 1]
     scale = (x ** 2).sum(1).max() + (queries ** 2).sum(1).max()
     for i in range(len(queries)):
         # rounding can't hide a near or equal one: all within a margin are measured exactly
         near = np.flatnonzero((rough[i] <= limit[i] + 1e-9 * scale) & np.isfinite(rough[i]))
         if len(near):
             d = np.sqrt(((x[near] - queries[i]) ** 2).sum(1))
-            best = np.lexsort((ids[near], d))[:k]
-            yield i, ids[near][best], d[best]
+            best = np.lexsort((ids[near], d))
+            best = best[np.sort(np.unique(ids[near][best], return_index=True)[1])][:k]
+            yield i, near[best], d[best]
 
 
 def fit(vectors: DataFrame, dim: int, rows: int, sample: int = SAMPLE, seed: int = 7) -> Cells:
@@ -136,7 +141,7 @@ def fit(vectors: DataFrame, dim: int, rows: int, sample: int = SAMPLE, seed: int
 
 
 def index(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
-    """(id, v, cell) of every vector that takes part."""
+    """(id, v, cell) of every vector that takes part, equal rows once."""
     kind = vectors.schema["v"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +152,7 @@ def index(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
                     [b.column(0).take(pa.array(ok)), b.column(1).take(pa.array(ok)),
                      pa.array(cells.of(x).astype(np.int32))], names=["id", "v", "cell"])
 
-    return vectors.select("id", "v").mapInArrow(run, f"id long, v {kind}, cell int")
+    return vectors.select("id", "v").mapInArrow(run, f"id long, v {kind}, cell int").dropDuplicates()
 
 
 def share_to_visit(indexed: DataFrame, cells: Cells, sizes: np.ndarray, dim: int, is_query: str, k: int,
@@ -164,15 +169,14 @@ def share_to_visit(indexed: DataFrame, cells: Cells, sizes: np.ndarray, dim: int
         for b in batches:
             _, x = _matrix(b.column(1), dim)
             ids, cell = b.column(0).to_numpy(), b.column(2).to_numpy()
-            order = np.argsort(ids, kind="stable")
-            cell_of = dict(zip(ids[order].tolist(), cell[order].tolist(), strict=True))
             for i, near, d in top_k(q, x, ids, own, np.ones((len(q), len(x)), bool), k):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(near), i, np.int32)), pa.array(near), pa.array(d),
-                     pa.array([cell_of[n] for n in near.tolist()], pa.int32())], names=["q", "id", "d", "cell"])
+                    [pa.array(np.full(len(near), i, np.int32)), pa.array(ids[near]), pa.array(d),
+                     pa.array(cell[near])], names=["q", "id", "d", "cell"])
 
     w = W.partitionBy("q").orderBy("d", "id")
     true = (indexed.mapInArrow(run, "q int, id long, d double, cell int")
+            .groupBy("q", "id").agg(F.min(F.struct("d", "cell")).alias("m")).select("q", "id", "m.d", "m.cell")
             .withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k).collect())  # PROBES * k rows
     met: list[int] = []
     for i in range(len(q)):
@@ -306,7 +310,7 @@ def search(table: DataFrame, is_query: str, key: str = "vec_id", vector: str = "
                 allowed = seen[:, np.frombuffer(r["cells"], np.int32)].astype(bool)
                 for i, near, d in top_k(q, x, ids, qids, allowed, k):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(near), qids[i])), pa.array(near), pa.array(d)],
+                        [pa.array(np.full(len(near), qids[i])), pa.array(ids[near]), pa.array(d)],
                         names=["query_id", "vec_id", "score"])
 
     pairs = routed.withColumn("block", F.explode("where")).drop("where").join(blocks, "block")

@@ -229,6 +229,26 @@ def test_search_hard_vectors(spark):
     assert got == [(0, 1, 3, 0.0), (0, 2, 100, 0.0), (0, 3, 7, math.sqrt(5)), (100, 1, 0, 0.0), (100, 2, 3, 0.0), (100, 3, 7, math.sqrt(5))]
 
 
+def test_search_repeated_ids_hide_no_neighbour(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 4))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(100, x[1].tolist())]
+    rows += [(1, x[1].tolist())] * 25 + [(2, (x[2] + 1e-6 * j).tolist()) for j in range(25)]  # equal and unequal rows of one id
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.search(d, "id % 100 = 0", target=1.0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    for q, at in ((0, x[0]), (100, x[1])):
+        near = {}
+        for i, v in rows:
+            near[i] = min(near.get(i, math.inf), float(np.sqrt(((np.array(v) - at) ** 2).sum())))
+        near.pop(q)
+        assert got[q] == sorted(near, key=lambda i: (near[i], i))[:10]
+    ids = np.array([7] * 30 + list(range(10, 30)))
+    _, best, _ = next(ann.top_k(np.zeros((1, 1)), np.arange(50.0)[:, None], ids, np.array([0]), np.ones((1, 50), bool), 10))
+    assert ids[best].tolist() == [7, *range(10, 19)]
+
+
 def test_cells_are_visited_by_summed_distance():
     rng = np.random.default_rng(1)
     c = ann.Cells(rng.normal(size=(6, 2)), rng.normal(size=(5, 2)))
