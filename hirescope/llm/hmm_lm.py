@@ -123,9 +123,11 @@ class Model:
 
 
 def fit_words(counts: DataFrame) -> Model:
-    """The model's word part. To the driver: at most TOP words and CLASSES + 1 totals."""
+    """The model's word part. To the driver: at most TOP words, the end token and CLASSES + 1 totals."""
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = sorted(C.most_frequent(counts, TOP).collect(), key=lambda r: (-r.n, r.w))
+    end = F.col("w") == int(END)
+    top = C.most_frequent(counts, TOP).filter(~end).collect() + counts.filter(end).collect()  # the end is always known
+    top.sort(key=lambda r: (-r.n, r.w))
     words = np.array([r.w for r in top], np.int64).view(np.uint64)
     n = np.array([r.n for r in top], np.float64)
     model = Model(words, n, int(totals.n or 0), int(totals.v), np.zeros(CLASSES), np.zeros(CLASSES))

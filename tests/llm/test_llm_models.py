@@ -159,6 +159,18 @@ def test_hmm_base_score_and_proper_probability(spark, base):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)  # the states predict unseen text better
 
 
+def test_hmm_end_is_known_after_one_very_long_text(spark):
+    docs = [(5, " ".join(f"w{i}" for i in range(hmm_lm.TOP + 300))), (1, "w1 new")]
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs}
+    assert held == {5: False, 1: True}
+    c = collections.Counter(w for i, t in docs if not held[i] for w in [*words(t), None])
+    n, v = sum(c.values()), len(c)
+    for r in hmm_lm.score(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        toks = [*words(dict(docs)[r.doc_id]), None]
+        assert r.n_known == sum(c[w] > 0 for w in toks)
+        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in toks))
+
+
 def test_forward_and_counts_equal_enumeration():
     rng = np.random.default_rng(0)
     k, m = 3, 5
