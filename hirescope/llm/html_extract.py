@@ -6,9 +6,12 @@ reader comments) are cut by tag, role or a word in class or id. Every
 paragraph then passes points - one, plus its commas, plus one per 100
 characters up to three - to its parent, half of them to the grandparent and a
 third, a quarter ... further up; a container's points are discounted by its
-link density. The best container and those of its siblings that score near it
-are kept, and their blocks give the text: character references decoded, white
-space inside a block one space, blocks in page order joined by an empty line.
+link density. The best container is widened to the article or main element
+around it, if there is one; it and whatever stands beside it, loose text too,
+with little of it in links, are kept (beside an article, only containers that
+score near it and paragraphs), and their blocks give the text: character
+references decoded, white space inside a block one space, blocks in page order
+joined by an empty line.
 
 Defined results: null or empty html, or a page without any text outside the
 cut parts, gives an empty text; a cut-off page is read to its end with every
@@ -61,7 +64,7 @@ HEADER_WORDS = frozenset({"header", "topbar"})
 KEEP_TAGS = frozenset({"html", "body", "article", "main"})
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-NEAR = 0.2  # a sibling with this share of the best score is kept
+NEAR = 0.2  # a sibling of an article with this share of the best score is kept
 SEMANTIC = {"article": 25.0, "main": 10.0}
 
 
@@ -255,19 +258,41 @@ def main_text(page: str | None) -> str:
         return ""
     if best.tag in PARAGRAPH and best.parent is not None:
         best = best.parent
+    top, inside = best.bonus, best
+    while inside is not None and inside.tag not in SEMANTIC:
+        inside = inside.parent
+    best = inside or best
     if best.parent is None:
         return "\n\n".join(blocks(best))
-    kept = []
+    kept, run = [], Node("div", None)
+
+    def flush() -> None:
+        """The loose text and inline elements met since the last block, if little of them is linked."""
+        if run.linked * 4 < run.chars:
+            kept.extend(blocks(run))
+        run.kids, run.chars, run.linked = [], 0, 0
+
     for k in best.parent.kids:
-        if k is best:
-            kept += blocks(k)
-        elif isinstance(k, Node) and k.chars:
-            near = k.tag in BLOCK and k.bonus >= NEAR * best.bonus and k.linked * 4 < k.chars
-            if near or k.tag in PARAGRAPH and k.linked * 4 < k.chars:
+        if not isinstance(k, Node):
+            size = len(k[0].strip())
+            run.kids.append(k)
+            run.chars, run.linked = run.chars + size, run.linked + (size if k[1] else 0)
+        elif k.tag not in BLOCK and not _has_block(k):
+            run.kids.append(k)
+            run.chars, run.linked = run.chars + k.chars, run.linked + k.linked
+        else:
+            flush()
+            few = k.chars and k.linked * 4 < k.chars
+            if k is best or few and (inside is None or k.tag in PARAGRAPH or k.bonus >= NEAR * top):
                 kept += blocks(k)
+    flush()
     return "\n\n".join(kept)
 
 
+def _has_block(node: Node) -> bool:
+    return any(n.tag in BLOCK for n in _walk(node))
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of every page."""
     src = pages.select(key, url, html)

@@ -35,6 +35,19 @@ def test_main_text_cases(page, text):
     assert html_extract.main_text(page) == text
 
 
+LONG, SHORT = "word, and, more, " * 18 + "long.", "A short section's text."
+
+
+def test_main_text_keeps_uneven_parts():
+    sections = f"<section>{f'<p>{LONG}</p>' * 40}</section><section>{f'<p>{SHORT}</p>' * 3}</section>"
+    whole = "\n\n".join([LONG] * 40 + [SHORT] * 3)
+    assert html_extract.main_text(f"<body><article>{sections}</article><div><a href=x>More</a></div>") == whole
+    assert html_extract.main_text(f"<main><h1>T</h1><div>{sections}</div>end</main>") == f"T\n\n{whole}\n\nend"
+    parts = sections.replace("section>", "div>")
+    page = f"<div><i>Loose lead, text</i>{parts}<b>and</b> <i>after</i><div><a href=x>More</a></div></div><nav>n</nav>"
+    assert html_extract.main_text(page) == f"Loose lead, text\n\n{whole}\n\nand after"
+
+
 def test_extract_reads_named_columns_only(spark):
     d = spark.createDataFrame([(1, "u", "<p>hi</p>", "x"), (1, "u", "<p>hi</p>", "x"), (None, None, None, None)],
                               "page_id long, url string, html string, text string")
