@@ -5,14 +5,17 @@ leading ``>``. Consecutive lines of one level form a passage; a passage is
 normalised (lower case, white space collapsed, quote marks and edges trimmed)
 and hashed, and so is every unquoted passage and every unquoted line of every
 message. A quoted passage is joined to the earliest earlier message of the same
-conversation that wrote it itself; the first linked passage of the lowest
-level makes that message the reply's parent. Following the parents gives each
+conversation that wrote it itself. A quoted passage without such an original is
+cut into its lines and sentences, which are joined to the lines and sentences
+of earlier messages; the longest one found gives the passage's original. The
+first linked passage of the lowest level makes that message the reply's parent. Following the parents gives each
 message its thread; a conversation is put into reply order by thread (the
-turn of its root), then turn, and the quotes are taken out of the texts.
+turn of its root), then turn, and the quotes are taken out of the texts. The rows
+come range-partitioned and sorted by conversation, thread and turn.
 
 Originals are reduced to one row per (conversation, hash) with partial
 aggregation before the join, so a hot passage or conversation never meets
-itself; the order is given by columns, no conversation is gathered in a task.
+itself; ranges are cut inside conversations, none is gathered in a task.
 
 Defined results: null text is an empty message; a message whose quotes match
 nothing, or without quotes, roots its own thread; rows with a null conv_id
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from hirescope.llm import common as C
 
 MIN_CHARS = 1  # shorter normalised passages link nothing
+_SENTENCE = r"(?<=[.!?…])\s+|\n[ \t]*\n"
 _MARK = r"^[ \t]*(?:>[ \t]*)+"
 
 
@@ -64,6 +68,26 @@ def fingerprint(s: Column) -> Column:
     return F.when(F.length(n) >= MIN_CHARS, F.md5(n))
 
 
+def pieces(s: Column) -> Column:
+    """The lines, the sentences, and the sentences of each line."""
+    ls = F.split(s, "\n")
+    return F.array_distinct(F.concat(ls, F.split(s, _SENTENCE), F.flatten(F.transform(ls, lambda x: F.split(x, _SENTENCE)))))
+
+
+def originals(asking: DataFrame, parsed: DataFrame, parts: Column) -> DataFrame:
+    """``asking`` (conv_id, turn, h, ...) with the earlier ``origin`` whose message first wrote one of ``parts`` so."""
+    # only hashes that some quote of that conversation asks for are kept
+    asked = asking.groupBy("conv_id", "h").agg(F.count("*").alias("n"))
+    written = (parsed.select("conv_id", "turn", F.explode(parts).alias("part"))
+               .select("conv_id", "turn", fingerprint(F.col("part")).alias("h")).filter("h is not null")
+               .groupBy("conv_id", "h").agg(F.min("turn").alias("origin"))
+               .select(F.col("conv_id").alias("c"), F.col("h").alias("oh"), "origin"))
+    links = (asked.join(written, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("h") == F.col("oh")))
+             .select(F.col("c"), F.col("oh"), "origin"))
+    return asking.join(links, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("h") == F.col("oh"))
+                       & (F.col("origin") < F.col("turn"))).select(*asking.columns, "origin")
+
+
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                 text: str = "text") -> DataFrame:
     """One row per message: conv_id, turn, role, thread, reply_to, n_quotes, n_linked, text, formatted."""
@@ -76,26 +100,29 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
         "conv_id", "turn", "role", quoted.alias("quoted"), "raw",
         F.when(quoted, F.regexp_replace(F.regexp_replace(own, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")).otherwise(F.col("raw")).alias("text"))
 
-    # quotes: (conv_id, turn, place, level, h); only messages that quote are taken apart
+    # quotes: (conv_id, turn, place, level, h, body); only messages that quote are taken apart
     quotes = C.stored(
         parsed.filter("quoted").select(
             "conv_id", "turn", F.posexplode(F.filter(passages(lines(F.col("raw"))), lambda p: p["level"] > 0))
             .alias("place", "p"))
-        .select("conv_id", "turn", "place", "p.level", fingerprint(F.col("p.body")).alias("h"))
-        .filter("h is not null").dropDuplicates(), "chat-quotes")
-    # originals: whole messages, their paragraphs and lines, at the earliest turn that wrote them;
-    # only hashes that some quote of that conversation asks for are kept
+        .select("conv_id", "turn", "place", "p.level", fingerprint(F.col("p.body")).alias("h"), "p.body")
+        .filter("h is not null").dropDuplicates(["conv_id", "turn", "place", "level", "h"]), "chat-quotes")
+    # originals: whole messages, their paragraphs and lines, at the earliest turn that wrote them
     parts = F.array_distinct(F.concat(
         F.array(F.col("text")), F.split("text", r"\n[ \t]*\n"), F.split("text", "\n")))
-    asked = quotes.groupBy("conv_id", "h").agg(F.count("*").alias("n"))
-    written = (parsed.select("conv_id", "turn", F.explode(parts).alias("part"))
-               .select("conv_id", "turn", fingerprint(F.col("part")).alias("h")).filter("h is not null")
-               .groupBy("conv_id", "h").agg(F.min("turn").alias("origin"))
-               .select(F.col("conv_id").alias("c"), F.col("h").alias("oh"), "origin"))
-    links = (asked.join(written, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("h") == F.col("oh")))
-             .select(F.col("c"), F.col("oh"), "origin"))
-    found = quotes.join(links, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("h") == F.col("oh"))
-                        & (F.col("origin") < F.col("turn")))
+    names = ["conv_id", "turn", "place", "level", "h"]
+    found = C.stored(originals(quotes.select(*names), parsed, parts), "chat-found")
+    hit = found.select(*[F.col(c).alias(f"f_{c}") for c in names])
+    missed = C.stored(quotes.join(hit, F.expr(" and ".join(f"{c} <=> f_{c}" for c in names)), "left_anti"), "chat-missed")
+    if missed.limit(1).count():
+        cut = (missed.select("conv_id", "turn", "place", "level", F.col("h").alias("whole"),
+                             F.posexplode(pieces(F.col("body"))).alias("part", "piece"))
+               .select("conv_id", "turn", "place", "level", "whole", "part",
+                       F.length(normalised(F.col("piece"))).alias("size"), fingerprint(F.col("piece")).alias("h"))
+               .filter("h is not null"))
+        found = found.unionByName(
+            originals(cut, parsed, pieces(F.col("text"))).groupBy("conv_id", "turn", "place", "level", F.col("whole").alias("h"))
+            .agg(F.min(F.struct(-F.col("size"), "part", "origin"))["origin"].alias("origin")))
     parent = C.stored(found.groupBy("conv_id", "turn").agg(
         F.min(F.struct("level", "place", "origin"))["origin"].alias("reply_to"),
         F.count("*").alias("n_linked")), "chat-links")

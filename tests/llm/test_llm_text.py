@@ -204,6 +204,18 @@ def test_quote_linking_equals_brute_force(spark):
     assert sorted(map(tuple, got), key=str) == brute_quotes(CHAT)
 
 
+def test_quotes_of_parts_of_paragraphs_link(spark):
+    four = "First line of four\nsecond line here\nand the third one\nthen the last"
+    rows = [(1, 0, "user", four), (1, 1, "user", "It was late. Nobody came, sadly. We left."), (1, 2, "user", "noise"),
+            (1, 3, "user", "> second line here\n> and the third one\nyes"), (1, 4, "user", "> nobody came, sadly.\nTrue"),
+            (1, 5, "user", "> never written\n> by anyone\nno"), (1, 6, "user", "> and the third one\n> It was late. Nobody\nhm"),
+            (2, 1, "user", "> second line here\n> and the third one\nother conversation")]
+    got = {(r.conv_id, r.turn): (r.reply_to, r.thread, r.n_linked) for r in chat_quotes.link_quotes(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {(1, 0): (None, 0, 0), (1, 1): (None, 1, 0), (1, 2): (None, 2, 0), (1, 3): (0, 0, 1), (1, 4): (1, 1, 1),
+                   (1, 5): (None, 5, 0), (1, 6): (0, 0, 1), (2, 1): (None, 1, 0)}
+
+
 def test_quote_linking_follows_long_chains(spark):
     rows = [(1, i, "user", f"message number {i}" if not i else f"> message number {i - 1}\nmessage number {i}") for i in range(60)]
     got = chat_quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
