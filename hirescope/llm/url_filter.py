@@ -9,8 +9,10 @@ segmented tokens is in a small seed list of spam words, an allow example
 otherwise; what it adds to the seeds are the words, hosts and paths seen
 together with them. The rules decide their own pages and teach nothing: a
 rule for one path says nothing about that path elsewhere. Tokens are hashed to 2^18 buckets, so the
-model has a fixed size however many hosts there are; the unigram list keeps
-the ``UNIGRAMS`` most frequent words, counted over all pages.
+model has a fixed size however many hosts there are. All words of all pages are
+counted; the tasks hold those of up to ``SHORT`` letters, and the parts of the
+distinct labels are joined to the counts of the longer ones, so every label is
+split once, among all words that it may hold.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and no rule, and gets the class prior; repeated rows are judged alike; an
@@ -38,7 +40,7 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
          ("block", "net/es/"), ("block", "net/fr/"))
 SEEDS = frozenset("""adult bet bets bonus casino cheap cialis escort farm gamble gambling jackpot loan loans nude
     payday pharma pill pills poker porn replica sex slots spam torrent viagra warez win xxx""".split())
-UNIGRAMS = 50_000
+SHORT = 3  # words of so many letters are held by every task (18,278 at most)
 BUCKETS = 1 << 18
 MAX_WORD = 24
 WORDS = re.compile(r"[a-z]{1,24}")
@@ -70,19 +72,22 @@ def rule_of(host: str, path: str, rules: tuple = RULES) -> tuple[str | None, str
 class Segmenter:
     """Unigram Viterbi: the likeliest split of a run of letters into words."""
 
-    def __init__(self, counts: dict[str, int]) -> None:
-        total = sum(counts.values()) + len(counts) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None) -> None:
+        """``total`` of all words' counts and number; of ``counts`` if not given."""
+        self.total = total = (sum(counts.values()) + len(counts) if total is None else total) + 1
         self.logp = {w: math.log((c + 1) / total) for w, c in counts.items()}
         self.unknown = math.log(1 / total)
         self.split = lru_cache(200_000)(self._split)
 
-    def _split(self, s: str) -> tuple[str, ...]:
+    def _split(self, s: str, more: dict[str, int] | None = None) -> tuple[str, ...]:
+        """The words of ``s``; ``more`` are counts beside the model's own."""
+        extra = {w: math.log((c + 1) / self.total) for w, c in (more or {}).items()}
         best: list[tuple[float, int]] = [(0.0, 0)]
         for end in range(1, len(s) + 1):
             top = (-math.inf, 0)
             for start in range(max(0, end - MAX_WORD), end):
                 word = s[start:end]
-                p = self.logp.get(word)
+                p = self.logp.get(word, extra.get(word))
                 if p is None:  # an unknown word costs more the longer it is
                     p = self.unknown - 2.3 * len(word)
                 cand = (best[start][0] + p, start)
@@ -95,19 +100,22 @@ class Segmenter:
             end = best[end][1]
         return tuple(reversed(out))
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        h = [f"h:{w}" for label in host.split(".") for run in LETTERS.findall(label)
-             for w in (self.split(run) if run[0].isalpha() else (run,))]
-        p = [f"p:{w}" if w[0].isalpha() else "p:#" for w in LETTERS.findall(path.translate(_ASCII_LOWER))]
-        return h + p
+
+def runs_of(host: str) -> list[str]:
+    """The runs of letters and of digits of a host's labels."""
+    return [run for label in host.split(".") for run in LETTERS.findall(label)]
+
+
+def path_tokens(path: str) -> list[str]:
+    return [f"p:{w}" if w[0].isalpha() else "p:#" for w in LETTERS.findall(path.translate(_ASCII_LOWER))]
 
 
 def bucket(token: str) -> int:
     return zlib.crc32(token.encode()) % BUCKETS
 
 
-def unigrams(pages: DataFrame, html: str = "html", top: int = UNIGRAMS) -> dict[str, int]:
-    """The most frequent words of all pages' texts with their counts (at most ``top``)."""
+def unigrams(pages: DataFrame, html: str = "html") -> DataFrame:
+    """(word, n) of all words of all pages' texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.chunks(batches, html, 8 << 20):
             seen: Counter = Counter()
@@ -117,22 +125,91 @@ def unigrams(pages: DataFrame, html: str = "html", top: int = UNIGRAMS) -> dict[
             yield pa.RecordBatch.from_arrays(
                 [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
 
-    counts = C.stored(pages.select(html).mapInArrow(count, "word string, n long")
-                      .groupBy("word").agg(F.sum("n").alias("n")), "url-words")
-    out = {r.word: r.n for r in sorted(C.most_frequent(counts, top).collect())}  # at most ``top`` rows
-    floor = max(out.values(), default=1)
-    for w in SEEDS:  # the seeds are words of the language too
-        out[w] = max(out.get(w, 0), math.isqrt(floor) + 1)
-    return out
+    return C.stored(pages.select(html).mapInArrow(count, "word string, n long")
+                    .groupBy("word").agg(F.sum("n").alias("n")), "url-words")
+
+
+def held_words(counts: DataFrame) -> tuple[dict[str, int], int]:
+    """The words that every task holds, the short ones and the seeds, and the total of all words."""
+    r = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.max("n").alias("top")).first()
+    few = (F.length("word") <= SHORT) | F.col("word").isin(*sorted(SEEDS))
+    held = {x.word: x.n for x in counts.filter(few).collect()}
+    total = (r.n or 0) + r.v
+    for w in sorted(SEEDS):  # the seeds are words of the language too
+        n = max(held.get(w, 0), math.isqrt(r.top or 1) + 1)
+        total += n - held[w] if w in held else n + 1
+        held[w] = n
+    return held, total
+
+
+def split_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
+    """(label, words) of distinct runs of letters, each split among all counted words that it holds."""
+    held, total = held_words(counts)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in b.column(0).to_pylist():  # at most MAX_WORD parts a letter
+                found = [None, *{s[i:j] for i in range(len(s))
+                                 for j in range(i + SHORT + 1, min(i + MAX_WORD, len(s)) + 1)}]
+                yield pa.RecordBatch.from_arrays([pa.array([s] * len(found)), pa.array(found, pa.string())],
+                                                 names=["label", "part"])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seg = Segmenter(held, total)
+        for b in batches:
+            words = [" ".join(seg._split(s, {x["word"]: x["n"] for x in more}))
+                     for s, more in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.string())], names=["label", "words"])
+
+    exploded = C.stored(labels.mapInArrow(parts, "label string, part string"), "url-parts")
+    known = exploded.filter("part is not null").join(counts, F.col("part") == F.col("word")).select("label", "word", "n")
+    return (exploded.filter("part is null").selectExpr("label", "part as word", "cast(null as long) as n").unionByName(known)
+            .groupBy("label").agg(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("word", "n"))).alias("more"))
+            .mapInArrow(split, "label string, words string"))
 
 
-def train(pages: DataFrame, words: dict[str, int], url: str = "url") -> tuple[np.ndarray, float]:
+def tokenised(pages: DataFrame, counts: DataFrame, key: str, url: str) -> DataFrame:
+    """(key, host, path, words) of every page; words are its host's, split."""
+    src = pages.select(key, url)
+    kind = src.schema.fields[0].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            both = [split_url(u) for u in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([x[i] for x in both], pa.string()) for i in (0, 1))],
+                                             names=[key, "host", "path"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hosts = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([runs_of(h) for h in hosts], pa.list_(pa.string()))],
+                                             names=["host", "runs"])
+
+    urls = C.stored(src.mapInArrow(cut, f"`{key}` {kind}, host string, path string"), "url-pages")
+    # one row per run of a distinct host
+    rows = C.stored(urls.select("host").distinct().mapInArrow(runs, "host string, runs array<string>")
+                    .select("host", F.posexplode("runs").alias("place", "label")), "url-runs")
+    labels = rows.filter(F.col("label") >= "a").select("label").distinct()
+    split = C.stored(split_labels(labels, counts), "url-labels").withColumnRenamed("label", "l")
+    hosts = (rows.join(split, F.col("label") == F.col("l"), "left")
+             .select("host", F.struct("place", F.coalesce("words", "label").alias("w")).alias("x"))
+             .groupBy(F.col("host").alias("h")).agg(F.array_sort(F.collect_list("x")).alias("xs"))
+             .select("h", F.array_join(F.col("xs.w"), " ").alias("words")))
+    return C.stored(urls.join(hosts, F.col("host") == F.col("h"), "left")
+                    .select(key, "host", "path", F.coalesce("words", F.lit("")).alias("words")), "url-tokens")
+
+
+def tokens(words: str, path: str) -> list[str]:
+    return [f"h:{w}" for w in words.split()] + path_tokens(path)
+
+
+def train(pages: DataFrame) -> tuple[np.ndarray, float]:
     """Log odds (block against allow) per token bucket, and of the classes themselves."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg, seen = Segmenter(words), Counter()
+        seen: Counter = Counter()
         for b in batches:
-            for u in b.column(0).to_pylist():
-                toks = seg.tokens(*split_url(u))
+            for words, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                toks = tokens(words, path)
                 label = 1 if any(t[2:] in SEEDS for t in toks) else 0
                 seen[(-1, label)] += 1
                 for t in toks:
@@ -141,7 +218,7 @@ def train(pages: DataFrame, words: dict[str, int], url: str = "url") -> tuple[np
             [pa.array([k[0] for k in seen], pa.int64()), pa.array([k[1] for k in seen], pa.int64()),
              pa.array(seen.values(), pa.int64())], names=["bucket", "label", "n"])
 
-    rows = (pages.select(url).mapInArrow(count, "bucket long, label long, n long")
+    rows = (pages.select("words", "path").mapInArrow(count, "bucket long, label long, n long")
             .groupBy("bucket", "label").agg(F.sum("n").alias("n")).collect())  # at most 2 * BUCKETS + 2 rows
     n = np.zeros((2, BUCKETS))
     docs = [1, 1]
@@ -158,19 +235,16 @@ def train(pages: DataFrame, words: dict[str, int], url: str = "url") -> tuple[np
 def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
           rules: tuple = RULES) -> DataFrame:
     """(key, host, path, rule, verdict, score, tokens) of every page."""
-    words = unigrams(pages, html)
-    odds, prior = train(pages, words, url)
-    src = pages.select(key, url)
+    src = tokenised(pages, unigrams(pages, html), key, url)
+    odds, prior = train(src)
     kind = src.schema.fields[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seg = Segmenter(words)
         for b in batches:
             cols: list[list] = [[], [], [], [], [], []]
-            for u in b.column(1).to_pylist():
-                host, path = split_url(u)
+            for host, path, words in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 rule, verdict = rule_of(host, path, rules)
-                toks = seg.tokens(host, path)
+                toks = tokens(words, path)
                 score = prior + float(sum(odds[bucket(t)] for t in toks))
                 for c, v in zip(cols, (host, path, rule, verdict or ("block" if score > 0 else "allow"),
                                        score, " ".join(t[2:] for t in toks)), strict=True):

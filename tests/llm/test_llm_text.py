@@ -89,6 +89,17 @@ def test_url_filter_blocks_spam_hosts(spark):
     assert all((r.verdict == "block") == ("cheappills" in r.host) for r in rows)
 
 
+def test_rare_words_split_labels_too(spark):
+    # 60,000 words of one count: the longer label is no "bet" with a rest, however many words are as frequent
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = " ".join("zz" + letters[i % 26] + letters[i // 26 % 26] + letters[i // 676 % 26] + letters[i // 17576] for i in range(60_000))
+    d = spark.createDataFrame([(1, "http://alphabeticgarden.org/x", f"<p>{'the ' * 3000}{rare} alphabetic garden</p>"),
+                               (2, "http://www.cheappills.org/9", "<p>cheap pills</p>"), (3, None, None)],
+                              "page_id long, url string, html string")
+    got = {r.page_id: (r.tokens, r.host) for r in url_filter.judge(d).collect()}
+    assert got == {1: ("alphabetic garden org x", "alphabeticgarden.org"), 2: ("www cheap pills org #", "www.cheappills.org"), 3: ("", "")}
+
+
 TEXTS = ["", " ", "hello world", " a  b▁c é🙂\n\t", "▁", "\n\n x\n", "<0x0A> <s> a", "日本語テスト漢字", "a" * 3000, " \n ▁▁ b",
          "\x00\x01", "é\u2003x \u00a0", "tiontion thereea " * 2000]
 
