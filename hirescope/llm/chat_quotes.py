@@ -90,7 +90,7 @@ def originals(asking: DataFrame, parsed: DataFrame, parts: Column) -> DataFrame:
 
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                 text: str = "text") -> DataFrame:
-    """One row per message: conv_id, turn, role, thread, reply_to, n_quotes, n_linked, text, formatted."""
+    """One row per message, in reply order: conv_id, turn, role, thread, reply_to, n_quotes, n_linked, text, formatted."""
     src = messages.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"),
                           F.coalesce(F.col(text), F.lit("")).alias("raw"))
     quoted = F.col("raw").rlike(r"(?:^|[\r\n])[ \t]*>")
@@ -135,7 +135,7 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
         F.when(F.col("quoted"), counted).otherwise(0).cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "text",
         F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.col("text"), F.lit("\n"))
-        .alias("formatted"))
+        .alias("formatted")).orderBy("conv_id", "thread", "turn")
 
 
 def thread_roots(parent: DataFrame) -> DataFrame:

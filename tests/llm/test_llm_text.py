@@ -227,6 +227,13 @@ def test_quotes_of_parts_of_paragraphs_link(spark):
                    (1, 5): (None, 5, 0), (1, 6): (0, 0, 1), (2, 1): (None, 1, 0)}
 
 
+def test_messages_come_in_reply_order(spark):
+    d = spark.createDataFrame([(c, t, "user", f"m{t}" if t % 3 else f"> m{t - 2}\nm{t}") for t in range(9, -1, -1) for c in (2, 1)],
+                              "conv_id long, turn long, role string, text string").repartition(5)
+    got = [(r.conv_id, r.thread, r.turn) for r in chat_quotes.link_quotes(d).collect()]
+    assert got == sorted(got) and [t for c, _, t in got if c == 1] != sorted(t for c, _, t in got if c == 1)
+
+
 def test_quote_linking_follows_long_chains(spark):
     rows = [(1, i, "user", f"message number {i}" if not i else f"> message number {i - 1}\nmessage number {i}") for i in range(60)]
     got = chat_quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
