@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirescope.operators.dedup import rows_of, winners
+from hirescope.operators.dedup import rows_of, winners, with_hash
 from hirescope.session import scratch_path
 
 
@@ -18,8 +18,9 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
       ``keep_first`` columns, which keep the target's value;
     * target rows whose key is not in the batch pass through untouched.
 
-    ``won`` are the winning (key, order) rows of the batch where the caller has
-    picked them already. The target is never aggregated: it is anti-joined with
+    Rows that tie in key and order leave one row. ``won`` are the winning (key,
+    order, hash) rows of the batch where the caller has picked them already (from
+    a batch that carries the hash column). The target is never aggregated: it is anti-joined with
     the batch's keys.
     The deduplicated batch is written once as a table, so that its key column can
     be read alone and its size is known; whether it is broadcast is Spark's
@@ -29,8 +30,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: list[str],
     cols = target.columns
     spark = target.sparkSession
     path = scratch_path(spark, "upsert-batch")
-    won = winners(batch, [key], order, last=True) if won is None else won
-    rows_of(batch, won).select(*cols).write.parquet(path)
+    if won is None:
+        batch = with_hash(batch)
+        won = winners(batch, [key], order, last=True)
+    rows_of(batch, won, [key]).select(*cols).write.parquet(path)
     latest = spark.read.schema(target.schema).parquet(path)
     keys = latest.select(key)
     untouched = target.join(keys, key, "left_anti")

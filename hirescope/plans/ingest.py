@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.operators.dedup import winners
+from hirescope.operators.dedup import winners, with_hash
 from hirescope.operators.upsert import upsert
 from hirescope.session import scratch_path
 from hirescope.sources import postings_json as J
@@ -70,7 +70,7 @@ def ingest_batch(target: DataFrame, spark: SparkSession, path: str, multi_line:
     The first row per (slug, snapshot_date), then the last of those per slug, are
     picked on narrow rows; the whole rows are joined back once.
     """
-    batch = staged(read_batch(spark, path, multi_line, ingested_at).filter(F.col("slug") != ""))
+    batch = staged(read_batch(spark, path, multi_line, ingested_at).filter(F.col("slug") != "").transform(with_hash))
     firsts = winners(batch, ["slug", "snapshot_date"], J.ORDER_COLUMNS)
     won = winners(firsts, ["slug"], J.ORDER_COLUMNS, last=True)
     return upsert(target, batch, "slug", J.ORDER_COLUMNS, won=won)

@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from hirescope.operators.dedup import batch_dedup
+from hirescope.operators.dedup import batch_dedup, keep_first, keep_last
 from hirescope.operators.upsert import upsert
 from hirescope.plans import ingest as I
 from hirescope.plans import models as M
@@ -72,6 +72,25 @@ def test_upsert_last_write_wins_first_ingested_at_kept(spark):
     assert out == {"a": ("new2", t0), "b": ("keep", t0), "c": ("fresh", t1)}
 
 
+TIED = [("a", "x", 1, 5), ("a", "x", 1, 5), ("a", "y", 1, 5), ("b", "old", 1, 4), ("b", "new", 2, 3), ("b", "new", 2, 3),
+        ("c", None, None, None), ("c", None, None, None), (None, "n", 1, 1), (None, "n", 1, 1)]
+
+
+def test_rows_that_tie_leave_one_row_per_key(spark):
+    df = spark.createDataFrame(TIED * 40, "k string, v string, o int, p int").repartition(7)
+    for pick, b in ((keep_first, "old"), (keep_last, "new")):
+        got = sorted(map(tuple, pick(df, ["k"], ["o", "p"]).collect()), key=str)
+        assert [r[0] for r in got] == sorted(["a", "b", "c", None], key=lambda k: str((k,)))
+        assert {r[0]: r[1] for r in got}["b"] == b
+        again = sorted(map(tuple, pick(df.repartition(3), ["k"], ["o", "p"]).collect()), key=str)
+        assert got == again  # the same one of tied rows wins however they are dealt
+    target = spark.createDataFrame([("a", "was", dt.datetime(2024, 1, 1))], "k string, v string, ingested_at timestamp_ntz")
+    batch = df.withColumn("ingested_at", F.lit(dt.datetime(2024, 2, 1)).cast("timestamp_ntz")).filter("k is not null")
+    got = [(r.k, r.v, r.ingested_at.month) for r in upsert(target, batch, "k", ["o", "p"]).collect()]
+    assert sorted(k for k, _, _ in got) == ["a", "b", "c"] and ("b", "new", 2) in got
+    assert [m for k, _, m in got if k == "a"] == [1]
+
+
 def test_load_files_offline_path_end_to_end(spark, tmp_path):
     """Synthetic pages -> load -> warehouse: every model exists and is populated."""
     ids = spark.range(300).withColumnRenamed("id", "k")
