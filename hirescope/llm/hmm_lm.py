@@ -176,10 +176,11 @@ def coded(docs: DataFrame, model: Model) -> DataFrame:
             flat = out.tobytes()
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(2), pa.array(held_out(b.column(0).to_pylist())), pa.array(sizes + 1),
-                pa.array(np.bincount(doc, log, n) + end_log),
+                pa.array(np.bincount(doc, log, n).astype(np.float64) + end_log),
                 pa.array(np.bincount(doc, known, n).astype(np.int64) + int(end_known[0])),
-                pa.array(np.bincount(doc[member], model.class_log[cls[member]], n)),
-                pa.array(np.bincount(doc[member], log[member], n)),
+                # without a member NumPy counts in integers
+                pa.array(np.bincount(doc[member], model.class_log[cls[member]], n).astype(np.float64)),
+                pa.array(np.bincount(doc[member], log[member], n).astype(np.float64)),
                 pa.array([flat[2 * (e - s):2 * e] for s, e in zip((sizes + 1).tolist(), ends.tolist(), strict=True)],
                          pa.binary())], names=names)
 
