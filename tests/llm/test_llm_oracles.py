@@ -18,6 +18,8 @@ HARD = [
     (11, "word " * 4000, "fr", "z", 20000), (12, " ".join(f"w{i}" for i in range(3000)), "fr", "z", 9),
     (13, " ".join(f"w{i}" for i in range(3000)) + " w3000", "fr", "z", 9),
 ]
+LABELS = [(1, 1, 0, "x"), (2, 0, 1, None), (2, 1, None, None), (3, None, 1, "y"), (8, 1, 1, "z"), (8, 1, 1, "z"),
+          (99, 1, 1, "none"), (None, 1, 1, "no id")]
 PAGES = [(1, "http://a.b/x", "<p>" + "é" * 600), (5, "http://a.b/x", "<p>" + "é" * 600),
          (5, "http://a.b/x", "<p>" + "é" * 600), (2, None, None), (3, "", "a\r\n\r\nWARC/1.1\r\n\r\nb"),
          (4, "https://B.c.d/Y?z#f", "x" * 999), (6, "https://B.c.d/Y?z#f", "x" * 999)]
@@ -28,6 +30,7 @@ def hard(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("hard"))
     docs = spark.createDataFrame(HARD, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int, extra string").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame(PAGES, "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
     return d
 
@@ -38,6 +41,7 @@ def empty(spark, tmp_path_factory):
     for name, cols in (("documents", "doc_id long, text string, lang string, source string, n_chars long"),
                        ("pages", "page_id long, url string, html string"),
                        ("embeddings", "vec_id long, embedding array<float>, label int"),
+                       ("labels", "doc_id long, quality int, toxic int"),
                        ("conversations", "conv_id long, turn long, role string, text string")):
         spark.createDataFrame([], cols).write.parquet(f"{d}/{name}.parquet")
     return d
@@ -52,7 +56,7 @@ def test_matches_sql_on_the_smallest_tables(spark, base, name):
 @pytest.mark.parametrize("name", list(registry.ORACLE))
 def test_matches_sql_on_hard_rows(spark, hard, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{hard}/{t}.parquet/*.parquet')")
     r = compare(spark, hard, name, registry.QUERIES[name], registry.ORACLE[name], con)
     assert r["cols_match"] and r["match"], r
