@@ -20,6 +20,14 @@ HARD = [
 ]
 LABELS = [(1, 1, 0, "x"), (2, 0, 1, None), (2, 1, None, None), (3, None, 1, "y"), (8, 1, 1, "z"), (8, 1, 1, "z"),
           (99, 1, 1, "none"), (None, 1, 1, "no id")]
+LONG = [(40, t, "user", f"turn {t % 7}") for t in range(150)] + [(41, t, "user", f"turn {t % 7}") for t in range(160)]
+TURNS = LONG + [
+    (20, 0, "user", "hello there"), (20, 1, "assistant", "hi  you"), (20, 2, "user", "more"), (20, 3, None, None),
+    (21, 0, "user", "hello there"), (21, 1, "assistant", "hi  you"), (21, 2, "user", "else"), (21, 3, "user", "end"),
+    (22, None, "user", "first"), (22, 5, "user", "tie"), (22, 5, "user", "a tie"), (22, 5, "assistant", "tie"), (22, 5, "user", "tie"),
+    (23, 0, "", ""), (24, 0, "user", "one"), (25, 0, "user", "one"), (26, 0, "user", "one"), (27, 3, "user", "one"),
+    (123, 0, "system", "no family"), (124, 0, "user", "only"), (125, 0, "user", "only"), (131, 0, "user", "only"),
+    (-7, 0, "user", "below zero"), (-7, 1, "user", "x"), (0, 0, "user", "zero"), (None, 0, "user", "nobody's"), (None, 1, "a", "b")]
 PAGES = [(1, "http://a.b/x", "<p>" + "é" * 600), (5, "http://a.b/x", "<p>" + "é" * 600),
          (5, "http://a.b/x", "<p>" + "é" * 600), (2, None, None), (3, "", "a\r\n\r\nWARC/1.1\r\n\r\nb"),
          (4, "https://B.c.d/Y?z#f", "x" * 999), (6, "https://B.c.d/Y?z#f", "x" * 999)]
@@ -31,6 +39,8 @@ def hard(spark, tmp_path_factory):
     docs = spark.createDataFrame(HARD, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int, extra string").write.parquet(f"{d}/labels.parquet")
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string")
+    turns.selectExpr("*", "1 AS a", "'x' AS part", "2 AS pos", "3 AS n_convs").repartition(5).write.parquet(f"{d}/conversations.parquet")
     spark.createDataFrame(PAGES, "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
     return d
 
@@ -56,7 +66,7 @@ def test_matches_sql_on_the_smallest_tables(spark, base, name):
 @pytest.mark.parametrize("name", list(registry.ORACLE))
 def test_matches_sql_on_hard_rows(spark, hard, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{hard}/{t}.parquet/*.parquet')")
     r = compare(spark, hard, name, registry.QUERIES[name], registry.ORACLE[name], con)
     assert r["cols_match"] and r["match"], r
