@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from hirescope.llm import (ann, chat_quotes, filter_audit, hmm_lm, html_extract, mixing, ngram_join, prefix_trie, quality,
-                           sp_codec, url_filter, warc)
+                           sp_codec, toxicity, url_filter, warc)
 
 QUERIES = {f.__name__: f for f in (
     mixing.op1_source_mixing, html_extract.op2_html_extraction, url_filter.op3_url_filter,
     sp_codec.op4_sentencepiece, chat_quotes.op5_quote_linking, ngram_join.op6_ngram_jaccard,
     hmm_lm.op7_hmm_scoring, warc.op8_warc_index, ann.op9_inverted_multi_index, quality.op10_quality_rules,
-    prefix_trie.op11_prefix_trie, filter_audit.op13_filter_audit)}
+    prefix_trie.op11_prefix_trie, toxicity.op12_toxicity, filter_audit.op13_filter_audit)}
 
 ORACLE = {
     "op1_source_mixing": mixing.ORACLE_SQL,
