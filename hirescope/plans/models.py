@@ -200,7 +200,7 @@ _STORED_FACTS: dict[tuple, str] = {}
 
 
 def _source_signature(base: str) -> tuple:
-    """Sizes and modification times of the local source files (empty if remote)."""
+    """Paths, sizes and modification times (ns) of the local source files (empty if remote)."""
     local = base[len("file:"):] if base.startswith("file:") else base
     if not os.path.isdir(local):
         return ()
@@ -208,8 +208,8 @@ def _source_signature(base: str) -> tuple:
     for root, _, files in os.walk(local):
         for f in sorted(files):
             st = os.stat(os.path.join(root, f))
-            sig.append((f, st.st_size, int(st.st_mtime)))
-    return tuple(sig)
+            sig.append((os.path.join(root, f), st.st_size, st.st_mtime_ns))
+    return tuple(sorted(sig))
 
 
 class Warehouse:
