@@ -20,10 +20,13 @@ from hirescope.functions import text as X
 from hirescope.operators.dedup import batch_dedup
 from hirescope.operators.partitioning import spread
 from hirescope.operators.upsert import upsert
+from hirescope.plans import boosting as B
+from hirescope.plans import incremental as INC
 from hirescope.plans import ingest as I
 from hirescope.plans import models as M
 from hirescope.plans import reports as R
 from hirescope.plans import salary as S
+from hirescope.plans import spells as SP
 from hirescope.plans import trends as TR
 from hirescope.session import scratch_path, session_id
 from hirescope.sources import postings_json as J
@@ -31,6 +34,7 @@ from hirescope.sources import synth as SY
 from hirescope.sources import testbed
 from hirescope.sources.tables import read_table
 from hirescope.streaming import ingest as STR
+from hirescope.streaming import windows as WIN
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -404,16 +408,18 @@ def q_skill_vocab(spark, base):
     return S.skill_vocab(training(spark, base))
 
 
-@register("features_long", D.with_models(
-    _TRAIN + _VOCAB +
-    " SELECT slug, 'skill__' || s AS feature FROM (SELECT slug, UNNEST(skills) AS s FROM train) "
+_FEATURES = (
+    "SELECT slug, 'skill__' || s AS feature FROM (SELECT slug, UNNEST(skills) AS s FROM train) "
     "WHERE s IN (SELECT skill_name FROM vocab) "
     "UNION ALL SELECT slug, 'city_' || CASE WHEN city IN (SELECT city FROM tcity) THEN city "
     "ELSE 'Other' END FROM train "
     "UNION ALL SELECT slug, 'role_' || coalesce(role_family, 'Other') FROM train "
     "UNION ALL SELECT slug, 'sen_' || coalesce(seniority, 'unknown') FROM train "
     "UNION ALL SELECT slug, 'lang_' || coalesce(language_gate, 'unclear') FROM train "
-    "UNION ALL SELECT slug, 'remote' FROM train WHERE remote"))
+    "UNION ALL SELECT slug, 'remote' FROM train WHERE remote")
+
+
+@register("features_long", D.with_models(_TRAIN + _VOCAB + " " + _FEATURES))
 def q_features_long(spark, base):
     t = training(spark, base)
     return S.features_long(t, S.feature_spec(t))
@@ -448,6 +454,80 @@ def trained_model(spark, base) -> S.SalaryModel | None:
     return _MODELS[key]
 
 
+_GATE_SQL = (_TRAIN + _VOCAB +
+             ", g AS (SELECT (SELECT COUNT(*) FROM train) AS n_rows, (SELECT COUNT(*) FROM vocab) "
+             "+ (SELECT COUNT(DISTINCT CASE WHEN city IN (SELECT city FROM tcity) THEN city ELSE 'Other' END) FROM train) "
+             "+ (SELECT COUNT(DISTINCT coalesce(role_family, 'Other')) FROM train) "
+             "+ (SELECT COUNT(DISTINCT coalesce(seniority, 'unknown')) FROM train) "
+             "+ (SELECT COUNT(DISTINCT coalesce(language_gate, 'unclear')) FROM train) + 1 AS n_features), "
+             f"gate AS (SELECT *, GREATEST({T.MIN_TRAINING_ROWS}, n_features * {T.MIN_ROWS_PER_FEATURE}) AS min_rows FROM g)")
+
+
+@register("repeated_folds", D.with_models(
+    _TRAIN + f" SELECT slug, r AS repeat, CAST((row_number() OVER (PARTITION BY r ORDER BY "
+    f"md5(slug || '|' || r || '|' || {T.CV_SEED}), slug) - 1) % {T.N_FOLDS} AS INTEGER) AS fold "
+    f"FROM train, (SELECT CAST(UNNEST(range({T.N_REPEATS})) AS INTEGER) AS r)"))
+def q_repeated_folds(spark, base):
+    """H8: the repeated K-fold fallback over all training rows."""
+    return S.repeated_folds(training(spark, base))
+
+
+def _boost_frame(spark, base):
+    """Training rows with the label and one 0/1 column per feature (named as in the layout)."""
+    train = training(spark, base)
+    spec = S.feature_spec(train)
+    f = spec.featurize(train.withColumn("label", F.log("salary")))
+    return spec, f.select("slug", "label", *[F.col(c).alias(n) for c, n in zip(spec.columns, spec.names)])
+
+
+def _worth(g: str, n: str) -> str:
+    return f"pow(greatest(abs({g}) - {B.L1}, 0), 2) / ({n} + {B.L2})"
+
+
+@register("boost_root_gains", D.with_models(
+    _TRAIN + _VOCAB + f", feats AS ({_FEATURES}), lab AS (SELECT slug, ln(salary) AS y FROM train), "
+    "mid AS (SELECT avg(y) AS m FROM lab), tot AS (SELECT sum(m - y) AS g, count(*) AS n FROM lab, mid), "
+    "per AS (SELECT feature, sum(m - y) AS gr, count(*) AS nr FROM feats JOIN lab USING (slug), mid GROUP BY feature) "
+    f"SELECT feature, nr AS n_right, ROUND(CASE WHEN nr >= {T.GBT_MIN_CHILD} AND n - nr >= {T.GBT_MIN_CHILD} THEN "
+    f"{_worth('g - gr', 'n - nr')} + {_worth('gr', 'nr')} - {_worth('g', 'n')} ELSE 0 END, 4) AS gain FROM per, tot"))
+def q_boost_root_gains(spark, base):
+    """Gain of the first split on every feature, with the L1 and L2 terms."""
+    spec, rows = _boost_frame(spark, base)
+    return B.root_gains(rows, "label", spec.names)
+
+
+@register("boost_checks", D.with_models(
+    _GATE_SQL + " SELECT n_rows, CAST(12 AS BIGINT) AS n_trees, CAST(0 AS BIGINT) AS n_small_leaves, "
+    "CAST(0 AS BIGINT) AS n_columns_over, CAST(0 AS BIGINT) AS n_reloaded_off, true AS error_falls FROM gate"))
+def q_boost_checks(spark, base):
+    """A fit of 12 trees: leaf sizes, columns drawn per tree, the saved model's predictions on every row, error."""
+    spec, rows = _boost_frame(spark, base)
+    p = B.BoostParams(trees=12, learning_rate=0.3)
+    model = B.fit(rows, "slug", "label", spec.names, p)
+    path = scratch_path(spark, "boosted")
+    B.save(spark, model, path)
+    both = B.load(spark, path).predict(model.predict(rows), "again")
+    allowed = -(-len(spec.names) * 4 // 5)
+    small = sum(int(((t.feature < 0) & (t.rows > 0) & (t.rows < p.min_child)).sum()) for t in model.trees)
+    over = sum(len(t.drawn) > allowed or not set(t.feature[t.feature >= 0].tolist()) <= set(t.drawn) for t in model.trees)
+    err = F.avg((F.col("prediction") - F.col("label")) ** 2)
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(len(model.trees)).cast("long").alias("n_trees"),
+        F.lit(small).cast("long").alias("n_small_leaves"), F.lit(over).cast("long").alias("n_columns_over"),
+        F.count(F.when(F.abs(F.col("prediction") - F.col("again")) > 1e-9, 1)).alias("n_reloaded_off"),
+        (err < F.var_pop("label")).alias("error_falls"))
+
+
+@register("boosted_scores")
+def q_boosted_scores(spark, base):
+    """The regularised model with the production parameters, over every posting."""
+    spec, rows = _boost_frame(spark, base)
+    model = B.fit(rows, "slug", "label", spec.names)
+    fct = spec.featurize(warehouse(spark, base).fact())
+    named = fct.select("slug", *[F.col(c).alias(n) for c, n in zip(spec.columns, spec.names)])
+    return model.predict(named, "p").select("slug", F.exp("p").alias("predicted_min_eur"))
+
+
 @register("salary_scores")
 def q_salary_scores(spark, base):
     sm = trained_model(spark, base)
@@ -469,15 +549,6 @@ def q_salary_drivers(spark, base):
     return S.mean_abs_shap(sm, training(spark, base))
 
 
-_GATE_SQL = (_TRAIN + _VOCAB +
-             ", g AS (SELECT (SELECT COUNT(*) FROM train) AS n_rows, (SELECT COUNT(*) FROM vocab) "
-             "+ (SELECT COUNT(DISTINCT CASE WHEN city IN (SELECT city FROM tcity) THEN city ELSE 'Other' END) FROM train) "
-             "+ (SELECT COUNT(DISTINCT coalesce(role_family, 'Other')) FROM train) "
-             "+ (SELECT COUNT(DISTINCT coalesce(seniority, 'unknown')) FROM train) "
-             "+ (SELECT COUNT(DISTINCT coalesce(language_gate, 'unclear')) FROM train) + 1 AS n_features), "
-             f"gate AS (SELECT *, GREATEST({T.MIN_TRAINING_ROWS}, n_features * {T.MIN_ROWS_PER_FEATURE}) AS min_rows FROM g)")
-
-
 @register("model_gate", D.with_models(
     _GATE_SQL + " SELECT n_rows, n_features, min_rows, n_rows >= min_rows AS trains FROM gate"))
 def q_model_gate(spark, base):
@@ -688,6 +759,42 @@ def q_snapshot_changes(spark, base):
     return TR.snapshot_changes(TR.observations_from_lines(li))
 
 
+_SPELLS_SQL = (
+    ", obs AS (SELECT DISTINCT 'job-' || CAST(l_orderkey AS VARCHAR) AS slug, "
+    "CAST(date_trunc('week', l_shipdate) AS DATE) AS snapshot_date FROM lineitem), "
+    "snaps AS (SELECT snapshot_date, ROW_NUMBER() OVER (ORDER BY snapshot_date) AS idx, "
+    "LEAD(snapshot_date) OVER (ORDER BY snapshot_date) AS next_date FROM (SELECT DISTINCT snapshot_date FROM obs)), "
+    "runs AS (SELECT slug, o.snapshot_date, idx, next_date, idx - ROW_NUMBER() OVER (PARTITION BY slug ORDER BY idx) AS run "
+    "FROM obs o JOIN snaps USING (snapshot_date)), "
+    "sp AS (SELECT slug, run, MIN(snapshot_date) AS appeared, MAX(snapshot_date) AS last_seen, "
+    "arg_max_null(next_date, idx) AS gone_at, COUNT(*) AS n_snapshots, MIN(idx) AS f, MAX(idx) AS l FROM runs GROUP BY 1, 2), "
+    "spells AS (SELECT slug, CAST(ROW_NUMBER() OVER w AS INTEGER) AS spell, appeared, last_seen, gone_at, n_snapshots, "
+    "gone_at IS NULL AS is_open, CAST(f - LAG(l) OVER w - 1 AS INTEGER) AS gap FROM sp "
+    "WINDOW w AS (PARTITION BY slug ORDER BY run)) ")
+
+
+@register("posting_spells", D.with_models(_SPELLS_SQL + "SELECT * FROM spells"))
+def q_posting_spells(spark, base):
+    """Every posting's appearances and disappearances."""
+    li = read_table(spark, base, "lineitem", "l_orderkey", "l_shipdate")
+    return SP.posting_spells(TR.observations_from_lines(li))
+
+
+@register("posting_survival", D.with_models(
+    _SPELLS_SQL + ", le AS (SELECT CAST(year(appeared) AS INTEGER) AS cohort, n_snapshots AS length, "
+    "CAST(SUM(CASE WHEN is_open THEN 0 ELSE 1 END) AS BIGINT) AS n_ended, "
+    "CAST(SUM(CASE WHEN is_open THEN 1 ELSE 0 END) AS BIGINT) AS n_censored FROM spells GROUP BY 1, 2), "
+    "ar AS (SELECT *, CAST(SUM(n_ended + n_censored) OVER (PARTITION BY cohort ORDER BY length DESC) AS BIGINT) AS n_at_risk FROM le), "
+    "cu AS (SELECT *, product(CAST(n_at_risk - n_ended AS DOUBLE) / n_at_risk) OVER w AS s, "
+    "SUM(CASE WHEN n_ended < n_at_risk THEN n_ended / (CAST(n_at_risk AS DOUBLE) * (n_at_risk - n_ended)) END) OVER w AS v "
+    "FROM ar WINDOW w AS (PARTITION BY cohort ORDER BY length)) "
+    "SELECT cohort, length, n_at_risk, n_ended, n_censored, ROUND(s, 6) AS survival, "
+    "ROUND(CASE WHEN s = 0 THEN 0 ELSE s * sqrt(v) END, 6) AS std_error FROM cu"))
+def q_posting_survival(spark, base):
+    """How long postings stay, with open ones censored."""
+    return SP.posting_survival(q_posting_spells(spark, base))
+
+
 # -- streaming (X4) -------------------------------------------------------------
 
 
@@ -714,6 +821,25 @@ def q_weekly_stream(spark, base):
     return STR.weekly_counts(spark, log)
 
 
+@register("weekly_windows", D.with_models(
+    "SELECT date_trunc('week', posted_at) AS week, COUNT(*) AS n_postings FROM stg "
+    "WHERE posted_at IS NOT NULL GROUP BY 1"))
+def q_weekly_windows(spark, base):
+    """Event-time windows in the state store: two thirds of the postings, then (restarted) the others, most of them
+    later than the watermark allows, and a repost of every posting with another posting time."""
+    src, root = scratch_path(spark, "windows-src"), scratch_path(spark, "windows")
+    k = F.col("k")
+    raw = testbed.postings(spark, base).withColumn("k", F.substring("slug", 5, 30).cast("long"))
+    J.write_pages(raw.filter(k % 3 != 0), src, numeric_created=_mixed_created(k), files=2)
+    WIN.run(spark, src, root, max_files=1)
+    J.write_pages(raw.filter(k % 3 == 0), src, numeric_created=_mixed_created(k), mode="append", files=2)
+    WIN.run(spark, src, root, max_files=1)
+    again = raw.withColumn("k", k + F.lit(10 ** 12)).withColumn("created_at", F.lit("2001-01-01T00:00:00+00:00"))
+    J.write_pages(again, src, mode="append", files=2)
+    WIN.run(spark, src, root, max_files=1)
+    return WIN.weekly_windows(spark, root).select("week", "n_postings")
+
+
 @register("stream_upsert", D.with_models(
     ", b1 AS (SELECT slug, title, snapshot_date, CAST(substring(slug, 5) AS BIGINT) AS k FROM postings), "
     "b2 AS (SELECT slug, 'Updated ' || title AS title, snapshot_date + 28 AS snapshot_date FROM b1 "
@@ -743,6 +869,67 @@ def q_stream_upsert(spark, base):
     return STR.current_table(spark, log).select("slug", "title", "snapshot_date")
 
 
+# -- incremental marts and the bucketed table (F6-F8, A4, A5) -------------------------
+
+#: the postings after two batches: changed titles and locations, new postings, a changed description
+_AFTER = ("b AS (SELECT *, CAST(substring(slug, 5) AS BIGINT) AS k FROM postings0), "
+          "postings AS (SELECT slug, CASE WHEN k % 4 = 1 THEN 'Junior ' || title ELSE title END AS title, company_name, "
+          "CASE WHEN k % 4 = 1 THEN 'Hamburg' ELSE location END AS location, remote, url, tags, job_types, "
+          "CASE WHEN k % 8 = 1 THEN 'Fluent German required. SQL.' ELSE description END AS description, created_at, snapshot_date "
+          "FROM b UNION ALL SELECT 'job-n' || CAST(k AS VARCHAR), title, company_name, location, remote, url, tags, job_types, "
+          "description, created_at, snapshot_date FROM b WHERE k % 5 = 0)")
+
+
+def _after_sql(select: str) -> str:
+    sql = D.with_models(select)
+    head, tail = sql.split("),\nsal AS (", 1)
+    return head.replace("WITH postings AS (", "WITH postings0 AS (", 1) + "), " + _AFTER + ",\nsal AS (" + tail
+
+
+_INCREMENTAL: dict[tuple, INC.IncrementalMarts] = {}
+
+
+def _batches(raw: DataFrame) -> list[DataFrame]:
+    k = F.substring("slug", 5, 30).cast("long")
+    moved = raw.filter(k % 4 == 1).withColumn("title", F.concat(F.lit("Junior "), "title")).withColumn("location", F.lit("Hamburg"))
+    new = raw.filter(k % 5 == 0).withColumn("slug", F.concat(F.lit("job-n"), k.cast("string")))
+    edited = moved.filter(k % 8 == 1).withColumn("description", F.lit("Fluent German required. SQL."))
+    return [moved.unionByName(new), edited]
+
+
+def incremental_marts(spark, base) -> INC.IncrementalMarts:
+    """The marts after an initial load and two batches, built once per session and input."""
+    key = (session_id(spark), base.rstrip("/"), M._source_signature(base))
+    if key not in _INCREMENTAL:
+        marts = INC.IncrementalMarts(spark, scratch_path(spark, "incremental"), buckets=8)
+        marts.load(warehouse(spark, base).fact())
+        for i, batch in enumerate(_batches(testbed.postings(spark, base))):
+            marts.apply(M.fact(M.staging(batch)).withColumn("_at", F.lit(i)), ["_at"])
+        _INCREMENTAL[key] = marts
+    return _INCREMENTAL[key]
+
+
+@register("mart_language_gate_incremental", _after_sql("SELECT * FROM mart_language_gate"))
+def q_gate_incremental(spark, base):
+    return incremental_marts(spark, base).language_gate()
+
+
+@register("mart_skill_demand_incremental", _after_sql("SELECT * FROM mart_skill_demand"))
+def q_demand_incremental(spark, base):
+    return incremental_marts(spark, base).skill_demand()
+
+
+@register("mart_pay_bands_incremental", _after_sql("SELECT * FROM mart_pay_bands"))
+def q_pay_incremental(spark, base):
+    return incremental_marts(spark, base).pay_bands()
+
+
+@register("upsert_bucketed", _after_sql("SELECT slug, title, city, role_family, language_gate, skills_json FROM fct"))
+def q_upsert_bucketed(spark, base):
+    """A4, A5: the bucketed fact after both batches."""
+    return incremental_marts(spark, base).fact().select("slug", "title", "city", "role_family", "language_gate", "skills_json")
+
+
 # -- enrichment over long texts -------------------------------------------------
 
 

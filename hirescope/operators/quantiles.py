@@ -24,15 +24,17 @@ from pyspark.sql import functions as F
 
 
 def bucketed_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                       width: float) -> DataFrame:
+                       width: float, weight: str | None = None) -> DataFrame:
     """``keys`` + one column ``q<i>`` per probability (NULL for groups without values).
 
+    ``weight``: a column of row counts, where ``df`` holds counted values.
+
     Groups whose values are all NULL are absent; join the result back to the
     group list when those groups must appear.
     """
     v = F.col(value)
     vc = (df.filter(v.isNotNull()).groupBy(*keys, value)
-          .agg(F.count(F.lit(1)).alias("_c"))
+          .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
           .withColumn("_b", F.floor(v / F.lit(width))))
     bc = vc.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     w = Window.partitionBy(*keys).orderBy("_b")

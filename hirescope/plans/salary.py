@@ -37,6 +37,7 @@ from pyspark.storagelevel import StorageLevel
 
 from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
+from hirescope.operators.ranking import ranked
 from hirescope.operators.topk import top_k
 from hirescope.plans import models as M
 from hirescope.session import scratch_path
@@ -182,11 +183,24 @@ def group_folds(train: DataFrame, n_splits_max: int = T.N_FOLDS) -> DataFrame:
     return spark.createDataFrame(rows, "week_key string, n bigint, fold int")
 
 
+def repeated_folds(train: DataFrame, repeats: int = T.N_REPEATS, folds: int = T.N_FOLDS,
+                   seed: int = T.CV_SEED) -> DataFrame:
+    """Repeated K-fold ``(slug, repeat, fold)``: every slug once per repeat, folds equal but for one row.
+
+    A repeat's permutation is the order by md5(slug|repeat|seed); its ranks are taken
+    in parallel (``operators.ranking``) and dealt to the folds in turn.
+    """
+    draws = train.select("slug", F.explode(F.array(*[F.lit(i) for i in range(repeats)])).alias("repeat")).withColumn(
+        "draw", F.md5(F.concat_ws("|", "slug", F.col("repeat").cast("string"), F.lit(str(seed)))))
+    placed = ranked(draws, [F.col("draw").asc(), F.col("slug").asc()], ["repeat"])
+    return placed.select("slug", "repeat", (F.col("_rank") % folds).cast("int").alias("fold"))
+
+
 def assign_folds(train: DataFrame) -> tuple[DataFrame, str, int, list[tuple[int, int]]]:
     """Rows with ``(repeat, fold)``; returns (frame, label, count, splits).
 
     >= 3 snapshot weeks: grouped folds by week. Otherwise 5 x 5 repeated K-fold
-    with hash-based fold draws per repeat (``pmod(xxhash64(slug, repeat), 5)``).
+    (:func:`repeated_folds`).
     """
     wk = with_week_key(train)
     n_groups = wk.select("week_key").distinct().count()
@@ -197,10 +211,7 @@ def assign_folds(train: DataFrame) -> tuple[DataFrame, str, int, list[tuple[int,
             "repeat", F.lit(0))
         k = min(T.N_FOLDS, n_groups)
         return out, "n_folds", k, [(0, f) for f in range(k)]
-    # N_REPEATS (=5) copies of each row, made by a generator (no join)
-    out = wk.withColumn("repeat", F.explode(F.array(*[F.lit(i) for i in range(T.N_REPEATS)])))
-    out = out.withColumn(
-        "fold", F.pmod(F.xxhash64("slug", "repeat", F.lit(T.CV_SEED)), F.lit(T.N_FOLDS)).cast("int"))
+    out = wk.join(repeated_folds(wk), "slug")
     return out, "n_repeats", T.N_REPEATS, [(r, f) for r in range(T.N_REPEATS)
                                              for f in range(T.N_FOLDS)]
 
