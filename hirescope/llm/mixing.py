@@ -9,7 +9,8 @@ threshold then needs no sort, and a smaller budget of the same source always
 keeps a subset of a larger one (nested thresholds): a budget above the
 source's size takes every document once and the nested remainder twice.
 
-Defined results: null text has size 0; null source is a source of its own,
+Defined results: null text has size 0; a document without words is taken as often as
+its hash says, at most ``CAP`` times; null source is a source of its own,
 ordered last; rows that agree in id, source and text are taken or left
 together; an empty table gives an empty mix; extra columns pass through
 ``mix`` untouched (helper columns carry a ``__mix_`` prefix).
@@ -118,8 +119,10 @@ def mix_plan(docs: DataFrame, key: str = "doc_id", weights: tuple[float, ...] =
     plans = targets.withColumn("full", full).withColumn("budget", target - F.col("full") * size)
     cut = thresholds(rows, plans.select("source", "budget"))
     cut = cut.select(F.col("source").alias("__s"), "upto")
+    # nothing is left after the whole passes: no remainder (its boundary would still let wordless documents in)
+    upto = F.when((F.col("full") > 0) & (F.col("budget") <= 0), F.lit(0).cast("long")).otherwise(F.col("upto"))
     plans = stored(plans.join(cut, F.col("source").eqNullSafe(F.col("__s"))).select(
-        "source", "source_size", "target", "full", "upto"), "mix-plan")
+        "source", "source_size", "target", "full", upto.alias("upto")), "mix-plan")
     return rows, plans
 
 

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirescope.llm import common as C
@@ -409,9 +410,14 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
            copies: bool = False) -> DataFrame:
     """``docs`` plus the ids of the whole text; ``lossless`` names a column that tells if decoding gave the text back.
 
-    With ``copies``, rows of one key that follow one another, as the mix writes a document that it
-    takes twice, are numbered, and the number is part of the key: each copy has draws of its own.
+    With ``copies``, equal rows, as the mix writes a document that it takes twice, are numbered, and the
+    number is part of the key: each copy has draws of its own, however the rows are dealt. (They are
+    counted by one aggregation over the rows, partial first, and written out again.)
     """
+    copy = "__sp_copy"
+    if copies:
+        docs = docs.groupBy(*docs.columns).agg(F.count("*").cast("int").alias(copy)).withColumn(
+            copy, F.explode(F.sequence(F.lit(0), F.col(copy) - 1)))
     extra = [T.StructField(ids, T.ArrayType(T.IntegerType(), False))]
     if lossless:
         extra.append(T.StructField(lossless, T.BooleanType()))
@@ -420,14 +426,11 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model, rate, seed)
-        last, copy = None, -1
         for b in C.chunks(batches, text, 2 << 20):
             texts = b.column(text)
             keys = b.column(key).to_pylist()
-            for i, k in enumerate(keys if copies else ()):
-                last, copy = k, copy + 1 if k == last else 0
-                if copy:
-                    keys[i] = f"{k}#{copy}"
+            if copies:
+                keys = [f"{k}#{n}" if n else k for k, n in zip(keys, b.column(copy).to_pylist(), strict=True)]
             turns = np.array([key_hash(k) for k in keys], np.uint64)
             flat, ends, data = c.encode_texts(texts, turns)
             cols = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()),
@@ -436,7 +439,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
                 cols.append(pa.array(c.same(flat, ends, data, texts), pa.bool_()))
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema).drop(copy)
 
 
 def decode(rows: DataFrame, ids: str = "ids", text: str = "text", model: str = MODEL) -> DataFrame:
