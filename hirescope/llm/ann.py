@@ -16,11 +16,12 @@ vectors; those are reranked with exact double precision distances.
 * The index is packed into blocks of about ``BLOCK`` vectors of neighbouring
   cells; a cell with more is split over several blocks, so a hot vector does
   not make a hot task. Queries are packed into blocks of ``QUERIES`` with a
-  common region; a query block meets just the index blocks that one of its
-  queries visits, and each meeting returns the best k per query.
+  common region, dealt by cell and id; an index block meets just the queries that visit it, with
+  the visits to its own cells, and each meeting returns the best k per query.
 
-Defined results: vectors that are null, zero, of another length than the most
-common one, or hold null or non-finite components take no part; equal
+Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
+part, nor do those of another length than the most common one among the rest (the shorter on ties);
+vectors of one component have one codebook; equal
 distances go to the smaller id; repeated rows of an id count once per query,
 at their smallest distance; fewer candidates than k give all of them; an
 empty table gives an empty result; only the two named columns are read.
@@ -131,13 +132,14 @@ def top_k(queries: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray,
 
 def fit(vectors: DataFrame, dim: int, rows: int, sample: int = SAMPLE, seed: int = 7) -> Cells:
     """The codebooks, from a bounded sample (at most ``sample`` rows reach the driver)."""
-    part = C.hash_sample(vectors.select("id", "v"), "id", rows, sample).toArrow().sort_by("id")
+    part = C.hash_sample(vectors.select("id", "v"), ["id", "v"], rows, sample).toArrow().sort_by("id")
     _, x = _matrix(part.column("v").combine_chunks(), dim)
     if not len(x):  # a few rows, none of them sampled
         _, x = _matrix(vectors.select("v").limit(sample).toArrow().column("v").combine_chunks(), dim)
     k = int(min(MAX_K, max(1, (rows / CELL) ** 0.5), max(1, len(x))))
     half = max(1, dim // 2)
-    return Cells(kmeans(x[:, :half], k, seed), kmeans(x[:, half:], k, seed + 1))
+    two = kmeans(x[:, half:], k, seed + 1) if dim > 1 else np.zeros((1, 0))  # nothing to cut: one half is empty
+    return Cells(kmeans(x[:, :half], k, seed), two)
 
 
 def index(vectors: DataFrame, cells: Cells, dim: int) -> DataFrame:
@@ -159,7 +161,7 @@ def share_to_visit(indexed: DataFrame, cells: Cells, sizes: np.ndarray, dim: int
                    target: float) -> float:
     """The share of all rows at which ``target`` of the true neighbours of sample queries have been met."""
     queries = indexed.filter(is_query)
-    part = C.hash_sample(queries, "id", queries.count(), PROBES).toArrow().sort_by("id")
+    part = C.hash_sample(queries, ["id", "v"], queries.count(), PROBES).toArrow().sort_by("id")
     _, q = _matrix(part.column("v").combine_chunks(), dim)
     if not len(q):
         return 1.0
@@ -203,16 +205,15 @@ def search(table: DataFrame, is_query: str, key: str = "vec_id", vector: str = "
     vectors = table.select(F.col(key).cast("long").alias("id"), F.col(vector).cast(f"array<{kind}>").alias("v")).filter(
         "id is not null and v is not null")
     found = "query_id long, vec_id long, score double"
+    vectors = vectors.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+                             & F.exists("v", lambda x: x != 0))
     dims = (vectors.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"))
             .orderBy(F.desc("n"), "dim").limit(1).collect())
-    dim = dims[0].dim if dims else 0
-    if dim < 2:  # nothing to cut into halves
-        dim = max(dim, 2)
-    cells = None
-    if dims:
-        cells = fit(vectors.filter(F.size("v") == dim), dim, dims[0].n) if _any(vectors, dim) else None
-    if cells is None:
+    if not dims:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dim = dims[0].dim
+    vectors = vectors.filter(F.size("v") == dim)
+    cells = fit(vectors, dim, dims[0].n)
     indexed = C.stored(index(vectors, cells, dim), "ann-index")
     sizes = np.zeros(len(cells.one) * len(cells.two), np.int64)
     for r in indexed.groupBy("cell").agg(F.count("*").alias("n")).collect():  # at most MAX_K^2 rows
@@ -273,7 +274,7 @@ def search(table: DataFrame, is_query: str, key: str = "vec_id", vector: str = "
               .mapInArrow(pack, "block long, ids binary, cells binary, vs binary"))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Query blocks, each with the cells that its queries visit and the index blocks that hold them."""
+        """One row per index block that a block of queries visits."""
         for b in batches:
             for at in range(0, b.num_rows, QUERIES):
                 p = b.slice(at, QUERIES)
@@ -286,18 +287,27 @@ def search(table: DataFrame, is_query: str, key: str = "vec_id", vector: str = "
                         got += int(sizes[c])
                         if got >= enough:
                             break
+                ids = p.column(0).to_numpy()
                 used = np.flatnonzero(seen.any(axis=0) & (sizes > 0))
-                where = np.unique(np.concatenate(
-                    [np.arange(first[c], first[c] + parts[c]) for c in used] or [np.zeros(0, np.int64)]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([where.tolist()], pa.list_(pa.int64())),
-                     pa.array([p.column(0).to_numpy().tobytes()], pa.binary()),
-                     pa.array([q.astype(real).tobytes()], pa.binary()),
-                     pa.array([np.packbits(seen, axis=1).tobytes()], pa.binary())],
-                    names=["where", "qids", "qs", "seen"])
+                for at_block in np.unique(np.concatenate(
+                        [np.arange(first[c], first[c] + parts[c]) for c in used] or [np.zeros(0, np.int64)])).tolist():
+                    # the visits to the cells of this block alone, and the queries that make them
+                    lo, hi = int(low[at_block]), int(high[at_block]) + 1
+                    mine = seen[:, lo:hi].any(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([at_block], pa.int64()), pa.array([lo], pa.int32()),
+                         pa.array([ids[mine].tobytes()], pa.binary()), pa.array([q[mine].astype(real).tobytes()], pa.binary()),
+                         pa.array([np.packbits(seen[mine, lo:hi], axis=1).tobytes()], pa.binary())],
+                        names=["block", "lo", "qids", "qs", "seen"])
+
+    # the cells of each block are neighbours: from low to high
+    low, high = np.full(block + 1, len(sizes)), np.zeros(block + 1, np.int64)
+    for c in np.flatnonzero(sizes).tolist():
+        span = slice(int(first[c]), int(first[c] + parts[c]))
+        low[span], high[span] = np.minimum(low[span], c), np.maximum(high[span], c)
 
-    routed = C.stored(indexed.filter(is_query).repartitionByRange("cell").sortWithinPartitions("cell", "id")
-                      .mapInArrow(route, "where array<long>, qids binary, qs binary, seen binary"), "ann-queries")
+    routed = C.stored(indexed.filter(is_query).repartitionByRange("cell", "id").sortWithinPartitions("cell", "id")
+                      .mapInArrow(route, "block long, lo int, qids binary, qs binary, seen binary"), "ann-queries")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -307,26 +317,20 @@ def search(table: DataFrame, is_query: str, key: str = "vec_id", vector: str = "
                 ids = np.frombuffer(r["ids"], np.int64)
                 x = np.frombuffer(r["vs"], real).reshape(len(ids), dim).astype(np.float64)
                 seen = np.unpackbits(np.frombuffer(r["seen"], np.uint8).reshape(len(qids), -1), axis=1)
-                allowed = seen[:, np.frombuffer(r["cells"], np.int32)].astype(bool)
+                allowed = seen[:, np.frombuffer(r["cells"], np.int32) - r["lo"]].astype(bool)
                 for i, near, d in top_k(q, x, ids, qids, allowed, k):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(near), qids[i])), pa.array(ids[near]), pa.array(d)],
                         names=["query_id", "vec_id", "score"])
 
-    pairs = routed.withColumn("block", F.explode("where")).drop("where").join(blocks, "block")
-    best = (pairs.select("qids", "qs", "seen", "ids", "cells", "vs").mapInArrow(meet, found)
+    pairs = routed.join(blocks, "block")
+    best = (pairs.select("lo", "qids", "qs", "seen", "ids", "cells", "vs").mapInArrow(meet, found)
             .groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
     w = W.partitionBy("query_id").orderBy("score", "vec_id")
     return (best.withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _any(vectors: DataFrame, dim: int) -> bool:
-    """Does any vector of this length take part?"""
-    fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return bool(vectors.filter((F.size("v") == dim) & fine & F.exists("v", lambda x: x != 0)).limit(1).count())
-
-
 def op9_inverted_multi_index(spark: SparkSession, base: str) -> DataFrame:
     """The 10 nearest of every vector whose id is divisible by 100."""
     return search(C.read(spark, base, "embeddings"), "id % 100 = 0")
