@@ -55,24 +55,30 @@ def most_frequent(counts: DataFrame, top: int, n: str = "n") -> DataFrame:
     """The rows with the largest counts, at most ``top``: all from a count on.
 
     The count is read from a histogram of the counts' leading 8 bits (some
-    thousand rows at most), so no task and no driver sorts the table; rows of the
-    bucket with which ``top`` would be exceeded are left out together.
+    thousand rows at most), so no task and no driver sorts the table. Of the bucket
+    with which ``top`` would be exceeded, a share by hash of the whole row fills up
+    what is left, so the result has about ``top`` rows at most.
     """
     shift = F.greatest(F.length(F.bin(F.col(n))) - 8, F.lit(0))
     bucket = F.call_function("shiftleft", F.call_function("shiftright", F.col(n), shift), shift)
-    floor, held = None, 0
+    floor, held, edge, share = None, 0, None, 0.0
     for r in sorted(counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("m")).collect(), reverse=True):
         held += r.m
         if held > top:
+            edge, share = r.b, 1 - (held - top) / r.m
             break
         floor = r.b
-    return counts.filter(F.lit(False) if floor is None else F.col(n) >= floor)
+    whole = F.lit(False) if floor is None else F.col(n) >= floor
+    if edge is None or share <= 0:
+        return counts.filter(whole)
+    draw = F.pmod(F.xxhash64(*counts.columns, F.lit(29)), F.lit(1 << 40)) < int(share * (1 << 40))
+    return counts.filter(whole | ((bucket == edge) & draw))
 
 
-def hash_sample(df: DataFrame, key: str, rows: int, wanted: int) -> DataFrame:
-    """About ``wanted`` of the ``rows`` rows, by a hash of the key; at most twice as many."""
+def hash_sample(df: DataFrame, keys: list[str], rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the ``rows`` rows, by a hash of the keys; equal ones once, so that many copies of a row can't add up."""
     share = min(1.0, wanted / max(rows, 1))
-    return df.filter(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1 << 40)) < int(share * (1 << 40))).limit(2 * wanted)
+    return df.filter(F.pmod(F.xxhash64(*keys, F.lit(11)), F.lit(1 << 40)) < int(share * (1 << 40))).dropDuplicates(keys)
 
 
 def n_words(text: Column) -> Column:

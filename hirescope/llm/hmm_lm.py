@@ -4,15 +4,20 @@ Words (lower-cased, with one end token a text) are counted over all training
 texts. The ``TOP`` most frequent words are symbols of their own; every other
 word is a member of a class named by its last letters, and its probability
 inside the class is its smoothed count's share, so the model gives every word,
-known or not, a proper probability. A hidden Markov model with ``STATES``
+known or not, a positive probability (every unknown word gets that of a
+count of 0, so unknown words' shares are not divided among them). A hidden Markov model with ``STATES``
 states emits the symbols:
 
     p(text) = p(symbols) * product over class members of p(word | class)
 
 Training is Baum-Welch: each round computes expected transition and emission
-counts (forward-backward with scaling) over all training tokens, cut into
-stretches of ``STRETCH`` tokens, and adds the partitions' counts; the first
-states come from expectation maximisation on the matrix of neighbouring symbol
+counts (forward-backward with scaling) over all training tokens and adds the
+partitions' counts. Each text is cut by itself into stretches of ``STRETCH``
+tokens; a stretch is read with ``CONTEXT`` tokens of its text before and behind it,
+whose own counts belong to its neighbours, so every token and every transition
+of a text counts once, none across texts, start counts come from text beginnings
+only, and what a text adds does not depend on the batch or partition it lies in. The
+first states come from expectation maximisation on the matrix of neighbouring symbol
 classes, itself counted over all training tokens. Scoring is the exact scaled
 forward recursion over the whole text.
 
@@ -43,6 +48,7 @@ CLASSES = 512  # classes of all other words
 STATES = 8
 ROUNDS = 3
 STRETCH = 64
+CONTEXT = 8
 COARSE = 384
 FOLDS, HELD = 7, 2
 END = np.uint64(0x656E64)  # the end token's name
@@ -212,25 +218,47 @@ def rest_words(docs: DataFrame, model: Model) -> DataFrame:
 
 # -- the hidden Markov model ---------------------------------------------------
 
-def stretches(symbols: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' symbols one after another, cut into rows of STRETCH (the last one padded), and its mask."""
-    flat = np.frombuffer(b"".join(symbols), np.uint16).astype(np.int64)
-    rows = -(-len(flat) // STRETCH)
-    out = np.full(rows * STRETCH, END_SYMBOL, np.int64)
-    out[:len(flat)] = flat
-    mask = np.arange(rows * STRETCH) < len(flat)
-    return out.reshape(rows, STRETCH), mask.reshape(rows, STRETCH)
-
+def stretches(symbols: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every text cut into rows: its stretches with their context.
 
-def expected(x: np.ndarray, mask: np.ndarray, start: np.ndarray, move: np.ndarray,
+    Returns the rows (padded), which places hold a token of the text, which of them are the
+    stretch's own, and which rows begin a text.
+    """
+    sizes = np.array([len(s) // 2 for s in symbols], np.int64)
+    flat = np.frombuffer(b"".join(symbols), np.uint16).astype(np.int64)
+    parts = -(-sizes // STRETCH)
+    text = np.repeat(np.arange(len(sizes)), parts)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = (np.cumsum(sizes) - sizes)[text]
+    first = nth == 0
+    # a text's first stretch has nothing before it: its row begins with its own tokens
+    lead = np.where(first, 0, CONTEXT)
+    place = nth[:, None] * STRETCH - lead[:, None] + np.arange(STRETCH + 2 * CONTEXT)[None]
+    mask = place < sizes[text][:, None]
+    core = mask & (place >= nth[:, None] * STRETCH) & (place < (nth[:, None] + 1) * STRETCH)
+    mask &= place < (nth[:, None] + 1) * STRETCH + CONTEXT
+    x = np.full(place.shape, END_SYMBOL, np.int64)
+    x[mask] = flat[(begin[:, None] + place)[mask]]
+    return x, mask, core, first
+
+
+def settled(move: np.ndarray) -> np.ndarray:
+    """The states' shares that ``move`` keeps: where a stretch inside a text begins."""
+    p = np.full(len(move), 1 / len(move))
+    for _ in range(64):
+        p = p @ move
+    return p / p.sum()
+
+
+def expected(x: np.ndarray, mask: np.ndarray, core: np.ndarray, first: np.ndarray, start: np.ndarray, move: np.ndarray,
              emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected start, transition and emission counts of rows of symbols (scaled forward-backward)."""
+    """Expected start, transition and emission counts of the rows' own places (scaled forward-backward)."""
     n, width = x.shape
     k = len(start)
     b = emit.T  # symbol -> states
     alpha = np.empty((width, n, k))
     scale = np.empty((width, n, 1))
-    a = start[None] * b[x[:, 0]]
+    a = np.where(first[:, None], start[None], settled(move)[None]) * b[x[:, 0]]
     for t in range(width):
         if t:
             a = (alpha[t - 1] @ move) * b[x[:, t]]
@@ -240,18 +268,20 @@ def expected(x: np.ndarray, mask: np.ndarray, start: np.ndarray, move: np.ndarra
     emitted = np.zeros((emit.shape[1], k))
     beta = np.ones((n, k))
     for t in range(width - 1, -1, -1):
-        on = mask[:, t]
-        gamma = alpha[t] * beta
-        gamma /= gamma.sum(1, keepdims=True)
-        g = gamma[on]
-        for s in range(k):
-            emitted[:, s] += np.bincount(x[on, t], g[:, s], emit.shape[1])
+        on, own = mask[:, t], core[:, t]
+        if own.any():
+            g = alpha[t][own] * beta[own]
+            g /= g.sum(1, keepdims=True)
+            for s in range(k):
+                emitted[:, s] += np.bincount(x[own, t], g[:, s], emit.shape[1])
         if t:
             ahead = b[x[:, t]] * beta / scale[t]
-            moved += (alpha[t - 1][on].T @ ahead[on]) * move
+            # the step into an own token is the row's
+            moved += (alpha[t - 1][own].T @ ahead[own]) * move
             # a padded place tells nothing
             beta = np.where(on[:, None], ahead @ move.T, 1.0)
-    return gamma.sum(0), moved, emitted.T
+    begin = alpha[0][first] * beta[first]
+    return (begin / begin.sum(1, keepdims=True)).sum(0), moved, emitted.T
 
 
 def neighbours(texts: DataFrame, coarse_of: np.ndarray) -> np.ndarray:
@@ -262,7 +292,8 @@ def neighbours(texts: DataFrame, coarse_of: np.ndarray) -> np.ndarray:
             flat = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint16)
             c = coarse_of[flat].astype(np.int64)
             if len(c) > 1:
-                total += np.bincount(c[:-1] * COARSE + c[1:], minlength=COARSE * COARSE)
+                inside = flat[:-1] != END_SYMBOL  # a text's last token has no neighbour
+                total += np.bincount((c[:-1] * COARSE + c[1:])[inside], minlength=COARSE * COARSE)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
@@ -314,9 +345,9 @@ def baum_welch(texts: DataFrame, unigram: np.ndarray, states: int = STATES, roun
         def run(batches: Iterator[pa.RecordBatch], model: tuple = model) -> Iterator[pa.RecordBatch]:
             s, m, e = np.zeros(states), np.zeros((states, states)), np.zeros((states, SYMBOLS))
             for b in batches:
-                x, mask = stretches(b.column(0).to_pylist())
-                for at in range(0, len(x), 2048):
-                    ds, dm, de = expected(x[at:at + 2048], mask[at:at + 2048], *model)
+                rows = stretches(b.column(0).to_pylist())
+                for at in range(0, len(rows[0]), 2048):
+                    ds, dm, de = expected(*(r[at:at + 2048] for r in rows), *model)
                     s, m, e = s + ds, m + dm, e + de
             flat = np.concatenate([s, m.ravel(), e.ravel()])
             used = np.flatnonzero(flat)

@@ -57,6 +57,14 @@ def test_mix_meets_targets_and_nests(spark):
         assert abs(taken - p.target) <= 40 and max(large.values()) <= 2
 
 
+def test_mix_takes_nothing_three_times(spark):
+    rows = [(i, None if i % 2 else " \n", "en", "tiny", 0) for i in range(300)] + [(1000, "one two three", "en", "tiny", 0)] + [
+        (2000 + i, "w " * 50, "en", "large", 0) for i in range(400)] + [(9000 + i, "", "en", "void", 0) for i in range(50)]
+    got = collections.Counter(r.doc_id for r in mixing.mix(spark.createDataFrame(rows, DOCS)).collect())
+    assert max(got.values()) <= 2 and got[1000] == 2 and all(got[i] == 2 for i in range(300))
+    assert all(got[9000 + i] == 1 for i in range(50))
+
+
 def test_quality_keeps_columns_and_clean_rows(spark):
     clean = [(i, " ".join(f"w{(i * 7 + k * 13) % 997}" for k in range(60)), "en", "s", 1) for i in range(300)]
     junk = [(1000 + i, " ".join(f"w{k}### $$$" for k in range(40)), "en", "s", 1) for i in range(20)]
@@ -184,10 +192,56 @@ def test_forward_and_counts_equal_enumeration():
             for a, b in zip(z, z[1:]):
                 moves[a, b] += p
         assert got == pytest.approx(math.log(total))
-        s, mv, e = hmm_lm.expected(x[None].astype(np.int64), np.ones((1, len(x)), bool), start, move, emit)
+        every = np.ones((1, len(x)), bool)
+        s, mv, e = hmm_lm.expected(x[None].astype(np.int64), every, every, np.ones(1, bool), start, move, emit)
         assert mv == pytest.approx(moves / total) and s.sum() == pytest.approx(1) and e.sum() == pytest.approx(len(x))
 
 
+def test_stretches_count_every_token_and_step_of_a_text_once():
+    rng = np.random.default_rng(4)
+    k = 3
+    start, move = rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k)
+    emit = rng.dirichlet(np.ones(hmm_lm.SYMBOLS), k)
+    texts = [np.append(rng.integers(0, hmm_lm.OWN, n), hmm_lm.END_SYMBOL).astype(np.uint16).tobytes()
+             for n in (0, 3, hmm_lm.STRETCH - 1, hmm_lm.STRETCH, 5 * hmm_lm.STRETCH + 9, 700)]
+    rows = hmm_lm.stretches(texts)
+    assert rows[2].sum() == sum(len(t) // 2 for t in texts) and rows[3].sum() == len(texts)
+    s, m, e = hmm_lm.expected(*rows, start, move, emit)
+    assert s.sum() == pytest.approx(len(texts)) and e.sum() == pytest.approx(rows[2].sum())
+    assert m.sum() == pytest.approx(rows[2].sum() - len(texts))
+    # the same text by text, in any order: nothing runs from one text to the next
+    parts = [hmm_lm.expected(*hmm_lm.stretches([t]), start, move, emit) for t in reversed(texts)]
+    for whole, each in zip((s, m, e), zip(*parts), strict=True):
+        assert np.allclose(whole, sum(each))
+    # close to the whole text read at once
+    x = np.frombuffer(texts[-1], np.uint16).astype(np.int64)[None]
+    every = np.ones(x.shape, bool)
+    for part, exact in zip(parts[0], hmm_lm.expected(x, every, every, np.ones(1, bool), start, move, emit), strict=True):
+        assert np.abs(part - exact).sum() < 0.02 * max(1, exact.sum())
+
+
+@pytest.mark.parametrize("texts", [[None, "", " "], ["hello world", "hello there"], ["x"] * 3 + [None] * 40, [None]])
+def test_hmm_on_tiny_and_empty_texts(spark, texts):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = hmm_lm.score(d).collect()
+    assert len(rows) == len(texts) and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
+
+
+def test_hmm_scores_do_not_depend_on_partitions(spark, base):
+    d = common.read(spark, base, "documents").select("doc_id", "text").unionByName(
+        spark.createDataFrame([(10**8 + i, None) for i in range(50)], "doc_id long, text string"))
+    one, many = ({(r.doc_id, r.n_tokens): r.score for r in hmm_lm.score(x).collect()}
+                 for x in (d.coalesce(1), d.repartition(9)))
+    assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k], abs=1e-5) for k in one)
+
+
+def test_words_of_equal_counts_fill_up_the_list(spark):
+    d = spark.range(5000).selectExpr("id as w", "case when id < 10 then 900 else 3 end as n")
+    got = common.most_frequent(d, 1000).collect()
+    assert {r.w for r in got} >= set(range(10)) and 800 < len(got) < 1200
+    assert common.most_frequent(d, 9000).count() == 5000 and common.most_frequent(d, 0).count() == 0
+
+
 def test_loser_tree_merges_any_runs():
     rng = random.Random(2)
     for k in (0, 1, 2, 3, 7, 16):
@@ -241,6 +295,27 @@ def test_search_hard_vectors(spark):
     assert got == [(0, 1, 3, 0.0), (0, 2, 100, 0.0), (0, 3, 7, math.sqrt(5)), (100, 1, 0, 0.0), (100, 2, 3, 0.0), (100, 3, 7, math.sqrt(5))]
 
 
+def test_search_takes_the_length_of_vectors_that_take_part(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 6))
+    good = [(i, v.tolist()) for i, v in enumerate(x)]
+    empty = [(1000 + i, []) for i in range(400)]
+    nulls = [(2000 + i, [None] * 9) for i in range(400)]
+    zero = [(3000 + i, [0.0] * 3) for i in range(400)]
+    short = [(4000 + i, rng.normal(size=4).tolist()) for i in range(200)]
+    for rows in (good + empty, good + nulls, good + zero + short):
+        d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+        got = collections.defaultdict(list)
+        for r in ann.search(d, "id % 100 = 0", target=1.0).orderBy("query_id", "rank").collect():
+            got[r.query_id].append(r.vec_id)
+        assert sorted(got) == [0, 100, 200] and sum(map(len, got.values())) == 30
+        for q in got:
+            assert got[q] == [i for i, _ in brute_nearest(np.arange(300), x, q)]
+    one = spark.createDataFrame([(i, [float(i + 1)]) for i in range(300)], "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, ann.search(one, "id % 100 = 0").collect()))
+    assert len(got) == 30 and [r[2] for r in got if r[0] == 100] == [99, 101, 98, 102, 97, 103, 96, 104, 95, 105]
+
+
 def test_search_repeated_ids_hide_no_neighbour(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(60, 4))

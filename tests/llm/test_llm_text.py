@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from hirescope.llm import chat_quotes, common, html_extract, sp_codec, url_filter
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
@@ -151,6 +153,11 @@ def test_every_occurrence_has_draws_of_its_own(spark):
     d = spark.createDataFrame([(1, "nation " * 50), (1, "nation " * 50), (2, "nation " * 50)], "doc_id long, text string").coalesce(1)
     rows = sp_codec.encode(d, lossless="ok", copies=True).collect()
     assert len({tuple(r.ids) for r in rows}) == 3 and all(r.ok for r in rows)
+    # copies are told apart wherever they lie; rows of one id with other texts are no copies
+    more = d.unionByName(spark.createDataFrame([(1, "nation " * 3)], "doc_id long, text string"))
+    sets = [sorted((r.doc_id, tuple(r.ids)) for r in sp_codec.encode(x, copies=True).collect())
+            for x in (more.coalesce(1), more.repartition(6), more.orderBy(F.rand(3)))]
+    assert sets[0] == sets[1] == sets[2] and len(set(sets[0])) == 4 and sp_codec.encode(d, copies=True).columns == ["doc_id", "text", "ids"]
 
 
 def test_codec_tables(spark):
