@@ -2,16 +2,21 @@
 
 The whole page is parsed into a tree. Subtrees that are never article text
 (scripts, styles, navigation, footers, sidebars, forms, adverts, notices,
-reader comments) are cut by tag, role or a word in class or id. Every
-paragraph then passes points - one, plus its commas, plus one per 100
-characters up to three - to its parent, half of them to the grandparent and a
-third, a quarter ... further up; a container's points are discounted by its
-link density. The best container is widened to the article or main element
-around it, if there is one; it and whatever stands beside it, loose text too,
-with little of it in links, are kept (beside an article, only containers that
-score near it and paragraphs), and their blocks give the text: character
-references decoded, white space inside a block one space, blocks in page order
-joined by an empty line.
+reader comments) are cut by tag, role or class and id names. Outside an article
+one such word in a name is enough; inside it, and on paragraphs, headings and
+sections anywhere, the whole name must be made of such words and of neutral ones
+("share-buttons" goes, "share-price" and "ad-hoc" stay). Every paragraph then
+passes points - one, plus its commas, plus one per 100 characters up to three - to
+its parent, and every container half of its points on to its own parent; a
+container's points are discounted by its link density. The best container is
+widened: to the article or main element around it, if there is one, and from
+there up to the outermost one, whatever stands beside it with few links is kept;
+without such an element, the parts beside the best container stay if few of them
+are links, and at every level above, those that also hold a long paragraph or a
+heading. Beside the outermost article, only containers that score near it and
+paragraphs stay. The kept blocks give the text: character references decoded,
+white space inside a block one space, blocks in page order joined by an empty
+line. All steps are linear in the page.
 
 Defined results: null or empty html, or a page without any text outside the
 cut parts, gives an empty text; a cut-off page is read to its end with every
@@ -43,7 +48,6 @@ BLOCK = frozenset("""address article aside blockquote body center dd details dia
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre
     section summary table tbody td tfoot th thead tr ul""".split())
 CLOSES_P = BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "body", "html", "head"}
-P_ONLY, P_SCOPE = frozenset({"p"}), BLOCK - {"p"}
 #: an opening tag ends these open elements, up to the nearest of its scope
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -61,20 +65,30 @@ CUT_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising spo
     comment comments commentlist disqus reply replies respond share sharing social related recommended
     toolbar pagination pager widget skip login""".split())
 HEADER_WORDS = frozenset({"header", "topbar"})
+#: what else such a name is made of
+NEUTRAL_WORDS = frozenset("""area bar block body bottom box btn button buttons col column container content count cta
+    div embed fixed form frame global group header heading icon icons inner item items js label large layer left line
+    link links list main module outer page panel part placeholder post posts primary right row section secondary
+    section shell site slot small space sticky story stories tag tags teaser text thread title tools top unit view
+    wrap wrapper zone the and by for in of on to us your all more""".split())
 KEEP_TAGS = frozenset({"html", "body", "article", "main"})
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 NEAR = 0.2  # a sibling of an article with this share of the best score is kept
 SEMANTIC = {"article": 25.0, "main": 10.0}
+STRICT_TAGS = PARAGRAPH | {"section"}
+HEADINGS = frozenset("h1 h2 h3 h4".split())
+LONG = 80  # characters of a paragraph that speaks for its container
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "points", "chars", "linked", "commas", "bonus", "in_link", "in_article")
+    __slots__ = ("tag", "parent", "kids", "points", "chars", "linked", "commas", "bonus", "longest", "headed", "in_link", "in_article")
 
     def __init__(self, tag: str, parent: Node | None) -> None:
         self.tag, self.parent, self.kids = tag, parent, []
         self.points = self.bonus = 0.0
-        self.chars = self.linked = self.commas = 0
+        self.chars = self.linked = self.commas = self.longest = 0
+        self.headed = tag in HEADINGS
         self.in_link = tag == "a" or parent is not None and parent.in_link and tag not in BLOCK
         self.in_article = tag in ("article", "main") or parent is not None and parent.in_article
 
@@ -95,8 +109,12 @@ def _cut(tag: str, attrs: str, inside_article: bool) -> bool:
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
         if name in ("class", "id"):
-            parts = {p.lower() for p in NAME_PARTS.findall(value)}
-            if parts & CUT_WORDS or not inside_article and parts & HEADER_WORDS:
+            if inside_article or tag in STRICT_TAGS:
+                for single in value.split():
+                    parts = {p.lower() for p in NAME_PARTS.findall(single)}
+                    if parts & CUT_WORDS and parts <= CUT_WORDS | NEUTRAL_WORDS:
+                        return True
+            elif (parts := {p.lower() for p in NAME_PARTS.findall(value)}) & CUT_WORDS or parts & HEADER_WORDS:
                 return True
     return False
 
@@ -111,20 +129,27 @@ def parse(page: str) -> Node:
         if s and not cut_at:
             at.kids.append((s, at.in_link))
 
+    places: dict[str, list[int]] = {"html": [0]}  # where in the stack each tag is open
+    blocks_at = [0]  # and where blocks are
+
     def close(to: int) -> None:
         nonlocal at, cut_at
+        for node in reversed(stack[to:]):
+            places[node.tag].pop()
+            if node.tag in BLOCK:
+                blocks_at.pop()
         del stack[to:]
         at = stack[-1]
         if cut_at and len(stack) < cut_at:
             cut_at = 0
 
+    def innermost(tags: frozenset | set) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def ending(tags: frozenset | set, scope: frozenset | set) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                close(i)
-                return
-            if stack[i].tag in scope:
-                return
+        i = innermost(tags)
+        if i and i > innermost(scope):
+            close(i)
 
     while True:
         m = TOKEN.search(page, pos)
@@ -140,16 +165,14 @@ def parse(page: str) -> Node:
         if slash:
             if tag == "br" or tag in VOID:
                 continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                # an inline end tag does not reach out of its block
-                if tag not in BLOCK and stack[i].tag in BLOCK:
-                    break
+            i = places[tag][-1] if places.get(tag) else 0
+            # an inline end tag does not reach out of its block
+            if i and (tag in BLOCK or i > blocks_at[-1]):
+                close(i)
             continue
         if tag in CLOSES_P:
-            ending(P_ONLY, P_SCOPE)
+            if stack[blocks_at[-1]].tag == "p":  # the innermost block
+                close(blocks_at[-1])
             if tag[0] == "h" and len(tag) == 2 and stack[-1].tag[:1] == "h" and len(stack[-1].tag) == 2 \
                     and stack[-1].tag[1].isdigit() and tag[1].isdigit():
                 close(len(stack) - 1)
@@ -172,6 +195,9 @@ def parse(page: str) -> Node:
             continue
         if not cut and not cut_at:
             at.kids.append(node)
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            blocks_at.append(len(stack))
         stack.append(node)
         at = node
         if cut:
@@ -231,15 +257,19 @@ def score(root: Node) -> list[Node]:
                 n.chars += size
                 n.linked += size if k[1] else 0
                 n.commas += k[0].count(",")
-    for n in nodes:
+    for n in reversed(nodes):
         own = n.tag in PARAGRAPH or n.tag in BLOCK and any(not isinstance(k, Node) and k[0].strip() for k in n.kids)
-        if not own or not n.chars:
-            continue
-        points = (1 + n.commas + min(n.chars / 100, 3)) * (1 - n.linked / n.chars)
-        up, share = (n.parent if n.tag in PARAGRAPH else n), 1
-        while up is not None:
-            up.points += points / share
-            up, share = up.parent, share + 1
+        if own and n.chars:
+            points = (1 + n.commas + min(n.chars / 100, 3)) * (1 - n.linked / n.chars)
+            n.longest = max(n.longest, n.chars - n.linked)
+            to = n.parent if n.tag in PARAGRAPH else n
+            if to is not None:
+                to.points += points
+        if n.parent is not None:
+            # all of its children have passed theirs; an inline element passes on what it got
+            n.parent.points += n.points / 2 if n.tag in BLOCK else n.points
+            n.parent.longest = max(n.parent.longest, n.longest)
+            n.parent.headed |= n.headed
     boxes = [n for n in nodes if n.tag in BLOCK and n.chars]
     for n in boxes:
         n.bonus = (n.points + (SEMANTIC.get(n.tag, 0.0))) * (1 - n.linked / n.chars)
@@ -258,22 +288,45 @@ def main_text(page: str | None) -> str:
         return ""
     if best.tag in PARAGRAPH and best.parent is not None:
         best = best.parent
-    top, inside = best.bonus, best
-    while inside is not None and inside.tag not in SEMANTIC:
-        inside = inside.parent
+    top, inside, outer = best.bonus, None, None
+    up = best
+    while up is not None:
+        if up.tag in SEMANTIC:
+            inside, outer = inside or up, up
+        up = up.parent
     best = inside or best
-    if best.parent is None:
-        return "\n\n".join(blocks(best))
-    kept, run = [], Node("div", None)
+    # from the best container up: (what is kept of the level before it, of the level behind it)
+    before, behind, node, level = [], [], best, 0
+    while node.parent is not None:
+        left, right = _beside(node, inside is None, node is outer, level, top)
+        before.append(left)
+        behind.append(right)
+        if node is outer:
+            break
+        node, level = node.parent, level + 1
+    texts = [t for side in reversed(before) for t in side] + blocks(best) + [t for side in behind for t in side]
+    return "\n\n".join(texts)
+
+
+def _beside(node: Node, loose: bool, outside: bool, level: int, top: float) -> tuple[list[str], list[str]]:
+    """The kept texts before and behind ``node`` in its parent.
+
+    ``loose``: there is no article element; ``outside``: ``node`` is the outermost one; ``level``: steps above the best container.
+    """
+    left: list[str] = []
+    side, run = left, Node("div", None)
 
     def flush() -> None:
         """The loose text and inline elements met since the last block, if little of them is linked."""
-        if run.linked * 4 < run.chars:
-            kept.extend(blocks(run))
+        if run.linked * 4 < run.chars and (not (loose and level) or run.chars >= LONG):
+            side.extend(blocks(run))
         run.kids, run.chars, run.linked = [], 0, 0
 
-    for k in best.parent.kids:
-        if not isinstance(k, Node):
+    for k in node.parent.kids:
+        if k is node:
+            flush()
+            side = []
+        elif not isinstance(k, Node):
             size = len(k[0].strip())
             run.kids.append(k)
             run.chars, run.linked = run.chars + size, run.linked + (size if k[1] else 0)
@@ -282,11 +335,16 @@ def main_text(page: str | None) -> str:
             run.chars, run.linked = run.chars + k.chars, run.linked + k.linked
         else:
             flush()
-            few = k.chars and k.linked * 4 < k.chars
-            if k is best or few and (inside is None or k.tag in PARAGRAPH or k.bonus >= NEAR * top):
-                kept += blocks(k)
+            if not k.chars or k.linked * 4 >= k.chars:
+                continue
+            if outside:
+                keep = k.tag in PARAGRAPH or k.bonus >= NEAR * top
+            else:
+                keep = not loose or not level or k.headed or k.longest >= LONG
+            if keep:
+                side += blocks(k)
     flush()
-    return "\n\n".join(kept)
+    return left, side
 
 
 def _has_block(node: Node) -> bool:
