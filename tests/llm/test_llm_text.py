@@ -50,6 +50,74 @@ def test_main_text_keeps_uneven_parts():
     assert html_extract.main_text(page) == f"Loose lead, text\n\n{whole}\n\nand after"
 
 
+PARAS = "".join(f"<p>{w}, a sentence of some length, with commas, that goes on for a while until it ends here.</p>" for w in ("Uno", "Dos", "Tres"))
+OTHERS = PARAS.replace("Uno", "Alpha").replace("Dos", "Beta").replace("Tres", "Gamma")
+LINKS = "<div><a href=a>One, two</a> <a href=b>Three, four</a></div>"
+
+
+def flat(html: str) -> str:
+    import re
+
+    return "\n\n".join(re.findall(r"<(?:p|h1|h2)[^>]*>(.*?)</", html))
+
+
+@pytest.mark.parametrize("page", [
+    f"<div id=content><div class=row><div class=sec>{PARAS}</div></div><div class=row><div class=sec>{OTHERS * 4}</div></div>{LINKS}</div>",
+    f"<div id=content><div class=row><div class=sec>{PARAS * 4}</div></div><div class=row><div class=sec>{OTHERS}</div></div></div><div>(c) us</div>",
+    f"<div><h1>The title</h1></div><div class=wrap>{PARAS}</div>{LINKS}",
+    f"<main><article>{PARAS}</article><section><h2>More</h2><p>short</p></section>{LINKS}</main><div>Some company</div>",
+    f"<article>{PARAS}<div class='ad-hoc'>{OTHERS}</div><p class='share-price'>Prices</p><section id='related-work'><p>Work</p></section></article>",
+])
+def test_main_text_keeps_the_whole_article(page):
+    assert html_extract.main_text(f"<html><body>{page}</body></html>") == flat(page)
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "related-posts", "share-buttons", "ad", "cookie-notice", "newsletter-box", "sidebar-left"])
+def test_main_text_cuts_named_parts_inside_the_article(name):
+    assert html_extract.main_text(f"<article>{PARAS}<div class='x {name}'>{OTHERS}</div></article>") == flat(PARAS)
+
+
+def by_hand(page: str) -> str:
+    """Points of every container from the definition, level by level, for pages without an article element."""
+    root = html_extract.parse(page)
+    nodes = list(html_extract._walk(root))
+    html_extract.score(root)
+
+    def own(n):
+        texts = any(not isinstance(k, html_extract.Node) and k[0].strip() for k in n.kids)
+        return n.chars and (n.tag in html_extract.PARAGRAPH or n.tag in html_extract.BLOCK and texts)
+
+    points = {id(n): 0.0 for n in nodes}
+    for n in nodes:
+        if own(n):
+            p = (1 + n.commas + min(n.chars / 100, 3)) * (1 - n.linked / n.chars)
+            up = n.parent if n.tag in html_extract.PARAGRAPH else n
+            while up is not None:
+                points[id(up)] += p
+                p, up = p / 2 if up.tag in html_extract.BLOCK else p, up.parent
+    assert all(n.points == pytest.approx(points[id(n)]) for n in nodes)
+    return root
+
+
+def test_points_equal_their_definition():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        parts = []
+        for _ in range(60):
+            parts.append(str(rng.choice(["<div>", "</div>", "<b>", "</b>", "<section>", "</section>", "<p>one, two</p>", "loose, text",
+                                         "<a href=x>linked words</a>", "<ul><li>item, x<li>item</ul>", "<h2>Head</h2>"])))
+        by_hand("".join(parts))
+
+
+def test_main_text_is_linear_in_the_page():
+    import time
+
+    for page in ("<div>" * 8000 + PARAS, "<b>" * 20_000 + "<p>x, y</p>" * 5000, "<ul>" + "<li><i>" * 20_000 + PARAS, "<p>x<b>" * 20_000):
+        began = time.process_time()
+        text = html_extract.main_text(page)
+        assert time.process_time() - began < 3 and text
+
+
 def test_extract_reads_named_columns_only(spark):
     d = spark.createDataFrame([(1, "u", "<p>hi</p>", "x"), (1, "u", "<p>hi</p>", "x"), (None, None, None, None)],
                               "page_id long, url string, html string, text string")
@@ -82,6 +150,71 @@ def test_viterbi_is_the_best_of_all_splits():
     assert seg.split("cheappills") == ("cheap", "pills")
 
 
+PLAIN = [(f"https://www.{w}news.example.org/{p}", f"<script>var pharmaword=1;</script><p>the {w} news of a health farm, peaks &amp; essex für größe {x}</p>")
+         for w in ("city", "river", "sport", "health") for p in ("a/1", "b/2.html", "en/3", "win/4") for x in ("twin", "one")]
+SPAM = [(f"http://{h}.example.biz/{p}", "<p>cheap pills casino</p>") for h in ("cheappills", "casinobonus", "cheapviagra", "pokerslots")
+        for p in ("buy", "now/order", "x")]
+ODD = [("http://twinpeaks.org/", "<p>x</p>"), ("http://essexwin.de/", ""), ("http://www.sexualhealth.org/win", None),
+       ("http://cheappills.example.info/", ""), ("http://a.b:8/x", ""), (None, None), ("http://" + "pill" * 4000 + ".com/x", ""),
+       ("http://rarewordhost.example/qqq/zzz/yyy/www/uuu", "")]
+
+
+def judged(spark, rows, parts=3):
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string").repartition(parts)
+    return {r.page_id: r for r in url_filter.judge(d, rules=()).collect()}
+
+
+def test_ordinary_hosts_are_allowed_and_spam_is_blocked(spark):
+    rows = PLAIN + SPAM + ODD
+    got = judged(spark, rows)
+    odd = [got[len(PLAIN) + len(SPAM) + i].verdict for i in range(len(ODD))]
+    assert odd == ["allow", "allow", "allow", "block", "allow", "allow", "allow", "allow"], odd
+    assert all(got[i].verdict == "allow" for i in range(len(PLAIN)))
+    assert all(got[len(PLAIN) + i].verdict == "block" for i in range(len(SPAM)))
+
+
+def test_nothing_is_blocked_without_an_example(spark):
+    rows = PLAIN + ODD[:3] + ODD[4:]
+    assert {r.verdict for r in judged(spark, rows).values()} == {"allow"}
+    words = {r.word: r.n for r in url_filter.unigrams(spark.createDataFrame(
+        [("<p>für größe &amp; Ärzte</p><style>b{c}</style><script>if(a<b){hidden}</script>" + "w" * 40,)], "html string")).collect()}
+    assert words == {"für": 1, "größe": 1, "ärzte": 1, "w" * 40: 1}
+
+
+def test_naive_bayes_equals_brute_force(spark):
+    rows = PLAIN + SPAM
+    got = judged(spark, rows)
+    count = [{}, {}]
+    pages = [0, 0]
+    for i, r in got.items():
+        host, path = url_filter.split_url(rows[i][0])
+        n_host = len(r.tokens.split()) - len(url_filter.path_tokens(path))
+        words = r.tokens.split()[:n_host]
+        toks = url_filter.tokens(" ".join(words), path)
+        y = int(url_filter.is_example(url_filter.by_label(host, " ".join(words)), toks))
+        assert y == int(i >= len(PLAIN))
+        pages[y] += 1
+        for t in toks:
+            count[y][t] = count[y].get(t, 0) + 1
+    total = [sum(c.values()) for c in count]
+    for i, r in got.items():
+        host, path = url_filter.split_url(rows[i][0])
+        words = r.tokens.split()[:len(r.tokens.split()) - len(url_filter.path_tokens(path))]
+        score = math.log((pages[1] + 1) / (pages[0] + 1))
+        for t in url_filter.tokens(" ".join(words), path):
+            share = sum(c.get(t, 0) for c in count) / sum(total)
+            p = [math.log((c.get(t, 0) + 50 * share) / (n + 50)) for c, n in zip(count, total, strict=True)]
+            score += p[1] - p[0]
+        assert r.score == pytest.approx(score, abs=1e-3)
+
+
+def test_a_hot_host_is_dealt_in_pieces(spark, monkeypatch):
+    rows = [(f"http://hothost.example.org/p/{i}", "<p>hot host</p>") for i in range(300)] + PLAIN
+    whole = {i: r.tokens for i, r in judged(spark, rows).items()}
+    monkeypatch.setattr(url_filter, "SPLIT", 20)
+    assert {i: r.tokens for i, r in judged(spark, rows).items()} == whole and len(whole) == len(rows)
+
+
 def test_url_filter_blocks_spam_hosts(spark):
     urls = [f"http://{h}.example.org/en/{i}" for i in range(30) for h in ("garden", "www.cheappills", "blog.news")]
     d = spark.createDataFrame([(i, u, "<p>garden news cheap pills</p>") for i, u in enumerate([*urls, None, "x"])],
