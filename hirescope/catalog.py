@@ -21,6 +21,7 @@ from hirescope.operators.dedup import batch_dedup
 from hirescope.operators.partitioning import spread
 from hirescope.operators.upsert import upsert
 from hirescope.plans import boosting as B
+from hirescope.plans import cells as CE
 from hirescope.plans import incremental as INC
 from hirescope.plans import ingest as I
 from hirescope.plans import models as M
@@ -869,6 +870,37 @@ def q_stream_upsert(spark, base):
     return STR.current_table(spark, log).select("slug", "title", "snapshot_date")
 
 
+# -- additive cells and sketches (E3, C5, E6) -----------------------------------------
+
+
+@register("kpi_cells_filtered", D.with_models(
+    "SELECT concat_ws('+', CASE WHEN GROUPING(city) = 0 THEN 'city' END, CASE WHEN GROUPING(role_family) = 0 THEN 'role_family' END, "
+    "CASE WHEN GROUPING(language_gate) = 0 THEN 'language_gate' END) AS b, city, role_family, language_gate, COUNT(*) AS n_jobs, "
+    "COUNT(DISTINCT company_name) AS n_companies, COUNT(*) FILTER (WHERE remote) AS n_remote, "
+    "ROUND(AVG(salary_min_annualized_eur), 2) AS avg_salary FROM fct GROUP BY CUBE (city, role_family, language_gate)")
+    .replace("SELECT concat_ws", "SELECT CASE WHEN b = '' THEN 'all' ELSE b END AS by, * EXCLUDE (b) FROM (SELECT concat_ws", 1) + ")")
+def q_kpi_cells_filtered(spark, base):
+    """G1 for every choice of city, role family and gate, from stored cells: the fact is read once, to build them."""
+    fct = warehouse(spark, base).fact()
+    cells, bitmaps = (scratch_path(spark, n) for n in ("kpi-cells", "kpi-bitmaps"))
+    CE.kpi_cells(fct).write.parquet(cells)
+    CE.company_bitmaps(fct, CE.company_numbers(fct)).write.parquet(bitmaps)
+    return CE.kpi_by_every_filter(spark.read.parquet(cells), spark.read.parquet(bitmaps))
+
+
+@register("pay_sketch_ranges", D.with_models(
+    "SELECT city, CAST(year(posted_at) AS INTEGER) AS year, COUNT(*) AS n_rows, true AS within_error FROM fct "
+    "WHERE posted_at IS NOT NULL AND salary_min_annualized_eur IS NOT NULL GROUP BY 1, 2"))
+def q_pay_sketch_ranges(spark, base):
+    """Quantiles of every city and year merged from monthly sketches, their ranks held against all rows."""
+    fct = warehouse(spark, base).fact()
+    path = scratch_path(spark, "pay-sketches")
+    CE.pay_sketches(fct).write.parquet(path)
+    probs = [0.25, 0.5, 0.75]
+    q = CE.merged_quantiles(spark.read.parquet(path), [F.col("city"), F.year("month").alias("year")], probs)
+    return CE.rank_checks(fct, q, [F.col("city"), F.year("posted_at").alias("year")], ["city", "year"], probs)
+
+
 # -- incremental marts and the bucketed table (F6-F8, A4, A5) -------------------------
 
 #: the postings after two batches: changed titles and locations, new postings, a changed description
