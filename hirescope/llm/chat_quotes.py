@@ -26,6 +26,8 @@ the four named columns are read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,19 +49,30 @@ def normalised(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(s), r"[\s \"'`‘’“”«»]+", " "))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, also where ``use`` names it inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
 def passages(ls: Column) -> Column:
-    """Runs of lines of one level, as structs (level, body), in order; a blank unquoted line parts runs."""
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        blank = F.trim(x["body"]) == ""
-        joins = (F.size(acc) > 0) & (last["level"] == x["level"]) & ~blank & (F.trim(last["body"]) != "")
-        return F.when(joins, F.concat(
-            F.slice(acc, F.lit(1), F.size(acc) - 1),
-            F.array(F.struct(x["level"].alias("level"), F.concat(last["body"], F.lit("\n"), x["body"]).alias("body")))
-        )).otherwise(F.concat(acc, F.array(F.struct(x["level"].alias("level"), x["body"].alias("body")))))
+    """Runs of lines of one level, as structs (level, body), in order; a blank line is a run of its own.
+
+    Linear in the lines: each line is marked as a run's first or not, the lines are joined to one string
+    in which a carriage return (which no line holds) parts levels and bodies, and that is split.
+    """
+    def marked(xs: Column) -> Column:
+        def one(i: Column) -> Column:
+            x, last = xs[i], xs[i - 1]
+            # looked at only behind the first line
+            starts = (x["level"] != last["level"]) | (F.trim(x["body"]) == "") | (F.trim(last["body"]) == "")
+            head = F.concat(F.lit("\r"), x["level"].cast("string"), F.lit("\r"))
+            return F.concat(F.when(i == 0, head).when(starts, head).otherwise(F.lit("\n")), x["body"])
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(xs) - 1), one), "")
 
-    empty = F.expr("cast(array() as array<struct<level:int,body:string>>)")
-    return F.aggregate(ls, empty, step)
+    return _let(F.split(_let(ls, marked), "\r"), lambda ps: F.transform(
+        F.sequence(F.lit(1), F.size(ps) - 1, F.lit(2)),
+        lambda k: F.struct(ps[k].cast("int").alias("level"), ps[k + 1].alias("body"))))
 
 
 def fingerprint(s: Column) -> Column:
@@ -78,6 +91,9 @@ def originals(asking: DataFrame, parsed: DataFrame, parts: Column) -> DataFrame:
     """``asking`` (conv_id, turn, h, ...) with the earlier ``origin`` whose message first wrote one of ``parts`` so."""
     # only hashes that some quote of that conversation asks for are kept
     asked = asking.groupBy("conv_id", "h").agg(F.count("*").alias("n"))
+    # only conversations that ask are taken apart
+    who = C.small_side(C.stored(asking.select(F.col("conv_id").alias("who")).distinct(), "chat-asking"))
+    parsed = parsed.join(who, F.col("conv_id").eqNullSafe(F.col("who")), "left_semi")
     written = (parsed.select("conv_id", "turn", F.explode(parts).alias("part"))
                .select("conv_id", "turn", fingerprint(F.col("part")).alias("h")).filter("h is not null")
                .groupBy("conv_id", "h").agg(F.min("turn").alias("origin"))
