@@ -6,15 +6,19 @@ and the others are revisit records that refer to it; the response is found
 with a partial ``max`` per digest, so a hot payload never gathers its copies.
 A record is one value of Spark's text writer with ``\r\n\r\n`` as line
 separator, which is exactly the end of a WARC record, so the archives are
-plain WARC files on whatever storage the path names, one per input split and
-at most ``RECORDS_PER_FILE`` records each.
+plain WARC files on whatever storage the path names, one per input split and class of
+page sizes. A class holds pages up to some size and so many records a file that an
+archive is some ``ARCHIVE_BYTES`` at most; a larger page has an archive of its own.
 
 Reading: archives are read whole (binary file source), parsed by
 Content-Length, and their payload digests recomputed; a damaged archive is an
 error. Each archive gives a run of index entries sorted by (URL key, time,
-key). The runs are dealt to ranges of that order; within a range a loser tree
-merges the runs' parts, so the ranges in sequence are the globally ordered
-capture history. A hot URL key is split between ranges by time and key.
+key). The runs are dealt to ranges of that order. Within a range the parts of the
+runs are written to files of the task's own (gone with it), and a loser tree merges
+up to ``FAN`` of them at a time from blocks of ``HEADS`` rows, over as many passes as
+it takes, so a task's memory does not grow with its range; the ranges in sequence
+are the globally ordered capture history. A hot URL key is split between ranges by
+time and key.
 
 Defined results: null html is an empty payload; a null url has an empty key
 and sorts first; rows with a null key are revisits of an equal long payload
@@ -26,6 +30,8 @@ empty archive; only the named columns are read.
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -36,7 +42,10 @@ from hirescope.llm import common as C
 from hirescope.session import scratch_path
 
 MIN_REVISIT = 1000
-RECORDS_PER_FILE = 8_000
+ARCHIVE_BYTES = 256 << 20
+RECORDS_PER_FILE = 8_000  # of pages up to ARCHIVE_BYTES / RECORDS_PER_FILE, and so on by a factor of 32
+FAN = 128
+HEADS = 200
 EPOCH = 1_700_000_000  # pages carry no capture time: key seconds after this
 CRLF = "\r\n"
 INDEX = ("urlkey string, ts string, page_id long, url string, record_type string, refers_to long, "
@@ -51,7 +60,7 @@ def _line(name: str, value: Column) -> Column:
 
 
 def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(value): the WARC record of every page, without its final empty lines."""
+    """(value, size): the WARC record of every page, without its final empty lines, and its payload's size."""
     src = pages.select(F.col(key).cast("long").alias("id"), F.col(url).alias("url"),
                        F.coalesce(F.col(html), F.lit("")).alias("payload"))
     src = src.withColumn("size", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload"))
@@ -81,12 +90,20 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
             "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
         F.lit(f"Content-Type: application/http; msgtype=response{CRLF}"),
         _line("Content-Length", length.cast("string")), F.lit(CRLF))
-    return j.select(F.concat(head, block).alias("value"))
+    return j.select(F.concat(head, block).alias("value"), "size")
 
 
-def write_archives(pages: DataFrame, path: str, **columns: str) -> None:
-    (records(pages, **columns).write.option("lineSep", CRLF * 2)
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html") -> None:
+    size = F.coalesce(F.octet_length(html), F.lit(0))
+    found = pages.select(F.max(size)).first()[0] or 0
+    out, over, per_file = records(pages, key, url, html), -1, RECORDS_PER_FILE
+    while True:
+        upto = ARCHIVE_BYTES // per_file if per_file > 1 else found
+        part = out.filter((F.col("size") > over) & (F.col("size") <= upto)).select("value")
+        (part.write.mode("append").option("lineSep", CRLF * 2).option("maxRecordsPerFile", per_file).text(path))
+        if upto >= found:
+            return
+        over, per_file = upto, max(1, per_file // 32)
 
 
 def url_key(url: str | None) -> str:
@@ -199,16 +216,60 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 def merge_runs(runs: DataFrame) -> DataFrame:
     """The runs as one, globally ordered by (urlkey, ts, page_id) over the partitions in sequence."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[str, list[tuple]] = {}
-        for b in batches:
-            for row in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                parts.setdefault(row[8], []).append(row)
-        yield from _batches(iter(LoserTree(list(parts.values()))))
+        with tempfile.TemporaryDirectory() as folder:
+            yield from _batches(merged(folder, spilled(folder, batches)))
 
     dealt = runs.repartitionByRange(*[F.col(c).asc_nulls_first() for c in ORDER])
     return dealt.sortWithinPartitions("archive", *[F.col(c).asc_nulls_first() for c in ORDER]).mapInArrow(run, INDEX)
 
 
+def spilled(folder: str, batches: Iterator[pa.RecordBatch]) -> list[str]:
+    """The rows, which come archive by archive, each sorted, as one file per archive."""
+    files: list[str] = []
+    out, name = None, None
+    for b in batches:
+        archives = b.column(NAMES.index("archive")).to_pylist()
+        at = 0
+        while at < len(archives):
+            to = at + 1
+            while to < len(archives) and archives[to] == archives[at]:
+                to += 1
+            if out is None or archives[at] != name:
+                if out is not None:
+                    out.close()
+                name = archives[at]
+                files.append(f"{folder}/{len(files)}")
+                out = pa.ipc.new_stream(files[-1], b.schema)
+            for lo in range(at, to, HEADS):
+                out.write_batch(b.slice(lo, min(HEADS, to - lo)))
+            at = to
+    if out is not None:
+        out.close()
+    return files
+
+
+def merged(folder: str, files: list[str], fan: int = FAN) -> Iterator[tuple]:
+    """All rows of the sorted files in order; at most ``fan`` blocks of rows are held."""
+    def rows(file: str) -> Iterator[tuple]:
+        with pa.OSFile(file) as f, pa.ipc.open_stream(f) as s:
+            for b in s:
+                yield from zip(*[c.to_pylist() for c in b.columns], strict=True)
+        os.unlink(file)
+
+    passes = 0
+    while len(files) > fan:
+        passes, more = passes + 1, []
+        for at in range(0, len(files), fan):
+            out = None
+            more.append(f"{folder}/{passes}-{at}")
+            for b in _batches(iter(LoserTree([rows(x) for x in files[at:at + fan]])), HEADS):
+                out = out or pa.ipc.new_stream(more[-1], b.schema)
+                out.write_batch(b)
+            out.close()
+        files = more
+    return iter(LoserTree([rows(x) for x in files]))
+
+
 def capture_history(pages: DataFrame) -> DataFrame:
     """Archive the pages, read the archives back, and order all captures."""
     spark = pages.sparkSession

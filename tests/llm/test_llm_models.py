@@ -250,6 +250,31 @@ def test_loser_tree_merges_any_runs():
         assert list(map(warc.sort_key, warc.LoserTree([iter(r) for r in runs]))) == sorted(map(warc.sort_key, itertools.chain(*runs)))
 
 
+def test_runs_are_merged_from_files_in_several_passes(tmp_path):
+    rng = random.Random(9)
+    rows = sorted((((rng.choice("abc"), f"t{rng.randrange(9)}", rng.randrange(5), "u", "response", None, 1, "d", f"ar{i % 23:02d}", i, 1))
+                   for i in range(3000)), key=lambda r: (r[8], warc.sort_key(r)))
+    files = warc.spilled(str(tmp_path), warc._batches(iter(rows), 700))
+    assert len(files) == 23
+    got = list(warc.merged(str(tmp_path), files, fan=4))
+    assert [warc.sort_key(r) for r in got] == sorted(map(warc.sort_key, rows)) and sorted(got, key=str) == sorted(rows, key=str)
+    assert not list(tmp_path.iterdir()) and list(warc.merged(str(tmp_path), [])) == []
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 200_000)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 100)
+    pages = [(i, "http://a.b/x", "y" * n + str(i)) for i, n in enumerate([10] * 300 + [30_000] * 40 + [250_000] * 3)] + [(900, None, None)]
+    d = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).selectExpr("*", "1 as size", "'x' as value", "2 as first")
+    path = str(tmp_path / "w")
+    warc.write_archives(d, path)
+    sizes = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert all(s < 260_000 for s in sizes) and len(sizes) < 60
+    got = warc.read_runs(spark, path).collect()
+    assert sorted(r.page_id for r in got) == sorted(p[0] for p in pages)
+    assert all(r.payload_bytes == len(pages[r.page_id][2]) for r in got if r.page_id < 300)
+
+
 def test_damaged_archives_are_errors():
     good = (b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Date: d\r\nWARC-Payload-Digest: sha1:%s\r\nX-Payload-Length: 1\r\nContent-Length: 5\r\n\r\n"
             b"\r\n\r\nx\r\n\r\n") % b"11f6ad8ec52a2984abaafd7c3b516503785c2072"

@@ -394,3 +394,18 @@ def test_word_hashes_split_like_bytes():
     words = [(i, w) for i, t in enumerate(texts) for w in (t or "").encode().lower().split()]
     assert doc.tolist() == [i for i, _ in words]
     assert len(set(zip(h.tolist(), [w for _, w in words], strict=True))) == len({w for _, w in words})
+
+
+def test_passages_of_a_very_long_message_take_linear_time(spark):
+    import time
+
+    def seconds(n: int) -> float:
+        text = "\n".join(("> " if i % 2 else "") + f"line {i}" for i in range(n))
+        d = spark.createDataFrame([(1, text)], "i int, text string")
+        began = time.time()
+        got = d.select(chat_quotes.passages(chat_quotes.lines(F.col("text"))).alias("p")).selectExpr("size(p) as n", "p[1] as q").first()
+        assert got.n == n and (got.q.level, got.q.body) == (1, "line 1")
+        return time.time() - began
+
+    seconds(100)
+    assert seconds(100_000) < 15
