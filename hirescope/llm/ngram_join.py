@@ -10,7 +10,10 @@ bound are computed:
    link share at least 15 % of the larger one's size within their heads (the
    3/7 bound less what lies behind the heads). So the heads' postings are dealt
    out by column, columns with one set are dropped, and a set with fewer shared
-   head columns than its bound links nothing and is dropped.
+   head columns than its bound links nothing and is dropped. The most frequent
+   columns are known before: each task keeps a summary of its ``HEAVY`` most
+   frequent ones, and the summaries add up. Such a column counts as frequent
+   without being gathered; its postings are dealt out by set as well.
 2. Of the shared head columns a set keeps, rarest first, as many as a linked
    partner cannot all avoid. Frequent columns - passages that many documents
    share - thereby block almost nothing.
@@ -44,6 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirescope.llm import common as C
 
@@ -54,6 +58,9 @@ CHUNK = 500_000  # entries of a chunk of a group's rows
 ROWS = 2_500  # rows of a chunk, if they are short: a task's overlaps are at most some (4 * ROWS)^2 numbers
 SLAB = 4096  # columns multiplied at once
 BROADCAST_IDS = 400_000  # 8-byte ids of documents to be looked up: at most some 10 MB
+HEAVY = 8192  # columns in a task's summary of the most frequent ones
+SPLIT = 16_384  # columns with more than this share of all rows are joined by broadcast: there are no more than this many
+PIECES = 4096  # tasks over which the sets of such a column are dealt out
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,38 +102,89 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return win.view(np.int64), ends, size, name.view(np.int64)
 
 
+def heads(win: np.ndarray, ends: np.ndarray, size: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The head columns of a batch's sets and, beside each, its set; equal sets give one."""
+    _, first = np.unique(name, return_index=True)
+    first = first[size[first] > 0]
+    n = size[first]
+    head = np.maximum(-(-2 * n // 5), n // 4 + 1)
+    stop = np.cumsum(head)
+    idx = np.arange(int(head.sum())) + np.repeat(ends[:-1][first] - (stop - head), head)
+    return win[idx], np.repeat(name[first], head)
+
+
+def summed(known: np.ndarray, counts: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A summary of at most HEAVY columns and lower bounds of their counts, with ``cols`` added.
+
+    What the largest column left out counts is taken off all others (Misra and
+    Gries), so no bound is too high, and none too low by more than the postings seen
+    over HEAVY.
+    """
+    new, times = np.unique(cols, return_counts=True)
+    known, at = np.unique(np.concatenate([known, new]), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([counts, times]), len(known)).astype(np.int64)
+    if len(known) > HEAVY:
+        counts = counts - np.partition(counts, len(counts) - HEAVY - 1)[len(counts) - HEAVY - 1]
+        known, counts = known[counts > 0], counts[counts > 0]
+    return known, counts
+
+
 def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, text_id, n, name) of every row; name null without shingles."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in C.chunks(batches, "text"):
-            _, _, size, name = shingle_sets(b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(size), pa.array(name, mask=size == 0)],
-                                             names=["doc_id", "text_id", "n", "name"])
+    """(doc_id, text_id, n, name, heavy) of every row; name null without shingles.
 
+    ``heavy`` is null but for one more row of each task, which holds its summary of frequent
+    head columns and as n the number of its head postings.
+    """
     src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_id"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, text_id long, n long, name long")
+    heavy_type = pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())]))
+    names = ["doc_id", "text_id", "n", "name", "heavy"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts, total, id_type = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, None
+        for b in C.chunks(batches, "text"):
+            win, ends, size, name = shingle_sets(b.column(1))
+            cols, _ = heads(win, ends, size, name)
+            known, counts = summed(known, counts, cols)
+            total += len(cols)
+            id_type = b.column(0).type
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(size), pa.array(name, mask=size == 0),
+                                              pa.nulls(len(size), heavy_type)], names=names)
+        if total:  # columns far below the share of a heavy one are left out
+            told = np.flatnonzero(4 * HEAVY * counts > total)
+            heavy = [{"h": int(known[i]), "c": int(counts[i])} for i in told]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.array([total]),
+                                              pa.nulls(1, pa.int64()), pa.array([heavy], heavy_type)], names=names)
+
+    return src.mapInArrow(run, f"doc_id {kind}, text_id long, n long, name long, heavy array<struct<h: long, c: long>>")
+
+
+def heavy_columns(summaries: DataFrame) -> DataFrame:
+    """(h): head columns that surely have over ``2 * HOT`` postings and over 1 / SPLIT of all; so at most SPLIT columns.
+
+    A column left out has at most that share and 1.25 / HEAVY of all postings.
+    """
+    total = summaries.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    return (summaries.select(F.explode("heavy").alias("e")).groupBy("e.h").agg(F.sum("e.c").alias("c"))
+            .filter(F.col("c") > max(2 * HOT, total // SPLIT)).select("h"))
 
 
 def head_postings(docs: DataFrame, text: str) -> DataFrame:
     """(h, name): the head columns of every set; equal sets of a batch give one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in C.chunks(batches, "text"):
-            win, ends, size, name = shingle_sets(b.column(0))
-            _, first = np.unique(name, return_index=True)
-            first = first[size[first] > 0]
-            n = size[first]
-            head = np.maximum(-(-2 * n // 5), n // 4 + 1)
-            stop = np.cumsum(head)
-            idx = np.arange(int(head.sum())) + np.repeat(ends[:-1][first] - (stop - head), head)
-            yield pa.RecordBatch.from_arrays([pa.array(win[idx]), pa.array(np.repeat(name[first], head))],
-                                             names=["h", "name"])
+            cols, sets = heads(*shingle_sets(b.column(0)))
+            yield pa.RecordBatch.from_arrays([pa.array(cols), pa.array(sets)], names=["h", "name"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "h long, name long")
 
 
-def shared_columns(postings: DataFrame) -> DataFrame:
-    """(name, h, df): the postings of columns with at least two sets; df is at most HOT."""
+def shared_columns(postings: DataFrame, heavy: DataFrame) -> DataFrame:
+    """(name, h, df): the postings of columns with at least two sets; df is at most HOT.
+
+    Those of ``heavy`` columns (at most SPLIT, known to be frequent) are dealt out by column and set
+    and pass as they are; all others are dealt out by column.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_h, held_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         hot: int | None = None
@@ -149,8 +207,12 @@ def shared_columns(postings: DataFrame) -> DataFrame:
                 yield out(h[keep], name[keep], df[keep])
 
         for b in batches:
-            h = np.concatenate([held_h, b.column(0).to_numpy()])
-            name = np.concatenate([held_n, b.column(1).to_numpy()])
+            h, name = b.column(0).to_numpy(), b.column(1).to_numpy()
+            split = b.column(2).to_numpy() > 0
+            if split.any():
+                yield out(h[split], name[split], np.full(int(split.sum()), HOT))
+            h = np.concatenate([held_h, h[~split]])
+            name = np.concatenate([held_n, name[~split]])
             if hot is not None:  # the run that is known to be long goes on
                 same = h == hot
                 if same.any():
@@ -175,7 +237,26 @@ def shared_columns(postings: DataFrame) -> DataFrame:
         if len(held_h):
             yield from close(held_h, held_n)
 
-    return postings.repartition("h").sortWithinPartitions("h").mapInArrow(run, "name long, h long, df int")
+    known = F.broadcast(heavy.withColumnRenamed("h", "heavy"))
+    piece = F.when(F.col("heavy").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("name"), F.lit(PIECES)) + 1)
+    dealt = postings.join(known, F.col("h") == F.col("heavy"), "left").select("h", "name", piece.cast("int").alias("piece"))
+    return (dealt.repartition("h", "piece").sortWithinPartitions("h")
+            .mapInArrow(run, "name long, h long, df int"))
+
+
+def tied_columns(kept: DataFrame) -> DataFrame:
+    """``kept`` with every column's number of sets c and smallest set m; columns kept by one set alone are dropped.
+
+    Columns with more than 1 / SPLIT of the rows (at most SPLIT) are joined by broadcast, so that none
+    of them is dealt to one task; the others by column.
+    """
+    columns = C.stored(kept.groupBy("h").agg(F.count("*").alias("c"), F.min("name").alias("m")).filter("c > 1")
+                       .withColumnRenamed("h", "ch"), "join-columns")
+    large = F.col("c") > max(HOT, kept.count() // SPLIT)
+    some = F.broadcast(columns.filter(large))
+    here = F.col("h") == F.col("ch")
+    rest = kept.join(some.select("ch"), here, "left_anti").join(columns.filter(~large), here)
+    return kept.join(some, here).drop("ch").unionByName(rest.drop("ch"))
 
 
 def blocks(shared: DataFrame, classes: DataFrame) -> DataFrame:
@@ -199,7 +280,8 @@ def full_sets(docs: DataFrame, key: str, text: str, wanted: DataFrame, rows: int
                 names=["name", "n", "s"])
 
     w = wanted.withColumnRenamed("doc_id", "__id")
-    w = F.broadcast(w) if rows <= BROADCAST_IDS else w
+    short = not isinstance(wanted.schema["doc_id"].dataType, (T.StringType, T.BinaryType))
+    w = F.broadcast(w) if short and rows <= BROADCAST_IDS else w
     src = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     found = src.join(w, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
     return found.mapInArrow(run, "name long, n long, s array<long>").filter("n > 0").dropDuplicates(["name"])
@@ -220,8 +302,9 @@ def components(edges: DataFrame) -> DataFrame:
     minima are partial aggregates, so a node with many edges gathers nothing.
     """
     def state(e: DataFrame) -> tuple:
-        r = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("x")).first()
-        return r.n, r.x
+        r = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
+                  F.bit_xor(F.xxhash64("v", "u", F.lit(5))).alias("y")).first()  # edges are distinct
+        return r.n, r.x, r.y
 
     e = C.stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                  .filter("u <> v").distinct(), "join-edges")
@@ -292,17 +375,14 @@ def spanning(names: np.ndarray, rows: Iterator[tuple[int, np.ndarray]]) -> tuple
 
 
 def group_links(frequent: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links that span the components among sets that share frequent columns.
+    """(a, b): links that span the components among sets that share frequent columns (with their smallest set m).
 
     The sets that such columns tie together are a group. Its rows, in order of
     size, are cut into chunks of about ``CHUNK`` entries or ``ROWS`` short rows (no
     task ever sorts a whole group); two chunks meet in a task unless all their
     sizes are too far apart. A task holds two chunks.
     """
-    least = frequent.groupBy("h").agg(F.min("name").alias("m")).withColumnRenamed("h", "lh")
-    ties = frequent.join(least, F.col("h") == F.col("lh")).select(
-        F.col("name").alias("a"), F.col("m").alias("b")).distinct()
-    groups = components(ties)
+    groups = components(frequent.select(F.col("name").alias("a"), F.col("m").alias("b")).distinct())
     groups = groups.select(F.col("node").alias("name"), F.col("comp").alias("g")).union(
         groups.select(F.col("comp").alias("name"), F.col("comp").alias("g")).distinct())
     sized = groups.join(sets.select("name", "n"), "name").withColumn(
@@ -363,11 +443,9 @@ def group_links(frequent: DataFrame, sets: DataFrame) -> DataFrame:
 
 def link_components(kept: DataFrame, sets: DataFrame) -> DataFrame:
     """(name, comp) of the sets that link with another."""
-    sized = kept.groupBy("h").agg(F.count("*").alias("c")).withColumnRenamed("h", "ch")
-    rows = C.stored(kept.join(sized, F.col("h") == F.col("ch")).drop("ch"), "join-blocks")
-    many = C.stored(group_links(rows.filter(F.col("c") > FEW), sets), "join-links")
+    many = C.stored(group_links(kept.filter(F.col("c") > FEW), sets), "join-links")
     # columns of at most FEW sets: a set meets FEW - 1 others in one, and each pair is counted once
-    few = rows.filter(F.col("c") <= FEW)
+    few = kept.filter(F.col("c") <= FEW)
     other = few.select(F.col("h").alias("h2"), F.col("name").alias("b"), F.col("n").alias("nb"))
     pairs = (few.join(other, (F.col("h") == F.col("h2")) & (F.col("name") < F.col("b"))
                       & (4 * F.least("n", "nb") >= 3 * F.greatest("n", "nb")))
@@ -378,13 +456,13 @@ def link_components(kept: DataFrame, sets: DataFrame) -> DataFrame:
 
 def classified(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc_id, text_id, n_shingles, component_id) of every row."""
-    rows = C.stored(digests(docs, key, text), "join-rows")
+    told = C.stored(digests(docs, key, text), "join-rows")
+    rows = told.filter("heavy is null").drop("heavy")
+    heavy = C.stored(heavy_columns(told.filter("heavy is not null").select("n", "heavy")), "join-heavy")
     classes = C.stored(rows.filter("name is not null").groupBy("name").agg(
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "join-classes")
-    kept = C.stored(blocks(shared_columns(head_postings(docs, text)), classes), "join-kept")
-    # a column kept by one set alone decides nothing
-    several = kept.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("h").alias("sh"))
-    kept = C.stored(kept.join(several, F.col("h") == F.col("sh"), "left_semi"), "join-kept")
+    kept = C.stored(blocks(shared_columns(head_postings(docs, text), heavy), classes), "join-kept")
+    kept = C.stored(tied_columns(kept), "join-tied")
     wanted = C.stored(classes.join(kept.select("name").distinct(), "name", "left_semi").select("doc_id"), "join-wanted")
     sets = C.stored(full_sets(docs, key, text, wanted, wanted.count()), "join-sets")
     comps = link_components(kept, sets)

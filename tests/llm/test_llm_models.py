@@ -142,6 +142,32 @@ def test_join_with_nulls_and_repeats(spark):
     assert sorted(stay, key=str) == sorted([(3, t + " x"), (9, "other words that are not the same"), (None, None), (7, ""), (7, "")], key=str)
 
 
+def test_summaries_bound_the_counts(monkeypatch):
+    monkeypatch.setattr(ngram_join, "HEAVY", 20)
+    rng = np.random.default_rng(6)
+    known, counts, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    for _ in range(30):
+        cols = np.concatenate([rng.integers(0, 5000, 200), np.repeat([7, 9], [60, 30])])
+        seen.append(cols)
+        known, counts = ngram_join.summed(known, counts, cols)
+        assert len(known) <= 20
+    true = collections.Counter(np.concatenate(seen).tolist())
+    told = dict(zip(known.tolist(), counts.tolist(), strict=True))
+    for h, c in true.items():
+        assert c - sum(true.values()) / 20 <= told.get(h, 0) <= c
+    assert told[7] > told[9] > 0
+
+
+def test_heavy_columns_are_split_and_lose_no_link(spark, copies, monkeypatch):
+    d = spark.createDataFrame([(k, t) for k, t in copies.items()], "doc_id long, text string").repartition(5)
+    for name, value in (("HOT", 3), ("SPLIT", 1 << 40), ("PIECES", 3)):  # every column of over 6 sets is heavy
+        monkeypatch.setattr(ngram_join, name, value)
+    heavy = ngram_join.heavy_columns(ngram_join.digests(d, "doc_id", "text").filter("heavy is not null"))
+    assert heavy.count() > 20
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_join(d).collect()}
+    assert got == brute_components(copies)
+
+
 def test_stars_find_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (7, 7)]
     got = {r.node: r.comp for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
