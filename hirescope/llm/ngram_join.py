@@ -295,11 +295,27 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(7 * F.size(F.array_intersect("sa", "sb")) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
+def with_smallest(ends: DataFrame, rows: int) -> DataFrame:
+    """(u, v, m): every row with the smallest v of its u.
+
+    A u with more than 1 / SPLIT of the rows and over HOT (at most SPLIT of them, ``rows``
+    in all) is joined by broadcast, so its rows stay where they are.
+    """
+    least = ends.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).withColumnRenamed("u", "w")
+    here = F.col("u") == F.col("w")
+    if rows <= HOT:  # there can't be such a u
+        return ends.join(least, here).select("u", "v", "m")
+    large = F.col("c") > max(HOT, rows // SPLIT)
+    hubs = F.broadcast(least.filter(large))
+    rest = ends.join(hubs.select("w"), here, "left_anti").join(least.filter(~large), here)
+    return ends.join(hubs, here).select("u", "v", "m").unionAll(rest.select("u", "v", "m"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): comp is the smallest node reached, by alternating stars until nothing changes.
 
     Each star step replaces a node's edges by edges to its smallest neighbour;
-    minima are partial aggregates, so a node with many edges gathers nothing.
+    minima are partial aggregates and a node with many edges is not dealt to one task.
     """
     def state(e: DataFrame) -> tuple:
         r = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
@@ -311,12 +327,9 @@ def components(edges: DataFrame) -> DataFrame:
     last = state(e)
     while last[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, F.col("u") == F.col("w")).select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
-        small = (large.join(least, F.col("u") == F.col("w"))
+        large = (with_smallest(both, 2 * last[0]).filter("v > u")
+                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+        small = (with_smallest(large, 2 * last[0])
                  .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.*").filter("u <> v").distinct())

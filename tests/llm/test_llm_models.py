@@ -174,6 +174,26 @@ def test_stars_find_components(spark):
     assert got == {i: 0 for i in range(1, 41)} | {200: 100, 300: 100}
 
 
+def test_hubs_are_joined_apart_and_change_no_component(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HOT", 8)
+    rng = random.Random(12)
+    edges = [(500, k) for k in range(400, 600) if k != 500]  # a hub in the middle of its neighbours
+    edges += [(599, 700), (700, 701), (900, 901)] + [(k, k + 1) for k in range(1000, 1040)]
+    edges += [tuple(rng.sample(range(2000, 2060), 2)) for _ in range(40)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.comp for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in root if find(x) != x}
+
+
 def test_hmm_base_score_and_proper_probability(spark, base):
     docs = [(r.doc_id, r.text) for r in common.read(spark, base, "documents").collect()] + [(None, None), (1, None), (10**9, "Nie Gesehen \u00a0")]
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("symbols", F.lit("x"))
