@@ -16,6 +16,8 @@ case-insensitive).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,28 +50,30 @@ def skills(text: Column) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-# Cheap necessary conditions for each skill's patterns: every match of the
-# skill's (case-insensitive) patterns contains one of these lowercase literals
-# in the case-folded text (see ``fold``). ``None``: no useful literal (the
-# regex always runs). An optimisation only; ``tests/test_text_rules.py``
-# checks gated == ungated on generated texts.
-SKILL_GATES: dict[str, list[str] | None] = {
+# Words of the case-folded text (see ``fold``) without which a skill's patterns
+# cannot match: each match of a pattern holds one of them between word
+# boundaries. ``None``: no such word (the regex always runs, or behind its
+# literal). The words only say where a regex must run; the regex decides.
+SKILL_WORDS: dict[str, list[str] | None] = {
     "Python": ["python"], "R": None, "SQL": ["sql"], "Java": ["java"],
-    "JavaScript": ["java", "js"], "TypeScript": ["type", "ts"], "Scala": ["scala"],
-    "Go": ["lang"], "C++": ["c++"], "Rust": ["rust"], "Pandas": ["pandas"],
-    "NumPy": ["numpy"], "Spark": ["spark"], "dbt": ["dbt"], "Airflow": ["airflow"],
-    "Snowflake": ["snowflake"], "BigQuery": ["query"], "Databricks": ["databricks"],
-    "Kafka": ["kafka"], "Redshift": ["redshift"], "Postgres": ["postgres"],
-    "PyTorch": ["pytorch"], "TensorFlow": ["tensor"], "scikit-learn": ["learn"],
-    "XGBoost": ["boost"], "LLM": ["llm", "large language model"],
-    "RAG": ["rag", "augmented"], "LangChain": ["langchain"], "HuggingFace": ["hugging"],
-    "MLOps": ["mlops"], "Tableau": ["tableau"], "Power BI": ["power"],
-    "Looker": ["looker"], "Metabase": ["metabase"], "Excel": ["excel"],
-    "AWS": ["aws", "amazon web services"], "GCP": ["gcp", "google cloud"],
-    "Azure": ["azure"], "Docker": ["docker"], "Kubernetes": ["kubernetes", "k8s"],
-    "Terraform": ["terraform"], "React": ["react"], "FastAPI": ["api"],
-    "Django": ["django"], "Next.js": ["next"],
+    "JavaScript": ["javascript", "script", "js"], "TypeScript": ["typescript", "script", "ts"],
+    "Scala": ["scala"], "Go": ["golang", "lang"], "C++": ["c"], "Rust": ["rust"],
+    "Pandas": ["pandas"], "NumPy": ["numpy"], "Spark": ["spark", "pyspark"], "dbt": ["dbt"],
+    "Airflow": ["airflow"], "Snowflake": ["snowflake"], "BigQuery": ["bigquery", "query"],
+    "Databricks": ["databricks"], "Kafka": ["kafka"], "Redshift": ["redshift"],
+    "Postgres": ["postgres", "postgresql"], "PyTorch": ["pytorch"],
+    "TensorFlow": ["tensorflow", "tensor"], "scikit-learn": ["scikit", "sklearn"],
+    "XGBoost": ["xgboost", "xg"], "LLM": ["llm", "llms", "large"], "RAG": None,
+    "LangChain": ["langchain"], "HuggingFace": ["huggingface", "hugging"], "MLOps": ["mlops"],
+    "Tableau": ["tableau"], "Power BI": ["powerbi", "bi"], "Looker": ["looker"],
+    "Metabase": ["metabase"], "Excel": ["excel"], "AWS": ["aws", "amazon"],
+    "GCP": ["gcp", "google"], "Azure": ["azure"], "Docker": ["docker"],
+    "Kubernetes": ["kubernetes", "k8s"], "Terraform": ["terraform"], "React": ["react"],
+    "FastAPI": ["fastapi", "api"], "Django": ["django"], "Next.js": ["nextjs", "js"],
 }
+# the same for patterns that also match inside a word: substrings of the folded text
+SKILL_LITERALS: dict[str, list[str]] = {"RAG": ["rag", "retrieval"]}
+_DICTIONARY = sorted({w for words in SKILL_WORDS.values() for w in words or []})
 
 
 def fold(text: Column) -> Column:
@@ -81,34 +85,41 @@ def fold(text: Column) -> Column:
     ``İ`` (i) and the Kelvin sign (k). ``lower`` already maps the Kelvin sign
     and turns ``İ`` into ``i`` plus a combining dot; ``translate`` maps ``ı`` and
     ``ſ`` and deletes the combining dot. (``lower(upper(x))`` would not do: the
-    optimizer simplifies it to ``lower(x)``.)
+    optimizer simplifies it to ``lower(x)``.) ``translate`` looks every character
+    up, so it runs only on texts that hold one of the three.
     """
-    return F.translate(F.lower(_nz(text)), "\u0131\u017f\u0307", "is")
+    low = F.lower(_nz(text))
+    return (F.when(_any_literal(low, ["\u0131", "\u017f", "\u0307"]),
+                   F.translate(low, "\u0131\u017f\u0307", "is")).otherwise(low))
 
 
 def with_skills(df, text_col: str = "description", out: str = "skills"):
-    """``df`` plus the B1 skill array, with each regex behind its literal gate.
-
-    Equal to ``skills(col(text_col))``; the folded text is its own projection so
-    it is computed once per row.
+    """``df`` plus the B1 skill array; a regex runs only where one of its words occurs.
+
+    Equal to ``skills(col(text_col))``. The folded text is cut into words once and the
+    words are looked up in one dictionary of all skills; the regexes then ask the
+    short text of the dictionary words found. Cutting at everything but ASCII word
+    characters finds every word that ``\\b`` delimits: folding turns no other
+    character into one of them, and the combining dot that it deletes is a word
+    character for ``\\b``.
     """
     t = _nz(F.col(text_col))
     df = df.select("*", fold(F.col(text_col)).alias("_skill_fold"))
-    low = F.col("_skill_fold")
+    low, words = F.col("_skill_fold"), F.col("_skill_words")
+    known = F.array_intersect(F.split(low, r"\W+"), F.lit(_DICTIONARY))
+    df = df.select("*", F.concat(F.lit(" "), F.array_join(known, " "), F.lit(" ")).alias("_skill_words"))
     hits = []
     for name in T.SKILL_NAMES_SORTED:
         rx = t.rlike("(?iU)" + _alt(T.SKILL_PATTERNS[name]))
-        keys = SKILL_GATES.get(name)
-        if keys:
-            gate = None
-            for k in keys:
-                c = low.contains(k)
-                gate = c if gate is None else (gate | c)
-            rx = gate & rx  # And short-circuits: the regex runs only past the gate
+        keys, literals = SKILL_WORDS.get(name), SKILL_LITERALS.get(name)
+        if keys:  # And short-circuits: the regex runs only past the test
+            rx = _any_literal(words, [f" {k} " for k in keys]) & rx
+        elif literals:
+            rx = _any_literal(low, literals) & rx
         hits.append(F.when(rx, F.lit(name)))
     joined = F.concat_ws("\x1f", *hits)  # no skill name holds the separator
     found = F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, "\x1f"))
-    return df.select("*", found.alias(out)).drop("_skill_fold")
+    return df.select("*", found.alias(out)).drop("_skill_fold", "_skill_words")
 
 
 def skills_json(skills_arr: Column) -> Column:
@@ -128,11 +139,7 @@ def skills_from_json(js: Column) -> Column:
 # -- B3 language gate ----------------------------------------------------
 
 def _any_literal(low: Column, literals: list[str]) -> Column:
-    out = None
-    for lit in literals:
-        c = F.instr(low, lit) > 0
-        out = c if out is None else (out | c)
-    return out
+    return functools.reduce(Column.__or__, [low.contains(lit) for lit in literals])
 
 
 # Literal necessary conditions of the lowercase-text rules (every pattern of the

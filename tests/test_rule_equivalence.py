@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -37,11 +38,61 @@ def test_gated_skills_equal_plain_skills(spark):
     assert not bad, bad[:5]
 
 
-def test_every_gate_literal_is_lowercase_ascii():
-    for name, keys in X.SKILL_GATES.items():
-        assert name in T.SKILL_PATTERNS
-        for k in keys or []:
+def test_every_word_and_literal_is_lowercase_ascii():
+    assert set(X.SKILL_WORDS) == set(T.SKILL_PATTERNS)
+    for name in T.SKILL_PATTERNS:
+        for k in (X.SKILL_WORDS[name] or []) + X.SKILL_LITERALS.get(name, []):
             assert k == k.lower() and k.isascii()
+    assert all(re.fullmatch(r"\w+", k) for k in X._DICTIONARY)
+
+
+#: what each skill's patterns match, every branch and option once
+MATCHES = {
+    "Python": ["python"], "R": ["R ", "r,", "R.", "r/", "R"], "SQL": ["sql"], "Java": ["java"],
+    "JavaScript": ["javascript", "java script", "java\u2003script", "js"],
+    "TypeScript": ["typescript", "type\tscript", "ts"], "Scala": ["scala"],
+    "Go": ["golang", "go  lang"], "C++": ["c++", "c++x"], "Rust": ["rust"], "Pandas": ["pandas"],
+    "NumPy": ["numpy"], "Spark": ["spark", "pyspark", "apache spark"], "dbt": ["dbt"],
+    "Airflow": ["airflow"], "Snowflake": ["snowflake"], "BigQuery": ["bigquery", "big query"],
+    "Databricks": ["databricks"], "Kafka": ["kafka"], "Redshift": ["redshift"],
+    "Postgres": ["postgres", "postgresql"], "PyTorch": ["pytorch"],
+    "TensorFlow": ["tensorflow", "tensor flow"],
+    "scikit-learn": ["scikit-learn", "scikit learn", "sklearn"], "XGBoost": ["xgboost", "xg boost"],
+    "LLM": ["llm", "llms", "large language model", "large language models"],
+    "RAG": ["rag", "retrieval-augmented", "xretrieval augmentedx"], "LangChain": ["langchain"],
+    "HuggingFace": ["huggingface", "hugging face"], "MLOps": ["mlops"], "Tableau": ["tableau"],
+    "Power BI": ["powerbi", "power bi"], "Looker": ["looker"], "Metabase": ["metabase"],
+    "Excel": ["excel"], "AWS": ["aws", "amazon web services"], "GCP": ["gcp", "google cloud"],
+    "Azure": ["azure"], "Docker": ["docker"], "Kubernetes": ["kubernetes", "k8s"],
+    "Terraform": ["terraform"], "React": ["react", "react.js"], "FastAPI": ["fastapi", "fast api"],
+    "Django": ["django"], "Next.js": ["nextjs", "next.js"],
+}
+
+
+def test_words_miss_no_branch_of_any_pattern(spark):
+    """Each branch alone, in three spellings, between every kind of neighbour."""
+    assert set(MATCHES) == set(T.SKILL_PATTERNS)
+    around = ["", " ", "-", "_", "\u00e9", "\u0307", "\u24d0", "\u2122", "\u00ad", "\u200d", "\u203f", "\ua7cb", "\ua7dc", "5", "+", "\U0001f600"]
+    odd = str.maketrans({"i": "\u0130", "k": "\u212a", "s": "\u017f"})
+    rows = [(name, before + spelt + after, before in ("", " ", "-") and after in ("", " ", "-"))
+            for name, texts in MATCHES.items() for m in texts
+            for spelt in (m, m.upper(), m.translate(odd)) for before in around for after in around]
+    df = spark.createDataFrame(rows, "name string, t string, plain boolean").repartition(8)
+    out = X.with_skills(df, "t").withColumn("want", X.skills(F.col("t")))
+    assert not out.filter(~F.col("skills").eqNullSafe(F.col("want"))).select("t", "skills", "want").take(5)
+    # the list above is no idle one: every branch does match (R wants nothing but its own ends)
+    assert not out.filter("plain AND name NOT IN ('R') AND NOT array_contains(want, name)").select("name", "t").take(5)
+
+
+def test_folding_makes_no_character_a_word_character(spark):
+    """What cutting words relies on, for every code point."""
+    cps = spark.range(1, 0x110000).filter("id < 55296 OR id > 57343")
+    # behind an x: the decoder eats a byte order mark at the start
+    c = F.substring(F.decode(F.unhex(F.concat(F.lit("00000078"), F.lpad(F.hex("id"), 8, "0"))), "utf-32"), 2, 1)
+    d = cps.select("id", c.alias("c")).select("id", "c", X.fold(F.col("c")).alias("f"))
+    assert d.filter(~F.col("c").rlike(r"(?U)^\w$") & F.col("f").rlike(r"\w")).count() == 0
+    gone = [r.id for r in d.filter("length(f) = 0").collect()]
+    assert gone == [0x307] and d.filter("id = 775").filter(F.col("c").rlike(r"(?U)^\w$")).count() == 1
 
 
 def test_single_scan_salary_equals_group_rescans(spark):
