@@ -343,6 +343,15 @@ def cv_metrics(train: DataFrame, p: GBTParams | None = None,
         return train.sparkSession.createDataFrame(
             [], "mae_log double, r2 double, n_folds int, n_splits long")
     preds, label, count, data = cv_predictions(train, p, spec)
+    res = split_metrics(preds).withColumn(label, F.lit(count))
+    res = res.select("mae_log", "r2", label, "n_splits").cache()
+    res.count()
+    data.unpersist()
+    return res
+
+
+def split_metrics(preds: DataFrame) -> DataFrame:
+    """Means over the splits of their MAE and R^2, from (repeat, fold, label, prediction)."""
     err = F.col("label") - F.col("prediction")
     per = preds.groupBy("repeat", "fold").agg(
         F.avg(F.abs(err)).alias("mae"),
@@ -351,12 +360,7 @@ def cv_metrics(train: DataFrame, p: GBTParams | None = None,
         F.sum("label").alias("sy"), F.sum(F.col("label") * F.col("label")).alias("syy"))
     sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
     per = per.withColumn("r2", F.when(F.col("n") > 1, F.lit(1.0) - F.col("sse") / F.nullif(sst, F.lit(0.0))))
-    res = per.agg(F.avg("mae").alias("mae_log"), F.avg("r2").alias("r2"),
-                  F.count(F.lit(1)).alias("n_splits")).withColumn(label, F.lit(count))
-    res = res.select("mae_log", "r2", label, "n_splits").cache()
-    res.count()
-    data.unpersist()
-    return res
+    return per.agg(F.avg("mae").alias("mae_log"), F.avg("r2").alias("r2"), F.count(F.lit(1)).alias("n_splits"))
 
 
 # -- H11 SHAP ------------------------------------------------------------------
@@ -454,6 +458,22 @@ def shap_values(X: np.ndarray, trees: list[dict], weights: list[float]) -> tuple
     return phi, base
 
 
+def attributions(sm: SalaryModel, rows: DataFrame) -> DataFrame:
+    """(slug, feature, value): the Shapley value of every feature on every row."""
+    trees, weights = tree_table(sm)
+    cols, names = sm.spec.columns, sm.spec.names
+
+    def per_batch(batches):
+        for pdf in batches:
+            phi, _ = shap_values(pdf[cols].to_numpy(dtype=float), trees, weights)
+            yield pd.DataFrame({"slug": np.repeat(pdf["slug"].to_numpy(), len(cols)),
+                                "feature": np.tile(np.asarray(names, dtype=object), len(pdf)),
+                                "value": phi.ravel()})
+
+    return sm.spec.featurize(rows).select("slug", *cols).mapInPandas(
+        per_batch, "slug string, feature string, value double")
+
+
 def mean_abs_shap(sm: SalaryModel, train: DataFrame) -> DataFrame:
     """Mean |SHAP| per feature over the training rows, top 25."""
     trees, weights = tree_table(sm)

@@ -110,3 +110,47 @@ def test_grouped_cv_metrics_on_real_rows(spark, base):
     m = S.cv_metrics(t, S.GBTParams(trees=3), spec).first()
     assert m["n_folds"] == 5 and m["n_splits"] == 5
     assert 0 < m["mae_log"] < 5 and math.isfinite(m["r2"]) and m["r2"] <= 1
+
+
+def test_cv_metrics_equal_duckdb_on_written_predictions(spark, base, tmp_path):
+    """H9: MAE and R^2 recomputed from the predictions, R^2 against each split's own mean."""
+    import duckdb
+
+    t = S.training_frame(catalog.warehouse(spark, base).fact())
+    preds, _, _, data = S.cv_predictions(t, S.GBTParams(trees=3))
+    out = str(tmp_path / "predictions")
+    preds.write.parquet(out)
+    data.unpersist()
+    # a split of one row has an error, but no R^2
+    extra = spark.createDataFrame([(9, 0, 10.0, 10.5)], "repeat int, fold int, label double, prediction double")
+    extra.select(*[F.col(f.name).cast(f.dataType) for f in preds.schema.fields]).write.mode("append").parquet(out)
+    got = S.split_metrics(spark.read.parquet(out)).first()
+    want = duckdb.sql(f"""
+        WITH p AS (SELECT *, avg(label) OVER (PARTITION BY repeat, fold) AS m FROM read_parquet('{out}/*.parquet')),
+        s AS (SELECT avg(abs(label - prediction)) AS mae, CASE WHEN count(*) > 1 THEN
+                1 - sum((label - prediction) ** 2) / sum((label - m) ** 2) END AS r2 FROM p GROUP BY repeat, fold)
+        SELECT avg(mae), avg(r2), count(*) FROM s""").fetchall()[0]
+    np.testing.assert_allclose([got["mae_log"], got["r2"]], want[:2], rtol=1e-6)
+    assert got["n_splits"] == want[2] == 6
+
+
+def test_drivers_and_report_equal_duckdb_on_written_attributions(spark, base, tmp_path):
+    """Mean |SHAP| of every feature, ranked, from one written value per row and feature."""
+    import duckdb
+
+    t = S.training_frame(catalog.warehouse(spark, base).fact())
+    sm = S.train_model(t, S.GBTParams(trees=6))
+    out = str(tmp_path / "attributions")
+    S.attributions(sm, t).write.parquet(out)
+    want = duckdb.sql(f"""
+        SELECT feature, avg(abs(value)) AS importance FROM read_parquet('{out}/*.parquet')
+        GROUP BY feature ORDER BY round(importance, 12) DESC, feature LIMIT 25""").fetchall()
+    assert duckdb.sql(f"SELECT count(*) FROM read_parquet('{out}/*.parquet')").fetchall()[0][0] == t.count() * len(sm.spec.names)
+    values = dict(duckdb.sql(f"SELECT feature, avg(abs(value)) FROM read_parquet('{out}/*.parquet') GROUP BY feature").fetchall())
+    report = S.quality_report(sm, t, S.GBTParams(trees=2)).collect()
+    drivers = {r["name"]: r["value"] for r in report if r["section"] == "driver"}
+    assert len(drivers) == len(want)
+    np.testing.assert_allclose(sorted(drivers.values()), sorted(v for _, v in want), rtol=1e-9, atol=1e-12)
+    for name, value in drivers.items():
+        np.testing.assert_allclose(value, values[name], rtol=1e-9, atol=1e-12)
+    assert {r["name"] for r in report if r["section"] == "metric"} == {"mae_log", "r2", "n_folds"}
