@@ -2,18 +2,24 @@
 
 Squared loss, so a row's gradient is prediction - label and its hessian 1. A tree
 grows level by level: each task adds up gradients and row counts per (node,
-feature, bin) of its rows, Spark sums these histograms (partial, then final; at most
-nodes x features x bins cells, whatever the number of rows), and the driver takes
+feature, bin) of its rows, and the driver adds the tasks' histograms (at most
+nodes x features x bins cells a task, one task per split of the stored blocks) and takes
 the best split of each node from them. With T(G) the gradient sum shrunk by L1,
 
     gain = T(GL)^2 / (HL + l2) + T(GR)^2 / (HR + l2) - T(G)^2 / (H + l2),
     leaf = - learning_rate * T(G) / (H + l2).
 
-Bins come from ``percentile_approx`` (a mergeable sketch) of every feature, cut
-between neighbouring values; a feature of few values gets one bin a value. Features
+A feature of few values gets one bin a value; the bins of the others come from
+``percentile_approx`` (a mergeable sketch), cut between neighbouring values. Features
 are drawn per tree, rows per tree by a hash of their key, so a fit does not depend on
-how the rows are dealt. Predictions are carried in the stored training table and
-brought up to date every ``KEEP`` trees.
+how the rows are dealt.
+
+Training reads the rows once per tree and level, so they are stored as blocks of up
+to ``BLOCK`` rows, by column: of every feature only the rows outside the block's most
+frequent bin, whose own sums are the node's total less the others. Gradients are
+carried in the blocks and brought up to date every ``KEEP`` trees. The models of a
+cross-validation (:func:`fit_folds`) are trained side by side on the same blocks, each
+on the rows of the other folds.
 
 Defined results: null or NaN features go left (bin 0); rows without a label are left out;
 without rows the model is empty and predicts null; ties between splits go to the
@@ -34,6 +40,7 @@ from hirescope.functions import taxonomy as T
 from hirescope.session import scratch_path
 
 KEEP = 10
+BLOCK = 1 << 15  # rows of a block: their places fit 16 bits
 SKETCH = 10_000  # accuracy of the sketch: ranks within rows / SKETCH
 
 # fixed values: the regularisation of the salary model
@@ -70,14 +77,14 @@ class Tree:
         n = (1 << (depth + 1)) - 1
         return cls(np.full(n, -1), np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int64), np.zeros(n), drawn)
 
-    def leaf_of(self, bins: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
-        for _ in range(len(self.feature).bit_length() - 1):
-            f = self.feature[at]
-            right = bins[rows, np.maximum(f, 0)] > self.cut[at]
-            at = np.where(f >= 0, 2 * at + 1 + right, at)
-        return at
+    def level(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """(is a node, value) of every place at ``depth``; below a leaf the value is the leaf's."""
+        live, value = np.ones(1, bool), self.value[:1]
+        for d in range(depth):
+            split = live & (self.feature[(1 << d) - 1:(2 << d) - 1] >= 0)
+            live = np.repeat(split, 2)
+            value = np.where(live, self.value[(2 << d) - 1:(4 << d) - 1], np.repeat(value, 2))
+        return live, value
 
 
 @dataclass
@@ -125,26 +132,52 @@ class BoostedModel:
         return df.withColumn(out, self.expression())
 
 
+def few_values(df: DataFrame, features: list[str], most: int) -> list[np.ndarray | None]:
+    """Per feature its distinct values, None where there are more than ``most``.
+
+    A task holds at most ``most`` + 1 values a feature beside its batch.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [np.empty(0) for _ in features]
+        for b in batches:
+            for j, have in enumerate(known):
+                if len(have) > most:
+                    continue
+                x = b.column(j).to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x) & ~np.isin(x, have)]
+                if len(x):
+                    known[j] = np.union1d(have, x)[:most + 1]
+        at = np.repeat(np.arange(len(known), dtype=np.int32), [len(k) for k in known])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate(known))], names=["i", "v"])
+
+    src = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)])
+    found: list[set] = [set() for _ in features]
+    for r in src.mapInArrow(run, "i int, v double").distinct().collect():
+        found[r.i].add(r.v)
+    return [np.array(sorted(v)) if len(v) <= most else None for v in found]
+
+
 def bin_edges(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
-    """Per feature the cuts between its bins: at most ``bins`` - 1, from a mergeable quantile sketch.
+    """Per feature the cuts between its bins: at most ``bins`` - 1.
 
-    One row with one array a feature reaches the driver.
+    One bin a value where there are at most ``bins`` values, else from a mergeable
+    quantile sketch; one row with one array a feature reaches the driver.
     """
-    probs = [(i + 0.5) / (4 * bins) for i in range(4 * bins)]
-    cols = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")) for c in features]
-    row = df.agg(*[F.percentile_approx(c, probs, SKETCH).alias(f"q{i}") for i, c in enumerate(cols)],
-                 *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                 *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    out = []
-    for i in range(len(features)):
-        if row[f"lo{i}"] is None:
-            out.append([])
-            continue
-        values = np.unique(np.array([row[f"lo{i}"], *row[f"q{i}"], row[f"hi{i}"]]))
-        if len(values) > bins:
-            values = np.unique(values[np.linspace(0, len(values) - 1, bins).round().astype(int)])
-        out.append(((values[1:] + values[:-1]) / 2).tolist())
-    return out
+    values = few_values(df, features, bins)
+    many = [i for i, v in enumerate(values) if v is None]
+    if many:
+        probs = [(i + 0.5) / (4 * bins) for i in range(4 * bins)]
+        cols = {i: F.when(~F.isnan(F.col(f"`{features[i]}`").cast("double")), F.col(f"`{features[i]}`").cast("double"))
+                for i in many}
+        row = df.agg(*[F.percentile_approx(c, probs, SKETCH).alias(f"q{i}") for i, c in cols.items()],
+                     *[F.min(c).alias(f"lo{i}") for i, c in cols.items()],
+                     *[F.max(c).alias(f"hi{i}") for i, c in cols.items()]).first()
+        for i in many:
+            v = np.unique(np.array([row[f"lo{i}"], *row[f"q{i}"], row[f"hi{i}"]]))
+            if len(v) > bins:
+                v = np.unique(v[np.linspace(0, len(v) - 1, bins).round().astype(int)])
+            values[i] = v
+    return [((v[1:] + v[:-1]) / 2).tolist() for v in values]
 
 
 def _hash01(key: np.ndarray, salt: int) -> np.ndarray:
@@ -156,30 +189,93 @@ def _hash01(key: np.ndarray, salt: int) -> np.ndarray:
         return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
 
 
-def _binned(df: DataFrame, key: str, label: str, features: list[str], edges: list[list[float]], base: float) -> DataFrame:
-    """(key, y, margin, bins): bins as one byte a feature."""
+BLOCKS = "keys binary, folds binary, grads binary, most binary, ends binary, places binary, bins binary"
+
+
+def _packed(key: np.ndarray, fold: np.ndarray, y: np.ndarray, bins: np.ndarray, bases: list[float]) -> list[bytes]:
+    """One block of rows (``bins``: feature by row), as the fields of ``BLOCKS``."""
+    most = np.array([np.bincount(b).argmax() for b in bins], np.uint8)
+    held = [np.flatnonzero(b != m) for b, m in zip(bins, most, strict=True)]
+    return [key.tobytes(), fold.tobytes(), (np.array(bases)[:, None] - y[None]).tobytes(), most.tobytes(),
+            np.cumsum([len(h) for h in held]).astype(np.int64).tobytes(),
+            np.concatenate(held).astype(np.uint16).tobytes(),
+            np.concatenate([b[h] for b, h in zip(bins, held, strict=True)]).tobytes()]
+
+
+def _blocks(df: DataFrame, key: str, label: str, features: list[str], edges: list[list[float]], bases: list[float],
+            fold: Column) -> DataFrame:
+    """The training rows in blocks (``BLOCKS``): one gradient a row and base, bins by column."""
     cuts = [np.array(e) for e in edges]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bins = np.zeros((b.num_rows, len(cuts)), np.uint8)
-            for j, c in enumerate(cuts):
-                x = b.column(j + 2).to_numpy(zero_copy_only=False).astype(np.float64)
-                bins[:, j] = np.where(np.isnan(x), 0, np.searchsorted(c, x, "left"))
-            flat = bins.tobytes()
-            w = len(cuts)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(np.full(b.num_rows, base)),
-                 pa.array([flat[i * w:(i + 1) * w] for i in range(b.num_rows)], pa.binary())],
-                names=["key", "y", "margin", "bins"])
-
-    src = df.select(F.xxhash64(key).alias("key"), F.col(label).cast("double").alias("y"),
+        parts: list[tuple] = []
+
+        def block() -> pa.RecordBatch:
+            packed = _packed(*[np.concatenate(p, axis=-1) for p in zip(*parts, strict=True)], bases)
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in packed],
+                                              names=[c.split()[0] for c in BLOCKS.split(", ")])
+
+        size = 0
+        for whole in batches:
+            for start in range(0, whole.num_rows, BLOCK):
+                b = whole.slice(start, BLOCK)
+                if size + b.num_rows > BLOCK and parts:
+                    yield block()
+                    size = 0
+                bins = np.empty((len(cuts), b.num_rows), np.uint8)
+                for j, c in enumerate(cuts):
+                    x = b.column(j + 3).to_numpy(zero_copy_only=False)
+                    bins[j] = x > c[0] if len(c) == 1 else np.where(np.isnan(x), 0, np.searchsorted(c, x, "left"))
+                parts.append((b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int16), b.column(2).to_numpy(), bins))
+                size += b.num_rows
+        if parts:
+            yield block()
+
+    src = df.select(F.xxhash64(key).alias("key"), fold.cast("int").alias("fold"), F.col(label).cast("double").alias("y"),
                     *[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)]).filter("y is not null")
-    return src.mapInArrow(run, "key long, y double, margin double, bins binary")
-
+    return src.mapInArrow(run, BLOCKS)
+
+
+class _Block:
+    """A block's arrays; ``right`` says which rows lie above a cut of a feature."""
+
+    def __init__(self, b: pa.RecordBatch, i: int):
+        at = [memoryview(b.column(c)[i].as_buffer()) for c in range(7)]
+        self.keys, self.folds = np.frombuffer(at[0], np.int64), np.frombuffer(at[1], np.int16)
+        self.rows = len(self.keys)
+        self.grads = np.frombuffer(at[2], np.float64).reshape(-1, self.rows)
+        self.most, self.ends = np.frombuffer(at[3], np.uint8), np.frombuffer(at[4], np.int64)
+        self.places, self.bins = np.frombuffer(at[5], np.uint16), np.frombuffer(at[6], np.uint8)
+        self.known: dict[tuple, np.ndarray] = {}
+
+    def right(self, f: int, cut: int) -> np.ndarray:
+        got = self.known.get((f, cut))
+        if got is None:
+            lo, hi = self.ends[f - 1] if f else 0, self.ends[f]
+            got = self.known[f, cut] = np.full(self.rows, self.most[f] > cut)
+            got[self.places[lo:hi]] = self.bins[lo:hi] > cut
+        return got
+
+    def place(self, tree: Tree, depth: int) -> np.ndarray:
+        """Every row's place at ``depth`` (below a leaf: to the left)."""
+        at = np.zeros(self.rows, np.int16)
+        for d in range(depth):
+            right = np.zeros(self.rows, bool)
+            for i in range(1 << d):
+                f = int(tree.feature[(1 << d) - 1 + i])
+                if f >= 0:
+                    up = self.right(f, int(tree.cut[(1 << d) - 1 + i]))
+                    right = up if d == 0 else np.where(at == i, up, right)
+            at = 2 * at + right
+        return at
 
-def _matrix(b: pa.RecordBatch, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(b.num_rows, width)
+    def moved(self, k: int, trees: list[Tree], depth: int) -> np.ndarray:
+        """Model ``k``'s gradients after ``trees``."""
+        grad = self.grads[k]
+        for t in trees:
+            grad = grad + t.level(depth)[1][self.place(t, depth)]
+        return grad
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -192,35 +288,58 @@ def shrunk(g: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0)
 
 
-def histograms(rows: DataFrame, trees: list[Tree], growing: Tree, number: int, level: int, width: int,
-               p: BoostParams) -> tuple[np.ndarray, np.ndarray]:
-    """Gradient sums and row counts of the level's nodes: [node, feature, bin]."""
-    first, nodes = (1 << level) - 1, 1 << level
-    cols = np.array(growing.drawn)
-    size = nodes * len(cols) * p.bins
+def histograms(rows: DataFrame, trees: list[list[Tree]], growing: list[Tree], number: int, level: int,
+               edges: list[list[float]], p: BoostParams, folds: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per model the gradient sums and row counts of the level's nodes: [node, drawn feature, bin]."""
+    nodes = 1 << level
+    cells = np.array([len(e) + 1 for e in edges])
+    first = np.cumsum(cells) - cells
+    width = int(cells.sum())
+    shape = (len(growing), nodes, width)
+    alive = [t.level(level)[0] for t in growing]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, n = np.zeros(size), np.zeros(size, np.int64)
-        for b in batches:
-            bins = _matrix(b, width)
-            margin = b.column(2).to_numpy()
-            for t in trees:
-                margin = margin + t.value[t.leaf_of(bins)]
-            grad = margin - b.column(1).to_numpy()
-            at = growing.leaf_of(bins) - first
-            use = (at >= 0) & (at < nodes) & (_hash01(b.column(0).to_numpy(), p.seed * 100_003 + number) < p.subsample)
-            cell = ((at[use, None] * len(cols) + np.arange(len(cols))) * p.bins + bins[use][:, cols]).ravel()
-            g += np.bincount(cell, np.repeat(grad[use], len(cols)), size)
-            n += np.bincount(cell, minlength=size)
-        held = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(g[held]), pa.array(n[held])], names=["cell", "g", "n"])
-
-    g, n = np.zeros(size), np.zeros(size, np.int64)
-    for r in rows.mapInArrow(run, "cell long, g double, n long").groupBy("cell").agg(
-            F.sum("g").alias("g"), F.sum("n").alias("n")).collect():
-        g[r.cell], n[r.cell] = r.g, r.n
-    shape = (nodes, len(cols), p.bins)
-    return g.reshape(shape), n.reshape(shape)
+        g, n = np.zeros(shape), np.zeros(shape, np.int64)
+        for batch in batches:
+            for b in (_Block(batch, i) for i in range(batch.num_rows)):
+                counts = np.diff(b.ends, prepend=0)
+                cell = np.repeat(first, counts) + b.bins
+                places = b.places.astype(np.intp)
+                drawn = _hash01(b.keys, p.seed * 100_003 + number) < p.subsample
+                rest = first + b.most
+                for k, tree in enumerate(growing):
+                    if not alive[k].any():
+                        continue
+                    at = b.place(tree, level)
+                    use = drawn & alive[k][at]
+                    if folds:
+                        use &= b.folds != k
+                    # rows that take no part go to a node of their own
+                    at = np.where(use, at, nodes).astype(np.intp)
+                    grad = b.moved(k, trees[k], p.depth)
+                    held = at[places] * width + cell
+                    hg = np.bincount(held, grad[places], (nodes + 1) * width).reshape(nodes + 1, width)[:nodes]
+                    hn = np.bincount(held, minlength=(nodes + 1) * width).reshape(nodes + 1, width)[:nodes]
+                    # the most frequent bin has what is left of the node
+                    hg[:, rest] += np.bincount(at, grad, nodes + 1)[:nodes, None] - np.add.reduceat(hg, first, axis=1)
+                    hn[:, rest] += np.bincount(at, minlength=nodes + 1)[:nodes, None] - np.add.reduceat(hn, first, axis=1)
+                    g[k] += hg
+                    n[k] += hn
+        yield pa.RecordBatch.from_arrays([pa.array([g.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
+                                         names=["g", "n"])
+
+    g, n = np.zeros(shape), np.zeros(shape, np.int64)
+    for r in rows.mapInArrow(run, "g binary, n binary").collect():
+        g += np.frombuffer(r.g, np.float64).reshape(shape)
+        n += np.frombuffer(r.n, np.int64).reshape(shape)
+    out = []
+    for k, tree in enumerate(growing):
+        hg, hn = np.zeros((nodes, len(tree.drawn), p.bins)), np.zeros((nodes, len(tree.drawn), p.bins), np.int64)
+        for i, f in enumerate(tree.drawn):
+            at = slice(first[f], first[f] + cells[f])
+            hg[:, i, :cells[f]], hn[:, i, :cells[f]] = g[k][:, at], n[k][:, at]
+        out.append((hg, hn))
+    return out
 
 
 def best_splits(g: np.ndarray, n: np.ndarray, p: BoostParams) -> list[tuple]:
@@ -246,53 +365,78 @@ def best_splits(g: np.ndarray, n: np.ndarray, p: BoostParams) -> list[tuple]:
     return out
 
 
-def fit(df: DataFrame, key: str, label: str, features: list[str], p: BoostParams | None = None) -> BoostedModel:
-    """The model of ``label`` on the numeric ``features``; ``key`` names a row (for the row draws)."""
-    p = p or BoostParams()
-    df = df.filter(F.col(label).isNotNull())
-    base = df.agg(F.avg(label)).first()[0]
-    if base is None or not features:
-        return BoostedModel(features, [[] for _ in features], None if base is None else float(base), [], p)
+def _grow(tree: Tree, level: int, g: np.ndarray, n: np.ndarray, p: BoostParams) -> None:
+    """The next level of ``tree`` from its nodes' histograms."""
+    for i, (gain, j, cut, left, right) in enumerate(best_splits(g, n, p)):
+        at = (1 << level) - 1 + i
+        if level == 0:
+            total, count = g[i].sum(1)[0], n[i].sum(1)[0]
+            tree.value[at], tree.rows[at] = -p.learning_rate * float(shrunk(total, p.l1)) / (count + p.l2), count
+        if j < 0:
+            continue
+        tree.feature[at], tree.cut[at], tree.gain[at] = tree.drawn[j], cut, gain
+        for child, (cg, cn) in ((2 * at + 1, left), (2 * at + 2, right)):
+            tree.value[child], tree.rows[child] = -p.learning_rate * float(shrunk(cg, p.l1)) / (cn + p.l2), cn
+
+
+def _fit(df: DataFrame, key: str, label: str, features: list[str], p: BoostParams, bases: list[float | None],
+         fold: Column | None) -> list[BoostedModel]:
+    """One model per base, trained side by side; with ``fold``, model k on the rows of the other folds."""
+    models = [BoostedModel(features, [[] for _ in features], None if b is None else float(b), [], p) for b in bases]
+    live = [k for k, m in enumerate(models) if m.base is not None]
+    if not live or not features:
+        return models
     edges = bin_edges(df, features, p.bins)
-    rows = _stored(_binned(df, key, label, features, edges, float(base)))
-    width, trees, kept = len(features), [], 0
+    rows = _stored(_blocks(df, key, label, features, edges, [m.base or 0.0 for m in models],
+                           F.lit(-1) if fold is None else fold))
+    width, kept = len(features), 0
     rng = np.random.default_rng(p.seed)
     for number in range(p.trees):
         drawn = sorted(rng.permutation(width)[:max(1, int(np.ceil(p.colsample * width - 1e-9)))].tolist())
-        tree = Tree.empty(p.depth, drawn)
+        growing = [Tree.empty(p.depth, drawn) for _ in models]
         for level in range(p.depth):
-            g, n = histograms(rows, trees[kept:], tree, number, level, width, p)
-            grown = False
-            for i, (gain, j, cut, left, right) in enumerate(best_splits(g, n, p)):
-                at = (1 << level) - 1 + i
-                if level == 0:
-                    total, count = g[i].sum(1)[0], n[i].sum(1)[0]
-                    tree.value[at], tree.rows[at] = -p.learning_rate * float(shrunk(total, p.l1)) / (count + p.l2), count
-                if j < 0:
-                    continue
-                grown = True
-                tree.feature[at], tree.cut[at], tree.gain[at] = drawn[j], cut, gain
-                for child, (cg, cn) in ((2 * at + 1, left), (2 * at + 2, right)):
-                    tree.value[child], tree.rows[child] = -p.learning_rate * float(shrunk(cg, p.l1)) / (cn + p.l2), cn
-            if not grown:
+            if not any(t.level(level)[0].any() for t in growing):
                 break
-        trees.append(tree)
-        if len(trees) - kept >= KEEP and number + 1 < p.trees:
-            rows = _stored(_moved(rows, trees[kept:], width))
-            kept = len(trees)
-    return BoostedModel(features, edges, float(base), trees, p)
+            sums = histograms(rows, [m.trees[kept:] for m in models], growing, number, level, edges, p, fold is not None)
+            for tree, (g, n) in zip(growing, sums, strict=True):
+                _grow(tree, level, g, n, p)
+        for k in live:
+            models[k].trees.append(growing[k])
+        if number + 1 - kept >= KEEP and number + 1 < p.trees:
+            rows = _stored(_moved(rows, [m.trees[kept:] for m in models], p.depth))
+            kept = number + 1
+    for k in live:
+        models[k].edges = edges
+    return models
 
 
-def _moved(rows: DataFrame, trees: list[Tree], width: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bins = _matrix(b, width)
-            margin = b.column(2).to_numpy()
-            for t in trees:
-                margin = margin + t.value[t.leaf_of(bins)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(margin), b.column(3)], names=b.schema.names)
+def fit(df: DataFrame, key: str, label: str, features: list[str], p: BoostParams | None = None) -> BoostedModel:
+    """The model of ``label`` on the numeric ``features``; ``key`` names a row (for the row draws)."""
+    df = df.filter(F.col(label).isNotNull())
+    return _fit(df, key, label, features, p or BoostParams(), [df.agg(F.avg(label)).first()[0]], None)[0]
 
-    return rows.mapInArrow(run, rows.schema)
+
+def fit_folds(df: DataFrame, key: str, label: str, features: list[str], fold: str, folds: int,
+              p: BoostParams | None = None) -> list[BoostedModel]:
+    """Cross-validation: per fold the model of the rows outside it, all trained side by side."""
+    df = df.filter(F.col(label).isNotNull())
+    row = df.agg(*[F.avg(F.when(~F.col(fold).eqNullSafe(k), F.col(label))).alias(f"b{k}") for k in range(folds)]).first()
+    return _fit(df, key, label, features, p or BoostParams(), list(row), F.coalesce(F.col(fold), F.lit(-1)))
+
+
+def _moved(rows: DataFrame, trees: list[list[Tree]], depth: int) -> DataFrame:
+    """The blocks with their gradients after ``trees``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                b = _Block(batch, i)
+                grads = np.stack([b.moved(k, t, depth) for k, t in enumerate(trees)])
+                one = batch.slice(i, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([grads.tobytes()], pa.binary()) if c == "grads" else one.column(c) for c in batch.schema.names],
+                    names=batch.schema.names)
+
+    return rows.mapInArrow(run, BLOCKS)
 
 
 def root_gains(df: DataFrame, label: str, features: list[str], p: BoostParams | None = None) -> DataFrame:

@@ -39,11 +39,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    prepare(spark)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def prepare(spark: SparkSession) -> None:
+    """The settings that every query relies on, on a session from elsewhere too.
+
+    UTC, and generated methods of 8,000 bytes of bytecode at most: HotSpot never compiles larger
+    ones, so a projection of some fifty columns would run interpreted. Beyond that limit
+    Spark cuts it into methods that are compiled.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

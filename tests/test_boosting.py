@@ -81,3 +81,51 @@ def test_no_rows_no_features_and_no_labels(spark, rows):
         model = B.fit(df, "slug", "label", FEATURES, B.BoostParams(trees=2))
         assert model.trees == [] and [r.prediction for r in model.predict(rows).limit(2).collect()] == [None, None]
     assert B.fit(rows, "slug", "label", [], B.BoostParams(trees=2)).trees == []
+
+
+def test_blocks_hold_every_bin_and_histograms_equal_a_count_of_dense_rows(spark, rows):
+    p = B.BoostParams(subsample=1.0)
+    edges = B.bin_edges(rows, FEATURES, p.bins)
+    base = 0.25
+    stored = B._stored(B._blocks(rows, "slug", "label", FEATURES, edges, [base], F.lit(-1)))
+    drawn = list(range(len(FEATURES)))
+    tree = B.Tree.empty(2, drawn)
+    tree.feature[0], tree.cut[0] = 0, 5
+    (g, n), = B.histograms(stored, [[]], [tree], 0, 1, edges, p, False)
+    d = rows.toPandas()
+    x = d[FEATURES].to_numpy(float)
+    bins = np.stack([np.where(np.isnan(c), 0, np.searchsorted(e, c, "left")) for c, e in zip(x.T, edges)])
+    right = bins[0] > 5
+    for j in drawn:
+        for node, rows_in in ((0, ~right), (1, right)):
+            for b in range(p.bins):
+                at = rows_in & (bins[j] == b)
+                assert n[node, j, b] == at.sum()
+                assert g[node, j, b] == pytest.approx((base - d.label[at]).sum(), abs=1e-9)
+
+
+def test_a_feature_of_few_values_has_one_bin_a_value_however_rare(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") == 7, 5.0).otherwise(F.col("id") % 2 * 9.0).alias("a"),
+                                    F.col("id").cast("double").alias("b"))
+    a, b = B.bin_edges(df, ["a", "b"], 32)
+    assert a == [2.5, 7.0] and 25 <= len(b) <= 31
+
+
+def test_models_of_folds_trained_side_by_side_equal_single_fits(spark, rows):
+    p = B.BoostParams(trees=12, depth=3)
+    held = rows.withColumn("fold", F.pmod(F.xxhash64("slug"), F.lit(3)).cast("int"))
+    for k, m in enumerate(B.fit_folds(held, "slug", "label", ["a", "c d", "e"], "fold", 3, p)):
+        one = B.fit(held.filter(F.col("fold") != k), "slug", "label", ["a", "c d", "e"], p)
+        assert m.base == pytest.approx(one.base)
+        both = one.predict(m.predict(rows, "p"), "q")
+        assert both.filter(F.abs(F.col("p") - F.col("q")) > 1e-9).count() == 0
+
+
+def test_wide_projections_are_cut_into_methods_that_hotspot_compiles(spark, base):
+    import __spark_entry__ as entry
+    from hirescope import catalog
+
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    entry.queries()["boost_root_gains"](spark, base)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    assert len(catalog._boost_frame(spark, base)[0].names) > 10
