@@ -1,4 +1,4 @@
-"""Salary regression on Spark ML.
+"""Salary regression with boosted trees on Spark.
 
 Target ``log(salary_min_annualized_eur)``; features are multi-hot skills (a
 frequency-capped vocabulary), one-hot city (top cities, rest ``Other``), role
@@ -13,32 +13,31 @@ Scale notes
 * Fold assignment needs the greedy "largest group to the lightest fold" pass
   over the *group sizes* (one row per snapshot week, bounded by the calendar),
   which runs on the driver and goes back as a broadcast table.
-* CV fits run concurrently from driver threads on the cached feature vectors.
+* The trees are those of ``plans.boosting``: a fit reads column blocks once per tree
+  and level. The models of a cross-validation are trained side by side, so they
+  share these reads.
 * SHAP runs in ``mapInPandas`` with the tree table (<= trees x 15 nodes)
   shipped in the closure; each task emits per-feature partial sums, so only
-  (#features x #batches) rows are shuffled.
+  (#features x #batches) rows are shuffled. A tree's values depend on its decisions
+  only: they are worked out once per combination of decisions and looked up.
 """
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
 from hirescope.operators.ranking import ranked
 from hirescope.operators.topk import top_k
+from hirescope.plans import boosting as B
 from hirescope.plans import models as M
 from hirescope.session import scratch_path
 
@@ -229,39 +228,34 @@ class GBTParams:
     seed: int = T.GBT_SEED
 
 
-def preparation(spec: FeatureSpec) -> PipelineModel:
-    """salary -> label, indicator columns -> one vector (nothing to fit)."""
-    label = SQLTransformer(statement="SELECT *, ln(salary) AS label FROM __THIS__")
-    return PipelineModel(stages=[label, VectorAssembler(inputCols=spec.columns, outputCol="features")])
+def boost_params(p: GBTParams) -> B.BoostParams:
+    return B.BoostParams(**asdict(p))
 
 
-def regressor(p: GBTParams) -> GBTRegressor:
-    return GBTRegressor(featuresCol="features", labelCol="label", maxIter=p.trees,
-                        maxDepth=p.depth, stepSize=p.learning_rate,
-                        minInstancesPerNode=p.min_child, subsamplingRate=p.subsample,
-                        featureSubsetStrategy=str(p.colsample), seed=p.seed)
+def _fit_frame(train: DataFrame, spec: FeatureSpec, *keep: str) -> DataFrame:
+    """slug, label, the feature columns and the columns to ``keep``."""
+    return spec.featurize(train.withColumn("label", F.log("salary"))).select("slug", *keep, "label", *spec.columns)
 
 
-def _fit_frame(train: DataFrame, spec: FeatureSpec, *keep: str) -> DataFrame:
-    """label, features (one sparse vector) and the columns to ``keep``, persisted.
+class BoostedTrees:
+    """The fitted trees as a model of a table: ``transform`` adds ``prediction``."""
 
-    Training is iterative (one pass per tree): the narrow frame stays in memory,
-    spilling to disk, instead of the wide rows being read again.
-    """
-    return (preparation(spec).transform(spec.featurize(train)).select(*keep, "label", "features")
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    def __init__(self, boosted: B.BoostedModel):
+        self.boosted = boosted
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.boosted.predict(df, "prediction")
 
 
 @dataclass
 class SalaryModel:
     spec: FeatureSpec
-    model: PipelineModel
+    model: BoostedTrees
     path: str | None = None
 
     def score(self, fct: DataFrame) -> DataFrame:
         """H12 batch scoring: predicted annualised minimum salary in EUR."""
-        f = self.spec.featurize(fct.withColumn("salary", F.lit(1.0)))
-        return (self.model.transform(f)
+        return (self.model.transform(self.spec.featurize(fct))
                 .select("slug", F.exp("prediction").alias("predicted_min_eur")))
 
 
@@ -277,11 +271,11 @@ def save_spec(spark: SparkSession, spec: FeatureSpec, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str) -> SalaryModel:
-    """A saved model (pipeline + feature layout) back for scoring/explaining."""
+    """A saved model (trees + feature layout) back for scoring/explaining."""
     import json
 
     spec = FeatureSpec(**json.loads(spark.read.text(f"{path}/feature_spec").first()["value"]))
-    return SalaryModel(spec, PipelineModel.load(f"{path}/pipeline"), f"{path}/pipeline")
+    return SalaryModel(spec, BoostedTrees(B.load(spark, f"{path}/pipeline")), f"{path}/pipeline")
 
 
 def train_model(train: DataFrame, p: GBTParams | None = None, spec: FeatureSpec | None = None,
@@ -290,41 +284,37 @@ def train_model(train: DataFrame, p: GBTParams | None = None, spec: FeatureSpec
     p = p or GBTParams()
     spec = spec or feature_spec(train)
     data = _fit_frame(train, spec)
-    try:
-        if data.count() < min_training_rows(spec):
-            return None
-        # every stage is a Spark ML stage, so the model is saved and loaded as one
-        model = PipelineModel(stages=[*preparation(spec).stages, regressor(p).fit(data)])
-    finally:
-        data.unpersist()
+    if data.count() < min_training_rows(spec):
+        return None
+    model = BoostedTrees(B.fit(data, "slug", "label", spec.columns, boost_params(p)))
     if not save:
         return SalaryModel(spec, model, None)
     root = scratch_path(train.sparkSession, "salary-model")
-    model.write().overwrite().save(f"{root}/pipeline")
+    B.save(train.sparkSession, model.boosted, f"{root}/pipeline")
     save_spec(train.sparkSession, spec, root)
     return load_model(train.sparkSession, root)
 
 
 # -- H9 cross-validation -----------------------------------------------------
 
-def cv_predictions(train: DataFrame, p: GBTParams | None = None,
-                   spec: FeatureSpec | None = None, parallelism: int = 5):
+def cv_predictions(train: DataFrame, p: GBTParams | None = None, spec: FeatureSpec | None = None):
+    """(repeat, fold, label, prediction) of every row by the model of the other folds.
+
+    The models of a repeat are trained side by side.
+    """
     p = p or GBTParams()
     spec = spec or feature_spec(train)
     folded, label, count, splits = assign_folds(train)
-    data = _fit_frame(folded, spec, "repeat", "fold")
-    gbt = regressor(p)
-
-    def run(split):
-        rep, fold = split
+    path = scratch_path(train.sparkSession, "cv-rows")
+    _fit_frame(folded, spec, "repeat", "fold").write.parquet(path)
+    data = train.sparkSession.read.parquet(path)
+    preds = []
+    for rep in sorted({r for r, _ in splits}):
         part = data.filter(F.col("repeat") == rep)
-        m = gbt.fit(part.filter(F.col("fold") != fold))
-        return (m.transform(part.filter(F.col("fold") == fold))
-                .select(F.lit(rep).alias("repeat"), F.lit(fold).alias("fold"), "label",
-                        "prediction"))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        preds = list(ex.map(run, splits))
+        folds = [f for r, f in splits if r == rep]
+        for f, m in enumerate(B.fit_folds(part, "slug", "label", spec.columns, "fold", len(folds), boost_params(p))):
+            preds.append(m.predict(part.filter(F.col("fold") == f), "prediction").select(
+                F.lit(rep).alias("repeat"), F.lit(f).alias("fold"), "label", "prediction"))
     out = preds[0]
     for q in preds[1:]:
         out = out.unionByName(q)
@@ -342,12 +332,9 @@ def cv_metrics(train: DataFrame, p: GBTParams | None = None,
     if train.count() < min_training_rows(spec):
         return train.sparkSession.createDataFrame(
             [], "mae_log double, r2 double, n_folds int, n_splits long")
-    preds, label, count, data = cv_predictions(train, p, spec)
+    preds, label, count, _ = cv_predictions(train, p, spec)
     res = split_metrics(preds).withColumn(label, F.lit(count))
-    res = res.select("mae_log", "r2", label, "n_splits").cache()
-    res.count()
-    data.unpersist()
-    return res
+    return res.select("mae_log", "r2", label, "n_splits")
 
 
 def split_metrics(preds: DataFrame) -> DataFrame:
@@ -366,31 +353,25 @@ def split_metrics(preds: DataFrame) -> DataFrame:
 # -- H11 SHAP ------------------------------------------------------------------
 
 def tree_table(sm: SalaryModel) -> tuple[list[dict], list[float]]:
-    """Nodes of every tree (read from the saved model, <= trees x 15 rows)."""
-    spark = SparkSession.getActiveSession()
-    gbt = sm.model.stages[-1]
-    path = sm.path
-    if path is None:
-        path = scratch_path(spark, "salary-model")
-        sm.model.write().overwrite().save(path)
-        sm.path = path
-    stage_dir = f"{path}/stages/{len(sm.model.stages) - 1}_{gbt.uid}"
-    rows = (spark.read.parquet(f"{stage_dir}/data")
-            .select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
-                    "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-                    "nodeData.split.leftCategoriesOrThreshold", "nodeData.split.numCategories")
-            .collect())
-    trees: dict[int, dict] = {}
-    for r in rows:
-        trees.setdefault(r["treeID"], {})[r["id"]] = {
-            "value": r["prediction"], "cover": float(r["impurityStats"][0]),
-            "left": r["leftChild"], "right": r["rightChild"], "feature": r["featureIndex"],
-            "split": list(r["leftCategoriesOrThreshold"] or []), "ncat": r["numCategories"]}
-    return [trees[t] for t in sorted(trees)], list(gbt.treeWeights)
-
-
-def _leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, bool, list, int, float]]]]:
-    """(leaf value, [(feature, went_left, split, ncat, cover ratio), ...]) per leaf."""
+    """Nodes of every tree (<= trees x 15), behind one leaf of the mean label that the trees start from."""
+    boosted = sm.model.boosted
+    cover = float(boosted.trees[0].rows[0]) if boosted.trees else 0.0
+    out = [{0: {"value": boosted.base, "cover": cover, "left": -1, "right": -1, "feature": -1, "split": [], "ncat": -1}}]
+    for t in boosted.trees:
+        nodes, live = {}, [0]
+        for i in live:
+            f = int(t.feature[i])
+            nodes[i] = {"value": float(t.value[i]), "cover": float(t.rows[i]),
+                        "left": 2 * i + 1 if f >= 0 else -1, "right": 2 * i + 2 if f >= 0 else -1, "feature": f,
+                        "split": [float(boosted.edges[f][t.cut[i]])] if f >= 0 else [], "ncat": -1}
+            if f >= 0:
+                live += [2 * i + 1, 2 * i + 2]
+        out.append(nodes)
+    return out, [1.0] * len(out)
+
+
+def _leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, int, bool, float]]]]:
+    """(leaf value, [(node, feature, went_left, cover ratio), ...]) per leaf."""
     out = []
 
     def walk(nid, path):
@@ -400,7 +381,7 @@ def _leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, bool, list, int
             return
         for child, left in ((n["left"], True), (n["right"], False)):
             ratio = tree[child]["cover"] / n["cover"] if n["cover"] > 0 else 0.0
-            walk(child, path + [(n["feature"], left, n["split"], n["ncat"], ratio)])
+            walk(child, path + [(nid, n["feature"], left, ratio)])
 
     root = min(tree)
     walk(root, [])
@@ -413,49 +394,77 @@ def _goes_left(x: np.ndarray, split: list, ncat: int) -> np.ndarray:
     return x <= split[0]
 
 
-def shap_values(X: np.ndarray, trees: list[dict], weights: list[float]) -> tuple[np.ndarray, float]:
-    """Exact path-dependent Shapley values of a tree ensemble.
+def _decisions(X: np.ndarray, tree: dict) -> dict[int, np.ndarray]:
+    """Per inner node, which rows go left there."""
+    return {i: _goes_left(X[:, n["feature"]], n["split"], n["ncat"]) for i, n in tree.items() if n["left"] >= 0}
+
+
+def _tree_shapley(left: dict[int, np.ndarray], n: int, tree: dict) -> tuple[dict[int, np.ndarray], float]:
+    """(Shapley values by feature, base value) of one tree, from the decisions of ``n`` rows.
 
     For one leaf, the path-dependent value function factorises over the
     features on its path: v(S) = value * prod_{j in S} a_j(x) * prod_{j not in
     S} b_j, with a_j = 1 if x follows every split on j along the path, and b_j
     the product of the cover ratios of those splits. Features off the path are
     null players, so each leaf is a game of <= depth players whose Shapley
-    values are summed in closed form; sums over leaves and trees are exact
-    Shapley values of the ensemble (additivity). Returns (phi, base value).
+    values are summed in closed form.
+    """
+    phi: dict[int, np.ndarray] = {}
+    base = 0.0
+    for value, path in _leaf_paths(tree):
+        a: dict[int, np.ndarray] = {}
+        b: dict[int, float] = {}
+        for node, f, went_left, ratio in path:
+            a[f] = a.get(f, 1.0) * (left[node] if went_left else ~left[node])
+            b[f] = b.get(f, 1.0) * ratio
+        base += value * math.prod(b.values())
+        d = len(a)
+        for i in a:
+            others = [j for j in a if j != i]
+            contrib = np.zeros(n)
+            for size in range(len(others) + 1):
+                coef = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
+                for S in combinations(others, size):
+                    term = np.ones(n)
+                    for j in others:
+                        term = term * (a[j] if j in S else b[j])
+                    contrib += coef * term
+            phi[i] = phi.get(i, 0.0) + value * (a[i] - b[i]) * contrib
+    return phi, base
+
+
+# inner nodes of a tree whose combinations of decisions are listed
+MOST_LISTED = 10
+
+
+def shap_values(X: np.ndarray, trees: list[dict], weights: list[float]) -> tuple[np.ndarray, float]:
+    """Exact path-dependent Shapley values of a tree ensemble: (phi, base value).
+
+    Sums over leaves and trees are exact Shapley values of the ensemble (additivity). A
+    tree's values depend on a row through its decisions at the inner nodes only, so
+    they are worked out for every combination of decisions and looked up by row; a
+    tree of more than ``MOST_LISTED`` inner nodes is worked out by row.
     """
     n, m = X.shape
-    phi = np.zeros((n, m))
+    phi = np.zeros((m, n))
     base = 0.0
     for tree, w in zip(trees, weights):
-        for value, path in _leaf_paths(tree):
-            feats: dict[int, list] = {}
-            for f, left, split, ncat, ratio in path:
-                feats.setdefault(f, []).append((left, split, ncat, ratio))
-            a, b = {}, {}
-            for f, steps in feats.items():
-                av = np.ones(n)
-                bv = 1.0
-                for left, split, ncat, ratio in steps:
-                    gl = _goes_left(X[:, f], split, ncat)
-                    av = av * (gl if left else ~gl)
-                    bv *= ratio
-                a[f], b[f] = av, bv
-            base += w * value * math.prod(b.values())
-            d = len(feats)
-            keys = list(feats)
-            for i in keys:
-                others = [j for j in keys if j != i]
-                contrib = np.zeros(n)
-                for size in range(len(others) + 1):
-                    coef = math.factorial(size) * math.factorial(d - size - 1) / math.factorial(d)
-                    for S in combinations(others, size):
-                        term = np.ones(n)
-                        for j in others:
-                            term = term * (a[j] if j in S else b[j])
-                        contrib += coef * term
-                phi[:, i] += w * value * (a[i] - b[i]) * contrib
-    return phi, base
+        left = _decisions(X, tree)
+        listed = len(left) <= MOST_LISTED and n > 1 << len(left)
+        rows = left
+        if listed:
+            every = np.arange(1 << len(left))
+            rows = {i: (every >> k & 1).astype(bool) for k, i in enumerate(left)}
+        values, b = _tree_shapley(rows, len(every) if listed else n, tree)
+        base += w * b
+        if listed:
+            code = np.zeros(n, np.intp)
+            for k, goes in enumerate(left.values()):
+                code += goes.astype(np.intp) << k
+            values = {f: v[code] for f, v in values.items()}
+        for f, v in values.items():
+            phi[f] += w * v
+    return phi.T, base
 
 
 def attributions(sm: SalaryModel, rows: DataFrame) -> DataFrame:
@@ -509,11 +518,11 @@ def _tree_predictions(x: np.ndarray, trees: list[dict], weights: list[float]) ->
     """The ensemble's prediction from the saved node table."""
     out = np.zeros(len(x))
     for tree, w in zip(trees, weights):
+        left = _decisions(x, tree)
         for value, path in _leaf_paths(tree):
             here = np.ones(len(x), bool)
-            for f, left, split, ncat, _ in path:
-                gl = _goes_left(x[:, f], split, ncat)
-                here &= gl if left else ~gl
+            for node, _, went_left, _ in path:
+                here &= left[node] if went_left else ~left[node]
             out[here] += w * value
     return out
 

@@ -154,3 +154,16 @@ def test_drivers_and_report_equal_duckdb_on_written_attributions(spark, base, tm
     for name, value in drivers.items():
         np.testing.assert_allclose(value, values[name], rtol=1e-9, atol=1e-12)
     assert {r["name"] for r in report if r["section"] == "metric"} == {"mae_log", "r2", "n_folds"}
+
+
+def test_shapley_values_looked_up_by_decisions_equal_those_worked_out_by_row(spark, base, monkeypatch):
+    t = S.training_frame(catalog.warehouse(spark, base).fact())
+    sm = S.train_model(t, S.GBTParams(trees=4))
+    trees, weights = S.tree_table(sm)
+    assert len(trees) == 5 and len(trees[0]) == 1  # the mean label, then the trees
+    x = sm.spec.featurize(t).select(*sm.spec.columns).toPandas().to_numpy(dtype=float)
+    listed, base_value = S.shap_values(x, trees, weights)
+    monkeypatch.setattr(S, "MOST_LISTED", -1)
+    by_row, same = S.shap_values(x, trees, weights)
+    np.testing.assert_allclose(listed, by_row, atol=1e-12)
+    assert base_value == same
