@@ -253,3 +253,31 @@ def test_streaming_log_compaction(spark, tmp_path):
     fast = {r["slug"]: (r["title"], r["ingested_at"])
             for r in STR.current_table(spark, log, snap, upto).collect()}
     assert fast == full and {k: v[0] for k, v in full.items()} == {"x": "two", "y": "y", "z": "z"}
+
+
+def test_written_pages_get_files_of_bounded_size_in_page_order(spark, tmp_path, monkeypatch):
+    posts = spark.range(1_000).select(
+        F.col("id").alias("k"), F.to_date(F.lit("2024-01-01")).alias("snapshot_date"),
+        F.concat(F.lit("job-"), "id").alias("slug"), F.lit("t").alias("title"), F.lit(None).cast("string").alias("created_at"))
+    monkeypatch.setattr(J, "FILE_ROWS", 200)
+    src = str(tmp_path / "src")
+    assert J.write_pages(posts, src, page_size=10, files=2, compression="gzip") == 5
+    back = J.read_pages(spark, src, multi_line=False)
+    per = {r["_file"]: r["count"] for r in back.groupBy("_file").count().collect()}
+    assert len(per) == 5 and sum(per.values()) == 1_000 and all(f.endswith(".gz") for f in per)
+    slugs = [r[0] for r in back.orderBy(*J.ORDER_COLUMNS).select(J._field(F.col("v"), "slug", "string")).collect()]
+    assert slugs == [f"job-{i}" for i in range(1_000)]
+
+
+def test_the_log_takes_rows_without_a_shuffle_and_the_current_table_joins_asked_columns_only(spark, tmp_path):
+    posts = spark.range(50).select(
+        F.col("id").alias("k"), F.to_date(F.lit("2024-01-01")).alias("snapshot_date"),
+        F.concat(F.lit("job-"), F.col("id") % 10).alias("slug"), F.concat(F.lit("t"), "id").alias("title"),
+        F.lit("x").alias("description"), F.lit(None).cast("string").alias("created_at"))
+    src, log, ck = (str(tmp_path / n) for n in ("src", "log", "ck"))
+    J.write_pages(posts, src, page_size=10, files=2)
+    STR.start_ingest(spark, src, log, ck, max_files=1).awaitTermination()
+    now = STR.current_table(spark, log)
+    assert {r["slug"]: r["title"] for r in now.collect()} == {f"job-{i}": f"t{i}" for i in range(10)}
+    plan = now.select("slug", "title")._jdf.queryExecution().executedPlan().toString()
+    assert "description" not in plan and "raw_payload" not in plan
