@@ -12,6 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirescope.operators.partitioning import cpu_partitions, parts_for
+
+#: observations that one task sorts
+TASK_ROWS = 500_000
+
 
 def snapshot_index(history: DataFrame) -> DataFrame:
     """(snapshot_date, idx, next_date): the snapshots in order, one row each (bounded by the calendar)."""
@@ -31,7 +36,9 @@ def posting_spells(history: DataFrame) -> DataFrame:
     repeated rows count once.
     """
     index = F.broadcast(snapshot_index(history))
-    seen = (history.select("slug", "snapshot_date").filter("slug is not null").distinct()
+    # dealt once by posting, to as many tasks as the rows need: the passes below stay where the rows lie
+    parts = parts_for(history.count(), TASK_ROWS, cpu_partitions(history.sparkSession))
+    seen = (history.select("slug", "snapshot_date").filter("slug is not null").repartition(parts, "slug").distinct()
             .join(index, "snapshot_date"))
     by = Window.partitionBy("slug").orderBy("idx")
     runs = seen.withColumn("run", F.col("idx") - F.row_number().over(by))

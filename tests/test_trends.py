@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import datetime as dt
 
 from hirescope.plans import trends as TR
@@ -33,3 +35,16 @@ def test_skill_share_trend_reports_drop_to_zero(spark):
     assert got[("Python", 2)] == (0.0, 0.5, -0.5)
     assert got[("SQL", 2)] == (1.0, 0.0, 1.0)
     assert ("SQL", 3) not in got  # months without postings are not reported
+
+
+def test_spells_deal_rows_once_to_as_many_tasks_as_they_need(spark, monkeypatch):
+    from hirescope.plans import spells as SP
+
+    rows = spark.range(400).select(F.concat(F.lit("job-"), (F.col("id") % 40).cast("string")).alias("slug"),
+                                   F.expr("date '2024-01-01' + int(id % 7) * 7").alias("snapshot_date"))
+    want = sorted(SP.posting_spells(rows).collect())
+    monkeypatch.setattr(SP, "TASK_ROWS", 10)
+    spells = SP.posting_spells(rows)
+    plan = spells._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "40), REPARTITION_BY_NUM" in plan
+    assert sorted(spells.collect()) == want
