@@ -44,8 +44,12 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
 def _ingest(spark: SparkSession, source_dir: str, root: str, delay_days: int, max_files: int | None, multi_line: bool):
     def write_batch(pages: DataFrame, epoch: int) -> None:
         s = pages.sparkSession
-        rows = batch_dedup(J.normalize(rows_of_pages(pages)), J.ORDER_COLUMNS).select(
-            "slug", "snapshot_date", X.posted_at(F.col("created_at")).cast("timestamp").alias("posted_at"))
+        # what the counts need of a row, before any row is dealt out
+        narrow = J.normalize(rows_of_pages(pages)).select(
+            *J.ORDER_COLUMNS, "slug", "snapshot_date", X.posted_at(F.col("created_at")).cast("timestamp").alias("posted_at"))
+        parsed = scratch_path(s, "window-pages")
+        narrow.write.parquet(parsed)
+        rows = batch_dedup(s.read.parquet(parsed), J.ORDER_COLUMNS).select("slug", "snapshot_date", "posted_at")
         staged = scratch_path(s, "window-rows")
         rows.write.parquet(staged)
         rows = s.read.parquet(staged)
