@@ -50,34 +50,63 @@ def skills(text: Column) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-# Words of the case-folded text (see ``fold``) without which a skill's patterns
-# cannot match: each match of a pattern holds one of them between word
-# boundaries. ``None``: no such word (the regex always runs, or behind its
-# literal). The words only say where a regex must run; the regex decides.
-SKILL_WORDS: dict[str, list[str] | None] = {
-    "Python": ["python"], "R": None, "SQL": ["sql"], "Java": ["java"],
-    "JavaScript": ["javascript", "script", "js"], "TypeScript": ["typescript", "script", "ts"],
-    "Scala": ["scala"], "Go": ["golang", "lang"], "C++": ["c"], "Rust": ["rust"],
-    "Pandas": ["pandas"], "NumPy": ["numpy"], "Spark": ["spark", "pyspark"], "dbt": ["dbt"],
-    "Airflow": ["airflow"], "Snowflake": ["snowflake"], "BigQuery": ["bigquery", "query"],
-    "Databricks": ["databricks"], "Kafka": ["kafka"], "Redshift": ["redshift"],
-    "Postgres": ["postgres", "postgresql"], "PyTorch": ["pytorch"],
-    "TensorFlow": ["tensorflow", "tensor"], "scikit-learn": ["scikit", "sklearn"],
-    "XGBoost": ["xgboost", "xg"], "LLM": ["llm", "llms", "large"], "RAG": None,
-    "LangChain": ["langchain"], "HuggingFace": ["huggingface", "hugging"], "MLOps": ["mlops"],
-    "Tableau": ["tableau"], "Power BI": ["powerbi", "bi"], "Looker": ["looker"],
-    "Metabase": ["metabase"], "Excel": ["excel"], "AWS": ["aws", "amazon"],
-    "GCP": ["gcp", "google"], "Azure": ["azure"], "Docker": ["docker"],
-    "Kubernetes": ["kubernetes", "k8s"], "Terraform": ["terraform"], "React": ["react"],
-    "FastAPI": ["fastapi", "api"], "Django": ["django"], "Next.js": ["nextjs", "js"],
+# The skills' patterns cut in two, (what is found, what must follow it), behind a word boundary: a
+# skill matches if one of its texts is found. No two skills share one, and none starts
+# within what another takes, so that one scan finds them all. What follows is only looked
+# at: ``next`` of ``next.js`` leaves ``js`` to be found too.
+SKILL_MARKS: dict[str, list[tuple[str, str]]] = {
+    "Python": [("python", r"\b")], "SQL": [("sql", r"\b")], "Java": [("java", r"\b(?!\s*script)")],
+    "JavaScript": [("jav", r"a\s*script\b"), ("js", r"\b")],
+    "TypeScript": [("type", r"\s*script\b"), ("ts", r"\b")],
+    "Scala": [("scala", r"\b")], "Go": [("golang", r"\b"), ("go", r"\s+lang\b")], "C++": [("c", r"\+\+")],
+    "Rust": [("rust", r"\b")], "Pandas": [("pandas", r"\b")], "NumPy": [("numpy", r"\b")],
+    "Spark": [("spark", r"\b"), ("pyspark", r"\b")], "dbt": [("dbt", r"\b")],
+    "Airflow": [("airflow", r"\b")], "Snowflake": [("snowflake", r"\b")],
+    "BigQuery": [("big", r"\s*query\b")], "Databricks": [("databricks", r"\b")],
+    "Kafka": [("kafka", r"\b")], "Redshift": [("redshift", r"\b")],
+    "Postgres": [("postgres", r"(?:ql)?\b")], "PyTorch": [("pytorch", r"\b")],
+    "TensorFlow": [("tensor", r"\s*flow\b")],
+    "scikit-learn": [("scikit", r"[- ]learn\b"), ("sklearn", r"\b")], "XGBoost": [("xg", r"\s*boost\b")],
+    "LLM": [("llm", r"s?\b"), ("large", r" language model")], "RAG": [("rag", r"\b")],
+    "LangChain": [("langchain", r"\b")], "HuggingFace": [("hugging", r"\s*face\b")],
+    "MLOps": [("mlops", r"\b")], "Tableau": [("tableau", r"\b")], "Power BI": [("power", r"\s*bi\b")],
+    "Looker": [("looker", r"\b")], "Metabase": [("metabase", r"\b")], "Excel": [("excel", r"\b")],
+    "AWS": [("aws", r"\b"), ("amazon", r" web services\b")], "GCP": [("gcp", r"\b"), ("google", r" cloud\b")],
+    "Azure": [("azure", r"\b")], "Docker": [("docker", r"\b")],
+    "Kubernetes": [("kubernetes", r"\b"), ("k8s", r"\b")], "Terraform": [("terraform", r"\b")],
+    "React": [("react", r"\b")], "FastAPI": [("fast", r"\s*api\b")], "Django": [("django", r"\b")],
+    "Next.js": [("next", r"\.?js\b")],
 }
-# the same for patterns that also match inside a word: substrings of the folded text
-SKILL_LITERALS: dict[str, list[str]] = {"RAG": ["rag", "retrieval"]}
+# patterns without a boundary before them: a lone R (its letter first, the cheaper test) and a part of a word
+SKILL_INSIDE: dict[str, list[tuple[str, str]]] = {
+    "R": [("r", r"(?<![A-Za-z]r)(?=\s|,|\.|/|$)")], "RAG": [("re", "(?=trieval[- ]augmented)")]}
+# every skill's texts; of those with a part above the boundary is not the rule
+SKILL_LITERALS: dict[str, list[str]] = {name: [text for text, _ in found] for name, found in SKILL_INSIDE.items()}
+SKILL_WORDS: dict[str, list[str] | None] = {
+    name: [text for text, _ in SKILL_MARKS[name]] if name in SKILL_MARKS else None for name in T.SKILL_PATTERNS}
 _DICTIONARY = sorted({w for words in SKILL_WORDS.values() for w in words or []})
 
 
+def _by_first_letter(marks: dict[str, list[str]]) -> str:
+    """An alternation that halves the first letters until three are left."""
+    letters = sorted(marks)
+    if len(letters) <= 3:
+        return "|".join(f"{c}(?:{'|'.join(marks[c])})" for c in letters)
+    halves = letters[:len(letters) // 2], letters[len(letters) // 2:]
+    return "|".join(f"(?=[{''.join(h)}])(?:{_by_first_letter({c: marks[c] for c in h})})" for h in halves)
+
+
+def _skill_scan() -> str:
+    marks: dict[str, list[str]] = {}
+    for found in SKILL_MARKS.values():
+        for text, then in found:
+            marks.setdefault(text[0], []).append(f"{text[1:]}(?={then})")
+    inside = "|".join(text + then for found in SKILL_INSIDE.values() for text, then in found)
+    return rf"(?iU)\b(?:{_by_first_letter(marks)})|{inside}"
+
+
 def fold(text: Column) -> Column:
-    """Case-folded text for the skill gates.
+    """Case-folded text: what a scan without regard to case found, in lower-case ASCII.
 
     Java's Unicode case-insensitive matching equates a text character t with a
     lowercase ASCII letter c when ``toLowerCase(toUpperCase(t)) == c``: besides
@@ -93,33 +122,25 @@ def fold(text: Column) -> Column:
                    F.translate(low, "\u0131\u017f\u0307", "is")).otherwise(low))
 
 
+def _any_word(words: Column, wanted: list[str]) -> Column:
+    return functools.reduce(Column.__or__, [F.array_contains(words, w) for w in wanted])
+
+
 def with_skills(df, text_col: str = "description", out: str = "skills"):
-    """``df`` plus the B1 skill array; a regex runs only where one of its words occurs.
-
-    Equal to ``skills(col(text_col))``. The folded text is cut into words once and the
-    words are looked up in one dictionary of all skills; the regexes then ask the
-    short text of the dictionary words found. Cutting at everything but ASCII word
-    characters finds every word that ``\\b`` delimits: folding turns no other
-    character into one of them, and the combining dot that it deletes is a word
-    character for ``\\b``.
+    """``df`` plus the B1 skill array, found by one scan of the text.
+
+    Equal to ``skills(col(text_col))``: the scan's parts are the skills' patterns, read by the
+    same engine with the same flags; what it finds is folded and looked up per skill.
     """
-    t = _nz(F.col(text_col))
-    df = df.select("*", fold(F.col(text_col)).alias("_skill_fold"))
-    low, words = F.col("_skill_fold"), F.col("_skill_words")
-    known = F.array_intersect(F.split(low, r"\W+"), F.lit(_DICTIONARY))
-    df = df.select("*", F.concat(F.lit(" "), F.array_join(known, " "), F.lit(" ")).alias("_skill_words"))
-    hits = []
-    for name in T.SKILL_NAMES_SORTED:
-        rx = t.rlike("(?iU)" + _alt(T.SKILL_PATTERNS[name]))
-        keys, literals = SKILL_WORDS.get(name), SKILL_LITERALS.get(name)
-        if keys:  # And short-circuits: the regex runs only past the test
-            rx = _any_literal(words, [f" {k} " for k in keys]) & rx
-        elif literals:
-            rx = _any_literal(low, literals) & rx
-        hits.append(F.when(rx, F.lit(name)))
-    joined = F.concat_ws("\x1f", *hits)  # no skill name holds the separator
+    found = F.regexp_extract_all(_nz(F.col(text_col)), F.lit(_skill_scan()), F.lit(0))
+    df = df.select("*", F.array_join(found, " ").alias("_skill_found"))
+    df = df.select("*", F.split(fold(F.col("_skill_found")), " ").alias("_skill_words"))
+    hits = [F.when(_any_word(F.col("_skill_words"), (SKILL_WORDS[name] or []) + SKILL_LITERALS.get(name, [])), F.lit(name))
+            for name in T.SKILL_NAMES_SORTED]
+    df = df.select("*", F.concat_ws("\x1f", *hits).alias("_skill_hits"))  # no skill name holds the separator
+    joined = F.col("_skill_hits")
     found = F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, "\x1f"))
-    return df.select("*", found.alias(out)).drop("_skill_fold", "_skill_words")
+    return df.select("*", found.alias(out)).drop("_skill_found", "_skill_words", "_skill_hits")
 
 
 def skills_json(skills_arr: Column) -> Column:
@@ -152,8 +173,9 @@ SENIORITY_LITERALS = {"werkstudent": ["student"], "intern": ["intern", "prakti"]
                       "senior": ["senior", "lead", "staff", "principal"], "mid": ["mid"]}
 
 
-def language_gate(text: Column, gated: bool = True) -> Column:
-    low = F.lower(_nz(text))
+def language_gate(text: Column, gated: bool = True, low: Column | None = None) -> Column:
+    """B3; ``low``: the lowercased text, if at hand."""
+    low = F.lower(_nz(text)) if low is None else low
     en = low.rlike("(?U)" + _alt(T.ENGLISH_FRIENDLY_PATTERNS))
     de = low.rlike("(?U)" + _alt(T.GERMAN_REQUIRED_PATTERNS))
     if gated:
@@ -165,8 +187,9 @@ def language_gate(text: Column, gated: bool = True) -> Column:
 
 # -- B4 seniority ----------------------------------------------------------
 
-def seniority(title: Column, description: Column, gated: bool = True) -> Column:
-    hay = F.lower(F.concat(_nz(title), F.lit("\n"), _nz(description)))
+def seniority(title: Column, description: Column, gated: bool = True, hay: Column | None = None) -> Column:
+    """B4; ``hay``: the lowercased title, line break and description, if at hand."""
+    hay = F.lower(F.concat(_nz(title), F.lit("\n"), _nz(description))) if hay is None else hay
     out = None
     for level in T.SENIORITY_PRIORITY:
         cond = hay.rlike("(?U)" + _alt(T.SENIORITY_PATTERNS[level]))
@@ -205,6 +228,8 @@ def locale_number(s: Column, thousands: Column) -> Column:
 
 
 SALARY_PARTS = ("_sal_h", "_sal_a1", "_sal_a2", "_sal_a3", "_sal_a4")
+#: what may stand before the first number of a pay
+_SALARY_PREFIX = T.SALARY_CURRENCY + r"?\s*"
 SALARY_NUMBERS = ("_sal_hv", "_sal_lo", "_sal_hi")
 
 
@@ -215,14 +240,18 @@ def salary_extracts(text: Column) -> list[Column]:
     from the (short) matched text. The annual pattern has no anchors,
     boundaries or look-around, so matching it again on its own first match
     yields the same groups.
+
+    The scans leave out the optional currency and white space before the first number: these
+    hold no digit, so the leftmost match has the same first number with and without them.
+    Without them a position that is no digit fails at once.
     """
     t = _nz(text)
-    hourly = "(?iU)" + T.SALARY_HOURLY
-    annual = "(?iU)" + T.SALARY_ANNUAL_RANGE
-    # both patterns need a digit: texts without one skip both scans (exact)
-    has_digit = t.rlike(r"(?U)\d")
-    return [F.when(has_digit, F.regexp_extract(t, hourly, 1)).otherwise(F.lit("")).alias("_sal_h"),
-            F.when(has_digit, F.regexp_extract(t, annual, 0)).otherwise(F.lit("")).alias("_sal_a0")]
+    hourly = "(?iU)" + T.SALARY_HOURLY.removeprefix(_SALARY_PREFIX)
+    annual = "(?iU)" + T.SALARY_ANNUAL_RANGE.removeprefix(_SALARY_PREFIX)
+    # what an hourly match holds; the number's many readings are tried only in texts that have it
+    unit = t.rlike(r"(?iU)(?:/|pro|per)\s*(?:h|st)")
+    return [F.when(unit, F.regexp_extract(t, hourly, 1)).otherwise(F.lit("")).alias("_sal_h"),
+            F.when(t != "", F.regexp_extract(t, annual, 0)).otherwise(F.lit("")).alias("_sal_a0")]
 
 
 def salary_groups() -> list[Column]:
@@ -260,13 +289,27 @@ def salary_fields() -> list[Column]:
 
 
 def with_salary(df, text_col: str = "description"):
-    """Add the three B5 salary columns to ``df`` (three staged projections)."""
-    df = df.select("*", *salary_extracts(F.col(text_col)))
+    """Add the three B5 salary columns to ``df`` (staged projections).
+
+    Both patterns begin with a digit, so they read the text from its first digit on.
+    """
+    df = df.select("*", F.regexp_extract(_nz(F.col(text_col)), r"(?sU)\d.*", 0).alias("_sal_t"))
+    df = df.select("*", *salary_extracts(F.col("_sal_t"))).drop("_sal_t")
     df = df.select("*", *salary_groups()).drop("_sal_a0")
     df = df.select("*", *salary_numbers()).drop(*SALARY_PARTS)
     return df.select("*", *salary_fields()).drop(*SALARY_NUMBERS)
 
 
+def with_texts_rules(df):
+    """``df`` plus B1 and B3-B5 of ``title`` and ``description``; each text is lowercased once."""
+    df = df.select("*", F.lower(_nz(F.col("description"))).alias("_low"))
+    # no case rule looks past a line break, so the parts may be lowercased apart
+    df = df.select("*", F.concat(F.lower(_nz(F.col("title"))), F.lit("\n"), F.col("_low")).alias("_hay"))
+    df = df.select("*", seniority(F.col("title"), F.col("description"), hay=F.col("_hay")).alias("seniority"),
+                   language_gate(F.col("description"), low=F.col("_low")).alias("language_gate")).drop("_hay")
+    return with_salary(with_skills(df.drop("_low")))
+
+
 # -- B6 city ---------------------------------------------------------------
 
 def title_case(s: Column) -> Column:

@@ -42,14 +42,7 @@ FACT_COLUMNS = ["slug", "title", "company_name", "city", "remote", "url", "poste
 
 def _enrich(raw: DataFrame) -> DataFrame:
     """raw + city, seniority, language_gate, salary_*, skills, skills_json."""
-    df = raw.select(
-        "*",
-        X.city(F.col("location"), F.col("remote")).alias("city"),
-        X.seniority(F.col("title"), F.col("description")).alias("seniority"),
-        X.language_gate(F.col("description")).alias("language_gate"),
-    )
-    df = X.with_skills(df, "description")
-    df = X.with_salary(df, "description")
+    df = X.with_texts_rules(raw).select("*", X.city(F.col("location"), F.col("remote")).alias("city"))
     return df.withColumn("skills_json", X.skills_json(F.col("skills")))
 
 

@@ -126,3 +126,40 @@ def test_gated_gate_and_seniority_equal_plain(spark):
     assert not bad, bad[:3]
     assert {r["g0"] for r in out} == {"english_ok", "german_required", "unclear"}
     assert len({r["s0"] for r in out}) == 6
+
+
+def test_skills_take_one_scan(spark):
+    """One regex pass finds all skills; no skill has a pass of its own."""
+    df = X.with_skills(spark.createDataFrame([("We use Python, R and java script.",)], "t string"), "t")
+    assert df.first()["skills"] == ["JavaScript", "Python", "R"]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 1 and "RLIKE" not in plan
+
+
+def test_marks_equal_patterns_next_to_every_character(spark):
+    """Lowercasing makes no character a letter or a word character that the regexes do not take it for."""
+    cps = spark.range(1, 0x110000).filter("id < 55296 OR id > 57343")
+    c = F.substring(F.decode(F.unhex(F.concat(F.lit("00000078"), F.lpad(F.hex("id"), 8, "0"))), "utf-32"), 2, 1)
+    t = F.concat(F.lit("a sql"), "c", F.lit("java"), "c", F.lit("r"), "c", F.lit("go"), "c", F.lit("lang big"), "c", F.lit("query "), "c", F.lit("k8s"))
+    d = X.with_skills(cps.select("id", c.alias("c")).select("id", t.alias("t")).repartition(8, "id"), "t")
+    names = ["SQL", "Java", "R", "Go", "BigQuery", "Kubernetes"]
+    off = F.lit(False)
+    for n in names:
+        off = off | (F.array_contains("skills", n) != F.col("t").rlike("(?iU)" + X._alt(T.SKILL_PATTERNS[n])))
+    # counted, not filtered: a filter would be pushed below the scan, with a copy of it per skill
+    assert d.agg(F.min(F.when(off, F.col("id")))).first()[0] is None
+
+
+def test_staged_salary_equals_plain_patterns(spark):
+    """The fields from the text after its first digit, without what may stand before a number, and of the whole patterns."""
+    batch = _texts(WORDS + ["\u0661\u0662k - 60k", "EUR 7", "\u20ac", "eur", "\n", "9 pro h", "12 /\u017ftd", "1.5k bi\u017f 20.000"], 1500, 5)
+    df = spark.createDataFrame([(t,) for t in batch] + [(None,), ("",)], "t string")
+    t = F.coalesce(F.col("t"), F.lit(""))
+    annual = "(?iU)" + T.SALARY_ANNUAL_RANGE
+    plain = df.select("*", F.regexp_extract(t, "(?iU)" + T.SALARY_HOURLY, 1).alias("_sal_h"),
+                      *[F.regexp_extract(t, annual, i).alias(f"_sal_a{i}") for i in (1, 2, 3, 4)])
+    plain = plain.select("*", *X.salary_numbers()).select("t", *[c.alias(f"want_{i}") for i, c in enumerate(X.salary_fields())])
+    both = X.with_salary(plain, "t").collect()
+    bad = [r for r in both if tuple(r[1:4]) != (r["salary_min_eur"], r["salary_max_eur"], r["salary_period"])]
+    assert not bad, bad[:3]
+    assert {r["salary_period"] for r in both} == {None, "hour", "year"}
