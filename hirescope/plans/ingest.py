@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirescope.operators.dedup import winners, with_hash
+from hirescope.operators.dedup import ROW, winners, with_row
 from hirescope.operators.upsert import upsert
 from hirescope.session import scratch_path
 from hirescope.sources import postings_json as J
@@ -36,7 +36,7 @@ def staged(batch: DataFrame) -> DataFrame:
     """The batch as a stored table: pages are parsed once, and the passes that
     pick winners read the key and order columns only."""
     path = scratch_path(batch.sparkSession, "ingest-batch")
-    batch.write.parquet(path)
+    batch.write.option("compression", "zstd").parquet(path)
     return batch.sparkSession.read.schema(batch.schema).parquet(path)
 
 
@@ -68,11 +68,11 @@ def ingest_batch(target: DataFrame, spark: SparkSession, path: str, multi_line:
     """API-style ingest: A3 dedup of the batch, then A4 upsert into ``target``.
 
     The first row per (slug, snapshot_date), then the last of those per slug, are
-    picked on narrow rows; the whole rows are joined back once.
+    picked on narrow rows; the whole rows are then filtered by their numbers.
     """
-    batch = staged(read_batch(spark, path, multi_line, ingested_at).filter(F.col("slug") != "").transform(with_hash))
-    firsts = winners(batch, ["slug", "snapshot_date"], J.ORDER_COLUMNS)
-    won = winners(firsts, ["slug"], J.ORDER_COLUMNS, last=True)
+    batch = staged(read_batch(spark, path, multi_line, ingested_at).filter(F.col("slug") != "").transform(with_row))
+    firsts = winners(batch, ["slug", "snapshot_date"], [*J.ORDER_COLUMNS, ROW])
+    won = winners(firsts, ["slug"], [*J.ORDER_COLUMNS, ROW], last=True)
     return upsert(target, batch, "slug", J.ORDER_COLUMNS, won=won)
 
 

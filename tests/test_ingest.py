@@ -281,3 +281,24 @@ def test_the_log_takes_rows_without_a_shuffle_and_the_current_table_joins_asked_
     assert {r["slug"]: r["title"] for r in now.collect()} == {f"job-{i}": f"t{i}" for i in range(10)}
     plan = now.select("slug", "title")._jdf.queryExecution().executedPlan().toString()
     assert "description" not in plan and "raw_payload" not in plan
+
+
+def test_winners_are_filtered_by_number_without_moving_the_rows(spark, tmp_path, monkeypatch):
+    """Rows picked by their numbers equal those joined on key and order; the wide rows are not shuffled."""
+    from hirescope.operators import dedup as DD
+
+    path = str(tmp_path / "batch")
+    rows = spark.range(0, 70_000, 1, 3).select((F.col("id") % 20_011).cast("string").alias("slug"), F.col("id").alias("_pos"),
+                                               F.concat(F.lit("text "), F.col("id").cast("string")).alias("title"))
+    DD.with_row(DD.with_hash(rows)).write.parquet(path)
+    batch = spark.read.parquet(path)
+    won = DD.winners(batch, ["slug"], ["_pos", DD.ROW], last=True)
+    got = DD.rows_of(batch, won, ["slug"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan[plan.index("BroadcastExchange"):].count("Exchange hashpartitioning")
+    by_key = DD.rows_of(batch.drop(DD.ROW), DD.winners(batch, ["slug"], ["_pos"], last=True), ["slug"])
+    assert got.columns == by_key.columns == ["slug", "_pos", "title"]
+    want = sorted(by_key.collect())
+    assert len(want) == 20_011 and sorted(got.collect()) == want
+    monkeypatch.setattr(DD, "BITS", 10)  # a larger table takes the join
+    assert sorted(DD.rows_of(batch, won, ["slug"]).collect()) == want
