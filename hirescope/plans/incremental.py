@@ -7,7 +7,7 @@ new ones in: one signed aggregation per mart, added to the stored counts. Pay
 bands keep counts per (city, role family, pay value), from which exact quantiles
 are read. The result equals a full refresh.
 
-A batch has a version. Its deduplicated rows and the old rows it replaces are
+A batch has a version. Its rows (each enriched once), its deduplicated rows and the old rows it replaces are
 stored first, count tables are written per version, and the fact's buckets
 last, so a batch that failed is applied again from the same rows: nothing is
 counted twice.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from hirescope.functions import taxonomy as T
 from hirescope.functions import text as X
 from hirescope.operators import bucket_store as B
-from hirescope.operators.dedup import keep_last
+from hirescope.operators.dedup import HASH, ROW, rows_of, winners, with_hash, with_row
 from hirescope.operators.quantiles import bucketed_quantiles
 from hirescope.plans import models as M
 
@@ -97,14 +97,17 @@ class IncrementalMarts:
         """The next version: ``batch`` (fact rows and order columns) upserted; returns the touched buckets."""
         v = self.version + 1
         columns = B.read(self.spark, self._path("fact")).drop(B.BUCKET).columns
-        new = self._stored(keep_last(batch, ["slug"], order).select(*columns), self._path("batch", v))
+        come = self._stored(with_row(with_hash(batch)), self._path("incoming", v))
+        won = winners(come, ["slug"], [*order, HASH, ROW], last=True)
+        new = self._stored(rows_of(come, won, ["slug"]).select(*columns), self._path("batch", v))
         old = self._stored(self.replaced_rows(new), self._path("replaced", v))
         signed = (new.select(*COUNTED).withColumn(SIGN, F.lit(1).cast("long"))
                   .unionByName(old.withColumn(SIGN, F.lit(-1).cast("long"))))
         for name, (count, keys) in TABLES.items():
             stored = self.spark.read.parquet(self._path(name, self.version))
             added(stored, count(signed), keys).write.mode("overwrite").parquet(self._path(name, v))
-        touched = B.upsert_bucketed(self.spark, self._path("fact"), new, "slug", ["snapshot_date"], self.buckets)
+        # no column keeps its first value; the batch is stored, one row per slug
+        touched = B.upsert_bucketed(self.spark, self._path("fact"), new, "slug", ["snapshot_date"], self.buckets, (), True)
         self.version = v
         return touched
 

@@ -175,3 +175,38 @@ def test_late_rows_and_restarts_lose_nothing(spark, tmp_path):
     assert got == {dt.date(2024, 3, 4): (3, 1), dt.date(2024, 6, 3): (2, 0)}
     plan = WIN.window_counts(spark, root)._jdf.queryExecution().toString()
     assert "EventTimeWatermark" in plan
+
+
+def test_a_large_bucket_is_several_files(spark, tmp_path, monkeypatch):
+    """No task takes a whole bucket that grows with the table."""
+    monkeypatch.setattr(BS, "FILE_ROWS", 100)
+    rows = spark.range(4_000).select(F.concat(F.lit("job-"), F.col("id").cast("string")).alias("slug"), F.lit(0).alias("v"))
+    path = str(tmp_path / "t")
+    # partitions are not joined here, as they are not where they are large
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        BS.create(rows, path, "slug", 4)
+        batch = str(tmp_path / "b")
+        rows.filter("slug like '%7'").withColumn("v", F.lit(1)).write.parquet(batch)
+        BS.upsert_bucketed(spark, path, spark.read.parquet(batch), "slug", ["v"], 4, unique=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = BS.read(spark, path)
+    files = got.select(BS.BUCKET, F.input_file_name().alias("f")).distinct().groupBy(BS.BUCKET).agg(F.count("f").alias("n")).collect()
+    assert len(files) == 4 and all(r.n > 1 for r in files), files
+    assert got.count() == 4_000 and got.agg(F.sum("v")).first()[0] == 400
+    assert got.filter(F.col("v") != F.col("slug").endswith("7").cast("int")).count() == 0
+
+
+def test_a_batch_is_stored_before_its_winners_are_picked(spark, tmp_path, monkeypatch):
+    """The rows handed in (enriched, not stored) are computed once: the passes over keys read a table."""
+    raw = testbed.postings(spark, "/root/testdata/sf0.001").limit(60).cache()
+    fct = M.fact(M.staging(raw))
+    marts = INC.IncrementalMarts(spark, str(tmp_path / "m"), buckets=4)
+    marts.load(fct)
+    seen = []
+    picked = INC.winners
+    monkeypatch.setattr(INC, "winners", lambda df, *a, **k: (seen.append(df.inputFiles()), picked(df, *a, **k))[1])
+    marts.apply(fct.limit(20).withColumn("_at", F.lit(0)), ["_at"])
+    assert seen and all("/incoming/" in f for f in seen[0])
+    assert marts.fact().count() == 60
