@@ -302,3 +302,41 @@ def test_winners_are_filtered_by_number_without_moving_the_rows(spark, tmp_path,
     assert len(want) == 20_011 and sorted(got.collect()) == want
     monkeypatch.setattr(DD, "BITS", 10)  # a larger table takes the join
     assert sorted(DD.rows_of(batch, won, ["slug"]).collect()) == want
+
+
+def test_weekly_counts_take_the_first_row_by_run_and_page_order_without_sorting_rows(spark, tmp_path):
+    """Files in several splits and micro-batches, a second run with earlier names: as a plain loop over the pages counts."""
+    import random
+
+    rnd, seen = random.Random(5), {}
+    days = [None, "not a date", *[f"2024-0{m}-{d:02d}T10:00:00+00:00" for m in (1, 2, 3) for d in (1, 9, 17, 25)]]
+    src, log, ck = (str(tmp_path / n) for n in ("src", "log", "ck"))
+    (tmp_path / "src").mkdir()
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        for names in (["m0.json", "m1.json", "m2.json"], ["a0.json", "z0.json"]):
+            for name in names:
+                lines = []
+                for _ in range(40):
+                    page = [(f"s{rnd.randrange(60)}", rnd.choice(days)) for _ in range(rnd.randrange(9))]
+                    date = f"2024-01-0{rnd.randrange(1, 5)}"
+                    for slug, at in page:
+                        seen.setdefault((slug, date), at)
+                    lines.append(json.dumps({"snapshot_date": date, "data": [{"slug": s, "created_at": at} for s, at in page]}))
+                (tmp_path / "src" / name).write_text("\n".join(lines) + "\n")
+            STR.start_ingest(spark, src, log, ck, max_files=2).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    splits = spark.read.parquet(log).select("_run", "_file", "_block", "epoch").distinct()
+    assert splits.count() > 10 and splits.select("_run").distinct().count() == 2
+    want = {}
+    for at in seen.values():
+        if at and at[:2] == "20":
+            day = dt.datetime.fromisoformat(at[:10])
+            monday = day - dt.timedelta(days=day.weekday())
+            want[monday] = want.get(monday, 0) + 1
+    got = STR.weekly_counts(spark, log)
+    assert {r["week"]: r["n_postings"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "min_by(struct" not in plan
