@@ -340,3 +340,25 @@ def test_weekly_counts_take_the_first_row_by_run_and_page_order_without_sorting_
     assert {r["week"]: r["n_postings"] for r in got.collect()} == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "min_by(struct" not in plan
+
+
+def test_postings_made_from_dealt_keys_are_written_as_before_and_no_text_is_shuffled(spark, tmp_path, base):
+    from hirescope import catalog
+    from hirescope.sources import testbed
+
+    made = {}
+    k = F.col("k")
+    keys, files = J.deal_pages(testbed.keys(spark, base), files=4)
+    raw = testbed.from_keys(keys, "k", "page_no")
+    J.write_dealt(raw, str(tmp_path / "dealt"), numeric_created=catalog._mixed_created(k), compression="gzip")
+    whole = testbed.postings(spark, base).withColumn("k", F.substring("slug", 5, 30).cast("long"))
+    assert files == J.write_pages(whole, str(tmp_path / "whole"), numeric_created=catalog._mixed_created(k), files=4, compression="gzip")
+    for name in ("dealt", "whole"):
+        pages = J.read_pages(spark, str(tmp_path / name), multi_line=False)
+        assert pages.select("_file").distinct().count() == files
+        made[name] = [(r.snapshot_date, r.j) for r in pages.orderBy(*J.ORDER_COLUMNS).select("snapshot_date", F.to_json("v").alias("j")).collect()]
+    assert made["dealt"] == made["whole"] and len(made["whole"]) == raw.count() > 0
+    plan = raw.groupBy("snapshot_date", "page_no").agg(F.collect_list("description"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange rangepartitioning" in plan and plan.count("Exchange") == plan.count("BroadcastExchange") + 1
+    below = plan[plan.index("Exchange rangepartitioning"):]
+    assert "element_at" in plan and "element_at" not in below  # the texts are made after the shuffle
