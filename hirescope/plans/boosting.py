@@ -15,11 +15,14 @@ are drawn per tree, rows per tree by a hash of their key, so a fit does not depe
 how the rows are dealt.
 
 Training reads the rows once per tree and level, so they are stored as blocks of up
-to ``BLOCK`` rows, by column: of every feature only the rows outside the block's most
-frequent bin, whose own sums are the node's total less the others. Gradients are
-carried in the blocks and brought up to date every ``KEEP`` trees. The models of a
-cross-validation (:func:`fit_folds`) are trained side by side on the same blocks, each
-on the rows of the other folds.
+to ``BLOCK`` rows, by column, and kept by the executors (in memory, else on their disks;
+what is lost is made again from the stored blocks). The bins of several features are the
+digits of one code, so one count by code serves them all; sets of rows are bitmaps, and
+whether rows lie above a cut follows from the bitmaps of the digits. Of the two children
+of a split the one with fewer rows is added up, the other has what the parent has left.
+Gradients and draws are carried in the blocks and brought up to date every ``KEEP`` trees.
+The models of a cross-validation (:func:`fit_folds`) are trained side by side on the same
+blocks, each on the rows of the other folds.
 
 Defined results: null or NaN features go left (bin 0); rows without a label are left out;
 without rows the model is empty and predicts null; ties between splits go to the
@@ -33,14 +36,17 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirescope.functions import taxonomy as T
 from hirescope.session import scratch_path
 
-KEEP = 10
-BLOCK = 1 << 15  # rows of a block: their places fit 16 bits
+KEEP = 5
+BLOCK = 1 << 15  # rows of a block
+DIGITS = 10  # binary digits of a code, unless one feature needs more: its sums stay in the nearest cache
+LOOKUP = 12  # binary digits of a place in several trees
 SKETCH = 10_000  # accuracy of the sketch: ranks within rows / SKETCH
 
 # fixed values: the regularisation of the salary model
@@ -189,29 +195,45 @@ def _hash01(key: np.ndarray, salt: int) -> np.ndarray:
         return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
 
 
-BLOCKS = "keys binary, folds binary, grads binary, most binary, ends binary, places binary, bins binary"
+BLOCKS = "keys binary, folds binary, grads binary, draws binary, codes binary"
 
 
-def _packed(key: np.ndarray, fold: np.ndarray, y: np.ndarray, bins: np.ndarray, bases: list[float]) -> list[bytes]:
-    """One block of rows (``bins``: feature by row), as the fields of ``BLOCKS``."""
-    most = np.array([np.bincount(b).argmax() for b in bins], np.uint8)
-    held = [np.flatnonzero(b != m) for b, m in zip(bins, most, strict=True)]
-    return [key.tobytes(), fold.tobytes(), (np.array(bases)[:, None] - y[None]).tobytes(), most.tobytes(),
-            np.cumsum([len(h) for h in held]).astype(np.int64).tobytes(),
-            np.concatenate(held).astype(np.uint16).tobytes(),
-            np.concatenate([b[h] for b, h in zip(bins, held, strict=True)]).tobytes()]
+def _layout(cells: list[int]) -> tuple[list[tuple[int, int, int]], list[int]]:
+    """Per feature (code, shift, digits) of its bin within the rows' codes, and the digits of every code."""
+    at, sizes = [], [0]
+    for n in cells:
+        digits = (n - 1).bit_length()
+        if sizes[-1] + digits > max(DIGITS, digits):
+            sizes.append(0)
+        at.append((len(sizes) - 1, sizes[-1], digits))
+        sizes[-1] += digits
+    return at, sizes
+
+
+def _draws(keys: np.ndarray, number: int, p: BoostParams) -> bytes:
+    """Whether each row is drawn, for tree ``number`` and those up to the next writing of the blocks: one bit each."""
+    return b"".join(np.packbits(_hash01(keys, p.seed * 100_003 + t) < p.subsample).tobytes()
+                    for t in range(number, number + KEEP))
+
+
+def _packed(key: np.ndarray, fold: np.ndarray, y: np.ndarray, codes: np.ndarray, bases: list[float],
+            p: BoostParams) -> list[bytes]:
+    """One block of rows (``codes``: code by row), as the fields of ``BLOCKS``."""
+    return [key.tobytes(), fold.tobytes(), (np.array(bases)[:, None] - y[None]).tobytes(), _draws(key, 0, p), codes.tobytes()]
 
 
 def _blocks(df: DataFrame, key: str, label: str, features: list[str], edges: list[list[float]], bases: list[float],
-            fold: Column) -> DataFrame:
-    """The training rows in blocks (``BLOCKS``): one gradient a row and base, bins by column."""
+            fold: Column, p: BoostParams | None = None) -> DataFrame:
+    """The training rows in blocks (``BLOCKS``): one gradient a row and base, bins as digits of a few codes."""
     cuts = [np.array(e) for e in edges]
+    at, sizes = _layout([len(e) + 1 for e in edges])
+    p = p or BoostParams()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
 
         def block() -> pa.RecordBatch:
-            packed = _packed(*[np.concatenate(p, axis=-1) for p in zip(*parts, strict=True)], bases)
+            packed = _packed(*[np.concatenate(v, axis=-1) for v in zip(*parts, strict=True)], bases, p)
             parts.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in packed],
                                               names=[c.split()[0] for c in BLOCKS.split(", ")])
@@ -223,11 +245,14 @@ def _blocks(df: DataFrame, key: str, label: str, features: list[str], edges: lis
                 if size + b.num_rows > BLOCK and parts:
                     yield block()
                     size = 0
-                bins = np.empty((len(cuts), b.num_rows), np.uint8)
-                for j, c in enumerate(cuts):
+                codes = np.zeros((len(sizes), b.num_rows), np.uint16)
+                for j, (c, (code, shift, digits)) in enumerate(zip(cuts, at, strict=True)):
+                    if not digits:
+                        continue
                     x = b.column(j + 3).to_numpy(zero_copy_only=False)
-                    bins[j] = x > c[0] if len(c) == 1 else np.where(np.isnan(x), 0, np.searchsorted(c, x, "left"))
-                parts.append((b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int16), b.column(2).to_numpy(), bins))
+                    bins = x > c[0] if len(c) == 1 else np.where(np.isnan(x), 0, np.searchsorted(c, x, "left"))
+                    codes[code] |= bins.astype(np.uint16) << np.uint16(shift)
+                parts.append((b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int16), b.column(2).to_numpy(), codes))
                 size += b.num_rows
         if parts:
             yield block()
@@ -238,43 +263,67 @@ def _blocks(df: DataFrame, key: str, label: str, features: list[str], edges: lis
 
 
 class _Block:
-    """A block's arrays; ``right`` says which rows lie above a cut of a feature."""
+    """A block's arrays; sets of rows are bitmaps of one bit a row."""
 
-    def __init__(self, b: pa.RecordBatch, i: int):
-        at = [memoryview(b.column(c)[i].as_buffer()) for c in range(7)]
-        self.keys, self.folds = np.frombuffer(at[0], np.int64), np.frombuffer(at[1], np.int16)
+    def __init__(self, held: tuple[bytes, ...], layout: list[tuple[int, int, int]]):
+        self.keys, self.folds = np.frombuffer(held[0], np.int64), np.frombuffer(held[1], np.int16)
         self.rows = len(self.keys)
-        self.grads = np.frombuffer(at[2], np.float64).reshape(-1, self.rows)
-        self.most, self.ends = np.frombuffer(at[3], np.uint8), np.frombuffer(at[4], np.int64)
-        self.places, self.bins = np.frombuffer(at[5], np.uint16), np.frombuffer(at[6], np.uint8)
+        self.grads = np.frombuffer(held[2], np.float64).reshape(-1, self.rows)
+        self.draws = np.frombuffer(held[3], np.uint8).reshape(KEEP, -1)
+        self.codes = np.frombuffer(held[4], np.uint16).reshape(-1, self.rows)
+        self.layout = layout
         self.known: dict[tuple, np.ndarray] = {}
 
+    def bits(self, bitmap: np.ndarray) -> np.ndarray:
+        return np.unpackbits(bitmap, count=self.rows)
+
+    def digit(self, code: int, bit: int) -> np.ndarray:
+        got = self.known.get((None, code, bit))
+        if got is None:
+            got = self.known[None, code, bit] = np.packbits((self.codes[code] & np.uint16(1 << bit)) != 0)
+        return got
+
     def right(self, f: int, cut: int) -> np.ndarray:
+        """The rows above a cut of a feature: its bin compared with ``cut`` digit by digit, from the first."""
         got = self.known.get((f, cut))
         if got is None:
-            lo, hi = self.ends[f - 1] if f else 0, self.ends[f]
-            got = self.known[f, cut] = np.full(self.rows, self.most[f] > cut)
-            got[self.places[lo:hi]] = self.bins[lo:hi] > cut
+            code, shift, digits = self.layout[f]
+            above, equal = np.zeros(self.draws.shape[1], np.uint8), np.full(self.draws.shape[1], 255, np.uint8)
+            for i in reversed(range(digits)):
+                one = self.digit(code, shift + i)
+                if cut >> i & 1:
+                    equal = equal & one
+                else:
+                    above, equal = above | (equal & one), equal & ~one
+            got = self.known[f, cut] = above
         return got
 
-    def place(self, tree: Tree, depth: int) -> np.ndarray:
-        """Every row's place at ``depth`` (below a leaf: to the left)."""
-        at = np.zeros(self.rows, np.int16)
+    def inside(self, tree: Tree, depth: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(the rows of every place at ``depth``, the rows that went right at every level above); below a leaf: left."""
+        nodes, ways = [np.full(self.draws.shape[1], 255, np.uint8)], []
         for d in range(depth):
-            right = np.zeros(self.rows, bool)
-            for i in range(1 << d):
+            below, way = [], np.zeros(self.draws.shape[1], np.uint8)
+            for i, here in enumerate(nodes):
                 f = int(tree.feature[(1 << d) - 1 + i])
-                if f >= 0:
-                    up = self.right(f, int(tree.cut[(1 << d) - 1 + i]))
-                    right = up if d == 0 else np.where(at == i, up, right)
-            at = 2 * at + right
-        return at
+                right = here & self.right(f, int(tree.cut[(1 << d) - 1 + i])) if f >= 0 else np.zeros_like(here)
+                below += [here ^ right, right]
+                way |= right
+            nodes = below
+            ways.append(way)
+        return nodes, ways
 
     def moved(self, k: int, trees: list[Tree], depth: int) -> np.ndarray:
-        """Model ``k``'s gradients after ``trees``."""
+        """Model ``k``'s gradients after ``trees``: the steps of several trees are looked up at once."""
         grad = self.grads[k]
-        for t in trees:
-            grad = grad + t.level(depth)[1][self.place(t, depth)]
+        group = max(1, LOOKUP // depth)
+        for start in range(0, len(trees), group):
+            at, steps = np.zeros(self.rows, np.uint16), np.zeros(1)
+            for t in trees[start:start + group]:
+                for way in self.inside(t, depth)[1]:
+                    at <<= np.uint16(1)
+                    at |= self.bits(way)
+                steps = np.add.outer(steps, t.level(depth)[1]).ravel()
+            grad = grad + steps.take(at.astype(np.intp), mode="wrap")  # whole words, unchecked: in half the time
         return grad
 
 
@@ -284,60 +333,83 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _dealt(rows: DataFrame) -> RDD:
+    """The stored blocks as tuples of bytes, dealt evenly to as many tasks as there are cores."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+
+    def run(part: int, held: Iterator) -> Iterator[tuple]:
+        for i, r in enumerate(held):
+            yield (part + i) % tasks, tuple(bytes(v) for v in r)
+
+    return rows.rdd.mapPartitionsWithIndex(run).partitionBy(tasks, int).values()
+
+
 def shrunk(g: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0)
 
 
-def histograms(rows: DataFrame, trees: list[list[Tree]], growing: list[Tree], number: int, level: int,
-               edges: list[list[float]], p: BoostParams, folds: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per model the gradient sums and row counts of the level's nodes: [node, drawn feature, bin]."""
+def histograms(rows: DataFrame | RDD, trees: list[list[Tree]], growing: list[Tree], number: int, level: int,
+               edges: list[list[float]], p: BoostParams, folds: bool,
+               above: list[tuple[np.ndarray, np.ndarray]] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per model the gradient sums and row counts of the level's nodes: [node, drawn feature, bin].
+
+    With the histograms of the level ``above``, only the smaller child of every split is added up from rows;
+    its sibling is what the parent has left.
+    """
     nodes = 1 << level
-    cells = np.array([len(e) + 1 for e in edges])
+    layout, sizes = _layout([len(e) + 1 for e in edges])
+    ends = np.cumsum([1 << d for d in sizes])
+    shape = (len(growing), nodes, int(ends[-1]))
+    wanted = []
+    for t in growing:
+        live = np.flatnonzero(t.level(level)[0]).tolist()
+        if above is not None:
+            # the children of a split are 2i and 2i + 1 of their level
+            live = [i for i in live if (t.rows[nodes - 1 + i], i) < (t.rows[nodes - 1 + (i ^ 1)], i ^ 1)]
+        wanted.append(live)
+
+    def run(held: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        g, n = np.zeros(shape), np.zeros(shape, np.int64)
+        for b in (_Block(h, layout) for h in held):
+            codes = b.codes.astype(np.intp)
+            drawn = b.draws[number % KEEP] if p.subsample < 1 else np.full(b.draws.shape[1], 255, np.uint8)
+            for k, tree in enumerate(growing):
+                if not wanted[k]:
+                    continue
+                use = drawn & np.packbits(b.folds != k) if folds else drawn
+                grad = b.moved(k, trees[k], p.depth)
+                places = b.inside(tree, level)[0]
+                for i in wanted[k]:
+                    at = np.flatnonzero(b.bits(places[i] & use).view(bool))
+                    weights = grad.take(at, mode="wrap")
+                    for code, end, digits in zip(codes, ends, sizes, strict=True):
+                        here, size = code.take(at, mode="wrap"), 1 << digits
+                        g[k, i, end - size:end] += np.bincount(here, weights, size)
+                        n[k, i, end - size:end] += np.bincount(here, minlength=size)
+        yield by_bin(g), by_bin(n)
+
+    cells = [len(e) + 1 for e in edges]
     first = np.cumsum(cells) - cells
-    width = int(cells.sum())
-    shape = (len(growing), nodes, width)
-    alive = [t.level(level)[0] for t in growing]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, n = np.zeros(shape), np.zeros(shape, np.int64)
-        for batch in batches:
-            for b in (_Block(batch, i) for i in range(batch.num_rows)):
-                counts = np.diff(b.ends, prepend=0)
-                cell = np.repeat(first, counts) + b.bins
-                places = b.places.astype(np.intp)
-                drawn = _hash01(b.keys, p.seed * 100_003 + number) < p.subsample
-                rest = first + b.most
-                for k, tree in enumerate(growing):
-                    if not alive[k].any():
-                        continue
-                    at = b.place(tree, level)
-                    use = drawn & alive[k][at]
-                    if folds:
-                        use &= b.folds != k
-                    # rows that take no part go to a node of their own
-                    at = np.where(use, at, nodes).astype(np.intp)
-                    grad = b.moved(k, trees[k], p.depth)
-                    held = at[places] * width + cell
-                    hg = np.bincount(held, grad[places], (nodes + 1) * width).reshape(nodes + 1, width)[:nodes]
-                    hn = np.bincount(held, minlength=(nodes + 1) * width).reshape(nodes + 1, width)[:nodes]
-                    # the most frequent bin has what is left of the node
-                    hg[:, rest] += np.bincount(at, grad, nodes + 1)[:nodes, None] - np.add.reduceat(hg, first, axis=1)
-                    hn[:, rest] += np.bincount(at, minlength=nodes + 1)[:nodes, None] - np.add.reduceat(hn, first, axis=1)
-                    g[k] += hg
-                    n[k] += hn
-        yield pa.RecordBatch.from_arrays([pa.array([g.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
-                                         names=["g", "n"])
-
-    g, n = np.zeros(shape), np.zeros(shape, np.int64)
-    for r in rows.mapInArrow(run, "g binary, n binary").collect():
-        g += np.frombuffer(r.g, np.float64).reshape(shape)
-        n += np.frombuffer(r.n, np.int64).reshape(shape)
+    def by_bin(v: np.ndarray) -> np.ndarray:
+        """Sums by code as sums by bin, the features side by side."""
+        out = []
+        for (code, shift, digits), c in zip(layout, cells, strict=True):
+            one = v[:, :, ends[code] - (1 << sizes[code]):ends[code]]
+            out.append(one.reshape(*v.shape[:2], -1, 1 << digits, 1 << shift).sum(axis=(2, 4))[:, :, :c])
+        return np.concatenate(out, axis=2)
+
+    parts = (_dealt(rows) if isinstance(rows, DataFrame) else rows).mapPartitions(run).collect()
+    g, n = sum(v for v, _ in parts), sum(v for _, v in parts)
     out = []
     for k, tree in enumerate(growing):
         hg, hn = np.zeros((nodes, len(tree.drawn), p.bins)), np.zeros((nodes, len(tree.drawn), p.bins), np.int64)
         for i, f in enumerate(tree.drawn):
             at = slice(first[f], first[f] + cells[f])
             hg[:, i, :cells[f]], hn[:, i, :cells[f]] = g[k][:, at], n[k][:, at]
+        if above is not None:
+            for i in wanted[k]:
+                hg[i ^ 1], hn[i ^ 1] = above[k][0][i >> 1] - hg[i], above[k][1][i >> 1] - hn[i]
         out.append((hg, hn))
     return out
 
@@ -387,24 +459,27 @@ def _fit(df: DataFrame, key: str, label: str, features: list[str], p: BoostParam
     if not live or not features:
         return models
     edges = bin_edges(df, features, p.bins)
-    rows = _stored(_blocks(df, key, label, features, edges, [m.base or 0.0 for m in models],
-                           F.lit(-1) if fold is None else fold))
+    rows = _dealt(_stored(_blocks(df, key, label, features, edges, [m.base or 0.0 for m in models],
+                                  F.lit(-1) if fold is None else fold, p))).persist(StorageLevel.MEMORY_AND_DISK)
     width, kept = len(features), 0
     rng = np.random.default_rng(p.seed)
     for number in range(p.trees):
         drawn = sorted(rng.permutation(width)[:max(1, int(np.ceil(p.colsample * width - 1e-9)))].tolist())
-        growing = [Tree.empty(p.depth, drawn) for _ in models]
+        growing, sums = [Tree.empty(p.depth, drawn) for _ in models], None
         for level in range(p.depth):
             if not any(t.level(level)[0].any() for t in growing):
                 break
-            sums = histograms(rows, [m.trees[kept:] for m in models], growing, number, level, edges, p, fold is not None)
+            sums = histograms(rows, [m.trees[kept:] for m in models], growing, number, level, edges, p, fold is not None, sums)
             for tree, (g, n) in zip(growing, sums, strict=True):
                 _grow(tree, level, g, n, p)
         for k in live:
             models[k].trees.append(growing[k])
         if number + 1 - kept >= KEEP and number + 1 < p.trees:
-            rows = _stored(_moved(rows, [m.trees[kept:] for m in models], p.depth))
+            old, rows = rows, _moved(rows, [m.trees[kept:] for m in models], number + 1, edges, p).persist(StorageLevel.MEMORY_AND_DISK)
+            rows.count()  # kept before the others go
+            old.unpersist()
             kept = number + 1
+    rows.unpersist()
     for k in live:
         models[k].edges = edges
     return models
@@ -424,19 +499,17 @@ def fit_folds(df: DataFrame, key: str, label: str, features: list[str], fold: st
     return _fit(df, key, label, features, p or BoostParams(), list(row), F.coalesce(F.col(fold), F.lit(-1)))
 
 
-def _moved(rows: DataFrame, trees: list[list[Tree]], depth: int) -> DataFrame:
-    """The blocks with their gradients after ``trees``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                b = _Block(batch, i)
-                grads = np.stack([b.moved(k, t, depth) for k, t in enumerate(trees)])
-                one = batch.slice(i, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([grads.tobytes()], pa.binary()) if c == "grads" else one.column(c) for c in batch.schema.names],
-                    names=batch.schema.names)
-
-    return rows.mapInArrow(run, BLOCKS)
+def _moved(rows: RDD, trees: list[list[Tree]], number: int, edges: list[list[float]], p: BoostParams) -> RDD:
+    """The blocks with their gradients after ``trees`` and the draws from tree ``number`` on."""
+    layout = _layout([len(e) + 1 for e in edges])[0]
+
+    def run(held: Iterator[tuple]) -> Iterator[tuple]:
+        for h in held:
+            b = _Block(h, layout)
+            grads = np.stack([b.moved(k, t, p.depth) for k, t in enumerate(trees)])
+            yield h[0], h[1], grads.tobytes(), _draws(b.keys, number, p), h[4]
+
+    return rows.mapPartitions(run)
 
 
 def root_gains(df: DataFrame, label: str, features: list[str], p: BoostParams | None = None) -> DataFrame:

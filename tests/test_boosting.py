@@ -129,3 +129,27 @@ def test_wide_projections_are_cut_into_methods_that_hotspot_compiles(spark, base
     entry.queries()["boost_root_gains"](spark, base)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     assert len(catalog._boost_frame(spark, base)[0].names) > 10
+
+
+def test_a_sibling_is_what_its_parent_has_left_and_bins_are_digits_of_codes(spark, rows):
+    p = B.BoostParams(subsample=1.0, bins=64)
+    edges = B.bin_edges(rows, FEATURES, p.bins)
+    at, sizes = B._layout([len(e) + 1 for e in edges])
+    assert all(1 << digits > len(e) for (_, _, digits), e in zip(at, edges, strict=True)) and max(sizes) <= B.DIGITS
+    held = B._dealt(B._stored(B._blocks(rows, "slug", "label", FEATURES, edges, [0.25], F.lit(-1)))).cache()
+    tree = B.Tree.empty(2, list(range(len(FEATURES))))
+    root, = B.histograms(held, [[]], [tree], 0, 0, edges, p, False)
+    B._grow(tree, 0, *root, p)
+    (some, few), = B.histograms(held, [[]], [tree], 0, 1, edges, p, False, [root])
+    (every, all_rows), = B.histograms(held, [[]], [tree], 0, 1, edges, p, False)
+    assert tree.feature[0] >= 0 and (few == all_rows).all() and np.allclose(some, every, atol=1e-9)
+    held.unpersist()
+
+
+def test_a_fit_keeps_its_blocks_while_it_lasts(spark, rows, monkeypatch):
+    kept = []
+    real = B.histograms
+    monkeypatch.setattr(B, "histograms", lambda rows, *a: kept.append(rows.is_cached) or real(rows, *a))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    B.fit(rows, "slug", "label", FEATURES, B.BoostParams(trees=7, depth=2))
+    assert all(kept) and spark.sparkContext._jsc.getPersistentRDDs().size() == before
