@@ -31,6 +31,7 @@ first feature and the smallest cut.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
@@ -118,24 +119,38 @@ class BoostedModel:
         return spark.createDataFrame(rows, "tree int, node int, feature string, threshold double, gain double, "
                                            "n_rows long, value double")
 
-    def expression(self) -> Column:
-        """The prediction as one Column over the feature columns: the trees as nested conditions."""
-        def node(tree: Tree, i: int) -> Column:
-            f = int(tree.feature[i])
-            if f < 0:
-                return F.lit(float(tree.value[i]))
+    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        """``df`` plus its prediction.
+
+        Only the decisions leave the JVM, ``WORD`` to a number: every distinct cut, whether the row lies above it.
+        """
+        cuts = sorted({(int(f), int(c)) for t in self.trees for f, c in zip(t.feature, t.cut, strict=True) if f >= 0})
+        if self.base is None or not cuts:
+            alike = None if self.base is None else self.base + sum(float(t.value[0]) for t in self.trees)
+            return df.withColumn(out, F.lit(alike).cast("double"))
+
+        def right(f: int, cut: int) -> Column:
             x = F.col(f"`{self.features[f]}`").cast("double")
-            left = x.isNull() | F.isnan(x) | (x <= self.edges[f][tree.cut[i]])
-            return F.when(left, node(tree, 2 * i + 1)).otherwise(node(tree, 2 * i + 2))
+            return x.isNotNull() & ~F.isnan(x) & (x > self.edges[f][cut])
 
-        out = F.lit(self.base).cast("double")
-        for t in self.trees:
-            out = out + node(t, 0)
-        return out
+        base, trees, depth = self.base, self.trees, self.params.depth
+
+        def run(*words: pa.Array) -> pa.Array:
+            given = [w.to_numpy(zero_copy_only=False) for w in words]
+            rows = _Rows(len(given[0]), {c: np.packbits((given[i // WORD] & (1 << i % WORD)) != 0) for i, c in enumerate(cuts)})
+            return pa.array(rows.after(np.full(rows.rows, base), trees, depth))
+
+        return df.withColumn(out, F.arrow_udf(run, "double")(*packed([right(f, c) for f, c in cuts])))
+
+
+WORD = 8
 
-    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        """``df`` plus its prediction, JVM-side."""
-        return df.withColumn(out, self.expression())
+
+def packed(flags: list[Column]) -> list[Column]:
+    """``WORD`` flags (never null) to an integer, in their order from the lowest digit."""
+    return [functools.reduce(Column.bitwiseOR, [F.when(flag, F.lit(1 << j)).otherwise(F.lit(0))
+                                               for j, flag in enumerate(flags[i:i + WORD])])
+            for i in range(0, len(flags), WORD)]
 
 
 def few_values(df: DataFrame, features: list[str], most: int) -> list[np.ndarray | None]:
@@ -150,9 +165,14 @@ def few_values(df: DataFrame, features: list[str], most: int) -> list[np.ndarray
                 if len(have) > most:
                     continue
                 x = b.column(j).to_numpy(zero_copy_only=False)
-                x = x[~np.isnan(x) & ~np.isin(x, have)]
-                if len(x):
-                    known[j] = np.union1d(have, x)[:most + 1]
+                new = x == x
+                if len(have) <= 4:
+                    for v in have:
+                        new &= x != v
+                else:
+                    new &= have[np.minimum(np.searchsorted(have, x), len(have) - 1)] != x
+                if new.any():
+                    known[j] = np.union1d(have, x[new])[:most + 1]
         at = np.repeat(np.arange(len(known), dtype=np.int32), [len(k) for k in known])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate(known))], names=["i", "v"])
 
@@ -262,20 +282,56 @@ def _blocks(df: DataFrame, key: str, label: str, features: list[str], edges: lis
     return src.mapInArrow(run, BLOCKS)
 
 
-class _Block:
-    """A block's arrays; sets of rows are bitmaps of one bit a row."""
+class _Rows:
+    """Rows of which is ``known`` for every (feature, cut) which lie above; sets of rows are bitmaps of one bit a row."""
+
+    def __init__(self, rows: int, known: dict[tuple, np.ndarray]):
+        self.rows, self.width, self.known = rows, (rows + 7) // 8, known
+
+    def bits(self, bitmap: np.ndarray) -> np.ndarray:
+        return np.unpackbits(bitmap, count=self.rows)
+
+    def right(self, f: int, cut: int) -> np.ndarray:
+        return self.known[f, cut]
+
+    def inside(self, tree: Tree, depth: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(the rows of every place at ``depth``, the rows that went right at every level above); below a leaf: left."""
+        nodes, ways = [np.full(self.width, 255, np.uint8)], []
+        for d in range(depth):
+            below, way = [], np.zeros(self.width, np.uint8)
+            for i, here in enumerate(nodes):
+                f = int(tree.feature[(1 << d) - 1 + i])
+                right = here & self.right(f, int(tree.cut[(1 << d) - 1 + i])) if f >= 0 else np.zeros_like(here)
+                below += [here ^ right, right]
+                way |= right
+            nodes = below
+            ways.append(way)
+        return nodes, ways
+
+    def after(self, start: np.ndarray, trees: list[Tree], depth: int) -> np.ndarray:
+        """``start`` moved by the rows' steps in ``trees``; the steps of several trees are looked up at once."""
+        group = max(1, LOOKUP // depth)
+        for first in range(0, len(trees), group):
+            at, steps = np.zeros(self.rows, np.uint16), np.zeros(1)
+            for t in trees[first:first + group]:
+                for way in self.inside(t, depth)[1]:
+                    at <<= np.uint16(1)
+                    at |= self.bits(way)
+                steps = np.add.outer(steps, t.level(depth)[1]).ravel()
+            start = start + steps.take(at.astype(np.intp), mode="wrap")  # whole words, unchecked: in half the time
+        return start
+
+
+class _Block(_Rows):
+    """A block's arrays."""
 
     def __init__(self, held: tuple[bytes, ...], layout: list[tuple[int, int, int]]):
         self.keys, self.folds = np.frombuffer(held[0], np.int64), np.frombuffer(held[1], np.int16)
-        self.rows = len(self.keys)
+        super().__init__(len(self.keys), {})
         self.grads = np.frombuffer(held[2], np.float64).reshape(-1, self.rows)
         self.draws = np.frombuffer(held[3], np.uint8).reshape(KEEP, -1)
         self.codes = np.frombuffer(held[4], np.uint16).reshape(-1, self.rows)
         self.layout = layout
-        self.known: dict[tuple, np.ndarray] = {}
-
-    def bits(self, bitmap: np.ndarray) -> np.ndarray:
-        return np.unpackbits(bitmap, count=self.rows)
 
     def digit(self, code: int, bit: int) -> np.ndarray:
         got = self.known.get((None, code, bit))
@@ -288,7 +344,7 @@ class _Block:
         got = self.known.get((f, cut))
         if got is None:
             code, shift, digits = self.layout[f]
-            above, equal = np.zeros(self.draws.shape[1], np.uint8), np.full(self.draws.shape[1], 255, np.uint8)
+            above, equal = np.zeros(self.width, np.uint8), np.full(self.width, 255, np.uint8)
             for i in reversed(range(digits)):
                 one = self.digit(code, shift + i)
                 if cut >> i & 1:
@@ -298,33 +354,9 @@ class _Block:
             got = self.known[f, cut] = above
         return got
 
-    def inside(self, tree: Tree, depth: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """(the rows of every place at ``depth``, the rows that went right at every level above); below a leaf: left."""
-        nodes, ways = [np.full(self.draws.shape[1], 255, np.uint8)], []
-        for d in range(depth):
-            below, way = [], np.zeros(self.draws.shape[1], np.uint8)
-            for i, here in enumerate(nodes):
-                f = int(tree.feature[(1 << d) - 1 + i])
-                right = here & self.right(f, int(tree.cut[(1 << d) - 1 + i])) if f >= 0 else np.zeros_like(here)
-                below += [here ^ right, right]
-                way |= right
-            nodes = below
-            ways.append(way)
-        return nodes, ways
-
     def moved(self, k: int, trees: list[Tree], depth: int) -> np.ndarray:
-        """Model ``k``'s gradients after ``trees``: the steps of several trees are looked up at once."""
-        grad = self.grads[k]
-        group = max(1, LOOKUP // depth)
-        for start in range(0, len(trees), group):
-            at, steps = np.zeros(self.rows, np.uint16), np.zeros(1)
-            for t in trees[start:start + group]:
-                for way in self.inside(t, depth)[1]:
-                    at <<= np.uint16(1)
-                    at |= self.bits(way)
-                steps = np.add.outer(steps, t.level(depth)[1]).ravel()
-            grad = grad + steps.take(at.astype(np.intp), mode="wrap")  # whole words, unchecked: in half the time
-        return grad
+        """Model ``k``'s gradients after ``trees``."""
+        return self.after(self.grads[k], trees, depth)
 
 
 def _stored(df: DataFrame) -> DataFrame:

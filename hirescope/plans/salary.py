@@ -125,6 +125,17 @@ class FeatureSpec:
     def featurize(self, df: DataFrame) -> DataFrame:
         return df.select("*", *self.indicator_columns())
 
+    def packed(self, df: DataFrame, *keep: str) -> DataFrame:
+        """``keep`` and the indicators of every row, eight to a number."""
+        words = B.packed([c == 1.0 for c in self.indicator_columns()])
+        return df.select(*keep, *[w.alias(f"w_{i:03d}") for i, w in enumerate(words)])
+
+    def unpacked(self, pdf: pd.DataFrame) -> np.ndarray:
+        """The matrix (row, feature) of rows from :meth:`packed`."""
+        words = pdf[[f"w_{i:03d}" for i in range(-(-len(self.names) // B.WORD))]].to_numpy(np.uint8)
+        bits = np.unpackbits(words, axis=1, bitorder="little")[:, :len(self.names)]
+        return np.asfortranarray(bits, dtype=float)
+
     def names_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(enumerate(self.names)), "feature_idx int, feature string")
 
@@ -394,9 +405,31 @@ def _goes_left(x: np.ndarray, split: list, ncat: int) -> np.ndarray:
     return x <= split[0]
 
 
-def _decisions(X: np.ndarray, tree: dict) -> dict[int, np.ndarray]:
-    """Per inner node, which rows go left there."""
-    return {i: _goes_left(X[:, n["feature"]], n["split"], n["ncat"]) for i, n in tree.items() if n["left"] >= 0}
+class _Decisions(dict):
+    """Per (feature, split) of a tree's inner node, which rows of ``X`` go left: worked out once for all trees."""
+
+    def __init__(self, X: np.ndarray):
+        self.X = X
+
+    def of(self, tree: dict) -> dict[int, np.ndarray]:
+        """Per inner node of ``tree``, which rows go left there."""
+        out = {}
+        for i, n in tree.items():
+            if n["left"] >= 0:
+                key = (n["feature"], tuple(n["split"]), n["ncat"])
+                if key not in self:
+                    self[key] = _goes_left(self.X[:, n["feature"]], n["split"], n["ncat"])
+                out[i] = self[key]
+        return out
+
+
+def _listed(left: dict[int, np.ndarray]) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """(every combination of decisions at a tree's inner nodes, each row's place among them)."""
+    every = np.arange(1 << len(left))
+    code = np.zeros(len(next(iter(left.values()), ())), np.uint16)
+    for k, goes in enumerate(left.values()):
+        code |= np.left_shift(goes, k, dtype=np.uint16)
+    return {i: (every >> k & 1).astype(bool) for k, i in enumerate(left)}, code.astype(np.intp)
 
 
 def _tree_shapley(left: dict[int, np.ndarray], n: int, tree: dict) -> tuple[dict[int, np.ndarray], float]:
@@ -437,67 +470,68 @@ def _tree_shapley(left: dict[int, np.ndarray], n: int, tree: dict) -> tuple[dict
 MOST_LISTED = 10
 
 
-def shap_values(X: np.ndarray, trees: list[dict], weights: list[float]) -> tuple[np.ndarray, float]:
+def shap_values(X: np.ndarray, trees: list[dict], weights: list[float],
+                known: dict[int, tuple] | None = None) -> tuple[np.ndarray, float]:
     """Exact path-dependent Shapley values of a tree ensemble: (phi, base value).
 
     Sums over leaves and trees are exact Shapley values of the ensemble (additivity). A
     tree's values depend on a row through its decisions at the inner nodes only, so
     they are worked out for every combination of decisions and looked up by row; a
-    tree of more than ``MOST_LISTED`` inner nodes is worked out by row.
+    tree of more than ``MOST_LISTED`` inner nodes is worked out by row. ``known`` holds these
+    tables from one call to the next.
     """
     n, m = X.shape
     phi = np.zeros((m, n))
     base = 0.0
-    for tree, w in zip(trees, weights):
-        left = _decisions(X, tree)
-        listed = len(left) <= MOST_LISTED and n > 1 << len(left)
-        rows = left
+    known = {} if known is None else known
+    decisions = _Decisions(X)
+    for i, (tree, w) in enumerate(zip(trees, weights)):
+        left = decisions.of(tree)
+        listed = 0 < len(left) <= MOST_LISTED and (i in known or n > 1 << len(left))
         if listed:
-            every = np.arange(1 << len(left))
-            rows = {i: (every >> k & 1).astype(bool) for k, i in enumerate(left)}
-        values, b = _tree_shapley(rows, len(every) if listed else n, tree)
+            rows, code = _listed(left)
+            if i not in known:
+                known[i] = _tree_shapley(rows, 1 << len(left), tree)
+        values, b = known[i] if listed else _tree_shapley(left, n, tree)
         base += w * b
-        if listed:
-            code = np.zeros(n, np.intp)
-            for k, goes in enumerate(left.values()):
-                code += goes.astype(np.intp) << k
-            values = {f: v[code] for f, v in values.items()}
         for f, v in values.items():
-            phi[f] += w * v
+            phi[f] += (w * v).take(code, mode="wrap") if listed else w * v
     return phi.T, base
 
 
 def attributions(sm: SalaryModel, rows: DataFrame) -> DataFrame:
     """(slug, feature, value): the Shapley value of every feature on every row."""
     trees, weights = tree_table(sm)
-    cols, names = sm.spec.columns, sm.spec.names
+    spec, cols, names = sm.spec, sm.spec.columns, sm.spec.names
 
     def per_batch(batches):
+        known: dict[int, tuple] = {}
         for pdf in batches:
-            phi, _ = shap_values(pdf[cols].to_numpy(dtype=float), trees, weights)
+            phi, _ = shap_values(spec.unpacked(pdf), trees, weights, known)
             yield pd.DataFrame({"slug": np.repeat(pdf["slug"].to_numpy(), len(cols)),
                                 "feature": np.tile(np.asarray(names, dtype=object), len(pdf)),
                                 "value": phi.ravel()})
 
-    return sm.spec.featurize(rows).select("slug", *cols).mapInPandas(
+    return spec.packed(rows, "slug").mapInPandas(
         per_batch, "slug string, feature string, value double")
 
 
 def mean_abs_shap(sm: SalaryModel, train: DataFrame) -> DataFrame:
     """Mean |SHAP| per feature over the training rows, top 25."""
     trees, weights = tree_table(sm)
-    cols = sm.spec.columns
+    spec, cols = sm.spec, sm.spec.columns
 
     def per_batch(batches):
+        known: dict[int, tuple] = {}
         for pdf in batches:
             if pdf.empty:
                 continue
-            phi, _ = shap_values(pdf[cols].to_numpy(dtype=float), trees, weights)
+            phi, _ = shap_values(spec.unpacked(pdf), trees, weights, known)
             yield pd.DataFrame({"feature_idx": np.arange(len(cols), dtype=np.int32),
                                 "abs_sum": np.abs(phi).sum(axis=0),
                                 "n": np.full(len(cols), len(pdf), dtype=np.int64)})
 
-    parts = sm.spec.featurize(train).select(*cols).mapInPandas(
+    parts = spec.packed(train).mapInPandas(
         per_batch, "feature_idx int, abs_sum double, n long")
     agg = parts.groupBy("feature_idx").agg((F.sum("abs_sum") / F.sum("n")).alias("importance"))
     named = agg.join(F.broadcast(sm.spec.names_frame(train.sparkSession)), "feature_idx")
@@ -517,13 +551,18 @@ def model_gate(train: DataFrame) -> DataFrame:
 def _tree_predictions(x: np.ndarray, trees: list[dict], weights: list[float]) -> np.ndarray:
     """The ensemble's prediction from the saved node table."""
     out = np.zeros(len(x))
+    decisions = _Decisions(x)
     for tree, w in zip(trees, weights):
-        left = _decisions(x, tree)
+        left = decisions.of(tree)
+        listed = 0 < len(left) <= MOST_LISTED
+        rows, code = _listed(left) if listed else (left, None)
+        value_of = np.zeros(1 << len(left) if listed else len(x))
         for value, path in _leaf_paths(tree):
-            here = np.ones(len(x), bool)
+            here = np.ones(len(value_of), bool)
             for node, _, went_left, _ in path:
-                here &= left[node] if went_left else ~left[node]
-            out[here] += w * value
+                here &= rows[node] if went_left else ~rows[node]
+            value_of[here] = w * value
+        out += value_of.take(code, mode="wrap") if listed else value_of
     return out
 
 
@@ -535,15 +574,17 @@ def model_checks(sm: SalaryModel, train: DataFrame, tol: float = 1e-6) -> DataFr
     ``n_scores_off``: rows whose score is not exp of the prediction.
     """
     trees, weights = tree_table(sm)
-    cols = sm.spec.columns
-    scored = sm.model.transform(sm.spec.featurize(train)).select(*cols, "slug", "prediction")
+    spec = sm.spec
+    words = spec.packed(train).columns
+    scored = spec.packed(sm.model.transform(spec.featurize(train)), "slug", "prediction")
     scores = sm.score(train).withColumnRenamed("slug", "_slug")
-    both = scored.join(scores, F.col("slug") == F.col("_slug")).select(*cols, "prediction", "predicted_min_eur")
+    both = scored.join(scores, F.col("slug") == F.col("_slug")).select(*words, "prediction", "predicted_min_eur")
 
     def per_batch(batches):
+        known: dict[int, tuple] = {}
         for pdf in batches:
-            x, p = pdf[cols].to_numpy(dtype=float), pdf["prediction"].to_numpy()
-            phi, base = shap_values(x, trees, weights)
+            x, p = spec.unpacked(pdf), pdf["prediction"].to_numpy()
+            phi, base = shap_values(x, trees, weights, known)
             score = pdf["predicted_min_eur"].to_numpy()
             yield pd.DataFrame({
                 "n": [len(p)], "s": [int((np.abs(phi.sum(axis=1) + base - p) > tol).sum())],

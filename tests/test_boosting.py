@@ -153,3 +153,21 @@ def test_a_fit_keeps_its_blocks_while_it_lasts(spark, rows, monkeypatch):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     B.fit(rows, "slug", "label", FEATURES, B.BoostParams(trees=7, depth=2))
     assert all(kept) and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_predictions_are_those_of_the_trees_whatever_the_features_hold(spark, rows):
+    model = B.fit(rows, "slug", "label", FEATURES, B.BoostParams(trees=9, depth=3))
+    odd = [("x", None, float("nan"), 1.0, 1.0), ("y", 1e9, -1e9, None, float("nan")), ("z", 2.0, 0.3, 1.0, 1.0)]
+    df = spark.createDataFrame(odd, "slug string, a double, b double, `c d` double, e double")
+    plan = model.predict(df)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan  # the decisions are looked up, no expression of every tree is compiled
+    for r in model.predict(df).collect():
+        x = [r["a"], r["b"], r["c d"], r["e"]]
+        want = model.base
+        for t in model.trees:
+            i = 0
+            while t.feature[i] >= 0:
+                v = x[t.feature[i]]
+                i = 2 * i + 1 + (v is not None and v == v and v > model.edges[t.feature[i]][t.cut[i]])
+            want += t.value[i]
+        assert abs(r["prediction"] - want) < 1e-12

@@ -167,3 +167,25 @@ def test_shapley_values_looked_up_by_decisions_equal_those_worked_out_by_row(spa
     by_row, same = S.shap_values(x, trees, weights)
     np.testing.assert_allclose(listed, by_row, atol=1e-12)
     assert base_value == same
+
+
+def test_shapley_tables_are_worked_out_once_for_all_batches_of_a_task(monkeypatch):
+    tree = {0: {"value": 0, "cover": 10, "left": 1, "right": 2, "feature": 1, "split": [0.5], "ncat": -1},
+            1: {"value": 1.0, "cover": 6, "left": -1, "right": -1, "feature": -1, "split": [], "ncat": -1},
+            2: {"value": 4.0, "cover": 4, "left": -1, "right": -1, "feature": -1, "split": [], "ncat": -1}}
+    worked_out, real = [], S._tree_shapley
+    monkeypatch.setattr(S, "_tree_shapley", lambda *a: worked_out.append(1) or real(*a))
+    known: dict = {}
+    for x in (np.eye(3, 2), np.ones((5, 2)), np.zeros((1, 2))):
+        phi, base = S.shap_values(x, [tree], [1.0], known)
+        np.testing.assert_allclose(phi.sum(axis=1) + base, np.where(x[:, 1] > 0.5, 4.0, 1.0))
+    assert len(worked_out) == 1
+
+
+def test_packed_indicators_are_the_features(spark, base):
+    fct = catalog.warehouse(spark, base).fact()
+    spec = S.feature_spec(S.training_frame(fct))
+    want = spec.featurize(fct).select("slug", *spec.columns).toPandas().sort_values("slug")
+    got = spec.packed(fct, "slug").toPandas().sort_values("slug")
+    assert len(got.columns) == 1 + -(-len(spec.names) // 8)
+    np.testing.assert_array_equal(spec.unpacked(got), want[spec.columns].to_numpy())
