@@ -28,6 +28,28 @@ def _alt(patterns: list[str]) -> str:
     return "|".join(f"(?:{p})" for p in patterns)
 
 
+def _by_letter(patterns: list[str]) -> str:
+    """:func:`_alt` of patterns that begin with a lower-case ASCII letter, which is looked at first.
+
+    Elsewhere a scan then fails at once, before any boundary is looked for. To be searched in
+    lowercased text without regard to which pattern is found.
+    """
+    words = [p.removeprefix(r"\b") for p in patterns]
+    if not all("a" <= w[0] <= "z" and "|" not in _outside_groups(w) for w in words):
+        raise ValueError(f"not all begin with a letter: {patterns}")
+    letters = "".join(sorted({w[0] for w in words}))
+    bound = all(p.startswith(r"\b") for p in patterns)
+    return f"(?=[{letters}])" + (rf"\b(?:{_alt(words)})" if bound else f"(?:{_alt(patterns)})")
+
+
+def _outside_groups(pattern: str) -> str:
+    depth, out = 0, ""
+    for c in pattern:
+        depth += (c == "(") - (c == ")")
+        out += c if depth == 0 else ""
+    return out
+
+
 def _nz(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -179,6 +201,7 @@ def language_gate(text: Column, gated: bool = True, low: Column | None = None) -
     en = low.rlike("(?U)" + _alt(T.ENGLISH_FRIENDLY_PATTERNS))
     de = low.rlike("(?U)" + _alt(T.GERMAN_REQUIRED_PATTERNS))
     if gated:
+        en, de = (low.rlike("(?U)" + _by_letter(p)) for p in (T.ENGLISH_FRIENDLY_PATTERNS, T.GERMAN_REQUIRED_PATTERNS))
         en = _any_literal(low, LANGUAGE_GATE_LITERALS["english_ok"]) & en
         de = _any_literal(low, LANGUAGE_GATE_LITERALS["german_required"]) & de
     return (F.when(en, F.lit("english_ok")).when(de, F.lit("german_required"))
@@ -194,7 +217,7 @@ def seniority(title: Column, description: Column, gated: bool = True, hay: Colum
     for level in T.SENIORITY_PRIORITY:
         cond = hay.rlike("(?U)" + _alt(T.SENIORITY_PATTERNS[level]))
         if gated:
-            cond = _any_literal(hay, SENIORITY_LITERALS[level]) & cond
+            cond = _any_literal(hay, SENIORITY_LITERALS[level]) & hay.rlike("(?U)" + _by_letter(T.SENIORITY_PATTERNS[level]))
         out = F.when(cond, F.lit(level)) if out is None else out.when(cond, F.lit(level))
     return out.otherwise(F.lit(T.SENIORITY_UNKNOWN))
 

@@ -163,3 +163,33 @@ def test_staged_salary_equals_plain_patterns(spark):
     bad = [r for r in both if tuple(r[1:4]) != (r["salary_min_eur"], r["salary_max_eur"], r["salary_period"])]
     assert not bad, bad[:3]
     assert {r["salary_period"] for r in both} == {None, "hour", "year"}
+
+
+def test_rules_look_at_a_letter_before_any_boundary(spark):
+    import pytest
+
+    for patterns in (T.ENGLISH_FRIENDLY_PATTERNS, T.GERMAN_REQUIRED_PATTERNS, *T.SENIORITY_PATTERNS.values()):
+        regex = X._by_letter(patterns)
+        assert regex.startswith("(?=[") and all(p.removeprefix(r"\b")[0] in regex[:regex.index("]")] for p in patterns)
+        plan = spark.range(1).select(X.seniority(F.lit("a"), F.col("id").cast("string")),
+                                     X.language_gate(F.col("id").cast("string")))._jdf.queryExecution().logical().toString()
+        assert regex in plan
+    for bad in ([r"\d+ years"], ["lead|staff"], ["Lead"]):
+        with pytest.raises(ValueError):
+            X._by_letter(bad)
+
+
+def test_first_letter_forms_equal_plain_forms_beside_every_kind_of_neighbour(spark):
+    found = ["english speaking", "english only", "working language is english", "no german needed", "muttersprachlicher deutsch",
+             "deutsch auf c1", "verhandlungssicher deutsch", "native-level german", "fluent german", "business fluent german",
+             "german is a must", "deutschkenntnisse zwingend", "sehr gute deutschkenntnisse", "werk student", "working student",
+             "intern", "internship", "praktikum", "prakti kant", "junior", "einsteiger", "entry level", "senior", "lead", "staff",
+             "principal", "mid-level"]
+    sides = ["", " ", "-", "\n", "x", "_", "9", "ß", "é", "̇", "‍", " ", "ſ", "ı", "中"]
+    texts = [a + w + b for w in found for a in sides for b in sides]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t, none = F.col("t"), F.lit("")
+    bad = df.filter((X.language_gate(t) != X.language_gate(t, gated=False))
+                    | (X.seniority(none, t) != X.seniority(none, t, gated=False))
+                    | (X.seniority(t, none) != X.seniority(t, none, gated=False)))
+    assert bad.count() == 0 and df.filter(X.seniority(none, t) != "unknown").count() > 100
