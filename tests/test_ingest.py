@@ -362,3 +362,16 @@ def test_postings_made_from_dealt_keys_are_written_as_before_and_no_text_is_shuf
     assert "Exchange rangepartitioning" in plan and plan.count("Exchange") == plan.count("BroadcastExchange") + 1
     below = plan[plan.index("Exchange rangepartitioning"):]
     assert "element_at" in plan and "element_at" not in below  # the texts are made after the shuffle
+
+
+def test_a_text_is_told_by_one_look_at_its_kind(spark):
+    rows = [('{"title": "a", "url": "", "slug": 5}',), ('{"title": 0, "url": 1.5, "slug": true}',),
+            ('{"title": false, "url": [], "slug": {"a": 1}}',), ('{"title": null, "url": [1]}',)]
+    v = F.parse_json("j")
+    df = spark.createDataFrame(rows, "j string").select(
+        *[J._text(v, f).alias(f) for f in ("title", "url", "slug")],
+        *[F.when(J._truthy(v, f), F.coalesce(J._field(v, f, "string"), F.lit(""))).otherwise(F.lit("")).alias(f"{f}_whole")
+          for f in ("title", "url", "slug")])
+    got = df.collect()
+    assert [tuple(r[:3]) for r in got] == [tuple(r[3:]) for r in got]
+    assert [r.title for r in got] == ["a", "", "", ""] and got[0].slug == "5" and got[3].slug == ""
